@@ -8,7 +8,9 @@ import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +66,22 @@ def byte_texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def sliced(batch: pa.RecordBatch, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of about ``size`` bytes: what a function builds from one run stays small, however wide the batch."""
+    if not batch.num_rows:
+        return
+    step = max(1, batch.num_rows * size // max(1, batch.nbytes))
+    texts = next((c for c in batch.columns if pa.types.is_string(c.type) or pa.types.is_large_string(c.type)), None)
+    if step >= batch.num_rows or texts is None:
+        for k in range(0, batch.num_rows, step):
+            yield batch.slice(k, step)
+        return
+    ends = np.cumsum(np.nan_to_num(pc.binary_length(texts).to_numpy(zero_copy_only=False))) // size
+    cuts = [0, *(np.flatnonzero(ends[1:] != ends[:-1]) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(a, b - a)
+
+
 def map_arrow(df: DataFrame, schema: str, each: Callable[[pa.RecordBatch], dict[str, Any]]) -> DataFrame:
     """Apply ``each`` to Arrow batches; it returns the columns of ``schema`` as lists or arrays."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -73,8 +91,8 @@ def map_arrow(df: DataFrame, schema: str, each: Callable[[pa.RecordBatch], dict[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = to_arrow_schema(spark_schema)
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for batch in sliced(whole):
                 got = each(batch)
                 yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) if not isinstance(got[f.name], pa.Array) else got[f.name].cast(f.type) for f in out], schema=out)
 

@@ -20,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if, byte_texts, map_arrow
+from .common import broadcast_if, byte_texts, map_arrow, sliced
 
 BUCKETS = 1 << 14
 THRESHOLD = -0.22
 SYMBOLS = b"#*$%&|<>"
 _SPACE = bytes(range(9, 14)) + b" "
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 200_000
 
 
 class Vocabulary:
@@ -109,7 +109,7 @@ def ngram_counts(docs: DataFrame, text_col: str = "text", trusted_col: str = "_t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target, vocabulary = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64), Vocabulary()
-        for batch in batches:
+        for batch in (b for whole in batches for b in sliced(whole)):
             bucket, doc = buckets_of(*numbered(byte_texts(batch.column(0)), vocabulary), vocabulary)
             raw += np.bincount(bucket, minlength=BUCKETS)
             good = np.array(batch.column(1).to_pylist(), bool)
