@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mix, quality, sentencepieces, simhash
+from . import line_dedup, media, mix, quality, secrets, sentencepieces, simhash
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "n_lines", "n_dropped", F.md5("text").alias("kept_md5"))
 
 
+def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.from_media(media.to_media(table(spark, sf_dir, "documents")))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.tokenize(table(spark, sf_dir, "documents"))
 
@@ -34,13 +38,19 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
         "op2_line_dedup": op2_line_dedup,
+        "op4_media_columns": op4_media_columns,
         "op6_sentencepiece": op6_sentencepiece,
         "op7_quality_rules": op7_quality_rules,
         "op9_simhash": op9_simhash,
+        "op10_secret_scan": op10_secret_scan,
     }
 
 
