@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, media, mix, quality, secrets, sentencepieces, simhash
+from . import line_dedup, media, mix, quality, repeats, secrets, sentencepieces, simhash
 from .common import table
 
 
@@ -33,6 +33,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -49,6 +53,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_media_columns": op4_media_columns,
         "op6_sentencepiece": op6_sentencepiece,
         "op7_quality_rules": op7_quality_rules,
+        "op8_suffix_dedup": op8_suffix_dedup,
         "op9_simhash": op9_simhash,
         "op10_secret_scan": op10_secret_scan,
     }
