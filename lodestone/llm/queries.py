@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, media, mix, quality, repeats, secrets, sentencepieces, simhash
+from . import html_text, line_dedup, media, mix, quality, repeats, secrets, sentencepieces, simhash
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "n_lines", "n_dropped", F.md5("text").alias("kept_md5"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.from_media(media.to_media(table(spark, sf_dir, "documents")))
 
@@ -50,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
         "op2_line_dedup": op2_line_dedup,
+        "op3_html_extraction": op3_html_extraction,
         "op4_media_columns": op4_media_columns,
         "op6_sentencepiece": op6_sentencepiece,
         "op7_quality_rules": op7_quality_rules,
