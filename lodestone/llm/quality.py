@@ -135,26 +135,41 @@ def log_ratios(counts: DataFrame) -> np.ndarray:
 SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, llr double, kept boolean"
 
 
+def verdicts(texts: list[bytes], ratios: np.ndarray, vocabulary: Vocabulary, threshold: float) -> dict[str, np.ndarray | list]:
+    """The columns of SCHEMA for a batch of texts."""
+    numbers, counts = numbered(texts, vocabulary)
+    bucket, doc = buckets_of(numbers, counts, vocabulary)
+    n = np.bincount(doc, minlength=len(texts))
+    llr = np.round(np.bincount(doc, weights=ratios[bucket], minlength=len(texts)) / np.maximum(n, 1), 9)
+    repeats = repeated_words(numbers, counts)
+    failed = (counts < 50) | (100 * repeats > 50 * counts)
+    base = [base_counts(t) for t in texts]
+    return {
+        "n_words": counts, "word_chars": [b[0] for b in base], "n_symbols": [b[1] for b in base], "n_dup_lines": [b[2] for b in base],
+        "n_repeat_words": repeats, "base_failed": failed, "llr": llr, "kept": ~failed & (llr >= threshold),
+    }
+
+
 def judged(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     vocabulary = Vocabulary()
 
     def each(batch: pa.RecordBatch) -> dict:
-        texts = byte_texts(batch.column(1))
-        numbers, counts = numbered(texts, vocabulary)
-        bucket, doc = buckets_of(numbers, counts, vocabulary)
-        n = np.bincount(doc, minlength=len(texts))
-        llr = np.round(np.bincount(doc, weights=ratios[bucket], minlength=len(texts)) / np.maximum(n, 1), 9)
-        repeats = repeated_words(numbers, counts)
-        failed = (counts < 50) | (100 * repeats > 50 * counts)
-        base = [base_counts(t) for t in texts]
-        return {
-            "doc_id": batch.column(0), "n_words": counts, "word_chars": [b[0] for b in base], "n_symbols": [b[1] for b in base], "n_dup_lines": [b[2] for b in base],
-            "n_repeat_words": repeats, "base_failed": failed, "llr": llr, "kept": ~failed & (llr >= threshold),
-        }
+        return {"doc_id": batch.column(0)} | verdicts(byte_texts(batch.column(1)), ratios, vocabulary, threshold)
 
     return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")), f"doc_id {dict(docs.dtypes)[id_col]}, {SCHEMA}", each)
 
 
+def passing(docs: DataFrame, ratios: np.ndarray, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, that are kept; no join is needed to drop the others."""
+    at, vocabulary = docs.columns.index(text_col), Vocabulary()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b for whole in batches for b in sliced(whole)):
+            yield batch.filter(pa.array(verdicts(byte_texts(batch.column(at)), ratios, vocabulary, threshold)["kept"]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def trust(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", broadcast_ids: int = 5_000_000) -> DataFrame:
     """``docs`` with _trusted: labelled as of good quality, and not as toxic."""
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").alias("_good")).where("_good is not null").distinct().withColumn("_trusted", F.lit(True))
@@ -165,3 +180,9 @@ def quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_
     """A row a document: the base counts, base_failed, the score llr, and kept."""
     ratios = log_ratios(ngram_counts(trust(docs.select(id_col, text_col), labels, id_col), text_col))
     return judged(docs, ratios, id_col, text_col, threshold)
+
+
+def keep(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the documents that the rules reject."""
+    ratios = log_ratios(ngram_counts(trust(docs.select(id_col, text_col), labels, id_col), text_col))
+    return passing(docs, ratios, text_col, threshold)

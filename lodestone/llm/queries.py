@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, line_dedup, media, mix, quality, repeats, secrets, sentencepieces, simhash
+from . import html_text, line_dedup, media, mix, quality, repeats, secrets, sentencepieces, simhash, weak_labels
 from .common import table
 
 
@@ -29,6 +29,10 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.from_media(media.to_media(table(spark, sf_dir, "documents")))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_labels.classify(table(spark, sf_dir, "documents"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.tokenize(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_line_dedup": op2_line_dedup,
         "op3_html_extraction": op3_html_extraction,
         "op4_media_columns": op4_media_columns,
+        "op5_quality_classifier": op5_quality_classifier,
         "op6_sentencepiece": op6_sentencepiece,
         "op7_quality_rules": op7_quality_rules,
         "op8_suffix_dedup": op8_suffix_dedup,
