@@ -8,8 +8,10 @@ One suffix array of 100 TB can't be built, so the corpus is cut into shards such
 3. Contexts that are equal as a whole repeat all their windows. Contexts that share an anchor and differ go to the shard
    of the anchor, one copy of each: a suffix array by induced sorting and permuted common prefixes over the shard find
    the windows that repeat. Windows of different anchors can't be equal, so shards may hold many anchors.
-4. An anchor with more than ``hot`` different contexts is dealt out by the 128-bit hash of the whole window instead, which
-   is exact as well and needs no task to hold the anchor's contexts.
+4. An anchor with more than ``hot`` different contexts is dealt out further: its contexts are cut to parts of 21 windows,
+   and parts meet by the 128-bit hash of the bytes that all windows of a part cover, so that again equal windows meet.
+   Parts that many different ones meet even so (their ends differ, as where a common passage stops) are dealt out by the
+   hash of each whole window, which is exact as well and needs no task to hold them.
 
 Every step moves a few dozen bytes for each anchor (about one in 85 bytes), not texts, except for the final pass.
 
@@ -38,6 +40,7 @@ HOT = 2_000
 SHARD_BYTES = 1 << 20
 _WINDOW = SPAN - GRAM + 1
 _PIECE = 1 << 22
+_SHAPE = _WINDOW + 1  # a context's windows, and its anchor's place, are under this: both go into one short
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -68,7 +71,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def contexts(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(row, first window, last window, anchor, context hash) of every context of the texts; windows are their start bytes."""
+    """(row, first window, last window, place of the anchor, anchor, context hash) of every context of the texts; windows are their start bytes."""
     out = []
     run, base, rows, size = [], [], [], 0
 
@@ -88,7 +91,7 @@ def contexts(texts: list[bytes]) -> tuple[np.ndarray, ...]:
             size += len(piece)
     flush()
     if not out:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.int64))
+        return tuple(np.zeros(0, t) for t in (np.int64,) * 6)
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -127,17 +130,17 @@ def _contexts(data: bytes, lengths: np.ndarray, base: np.ndarray, rows: np.ndarr
     shape = ((at - first) * 4096 + (last - first)).astype(np.uint64)
     context = _mixed(content ^ (shape * np.uint64(0xC2B2AE3D27D4EB4F)))
     p = piece[first]
-    return rows[p], first - starts[p] + base[p], last - starts[p] + base[p], gram[at].view(np.int64), context.view(np.int64)
+    return rows[p], first - starts[p] + base[p], last - starts[p] + base[p], at - first, gram[at].view(np.int64), context.view(np.int64)
 
 
 def _context_rows(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b for whole in batches for b in sliced(whole)):
-            row, first, last, anchor, context = contexts(byte_texts(batch.column(1)))
+            row, first, last, place, anchor, context = contexts(byte_texts(batch.column(1)))
             rids = batch.column(0).to_numpy()[row]
-            yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(first.astype(np.int32)), pa.array((last - first).astype(np.int16)), pa.array(anchor), pa.array(context)], names=["rid", "first", "more", "anchor", "context"])
+            yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(first.astype(np.int32)), pa.array((place * _SHAPE + last - first).astype(np.int16)), pa.array(anchor), pa.array(context)], names=["rid", "first", "shape", "anchor", "context"])
 
-    return docs.select("rid", "_text").mapInArrow(run, "rid long, first int, more short, anchor long, context long")
+    return docs.select("rid", "_text").mapInArrow(run, "rid long, first int, shape short, anchor long, context long")
 
 
 def repeated_windows(segments: list[bytes]) -> list[np.ndarray]:
@@ -194,25 +197,52 @@ def _sharded(segments: DataFrame) -> DataFrame:
 
 
 def _cut_segments(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Fetch the bytes of the wanted contexts: rows (anchor, hot, rid, first, segment)."""
-    lists = wanted.groupBy("rid").agg(F.collect_list(F.struct("anchor", "hot", "first", "more")).alias("_wanted"))
-    rows = docs.select("rid", "_text").join(broadcast_if(stored(lists, "wanted"), 100_000), "rid")
+    """Fetch the bytes of the wanted contexts: rows (anchor, hot, rid, first, place, segment)."""
+    lists = wanted.groupBy("rid").agg(F.collect_list(F.struct("anchor", "hot", "first", "shape")).alias("_wanted"))
+    rows = docs.select("rid", "_text").join(lists, "rid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b for whole in batches for b in sliced(whole)):
-            out = [[], [], [], [], []]
+            out = [[], [], [], [], [], []]
             for rid, text, wanted in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 for w in wanted:
-                    first = w["first"]
-                    for column, value in zip(out, (w["anchor"], w["hot"], rid, first, text[first : first + w["more"] + SPAN]), strict=True):
+                    first, (place, more) = w["first"], divmod(w["shape"], _SHAPE)
+                    for column, value in zip(out, (w["anchor"], w["hot"], rid, first, place, text[first : first + more + SPAN]), strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["anchor", "hot", "rid", "first", "place", "segment"])
+
+    return rows.select("rid", "_text", "_wanted").mapInArrow(run, "anchor long, hot boolean, rid long, first int, place int, segment binary")
+
+
+PART = 21
+
+
+def _parts(segments: DataFrame) -> DataFrame:
+    """Rows (key, content, rid, first, segment): the segments' windows in parts of PART, on a grid fixed by the anchor.
+
+    ``segments`` has the place of the anchor in the segment; the key is a hash of the bytes common to a part's windows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = lambda b: hashlib.blake2b(b, digest_size=16).digest()
+        for batch in batches:
+            out = [[], [], [], [], []]
+            for anchor, rid, first, place, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                windows = len(text) - SPAN + 1
+                for k in range((place - windows + 1) // PART, place // PART + 1):
+                    low = place - PART * k  # the last window of the cell; all of them cover [low, low + SPAN - PART + 1)
+                    a, b = max(0, low - PART + 1), min(windows - 1, low)
+                    key = digest(b"%d,%d," % (anchor, k) + text[low : low + SPAN - PART + 1])
+                    part = text[a : b + SPAN]
+                    for column, value in zip(out, (key, digest(part), rid, first + a, part), strict=True):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["anchor", "hot", "rid", "first", "segment"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["key", "content", "rid", "first", "segment"])
 
-    return rows.select("rid", "_text", "_wanted").mapInArrow(run, "anchor long, hot boolean, rid long, first int, segment binary")
+    return segments.select("anchor", "rid", "first", "place", "segment").mapInArrow(run, "key binary, content binary, rid long, first int, segment binary")
 
 
-def _window_rows(segments: DataFrame) -> DataFrame:
-    """Rows (digest, rid, first) of every window of the segments of hot anchors."""
+def _window_rows(parts: DataFrame) -> DataFrame:
+    """Rows (digest, rid, first) of every window of the parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,29 +254,41 @@ def _window_rows(segments: DataFrame) -> DataFrame:
                     firsts.append(first + k)
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(rids, pa.int64()), pa.array(firsts, pa.int32())], names=["digest", "rid", "first"])
 
-    return segments.mapInArrow(run, "digest binary, rid long, first int")
+    return parts.mapInArrow(run, "digest binary, rid long, first int")
 
 
 def repeated_ranges(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """Rows (rid, first, last): windows (start bytes, inclusive) of the texts (rid, _text), no two equal, that repeat."""
-    spark = docs.sparkSession
+    parts = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    more = (F.col("shape") % _SHAPE).cast("int")
     rows = stored(_context_rows(docs), "contexts")
     met = rows.groupBy("anchor").agg(F.min("context").alias("_a"), F.max("context").alias("_b"), F.count("*").alias("_n")).where("_n > 1").select("anchor", (F.col("_a") != F.col("_b")).alias("mixed"))
-    met = broadcast_if(stored(met, "anchors"), 1_000_000)
     shared = stored(rows.join(met, "anchor"), "shared")
-    kinds = shared.groupBy("anchor", "context", "mixed").agg(F.count("*").alias("n"), F.min_by(F.struct("rid", "first", "more"), F.struct("rid", "first")).alias("one"))
+    kinds = shared.groupBy("anchor", "context", "mixed").agg(F.count("*").alias("n"), F.min(F.struct("rid", "first", "shape")).alias("one"))
     kinds = stored(kinds, "kinds")
-    whole = shared.join(kinds.where("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi").select("rid", "first", (F.col("first") + F.col("more")).cast("int").alias("last"))
+    whole = shared.join(kinds.where("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi").select("rid", "first", (F.col("first") + more).alias("last"))
     # Anchors with a context that occurs once beside another one: these need the comparison.
-    open_ = kinds.where("mixed").groupBy("anchor").agg(F.min("n").alias("_least"), F.count("*").alias("_k")).where("_least = 1").select("anchor", (F.col("_k") > hot).alias("hot"))
-    wanted = kinds.where("mixed").join(open_, "anchor").select("anchor", "hot", "one.*")
+    unsettled = kinds.where("mixed").groupBy("anchor").agg(F.min("n").alias("_least"), F.count("*").alias("_k")).where("_least = 1").select("anchor", (F.col("_k") > hot).alias("hot"))
+    wanted = kinds.where("mixed").join(unsettled, "anchor").select("anchor", "hot", "one.*")
     segments = stored(_cut_segments(docs, wanted), "segments")
-    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sorted_ = segments.where("not hot").select("anchor", "rid", "first", "segment").repartition(parts, "anchor").sortWithinPartitions("anchor")
-    windows = _window_rows(segments.where("hot").select("rid", "first", "segment"))
+    cold = segments.where("not hot").select("anchor", "rid", "first", "segment").repartition(parts, "anchor").sortWithinPartitions("anchor")
+    out = whole.unionByName(_sharded(cold))
+    hot_ones = segments.where("hot")
+    return out if hot_ones.isEmpty() else out.unionByName(_dealt_out(hot_ones, hot, parts))
+
+
+def _dealt_out(segments: DataFrame, hot: int, parts: int) -> DataFrame:
+    """The repeated windows of hot anchors' contexts, by parts and then by windows."""
+    pieces = stored(_parts(segments), "parts")
+    kinds = stored(pieces.groupBy("key", "content").agg(F.count("*").alias("n"), F.min(F.struct("rid", "first", "segment")).alias("one")), "part-kinds")
+    whole = pieces.join(kinds.where("n > 1").select("key", "content"), ["key", "content"], "left_semi").select("rid", "first", (F.col("first") + F.length("segment") - SPAN).cast("int").alias("last"))
+    unsettled = kinds.groupBy("key").agg(F.min("n").alias("_least"), F.count("*").alias("_k")).where("_least = 1 and _k > 1").select("key", (F.col("_k") > hot).alias("hot"))
+    left = stored(kinds.join(unsettled, "key").select("key", "hot", "one.*"), "part-left")
+    cold = left.where("not hot").select("key", "rid", "first", "segment").repartition(parts, "key").sortWithinPartitions("key")
+    windows = _window_rows(left.where("hot").select("rid", "first", "segment"))
     twice = windows.groupBy("digest").agg(F.count("*").alias("_n")).where("_n > 1").select("digest")
-    hot_ones = windows.join(twice, "digest", "left_semi").select("rid", "first", F.col("first").alias("last"))
-    return whole.unionByName(_sharded(sorted_)).unionByName(hot_ones)
+    same = windows.join(twice, "digest", "left_semi").select("rid", "first", F.col("first").alias("last"))
+    return whole.unionByName(_sharded(cold)).unionByName(same)
 
 
 def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -266,7 +308,6 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ho
     copies = broadcast_if(copies, 1_000_000)
     texts = rows.join(copies.where("not _first").select("rid"), "rid", "left_anti")
     ranges = repeated_ranges(texts, hot).groupBy("rid").agg(F.collect_list(F.struct("first", "last")).alias("_ranges"))
-    ranges = broadcast_if(stored(ranges, "ranges"), 50_000)
     marked = rows.join(copies.select("rid", F.lit(True).alias("_copied")).distinct(), "rid", "left").join(ranges, "rid", "left")
     schema = f"doc_id {dict(docs.dtypes)[id_col]}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, spans array<struct<start:int,end:int>>" * keep_text
 
