@@ -154,8 +154,11 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sa
     """The scorer's weights, and the posterior of each pattern of votes."""
     counts = {r["votes"]: r["n"] for r in voted(docs, id_col, text_col).groupBy("votes").agg(F.count("*").alias("n")).collect()}
     posterior, _, _ = expectation_maximisation(counts)
-    chosen = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), md5_long(F.col(id_col)).alias("_h")).where("_text is not null").orderBy("_h", "_id", F.md5("_text")).limit(sample)
-    texts = [(r["_text"] or "").encode() for r in chosen.select("_text").collect()]
+    hashed = docs.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("_text"), md5_long(F.col(id_col), F.xxhash64(text_col)).alias("_h"))
+    # The sample's greatest hash first: numbers are ordered, and only the chosen texts come to the driver.
+    cut = hashed.select("_h").orderBy("_h").limit(sample).agg(F.max("_h")).first()[0]
+    chosen = hashed.where(F.col("_h") <= F.lit(-1 if cut is None else cut)).select("_text").limit(2 * sample)
+    texts = [r["_text"].encode() for r in chosen.collect()]
     votes = votes_of(texts, Vocabulary()) if texts else []
     return fit(texts, np.array([posterior.get(v, 0.5) for v in votes])), posterior
 
