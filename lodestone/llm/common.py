@@ -82,6 +82,18 @@ def sliced(batch: pa.RecordBatch, size: int = 1 << 20) -> Iterator[pa.RecordBatc
         yield batch.slice(a, b - a)
 
 
+BATCH_ROWS = 1_000
+
+
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: Any) -> DataFrame:
+    """mapInArrow for rows of whole texts: batches of BATCH_ROWS rows unless the session says otherwise, as the default of
+    10,000 holds tens of megabytes a task on either side of the pipe."""
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def map_arrow(df: DataFrame, schema: str, each: Callable[[pa.RecordBatch], dict[str, Any]]) -> DataFrame:
     """Apply ``each`` to Arrow batches; it returns the columns of ``schema`` as lists or arrays."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -96,7 +108,7 @@ def map_arrow(df: DataFrame, schema: str, each: Callable[[pa.RecordBatch], dict[
                 got = each(batch)
                 yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) if not isinstance(got[f.name], pa.Array) else got[f.name].cast(f.type) for f in out], schema=out)
 
-    return df.mapInArrow(run, spark_schema)
+    return in_arrow(df, run, spark_schema)
 
 
 def bounded(df: DataFrame, rows: int) -> bool:

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_arrow
+
 BOILER, BODY, ARTICLE = 0, 1, 2
 
 # Elements, roles and name parts that mark what isn't the article.
@@ -262,4 +264,4 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
         ids, urls, texts = zip(*found, strict=True) if found else ((), (), ())
         return pa.RecordBatch.from_arrays([pa.array(ids, kind or pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return rows.select("page_id", "url", "_html", "_host").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return in_arrow(rows.select("page_id", "url", "_html", "_host"), run, "page_id long, url string, text string, n_chars long")

@@ -20,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if, byte_texts, map_arrow, sliced
+from .common import broadcast_if, byte_texts, in_arrow, map_arrow, sliced
 
 BUCKETS = 1 << 14
 THRESHOLD = -0.22
 SYMBOLS = b"#*$%&|<>"
 _SPACE = bytes(range(9, 14)) + b" "
-_CACHE_WORDS = 200_000
+_CACHE_WORDS = 100_000
 
 
 class Vocabulary:
@@ -117,7 +117,7 @@ def ngram_counts(docs: DataFrame, text_col: str = "text", trusted_col: str = "_t
         at = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(raw[at]), pa.array(target[at])], names=["bucket", "raw", "target"])
 
-    parts = docs.select(text_col, F.coalesce(F.col(trusted_col), F.lit(False)).alias("_t")).mapInArrow(run, "bucket int, raw long, target long")
+    parts = in_arrow(docs.select(text_col, F.coalesce(F.col(trusted_col), F.lit(False)).alias("_t")), run, "bucket int, raw long, target long")
     return parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
@@ -167,7 +167,7 @@ def passing(docs: DataFrame, ratios: np.ndarray, text_col: str = "text", thresho
         for batch in (b for whole in batches for b in sliced(whole)):
             yield batch.filter(pa.array(verdicts(byte_texts(batch.column(at)), ratios, vocabulary, threshold)["kept"]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_arrow(docs, run, docs.schema)
 
 
 def trust(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", broadcast_ids: int = 5_000_000) -> DataFrame:

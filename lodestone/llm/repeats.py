@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if, byte_texts, map_arrow, sliced, stored
+from .common import broadcast_if, byte_texts, in_arrow, map_arrow, sliced, stored
 from .suffixes import permuted_lcp, suffix_array
 
 SPAN, GRAM = 200, 32
@@ -140,7 +140,7 @@ def _context_rows(docs: DataFrame) -> DataFrame:
             rids = batch.column(0).to_numpy()[row]
             yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(first.astype(np.int32)), pa.array((place * _SHAPE + last - first).astype(np.int16)), pa.array(anchor), pa.array(context)], names=["rid", "first", "shape", "anchor", "context"])
 
-    return docs.select("rid", "_text").mapInArrow(run, "rid long, first int, shape short, anchor long, context long")
+    return in_arrow(docs.select("rid", "_text"), run, "rid long, first int, shape short, anchor long, context long")
 
 
 def repeated_windows(segments: list[bytes]) -> list[np.ndarray]:
@@ -193,7 +193,7 @@ def _sharded(segments: DataFrame) -> DataFrame:
         if texts:
             yield solve(rids, firsts, texts)
 
-    return segments.mapInArrow(run, "rid long, first int, last int")
+    return in_arrow(segments, run, "rid long, first int, last int")
 
 
 def _cut_segments(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -211,7 +211,7 @@ def _cut_segments(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["anchor", "hot", "rid", "first", "place", "segment"])
 
-    return rows.select("rid", "_text", "_wanted").mapInArrow(run, "anchor long, hot boolean, rid long, first int, place int, segment binary")
+    return in_arrow(rows.select("rid", "_text", "_wanted"), run, "anchor long, hot boolean, rid long, first int, place int, segment binary")
 
 
 PART = 21
@@ -238,7 +238,7 @@ def _parts(segments: DataFrame) -> DataFrame:
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["key", "content", "rid", "first", "segment"])
 
-    return segments.select("anchor", "rid", "first", "place", "segment").mapInArrow(run, "key binary, content binary, rid long, first int, segment binary")
+    return in_arrow(segments.select("anchor", "rid", "first", "place", "segment"), run, "key binary, content binary, rid long, first int, segment binary")
 
 
 def _window_rows(parts: DataFrame) -> DataFrame:
@@ -254,7 +254,7 @@ def _window_rows(parts: DataFrame) -> DataFrame:
                     firsts.append(first + k)
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(rids, pa.int64()), pa.array(firsts, pa.int32())], names=["digest", "rid", "first"])
 
-    return parts.mapInArrow(run, "digest binary, rid long, first int")
+    return in_arrow(parts, run, "digest binary, rid long, first int")
 
 
 def repeated_ranges(docs: DataFrame, hot: int = HOT) -> DataFrame:

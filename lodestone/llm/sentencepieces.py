@@ -120,7 +120,7 @@ class Backend:
     ids are remembered up to ``remember`` cuts. With ``verify``, every cut is also encoded by SentencePiece when first met.
     """
 
-    def __init__(self, model: bytes, verify: bool = True, remember: int = 400_000) -> None:
+    def __init__(self, model: bytes, verify: bool = True, remember: int = 200_000) -> None:
         from tokenizers import Tokenizer, decoders, normalizers
 
         self.spec = parse_model(model)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, byte_texts, map_arrow, stored
+from .common import bounded, byte_texts, in_arrow, map_arrow, stored
 from .components import components
 
 SEED, SHINGLE, MAX_BITS = 42, 3, 2
@@ -97,7 +97,7 @@ def links(prints: DataFrame) -> DataFrame:
                 v += fps[first[moved]].tolist()
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    return met.mapInArrow(run, "u long, v long")
+    return in_arrow(met, run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
