@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import tokens
+from .values import let
 
 # Fixed values of the weighting: corpus sizes, and frequencies where no dictionary has a term.
 FREQ_CORPUS, DF_CORPUS = 10_000_000, 1_000_000_000
@@ -28,33 +29,43 @@ def raw_weight(t: Column) -> Column:
 
 def weights(terms: Column) -> Column:
     """Array of (term, weight), weights summing to one."""
-    raw = F.transform(terms, lambda t: F.struct(t.alias("term"), raw_weight(t).alias("w")))
-    total = F.aggregate(raw, F.lit(0.0), lambda a, x: a + x["w"])
-    return F.transform(raw, lambda x: F.struct(x["term"].alias("term"), (x["w"] / total).alias("w")))
+
+    def scaled(raw: Column) -> Column:
+        total = F.aggregate(raw, F.lit(0.0), lambda a, x: a + x["w"])
+        return let(total, lambda t: F.transform(raw, lambda x: F.struct(x["term"].alias("term"), (x["w"] / t).alias("w"))))
+
+    return let(F.transform(terms, lambda t: F.struct(t.alias("term"), raw_weight(t).alias("w"))), scaled)
 
 
 def bag(terms: Column) -> Column:
     """Array of (term, weight) of single terms (0.4 w) and neighbours glued together (0.6 of the larger w)."""
-    w = weights(terms)
-    ones = F.transform(w, lambda x: F.struct(x["term"].alias("term"), (x["w"] * 0.4).alias("w")))
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.size(w) - 1),
-        lambda i: F.struct(
-            F.concat(F.element_at(w, i)["term"], F.element_at(w, i + 1)["term"]).alias("term"),
-            (F.greatest(F.element_at(w, i)["w"], F.element_at(w, i + 1)["w"]) * 0.6).alias("w"),
-        ),
-    )
-    return F.when(F.size(w) > 1, F.concat(ones, pairs)).otherwise(ones)
+
+    def build(w: Column) -> Column:
+        ones = F.transform(w, lambda x: F.struct(x["term"].alias("term"), (x["w"] * 0.4).alias("w")))
+        pairs = F.zip_with(F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w) - 1), lambda x, y: F.struct(F.concat(x["term"], y["term"]).alias("term"), (F.greatest(x["w"], y["w"]) * 0.6).alias("w")))
+        return F.when(F.size(w) > 1, F.concat(ones, pairs)).otherwise(ones)
+
+    return let(weights(terms), build)
+
+
+def bag_terms(terms: Column) -> Column:
+    """The terms of a bag: single ones, and neighbours glued together."""
+    pairs = lambda t: F.zip_with(F.slice(t, F.lit(1), F.size(t) - 1), F.slice(t, F.lit(2), F.size(t) - 1), lambda x, y: F.concat(x, y))
+    return let(terms, lambda t: F.when(F.size(t) > 1, F.array_distinct(F.concat(t, pairs(t)))).otherwise(t))
 
 
 def similarity(query: Column, doc_terms: Column) -> Column:
     """Share of the query bag's weight whose terms are among the document's; asymmetric."""
-    hit = F.aggregate(F.filter(query, lambda x: F.array_contains(doc_terms, x["term"])), F.lit(1e-9), lambda a, x: a + x["w"])
-    return hit / F.aggregate(query, F.lit(1e-9), lambda a, x: a + x["w"])
+
+    def share(q: Column, known: Column) -> Column:
+        hit = F.aggregate(F.filter(q, lambda x: F.array_contains(known, x["term"])), F.lit(1e-9), lambda a, x: a + x["w"])
+        return hit / F.aggregate(q, F.lit(1e-9), lambda a, x: a + x["w"])
+
+    return let(query, lambda q: let(doc_terms, lambda known: share(q, known)))
 
 
 def token_similarity(query_text: Column, doc_text: Column) -> Column:
-    return similarity(bag(tokens(query_text)), F.transform(bag(tokens(doc_text)), lambda x: x["term"]))
+    return similarity(bag(tokens(query_text)), bag_terms(tokens(doc_text)))
 
 
 def pretoken(c: Column, stop_words: list[str] | None = None, keep_digits: bool = False) -> Column:

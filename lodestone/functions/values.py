@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once a row; inside a lambda a plain Column would be computed for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 # --- numbers ---
 
 
@@ -175,7 +180,7 @@ def tag_cosine(query: dict[str, float], doc: Column) -> Column:
     length = sum(v * v for v in q.values()) ** 0.5
     if not length:
         return F.lit(0.0)
-    hit = F.lit(0.0)
+    hit: Column = F.lit(0.0)
     for k, v in sorted(q.items()):
         hit = hit + F.coalesce(F.try_element_at(doc, F.lit(k)), F.lit(0.0)) * F.lit(v)
     own = F.sqrt(F.aggregate(F.map_values(doc), F.lit(0.0), lambda s, x: s + x * x))

@@ -62,12 +62,17 @@ def bm25_fields(chunks: DataFrame, id_col: str, fields: dict[str, Column], query
 
 def phrase(text: Column, words: list[str], slop: int = 0) -> Column:
     """Whether the words occur in order, each within ``slop`` further places of the one before."""
-    places = lambda w: F.filter(F.transform(X.tokens(text), lambda x, i: F.when(x == w, i)), lambda i: i.isNotNull())
+    def ends(t: Column) -> Column:
+        out = F.filter(F.transform(t, lambda x, i: F.when(x == words[0], i)), lambda i: i.isNotNull())
+        for w in words[1:]:
+            out = following(t, out, w)
+        return F.size(out) > 0
 
-    def following(ends: Column, word: str) -> Column:
-        return F.filter(places(word), lambda i: F.exists(ends, lambda e: (i > e) & (i <= e + 1 + slop)))
+    def following(t: Column, before: Column, word: str) -> Column:
+        places = F.filter(F.transform(t, lambda x, i: F.when(x == word, i)), lambda i: i.isNotNull())
+        return V.let(before, lambda b: F.filter(places, lambda i: F.exists(b, lambda e: (i > e) & (i <= e + 1 + slop))))
 
-    return F.size(reduce(following, words[1:], places(words[0]))) > 0
+    return V.let(X.tokens(text), ends)
 
 
 def question_query(df: DataFrame, text: str, synonyms: dict[str, list[str]] | None = None) -> DataFrame:
@@ -75,7 +80,8 @@ def question_query(df: DataFrame, text: str, synonyms: dict[str, list[str]] | No
     terms = T.weights(X.tokens(X.query_text(F.col(text))))
     rows = df.select(F.col(text).alias("question"), F.slice(terms, 1, 256).alias("_w"))
     one = rows.select("question", F.posexplode("_w").alias("pos", "t")).select("question", "pos", F.lit("term").alias("kind"), F.col("t.term").alias("term"), F.col("t.w").alias("weight"))
-    pair = F.transform(F.sequence(F.lit(1), F.size("_w") - 1), lambda i: F.struct(F.concat_ws(" ", F.element_at("_w", i)["term"], F.element_at("_w", i + 1)["term"]).alias("term"), (2 * F.greatest(F.element_at("_w", i)["w"], F.element_at("_w", i + 1)["w"])).alias("w")))
+    ahead, behind = F.slice("_w", F.lit(1), F.size("_w") - 1), F.slice("_w", F.lit(2), F.size("_w") - 1)
+    pair = F.zip_with(ahead, behind, lambda x, y: F.struct(F.concat_ws(" ", x["term"], y["term"]).alias("term"), (2 * F.greatest(x["w"], y["w"])).alias("w")))
     two = rows.where(F.size("_w") > 1).select("question", F.posexplode(pair).alias("pos", "t")).select("question", "pos", F.lit("phrase").alias("kind"), F.col("t.term").alias("term"), F.col("t.w").alias("weight"))
     out = one.unionByName(two)
     if synonyms:

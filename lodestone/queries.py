@@ -606,7 +606,7 @@ def _hybrid(spark, d) -> DataFrame:
 
 @query(
     f"""{_BM}, v AS (SELECT d.doc_id, list_cosine_similarity(e.embedding::DOUBLE[], (SELECT q::DOUBLE[] FROM {_VEC})) AS c, {tok('d.text')} AS a FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id % (SELECT count(*) FROM embeddings)),
-    h AS (SELECT v.doc_id, c, a, 0.05 * g.score + 0.95 * c AS fs FROM v JOIN (SELECT doc_id, {' + '.join(f'ln(1 + (nd - d{k} + 0.5) / (d{k} + 0.5)) * t{k} * 2.2 / (t{k} + 1.2 * (0.25 + 0.75 * n / av))' for k in (1, 0, 2))} AS score FROM f, s WHERE t0 + t1 + t2 > 0) g ON v.doc_id = g.doc_id WHERE c >= -0.05 ORDER BY fs DESC, v.doc_id LIMIT 50),
+    h AS (SELECT v.doc_id, c, a, 0.05 * g.score + 0.95 * c AS fs FROM v JOIN (SELECT doc_id, {' + '.join(f'ln(1 + (nd - d{k} + 0.5) / (d{k} + 0.5)) * t{k} * 2.2 / (t{k} + 1.2 * (0.25 + 0.75 * n / av))' for k in (1, 2))} AS score FROM f, s WHERE t1 + t2 > 0) g ON v.doc_id = g.doc_id WHERE c >= -0.05 ORDER BY fs DESC, v.doc_id LIMIT 50),
     tk AS (SELECT unnest(['that', 'the', 'license']) AS x, unnest([0, 1, 2]) AS pos), w AS (SELECT x, pos, raw / sum(raw) OVER () AS w, lead(x) OVER (ORDER BY pos) AS nx, lead(raw) OVER (ORDER BY pos) / sum(raw) OVER () AS nw FROM {_RAW}),
     q AS (SELECT x AS term, 0.4 * w AS w FROM w UNION ALL SELECT x || nx, 0.6 * greatest(w, nw) FROM w WHERE nx IS NOT NULL),
     z AS (SELECT doc_id, c, (1e-9 + coalesce((SELECT sum(w) FROM q WHERE list_contains(list_concat(a, list_transform(range(1, len(a)), lambda i: a[i] || a[i + 1])), q.term)), 0)) / (1e-9 + (SELECT sum(w) FROM q)) AS ts FROM h)
