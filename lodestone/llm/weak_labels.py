@@ -121,6 +121,8 @@ def expectation_maximisation(counts: dict[str, int], rounds: int = 100) -> tuple
 
 def fit(texts: list[bytes], posterior: np.ndarray, rounds: int = 60, rate: float = 2.0, decay: float = 1e-4) -> np.ndarray:
     """Weights (BUCKETS + 1, the last the bias) of a logistic scorer of hashed n-gram shares, fitted to soft labels."""
+    if not texts:
+        return np.zeros(BUCKETS + 1)
     vocabulary = Vocabulary()
     bucket, doc = buckets_of(*numbered(texts, vocabulary), vocabulary)
     n = len(texts)
