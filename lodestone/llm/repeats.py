@@ -37,9 +37,9 @@ from .suffixes import permuted_lcp, suffix_array
 
 SPAN, GRAM = 200, 32
 HOT = 2_000
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 18
 _WINDOW = SPAN - GRAM + 1
-_PIECE = 1 << 22
+_PIECE = 1 << 20
 _SHAPE = _WINDOW + 1  # a context's windows, and its anchor's place, are under this: both go into one short
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
