@@ -74,7 +74,7 @@ def escaped(c: Column) -> Column:
 def query_text(c: Column) -> Column:
     """A question made ready for the query builder."""
     clean = F.trim(F.regexp_replace(half_width(F.lower(spaced_scripts(c))), QUERY_SPECIALS, " "))
-    return without_question_words(clean)
+    return F.trim(without_question_words(without_question_words(clean)))  # twice, as each pass eats the blank that the next word needs
 
 
 def no_redundant_spaces(c: Column) -> Column:
