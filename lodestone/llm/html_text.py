@@ -39,6 +39,8 @@ DROPPED_NAMES = {
     "comment", "comments", "commentlist", "disqus", "respond", "reply", "replies", "cookie", "cookies", "consent", "gdpr", "notice", "popup", "modal",
     "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "search", "pagination", "pager", "alert", "toolbar", "skip",
 }
+#: Of those, the ones that an article inside never belongs to; the others may name the layout of a wrapper around it.
+NEVER_AROUND = {"comment", "comments", "commentlist", "disqus", "respond", "reply", "replies", "related", "recommended", "ad", "ads", "adv", "advert", "adverts", "advertisement", "sponsor", "sponsored", "promo", "promotion"}
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "br", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset",
     "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html", "legend", "li", "main", "menu", "nav",
@@ -63,8 +65,10 @@ class _Parser:
     def __init__(self, page: str) -> None:
         self.lines: list[Line] = []
         self.marked = False
-        self._open: list[tuple[str, int]] = []  # (element, zone ahead of it) of the elements that change the zone
-        self._depth: dict[str, int] = {}
+        # (element, zone ahead of it, whether it may be a wrapper) of the elements that change the zone, and the
+        # elements open inside each of them.
+        self._open: list[tuple[str, int, bool]] = []
+        self._depths: list[dict[str, int]] = []
         self._zone, self._parts, self._linked, self._in_link = BODY, [], 0, 0
         self._parse(page)
 
@@ -106,20 +110,23 @@ class _Parser:
             self.lines.append(Line(text, self._zone, min(1.0, self._linked / len(text))))
         self._parts, self._linked = [], 0
 
-    def _drops(self, tag: str, attributes: str) -> bool:
+    def _drops(self, tag: str, attributes: str) -> tuple[bool, bool]:
+        """Whether an element is dropped, and whether only by a name that a wrapper of the article may have as well."""
         if tag in DROPPED or (tag == "header" and self._zone != ARTICLE):
-            return True
+            return True, False
         if "=" not in attributes and "hidden" not in attributes:
-            return False
+            return False, False
+        names: set[str] = set()
         for name, *values in _ATTRIBUTE.findall(attributes):
             value, name = "".join(values).lower(), name.lower()
             if (name == "hidden" and value != "until-found") or (name == "role" and value in DROPPED_ROLES) or (name == "aria-hidden" and value == "true") or (name == "style" and _HIDDEN.search(value)):
-                return True
+                return True, False
             if name in ("class", "id") and tag not in ("html", "body"):
                 parts = set(_NAME_PARTS.findall(value))
-                if parts & DROPPED_NAMES or ("header" in parts and self._zone != ARTICLE and tag not in ("article", "main")):
-                    return True
-        return False
+                names |= parts & (NEVER_AROUND if tag in ("article", "main") else DROPPED_NAMES)
+                if "header" in parts and self._zone != ARTICLE and tag not in ("article", "main"):
+                    names.add("header")
+        return bool(names), bool(names) and not names & NEVER_AROUND
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag in BLOCKS:
@@ -130,28 +137,27 @@ class _Parser:
             return
         if tag == "a":
             self._in_link += 1
-        if self._open:
-            self._depth[tag] = self._depth.get(tag, 0) + 1
-        if self._zone == BOILER:
+        if self._depths:
+            self._depths[-1][tag] = self._depths[-1].get(tag, 0) + 1
+        if self._zone == BOILER and not all(wrapper for _, _, wrapper in self._open):
             return
-        if self._drops(tag, attributes):
-            self._enter(tag, BOILER)
+        dropped, wrapper = self._drops(tag, attributes)
+        if dropped:
+            self._enter(tag, BOILER, wrapper)
         elif tag in ("article", "main") or re.search(r"role\s*=\s*[\"']?main\b|itemprop\s*=\s*[\"']?articleBody\b", attributes):
-            self._enter(tag, ARTICLE)
+            self._enter(tag, ARTICLE, True)
             self.marked = True
 
-    def _enter(self, tag: str, zone: int) -> None:
+    def _enter(self, tag: str, zone: int, wrapper: bool) -> None:
         self._flush()
-        self._open.append((tag, self._zone))
+        self._open.append((tag, self._zone, wrapper))
         self._zone = zone
-        self._depth = {tag: 1}
-        self._depths.append(self._depth) if hasattr(self, "_depths") else setattr(self, "_depths", [self._depth])
+        self._depths.append({tag: 1})
 
     def _close(self) -> None:
         self._flush()
-        _, self._zone = self._open.pop()
+        self._zone = self._open.pop()[1]
         self._depths.pop()
-        self._depth = self._depths[-1] if self._depths else {}
 
     def _end(self, tag: str) -> None:
         if tag in BLOCKS:
@@ -160,14 +166,14 @@ class _Parser:
             self._in_link = max(0, self._in_link - 1)
         if not self._open:
             return
-        if self._depth.get(tag, 0) > 0:
-            self._depth[tag] -= 1
-            if tag == self._open[-1][0] and self._depth[tag] == 0:
+        if self._depths[-1].get(tag, 0) > 0:
+            self._depths[-1][tag] -= 1
+            if tag == self._open[-1][0] and self._depths[-1][tag] == 0:
                 self._close()
         elif tag in BLOCKS or tag in DROPPED:
             # The end of an element opened further out: what is open inside it ends with it.
             for k in range(len(self._open) - 1, -1, -1):
-                if (self._depths[k - 1] if k else {}).get(tag, 0) > 0 or tag in ("body", "html"):
+                if (k and self._depths[k - 1].get(tag, 0) > 0) or tag in ("body", "html"):
                     while len(self._open) > k:
                         self._close()
                     if self._open:
