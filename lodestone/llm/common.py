@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -91,7 +92,20 @@ def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     conf = df.sparkSession.conf
     if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.mapInArrow(run, schema)
+
+    def bounded_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        trim()
+
+    return df.mapInArrow(bounded_run, schema)
+
+
+def trim() -> None:
+    """Give what a task has freed back to the system, as workers stay for the tasks and stages to come."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if give_back is not None:
+        give_back(0)
 
 
 def map_arrow(df: DataFrame, schema: str, each: Callable[[pa.RecordBatch], dict[str, Any]]) -> DataFrame:

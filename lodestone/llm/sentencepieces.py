@@ -22,9 +22,9 @@ import struct
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 from typing import Any, NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -131,7 +131,7 @@ class Backend:
         inner = any(self.mark in p.lstrip(self.mark) for p, _, kind in self.spec.pieces if kind in (NORMAL, USER, UNUSED))
         self.cut = None if inner else re.compile(f"{self.mark}+[^{self.mark}]*|[^{self.mark}]+").findall
         self.bytes_of = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in self.spec.pieces]
-        self.ids_of: dict[str, list[int]] = {}
+        self.ids_of: dict[str, bytes] = {}  # little-endian 32-bit numbers
         self.wrong: set[str] = set()
         self.verify, self.remember, self.original = verify, remember, None
         if verify:
@@ -151,15 +151,15 @@ class Backend:
     def learn(self, cuts: list[str]) -> None:
         """Encode cuts not met before, and hold them against SentencePiece."""
         for cut, got in zip(cuts, self.tokenizer.encode_batch_fast(cuts, add_special_tokens=False), strict=True):
-            self.ids_of[cut] = got.ids
+            self.ids_of[cut] = array("i", got.ids).tobytes()
         if self.original is not None:
             # Behind a letter, as cuts stand in a text: alone, a text of nothing but the dummy prefix would have no ids.
             lead = self.original.encode("a")
             plain = ["a" + (c.replace(MARK, " ") if self.spec.escape else c) for c in cuts]
-            self.wrong.update(c for c, ids in zip(cuts, self.original.encode(plain, num_threads=1), strict=True) if ids != lead + self.ids_of[c])
+            self.wrong.update(c for c, ids in zip(cuts, self.original.encode(plain, num_threads=1), strict=True) if ids[len(lead) :] != list(array("i", self.ids_of[c])) or ids[: len(lead)] != lead)
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
-        """The ids of each text, and whether all its cuts agree with SentencePiece."""
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
+        """The ids of each text (as packed 32-bit numbers), and whether all its cuts agree with SentencePiece."""
         cuts = [self.cut(t) if self.cut else [t] for t in map(self.normalised, texts)]
         if len(self.ids_of) > self.remember:
             self.ids_of, self.wrong = {}, set()
@@ -167,19 +167,21 @@ class Backend:
         if unseen:
             self.learn(sorted(unseen))
         get, wrong = self.ids_of.__getitem__, self.wrong
-        return [list(chain.from_iterable(map(get, cut))) for cut in cuts], [not wrong or wrong.isdisjoint(cut) for cut in cuts]
+        return [b"".join(map(get, cut)) for cut in cuts], [not wrong or wrong.isdisjoint(cut) for cut in cuts]
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, packed: bytes) -> str:
+        ids = array("i", packed)
         try:
             text = b"".join(map(self.bytes_of.__getitem__, ids)).decode()
         except UnicodeDecodeError:  # ids that no text has: broken byte runs become replacement characters
-            text = self.tokenizer.decode(ids, skip_special_tokens=False)
+            text = self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
         return text[1:] if self.spec.dummy_prefix and text.startswith(" ") else text
 
 
 @lru_cache(maxsize=2)
 def backend(model: bytes, verify: bool = True) -> Backend:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
+    os.environ.setdefault("RAYON_NUM_THREADS", "2")  # a task's threads; an executor runs a task a core as it is
     return Backend(model, verify)
 
 
@@ -206,16 +208,17 @@ def tokenize(docs: DataFrame, *, model_path: str | None = None, id_col: str = "d
 
     def each(batch: pa.RecordBatch) -> dict:
         engine, out = backend(broadcast.value, verify), {n: [] for n in ("n_tokens", "ids_sha256", "decoded_sha256", "round_trip", "parity", "ids")}
-        for piece in [byte_texts(batch.column(1))]:
+        piece = byte_texts(batch.column(1))
+        if piece:
             ids, parity = engine.encode([t.decode() for t in piece])
             decoded = [engine.decode(x).encode() for x in ids]
-            out["n_tokens"] += map(len, ids)
-            out["ids_sha256"] += (hashlib.sha256(array("i", x)).hexdigest() for x in ids)
+            out["n_tokens"] += (len(x) // 4 for x in ids)
+            out["ids_sha256"] += (hashlib.sha256(x).hexdigest() for x in ids)
             out["decoded_sha256"] += (hashlib.sha256(x).hexdigest() for x in decoded)
             out["round_trip"] += (a == b for a, b in zip(piece, decoded, strict=True))
             out["parity"] += parity if verify else [None] * len(ids)
             if keep_ids:
-                out["ids"] += ids
+                out["ids"] = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(x) // 4 for x in ids)]), pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
         return out | {"doc_id": batch.column(0)}
 
     return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")), schema, each)
