@@ -115,7 +115,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", broadcast_ids: int = 5_000_000) -> DataFrame:
     """``docs`` with one document of each component: that of the smallest id, one row of it. Rows without an id stay."""
-    found = stored(near_duplicates(docs, id_col=id_col, text_col=text_col), "near-duplicates")
+    return keep_least(docs, near_duplicates(docs, id_col=id_col, text_col=text_col), id_col=id_col, broadcast_ids=broadcast_ids)
+
+
+def keep_least(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id", broadcast_ids: int = 5_000_000) -> DataFrame:
+    """``docs`` with one row of each component in ``found`` (doc_id, component_id). Rows without an id stay."""
+    found = stored(found, "near-duplicates")
     gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
     twice = stored(found.where("doc_id is not null and doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
     few = bounded(gone, broadcast_ids)
