@@ -659,8 +659,9 @@ def sql_text_match(spark, d):
 # --- graphs -----------------------------------------------------------------------------------------------------------------------
 
 
-def _bipartite(spark, d) -> DataFrame:
-    li = t(spark, d, "lineitem").where("l_partkey % 10 = 0 and l_quantity > 30")
+def _bipartite(spark, d, where: str = "l_partkey % 10 = 0 and l_quantity > 30") -> DataFrame:
+    """Parts and suppliers; by default the part of the graph that the SQL below has."""
+    li = t(spark, d, "lineitem").where(where)
     return li.select(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst")).groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
 
 
@@ -726,7 +727,7 @@ def components(spark, d):
 
 @query()
 def communities(spark, d):
-    return graph.label_propagation(_bipartite(spark, d), rounds=4)
+    return graph.label_propagation(_bipartite(spark, d, "true"), rounds=4)
 
 
 @query(
