@@ -86,6 +86,15 @@ def window(text: str, a: int, b: int) -> bytes:
     return (head + inside.ljust(INSIDE, "\0") + text[b : b + AFTER].ljust(AFTER, "\0")).encode("ascii", "replace").replace(b"?", b"\x7f")
 
 
+def windows_of(text: str, a: int, b: int) -> list[bytes]:
+    """The token's window; a token of more than INSIDE characters has also one for each INSIDE of them, half overlapping."""
+    out = [window(text, a, b)]
+    if b - a > INSIDE:
+        starts = [*range(a, b - INSIDE, INSIDE // 2), b - INSIDE]
+        out += [window(text, k, k + INSIDE) for k in starts]
+    return out
+
+
 def _codes(windows: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(windows), np.uint8).reshape(len(windows), -1).astype(np.int64) & 127
 
@@ -203,7 +212,7 @@ def train(findings: list[tuple[str, int, int, int]], *, seed: int = 11, epochs:
         scale, shift = scale - 0.05 * float((g * z).mean()), shift - 0.05 * float(g.mean())
     prob = 1 / (1 + np.exp(-(scale * z + shift)))
     secrets = np.sort(prob[yh == 1])
-    threshold = max(0.5, float(secrets[int((1 - recall) * len(secrets))])) if len(secrets) else 1.0
+    threshold = float(secrets[int((1 - recall) * len(secrets))]) if len(secrets) else 1.0
     return Net(p[0], p[1], p[2], p[3], float(p[4][0]), scale, shift, threshold)
 
 
@@ -224,15 +233,16 @@ def scan(docs: DataFrame, net: Net | None = None, *, id_col: str = "doc_id", tex
             text = raw.decode()
             spans.append(base_spans(text, raw))
             for a, b in candidates(text, raw, spans[-1]):
-                more.append((row, a, b))
-                windows.append(window(text, a, b))
+                read = windows_of(text, a, b)
+                more += [(row, a, b)] * len(read)
+                windows += read
         base = [joined(s) for s in spans]
         counts = [[sum(k == kind for *_, k in s) for s in spans] for kind in range(3)]
         added = [0] * len(spans)
-        for (row, a, b), p in zip(more, score(net, windows), strict=True):
-            if p >= net.threshold:
-                spans[row].append((a, b, 3))
-                added[row] += 1
+        hits = {token for token, p in zip(more, score(net, windows), strict=True) if p >= net.threshold}
+        for row, a, b in hits:
+            spans[row].append((a, b, 3))
+            added[row] += 1
         return {
             "doc_id": batch.column(0), "n_assign": counts[0], "n_access": counts[1], "n_hex": counts[2], "n_cnn": added,
             "base_sha256": [hashlib.sha256(s.encode()).hexdigest() for s in base],
