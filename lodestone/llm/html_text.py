@@ -1,46 +1,54 @@
 """HTML main text by nearest-URL page differencing.
 
-Pages are sorted by host and URL path; a page's pair is the page before it on its host (the one behind it for a host's
-first page of a partition). The text lines of both are aligned by longest common subsequence, and shared lines are what
-a template repeats. Differencing alone deletes right text here (articles quote whole lines of one another, and copies of
-a page share all), so it decides where the markup doesn't: lines outside any marked article or main element of a page
-without one, and lines of an article that are mostly links. Menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles, hidden parts and reader comments are told by element, role, class and id.
-
-The whole table is ordered by one range shuffle, so that a hot host spreads over many tasks; a task holds two pages.
-
-Defined cases: null or empty html has no text; a null or malformed URL is a host of its own; a page all of whose lines
-are shared with its pair keeps them; very long pages are parsed whole; repeated rows have equal texts (a page is never
-paired with an equal one); an empty table gives an empty result; other columns are not looked at.
+Every page is cut to text lines. The different pages of a host are ordered by URL path, and each is paired with the one
+of its two neighbours whose path has more in common with its own (the one ahead on a tie). Lines of the two are aligned
+by longest common subsequence, and what both share is taken for the template's.
+
+Differencing alone deletes right text (articles quote whole lines of one another) and leaves wrong text (menus and
+adverts drawn anew for each page), so markup is the second evidence. A shared line goes unless it is prose inside an
+element marked as the article; a line of its own stays unless it lies in an element of menus, headers, footers, notices,
+adverts, forms, hidden parts or reader comments, or outside the article of a page that marks one.
+
+The html itself is never shuffled where few lines go: one pass writes line hashes, pairs meet in a small table ordered by
+(host, path), and a second pass deletes line numbers. The text of a page doesn't depend on how rows are partitioned.
+
+Defined cases: null or empty html has no text; a null or malformed URL belongs to the host ''; pages of a host with
+equal lines are one page, at the least of their paths; a host with one different page has no pair; a page without a
+marked article all of whose lines are shared keeps them; very long pages are parsed whole, in linear time; repeated rows
+have equal texts; an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
-from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_arrow
+from .common import byte_texts, map_arrow, stored
 
-BOILER, BODY, ARTICLE = 0, 1, 2
+BOILER, ASIDE, BODY, ARTICLE = 0, 1, 2, 3
 
-# Elements, roles and name parts that mark what isn't the article.
+# Elements, roles and names that mark what isn't the article.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp"}
 DROPPED = {"nav", "footer", "aside", "form", "head", "svg", "canvas", "button", "select", "dialog", "menu", "object", "video", "audio", "map"}
 DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"}
-DROPPED_NAMES = {
-    "ad", "ads", "adv", "advert", "adverts", "advertisement", "banner", "sponsor", "sponsored", "promo", "promotion", "menu", "nav", "navbar", "navigation",
-    "breadcrumb", "breadcrumbs", "masthead", "topbar", "footer", "sidebar", "aside", "widget", "related", "recommended", "share", "sharing", "social",
-    "comment", "comments", "commentlist", "disqus", "respond", "reply", "replies", "cookie", "cookies", "consent", "gdpr", "notice", "popup", "modal",
-    "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "search", "pagination", "pager", "alert", "toolbar", "skip",
-}
-#: Of those, the ones that an article inside never belongs to; the others may name the layout of a wrapper around it.
+#: Names of what is no layout of an article's wrapper either.
 NEVER_AROUND = {"comment", "comments", "commentlist", "disqus", "respond", "reply", "replies", "related", "recommended", "ad", "ads", "adv", "advert", "adverts", "advertisement", "sponsor", "sponsored", "promo", "promotion"}
+#: Names that may also be those of a wrapper around the article.
+MAYBE_AROUND = {
+    "banner", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "masthead", "topbar", "footer", "sidebar", "aside", "widget", "share", "sharing",
+    "social", "cookie", "cookies", "consent", "gdpr", "notice", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "search",
+    "pagination", "pager", "alert", "toolbar", "skip",
+}
+#: Words around a name that leave its meaning as it is, and words ahead of it that turn it into a flag of the layout.
+PLAIN_WORDS = {"list", "box", "bar", "area", "section", "block", "container", "wrapper", "wrap", "links", "posts", "articles", "items", "inner", "panel", "slot", "unit", "content", "left", "right", "top", "bottom", "primary", "secondary", "thread", "form", "row"}
+FLAG_WORDS = {"has", "with", "no", "without", "is", "not", "hide", "show", "enable", "disable"}
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "br", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset",
     "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html", "legend", "li", "main", "menu", "nav",
@@ -49,9 +57,11 @@ BLOCKS = {
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 SELF_CLOSED = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
 
-_TOKEN = re.compile(r"<!--|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_STOP = re.compile(r">|=\s*[\"']")
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_NAME_PARTS = re.compile(r"[a-z0-9]+")
+_WORDS = re.compile(r"[a-z]+|[0-9]+")
+_HUMPS = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
@@ -61,11 +71,24 @@ class Line(NamedTuple):
     links: float  # share of the characters inside links
 
 
+def named(value: str) -> set[str]:
+    """The names of NEVER_AROUND, MAYBE_AROUND and 'header' that a class or id has, as a word of its own or as the last
+    telling word of a compound: ``comment-list`` is comment, ``share-price`` and ``has-comments`` are nothing."""
+    out = set()
+    for token in value.split():
+        words = _WORDS.findall(_HUMPS.sub("-", token).lower())
+        if words and words[0] not in FLAG_WORDS:
+            while len(words) > 1 and (words[-1] in PLAIN_WORDS or words[-1].isdigit()):
+                words.pop()
+            out.add(words[-1])
+    return out & (NEVER_AROUND | MAYBE_AROUND | {"header"})
+
+
 class _Parser:
     def __init__(self, page: str) -> None:
         self.lines: list[Line] = []
         self.marked = False
-        # (element, zone ahead of it, whether it may be a wrapper) of the elements that change the zone, and the
+        # (element, zone ahead of it, whether an article may lie inside) of the elements that change the zone, and the
         # elements open inside each of them.
         self._open: list[tuple[str, int, bool]] = []
         self._depths: list[dict[str, int]] = []
@@ -73,29 +96,50 @@ class _Parser:
         self._parse(page)
 
     def _parse(self, page: str) -> None:
-        at, end = 0, len(page)
+        at, end, last, quotes = 0, len(page), page.rfind(">"), True
+        ends = {q: page.rfind(q) for q in "\"'"}
         while at < end:
-            m = _TOKEN.search(page, at)
-            if m is None:
-                self._text(page[at:])
+            k = page.find("<", at)
+            if k < 0 or k > last:  # no tag ends behind here
                 break
-            if m.start() > at:
-                self._text(page[at : m.start()])
-            at = m.end()
-            if m[0] == "<!--":
-                stop = page.find("-->", at)
+            if k > at:
+                self._text(page[at:k])
+            m = _NAME.match(page, k + 1 + (page[k + 1] == "/"))
+            if page.startswith("<!--", k):
+                stop = page.find("-->", k + 4)
                 at = end if stop < 0 else stop + 3
-            elif m[2]:
-                tag = m[2].lower()
-                if m[1]:
-                    self._end(tag)
-                else:
-                    if tag in RAW:
-                        stop = re.compile(f"</{tag}\\b[^>]*>", re.IGNORECASE).search(page, at)
-                        at = stop.end() if stop else end
-                        self._flush() if tag in BLOCKS else None
-                    else:
-                        self._start(tag, m[3])
+                continue
+            if page[k + 1] in "!?":
+                at = page.find(">", k) + 1
+                continue
+            if m is None:
+                self._text("<")
+                at = k + 1
+                continue
+            stop = m.end()
+            while True:  # the end of the tag: the first > outside a quoted value
+                s = _STOP.search(page, stop) if quotes else None
+                if s is None:  # quotes that don't pair: they count for nothing from here on
+                    quotes, stop = False, page.find(">", m.end())
+                    break
+                if s[0] == ">":
+                    stop = s.start()
+                    break
+                q = s[0][-1]
+                stop = page.find(q, s.end()) + 1 if s.end() <= ends[q] else s.end()
+            tag, at = m[0].lower(), stop + 1
+            if page[k + 1] == "/":
+                self._end(tag)
+            elif tag in RAW:
+                close = re.compile(f"</{tag}\\b", re.IGNORECASE).search(page, at)
+                at = page.find(">", close.end()) + 1 if close else end
+                at = at or end
+                if tag in BLOCKS:
+                    self._flush()
+            else:
+                self._start(tag, page[m.end() : stop])
+        if at < end:
+            self._text(page[at:])
         self._flush()
 
     def _text(self, raw: str) -> None:
@@ -110,47 +154,50 @@ class _Parser:
             self.lines.append(Line(text, self._zone, min(1.0, self._linked / len(text))))
         self._parts, self._linked = [], 0
 
-    def _drops(self, tag: str, attributes: str) -> tuple[bool, bool]:
-        """Whether an element is dropped, and whether only by a name that a wrapper of the article may have as well."""
+    def _drops(self, tag: str, attributes: str) -> tuple[int | None, bool]:
+        """The zone of a dropped element (None: not dropped), and whether it may be a wrapper of the article."""
         if tag in DROPPED or (tag == "header" and self._zone != ARTICLE):
-            return True, False
+            return BOILER, False
         if "=" not in attributes and "hidden" not in attributes:
-            return False, False
+            return None, False
         names: set[str] = set()
         for name, *values in _ATTRIBUTE.findall(attributes):
-            value, name = "".join(values).lower(), name.lower()
-            if (name == "hidden" and value != "until-found") or (name == "role" and value in DROPPED_ROLES) or (name == "aria-hidden" and value == "true") or (name == "style" and _HIDDEN.search(value)):
-                return True, False
+            value, name = "".join(values), name.lower()
+            low = value.lower()
+            if (name == "hidden" and low != "until-found") or (name == "role" and low in DROPPED_ROLES) or (name == "aria-hidden" and low == "true") or (name == "style" and _HIDDEN.search(value)):
+                return BOILER, False
             if name in ("class", "id") and tag not in ("html", "body"):
-                parts = set(_NAME_PARTS.findall(value))
-                names |= parts & (NEVER_AROUND if tag in ("article", "main") else DROPPED_NAMES)
-                if "header" in parts and self._zone != ARTICLE and tag not in ("article", "main"):
-                    names.add("header")
-        return bool(names), bool(names) and not names & NEVER_AROUND
+                found = named(value)
+                if self._zone == ARTICLE or tag in ("article", "main"):
+                    found.discard("header")
+                names |= found & NEVER_AROUND if tag in ("article", "main") else found
+        if not names:
+            return None, False
+        return (BOILER, False) if names & NEVER_AROUND else (ASIDE, True)
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag in BLOCKS:
             self._flush()
             while self._open and self._open[-1][0] in SELF_CLOSED and (tag == self._open[-1][0] or self._open[-1][0] == "p"):
                 self._close()
-        if tag in VOID or attributes.rstrip().endswith("/"):
+        if tag in VOID or (tag in ("svg", "math") and attributes.rstrip().endswith("/")):
             return
         if tag == "a":
             self._in_link += 1
         if self._depths:
             self._depths[-1][tag] = self._depths[-1].get(tag, 0) + 1
-        if self._zone == BOILER and not all(wrapper for _, _, wrapper in self._open):
+        if not all(around for _, _, around in self._open):
             return
-        dropped, wrapper = self._drops(tag, attributes)
-        if dropped:
-            self._enter(tag, BOILER, wrapper)
+        zone, around = self._drops(tag, attributes)
+        if zone is not None:
+            self._enter(tag, min(zone, self._zone), around)
         elif tag in ("article", "main") or re.search(r"role\s*=\s*[\"']?main\b|itemprop\s*=\s*[\"']?articleBody\b", attributes):
             self._enter(tag, ARTICLE, True)
             self.marked = True
 
-    def _enter(self, tag: str, zone: int, wrapper: bool) -> None:
+    def _enter(self, tag: str, zone: int, around: bool) -> None:
         self._flush()
-        self._open.append((tag, self._zone, wrapper))
+        self._open.append((tag, self._zone, around))
         self._zone = zone
         self._depths.append({tag: 1})
 
@@ -182,92 +229,171 @@ class _Parser:
 
 
 def parse(page: str) -> tuple[list[Line], bool]:
-    """The text lines of a page in order, and whether it marks its article."""
+    """The text lines of a page in order, and whether it marks its article. A page with nothing outside elements that
+    are only named like a sidebar or a notice has its body there."""
     p = _Parser(page)
-    return p.lines, p.marked
+    if not any(x.zone > ASIDE for x in p.lines):
+        return [x._replace(zone=BODY) if x.zone == ASIDE else x for x in p.lines], False
+    return p.lines, p.marked and any(x.zone == ARTICLE for x in p.lines)
 
 
-def shared(a: list[str], b: list[str]) -> list[bool]:
-    """Which lines of ``a`` are in a longest common subsequence with ``b``; rows of the table are bits of one integer."""
-    places: dict[str, int] = {}
-    for k, x in enumerate(b):
-        places[x] = places.get(x, 0) | 1 << k
-    full = (1 << len(b)) - 1
-    row, rows = full, []
-    for x in a:
-        rows.append(row)
-        hit = row & places.get(x, 0)
-        row = ((row + hit) | (row - hit)) & full
-    out, j = [False] * len(a), len(b)
-    for i in range(len(a) - 1, -1, -1):
-        # Line i is in the subsequence if the length up to b[:j] grows with it.
-        now, before = (row & ((1 << j) - 1)), rows[i] & ((1 << j) - 1)
-        if now.bit_count() < before.bit_count():
-            out[i] = True
-            grown = j - now.bit_count() - 1  # length ahead of this match
-            low, high = 0, j
-            while low < high:  # the longest b[:k] that still has this length without line i
-                mid = (low + high) // 2
-                have = mid - (rows[i] & ((1 << mid) - 1)).bit_count()
-                gets = mid - (row & ((1 << mid) - 1)).bit_count()
-                if gets > grown and gets > have:
-                    high = mid
-                else:
-                    low = mid + 1
-            j = low - 1
-        row = rows[i]
-    return out
+def weak(lines: list[Line], marked: bool) -> list[int]:
+    """Numbers of the lines that go if the pair shares them: a marked article's mostly linked ones, or any of a body."""
+    return [k for k, x in enumerate(lines) if (x.zone == ARTICLE and x.links > 0.5 if marked else x.zone == BODY)]
 
 
-def main_text(lines: list[Line], marked: bool, pair: list[Line] | None) -> str:
-    """The article's blocks, joined by one space."""
-    same = shared([x.text for x in lines], [x.text for x in pair]) if pair else [False] * len(lines)
-    if marked:
-        return " ".join(x.text for x, s in zip(lines, same, strict=True) if x.zone == ARTICLE and not (s and x.links > 0.5))
-    body = [(x, s) for x, s in zip(lines, same, strict=True) if x.zone == BODY]
-    own = [x.text for x, s in body if not s]
-    return " ".join(own or [x.text for x, _ in body])
+def main_text(lines: list[Line], marked: bool, gone: set[int] | frozenset[int] = frozenset()) -> str:
+    """The article's blocks but for the lines ``gone``, joined by one space."""
+    zone = ARTICLE if marked else BODY
+    return " ".join(x.text for k, x in enumerate(lines) if x.zone == zone and k not in gone)
 
 
-def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Rows page_id, url, text, n_chars."""
-    spark = pages.sparkSession
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("_html"))
-    rows = rows.withColumn("_host", F.coalesce(F.lower(F.try_parse_url("url", F.lit("HOST"))), F.lit(""))).withColumn("_path", F.coalesce(F.try_parse_url("url", F.lit("PATH")), F.col("url"), F.lit("")))
-    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = rows.repartitionByRange(parts, "_host", "_path", "page_id").sortWithinPartitions("_host", "_path", "page_id", "_html")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair: tuple[str, list[Line]] | None = None  # host and lines of the page before
-        waiting: list[tuple] = []  # a host's first page, and pages equal to it, until a different one comes
-
-        def done(found: list[tuple], partner: list[Line] | None) -> list[tuple]:
-            return [(i, u, main_text(lines, marked, partner)) for i, u, lines, marked in found]
-
-        for batch in batches:
-            out = []
-            for i, url, page, host in zip(*(batch.column(n).to_pylist() for n in ("page_id", "url", "_html", "_host")), strict=True):
-                lines, marked = parse(page or "")
-                if pair is not None and pair[0] != host:
-                    out += done(waiting, None)
-                    pair, waiting, other = None, [], None
-                if pair is None:
-                    waiting, pair, other = [(i, url, lines, marked)], (host, lines), None
-                elif lines == pair[1]:
-                    if waiting:
-                        waiting.append((i, url, lines, marked))
+def shared(a: list, b: list) -> list[bool]:
+    """Which lines of ``a`` are in a longest common subsequence with ``b``.
+
+    Rows of the table are bits of one integer; every sqrt(n)-th is kept and those between are made again on the way back.
+    """
+    low, high = 0, 0
+    while low < min(len(a), len(b)) and a[low] == b[low]:
+        low += 1
+    while high < min(len(a), len(b)) - low and a[-1 - high] == b[-1 - high]:
+        high += 1
+    return [True] * low + _shared(a[low : len(a) - high], b[low : len(b) - high]) + [True] * high
+
+
+def _shared(a: list, b: list) -> list[bool]:
+    out = [False] * len(a)
+    known, places = set(a), {}
+    for k, x in enumerate(x for x in b if x in known):
+        places[x] = places.get(x, 0) | 1 << k
+    n = sum(1 for x in b if x in known)
+    lines = [(i, x) for i, x in enumerate(a) if x in places]  # the others are in no common subsequence
+    if not lines:
+        return out
+    full, step = (1 << n) - 1, math.isqrt(len(lines)) + 1
+
+    def rows_from(row: int, start: int) -> list[int]:
+        rows = [row]
+        for _, x in lines[start : start + step]:
+            hit = row & places[x]
+            row = ((row + hit) | (row - hit)) & full
+            rows.append(row)
+        return rows
+
+    kept = [full]
+    for start in range(0, len(lines), step):
+        kept.append(rows_from(kept[-1], start)[-1])
+    j = n
+    for block in range((len(lines) - 1) // step, -1, -1):
+        rows = rows_from(kept[block], block * step)
+        for k in range(len(rows) - 2, -1, -1):
+            mask = (1 << j) - 1
+            row, before = rows[k + 1], rows[k]
+            if (row & mask).bit_count() < (before & mask).bit_count():  # the length up to b[:j] grows with this line
+                out[lines[block * step + k][0]] = True
+                grown = j - (row & mask).bit_count() - 1  # length ahead of this match
+                lo, hi = 0, j
+                while lo < hi:  # the shortest b[:mid] in which this line makes it longer than that
+                    mid = (lo + hi) // 2
+                    have = mid - (before & ((1 << mid) - 1)).bit_count()
+                    gets = mid - (row & ((1 << mid) - 1)).bit_count()
+                    if gets > grown and gets > have:
+                        hi = mid
                     else:
-                        out += done([(i, url, lines, marked)], other)
-                else:
-                    out += done(waiting, lines)
-                    other = pair[1]
-                    out += done([(i, url, lines, marked)], other)
-                    waiting, pair = [], (host, lines)
-            yield _batch(out, batch.schema.field("page_id").type)
-        yield _batch(done(waiting, None), None) if waiting else _batch([], None)
-
-    def _batch(found: list[tuple], kind) -> pa.RecordBatch:
-        ids, urls, texts = zip(*found, strict=True) if found else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(ids, kind or pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
-
-    return in_arrow(rows.select("page_id", "url", "_html", "_host"), run, "page_id long, url string, text string, n_chars long")
+                        lo = mid + 1
+                j = lo - 1
+    return out
+
+
+def _common(a: str, b: str) -> int:
+    n = 0
+    for x, y in zip(a, b, strict=False):
+        if x != y:
+            break
+        n += 1
+    return n
+
+
+def pages_of(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """Rows page_id, url, _html, _host, _path, _key (the md5 of the html)."""
+    page = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), page.alias("_html"))
+    host = F.coalesce(F.lower(F.try_parse_url("url", F.lit("HOST"))), F.lit(""))
+    path = F.coalesce(F.try_parse_url("url", F.lit("PATH")), F.col("url"), F.lit(""))
+    return rows.withColumn("_host", host).withColumn("_path", path).withColumn("_key", F.unhex(F.md5("_html")))
+
+
+def shared_lines(pages: DataFrame, parts: int) -> DataFrame:
+    """Rows (_host, _key, gone): numbers of the lines that the page's pair takes away; pages that lose none have no row."""
+    id_type = dict(pages.dtypes)["page_id"]
+
+    def cut(batch: pa.RecordBatch) -> dict:
+        hashes, weaks, marks, prints = [], [], [], []
+        for raw in byte_texts(batch.column(4)):
+            lines, marked = parse(raw.decode("utf-8", "replace"))
+            h = [xxhash.xxh3_64_intdigest(x.text.encode("utf-8", "replace")) - (1 << 63) for x in lines]
+            hashes.append(h)
+            weaks.append(weak(lines, marked))
+            marks.append(marked)
+            prints.append(xxhash.xxh3_128_digest("\n".join(x.text for x in lines).encode("utf-8", "replace")))
+        return {"_host": batch.column(0), "_path": batch.column(1), "page_id": batch.column(2), "_key": batch.column(3), "print": prints, "hashes": hashes, "weak": weaks, "marked": marks}
+
+    rows = pages.select("_host", "_path", "page_id", "_key", "_html")
+    lined = stored(map_arrow(rows, f"_host string, _path string, page_id {id_type}, _key binary, print binary, hashes array<long>, weak array<int>, marked boolean", cut), "page-lines")
+    # One row a different text of a host, in the order of its least place, over ranges of that order.
+    order = ["_host", "_path", "page_id", "print"]
+    texts = lined.groupBy("_host", "print").agg(F.min(F.struct("_path", "page_id")).alias("_at"), F.first("hashes").alias("hashes"))
+    texts = texts.select("_host", "print", "_at.*", "hashes").repartitionByRange(parts, *order).withColumn("range", F.spark_partition_id())
+    texts = stored(texts, "page-order")
+    inside = Window.partitionBy("range").orderBy(*order)
+    page = F.struct("_host", "_path", "hashes")
+    near = texts.select("*", F.lag(page).over(inside).alias("ahead"), F.lead(page).over(inside).alias("behind"))
+    # The neighbours over the borders of ranges: a row a range, so as many rows as there are partitions.
+    ends = texts.groupBy("range").agg(F.min(F.struct(*order, "hashes")).alias("_first"), F.max(F.struct(*order, "hashes")).alias("_last"))
+    over = Window.partitionBy(F.lit(0)).orderBy("range")
+    border = lambda c: F.struct(*(F.col(f"{c}.{n}") for n in ("_host", "_path", "hashes")))
+    ends = ends.select("range", F.lag(border("_last")).over(over).alias("_before"), F.lead(border("_first")).over(over).alias("_after"))
+    near = near.join(F.broadcast(ends), "range").withColumn("ahead", F.coalesce("ahead", "_before")).withColumn("behind", F.coalesce("behind", "_after"))
+    own = lambda c: F.when(F.col(f"{c}._host") == F.col("_host"), F.col(c))
+    near = near.select("_host", "print", "_path", "hashes", own("ahead").alias("ahead"), own("behind").alias("behind")).where("ahead is not null or behind is not null")
+
+    def aligned(batch: pa.RecordBatch) -> dict:
+        found = []
+        for path, mine, ahead, behind in zip(*(batch.column(n).to_pylist() for n in ("_path", "hashes", "ahead", "behind")), strict=True):
+            pair = ahead or behind
+            if ahead and behind and _common(path, behind["_path"]) > _common(path, ahead["_path"]):
+                pair = behind
+            found.append([k for k, s in enumerate(shared(mine, pair["hashes"])) if s])
+        return {"_host": batch.column(0), "print": batch.column(1), "shared": found}
+
+    aligned_rows = map_arrow(near.select("_host", "print", "_path", "hashes", "ahead", "behind"), "_host string, print binary, shared array<int>", aligned)
+    same = stored(aligned_rows.where(F.size("shared") > 0), "page-shared")
+    # Many pages may have one text: its row meets them in 16 parts.
+    salt = F.pmod(F.xxhash64("_key"), F.lit(16))
+    mine = lined.where(F.size("weak") > 0).select("_host", "print", "_key", "weak", "marked", salt.alias("salt")).dropDuplicates(["_host", "_key"])
+    met = mine.join(same.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long")))), ["_host", "print", "salt"])
+    gone = F.array_intersect("weak", "shared")
+    met = met.select("_host", "_key", F.when(~F.col("marked") & (F.size(gone) == F.size("weak")), F.array().cast("array<int>")).otherwise(gone).alias("gone"))
+    return stored(met.where(F.size("gone") > 0), "page-gone")
+
+
+def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", broadcast_lines: int = 2_000_000) -> DataFrame:
+    """Rows page_id, url, text, n_chars."""
+    rows = pages_of(pages, id_col, url_col, html_col)
+    parts = max(8, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    gone = shared_lines(rows, parts)
+    total = gone.agg(F.coalesce(F.sum(F.size("gone") + 8), F.lit(0))).first()[0]
+    if total <= broadcast_lines:
+        joined = rows.join(F.broadcast(gone), ["_host", "_key"], "left")
+    else:  # copies of one page spread over 16 parts
+        rows = rows.withColumn("_salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(16)))
+        spread = gone.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long"))))
+        joined = rows.join(spread, ["_host", "_key", "_salt"], "left")
+
+    def each(batch: pa.RecordBatch) -> dict:
+        texts = []
+        for raw, dropped in zip(byte_texts(batch.column(2)), batch.column(3).to_pylist(), strict=True):
+            texts.append(main_text(*parse(raw.decode("utf-8", "replace")), frozenset(dropped or ())))
+        return {"page_id": batch.column(0), "url": batch.column(1), "text": texts, "n_chars": [len(t) for t in texts]}
+
+    return map_arrow(joined.select("page_id", "url", "_html", "gone"), f"page_id {dict(rows.dtypes)['page_id']}, url string, text string, n_chars long", each)
