@@ -24,11 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: what the cluster names, or a temporary one where nothing is named (tests)."""
+    """The folder all executors share: what the cluster names, or a temporary one where nothing is named and there is no
+    other machine (tests). On a cluster that names none there is no such folder, and this raises."""
     sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
-        named = sc.getCheckpointDir() or f"file://{tempfile.mkdtemp(prefix='lodestone-')}"
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = f"file://{tempfile.mkdtemp(prefix='lodestone-')}"
     return named.rstrip("/")
 
 
@@ -68,30 +71,33 @@ def byte_texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
 
 
 def sliced(batch: pa.RecordBatch, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Runs of rows of about ``size`` bytes: what a function builds from one run stays small, however wide the batch."""
+    """Runs of rows of about ``size`` bytes, by the bytes of all string and binary columns together: what a function
+    builds from one run stays small, however wide the batch."""
     if not batch.num_rows:
         return
     step = max(1, batch.num_rows * size // max(1, batch.nbytes))
-    texts = next((c for c in batch.columns if pa.types.is_string(c.type) or pa.types.is_large_string(c.type)), None)
-    if step >= batch.num_rows or texts is None:
+    wide = [c for c in batch.columns if pa.types.is_string(c.type) or pa.types.is_large_string(c.type) or pa.types.is_binary(c.type) or pa.types.is_large_binary(c.type)]
+    if step >= batch.num_rows or not wide:
         for k in range(0, batch.num_rows, step):
             yield batch.slice(k, step)
         return
-    ends = np.cumsum(np.nan_to_num(pc.binary_length(texts).to_numpy(zero_copy_only=False))) // size
+    ends = np.cumsum(sum(np.nan_to_num(pc.binary_length(c).to_numpy(zero_copy_only=False)).astype(np.int64) for c in wide)) // size
     cuts = [0, *(np.flatnonzero(ends[1:] != ends[:-1]) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:], strict=False):
         yield batch.slice(a, b - a)
 
 
-BATCH_ROWS = 1_000
+BATCH_BYTES = 4 << 20
+_BYTES, _BYTES_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: Any) -> DataFrame:
-    """mapInArrow for rows of whole texts: batches of BATCH_ROWS rows unless the session says otherwise, as the default of
-    10,000 holds tens of megabytes a task on either side of the pipe."""
+    """mapInArrow for rows of whole texts, in batches of BATCH_BYTES at most: by rows alone a batch holds tens of megabytes
+    on either side of the pipe. The bound is a setting of the session, read when the plan runs; it is set where the session
+    has Spark's default, and changes no result of any query."""
     conf = df.sparkSession.conf
-    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    if conf.get(_BYTES) == _BYTES_DEFAULT:
+        conf.set(_BYTES, str(BATCH_BYTES))
 
     def bounded_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
@@ -125,6 +131,13 @@ def map_arrow(df: DataFrame, schema: str, each: Callable[[pa.RecordBatch], dict[
     return in_arrow(df, run, spark_schema)
 
 
+def join_hot(rows: DataFrame, once: DataFrame, on: str, spread: Column, how: str = "inner", parts: int = 16) -> DataFrame:
+    """Join ``rows``, of which many may have one key, to ``once``, which has a key at most once: every key of ``once`` is
+    there ``parts`` times, and the rows of a key are dealt among these by the column ``spread``."""
+    rows = rows.withColumn("_part", F.pmod(F.xxhash64(spread), F.lit(parts)).cast("int"))
+    return rows.join(once.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))), [on, "_part"], how).drop("_part")
+
+
 def bounded(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most so many rows; looks at no more than that."""
     return df.limit(rows + 1).count() <= rows

@@ -26,12 +26,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, byte_texts, in_arrow, map_arrow, stored
+from .common import bounded, byte_texts, in_arrow, join_hot, map_arrow, stored
 from .components import components
 
 SEED, SHINGLE, MAX_BITS = 42, 3, 2
 _PIECE = 1 << 16
 _FREE = [(p, q) for p, q in combinations(range(8), 2)]
+_FEW = 128
+_ONES = np.array([k.bit_count() for k in range(1 << 16)], np.uint8)
 _FLIPS = np.array([0, *(1 << i for i in range(16)), *((1 << i) | (1 << j) for i, j in combinations(range(16), 2))], np.int64)
 
 
@@ -63,6 +65,14 @@ def _forest(values: np.ndarray, p: int, q: int) -> np.ndarray:
     label = np.arange(len(values))
     if len(values) == 2:
         return label if bin(int(free[0] ^ free[1])).count("1") > MAX_BITS else np.zeros(2, np.int64)
+    if len(values) <= _FEW:  # compare all, as a table of 65,536 cells costs more
+        near = _ONES[free[:, None] ^ free] <= MAX_BITS
+        while True:
+            best = np.where(near, label, len(values)).min(axis=1)
+            best = best[best]
+            if np.array_equal(best, label):
+                return label
+            label = best
     none = len(values)
     while True:
         at = np.full(1 << 16, none, np.int64)
@@ -81,7 +91,8 @@ def links(prints: DataFrame) -> DataFrame:
     full = (1 << 64) - 1
     masks = [full ^ (255 << 8 * p) ^ (255 << 8 * q) for p, q in _FREE]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    postings = prints.select("fp").select(
+    parts = max(8, int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    postings = prints.select("fp").repartition(parts, "fp").select(
         "fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed))).alias("free", "shared")
     )
     met = postings.groupBy("free", "shared").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1).select("free", "fps")
@@ -110,7 +121,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # Only fingerprints in components of two or more need the second join; for the others the id is their own least.
     linked = rooted.join(least.where("_n > 1"), "root").select("fp", "component_id")
     ids = prints.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return fps.join(ids, "fp").select("doc_id", "fp", "component_id")
+    # Exact copies, and documents without words, share a fingerprint: their rows are dealt by id.
+    return join_hot(fps, ids, "fp", F.col("doc_id")).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", broadcast_ids: int = 5_000_000) -> DataFrame:
