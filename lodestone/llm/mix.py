@@ -4,9 +4,11 @@ The mix is planned on blocks: a source's documents, ordered by a seeded hash, ar
 Every source gets an exact quota of block copies. A splitting tree deals the quotas to the output shards: each node of
 the tree splits its quota vector between its two halves by a multivariate hypergeometric draw, so a shard holds an
 exact, random count of blocks of each source, and every block copy lies in exactly one shard. Shards then take their
-counts from each source's permuted blocks, and rows are ordered by a hash inside the shard.
+counts from each source's permuted blocks, and rows are ordered by a hash inside the shard (``in_shards``).
 
-Only two tables are ever shuffled: sizes (four numbers a document) and block sums (at most ``blocks`` plus one a source).
+To plan, only two tables are shuffled: sizes (four numbers a document) and block sums (at most ``blocks`` plus one a
+source). A source's last pass stops inside a block, at the document that comes nearest to the target. ``blocks`` says how
+finely sources are spread over shards; nothing of the size of a block is ever in one task.
 
 Defined cases: null text counts no words; null source is a source of its own, last in order; a source without words has
 target 0 and is not drawn; an empty table gives an empty mix; repeated rows are rows of their own with equal decisions;
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from .common import WORD, broadcast_if, key, md5_long, stored
 
 WEIGHTS = (3, 1, 2)
+FINE = 4096
 
 
 def sized(docs: DataFrame, seed: str, id_col: str, text_col: str, source_col: str, *more: str) -> DataFrame:
@@ -104,10 +107,19 @@ def plan_blocks(sizes: DataFrame, sources: DataFrame, shards: int, seed: str) ->
     blocks = stored(blocks.withColumn("_whole", whole).withColumn("_stops", stops), "mix-blocks")
 
     # Inside the one block of each source where the last pass stops: the hash up to which documents still come nearest.
-    inside = placed.join(blocks.where("_stops").select("_sk", "_block", (F.col("_rest") - F.col("_end") + F.col("_words")).alias("_want")), ["_sk", "_block"])
-    steps = inside.groupBy("_sk", "_h").agg(F.sum("size").alias("_w"), F.first("_want").alias("_want"))
-    steps = steps.withColumn("_upto", F.sum("_w").over(Window.partitionBy("_sk").orderBy("_h")))
-    cuts = steps.where(F.col("_upto") - F.col("_w") / 2 <= F.col("_want")).groupBy("_sk").agg(F.max("_h").alias("_cut"))
+    # Sums over FINE ranges of the hash find the one range where it lies, and only the documents of that range are ordered.
+    stop = blocks.where("_stops").select("_sk", "_block", (F.col("_rest") - F.col("_end") + F.col("_words")).alias("_want"))
+    inside = placed.join(F.broadcast(stop), ["_sk", "_block"])
+    within = F.col("_h") / F.lit(float(1 << 60)) * F.col("_blocks") - F.col("_block")
+    inside = inside.select("_sk", "_h", "size", "_want", F.floor(within * F.lit(float(FINE))).cast("long").alias("_fine"))
+    ranges = inside.groupBy("_sk", "_fine").agg(F.sum("size").alias("_w"), F.max("_h").alias("_top"), F.first("_want").alias("_want"))
+    ranges = stored(ranges.withColumn("_to", F.sum("_w").over(Window.partitionBy("_sk").orderBy("_fine"))), "mix-ranges")
+    before = F.col("_to") - F.col("_w")
+    partly = ranges.where((before <= F.col("_want")) & (F.col("_to") > F.col("_want"))).select("_sk", "_fine", before.alias("_before"))
+    steps = inside.join(F.broadcast(partly), ["_sk", "_fine"]).groupBy("_sk", "_h").agg(F.sum("size").alias("_w"), F.first("_want").alias("_want"), F.first("_before").alias("_before"))
+    steps = steps.withColumn("_upto", F.col("_before") + F.sum("_w").over(Window.partitionBy("_sk").orderBy("_h")))
+    nearest = steps.where(F.col("_upto") - F.col("_w") / 2 <= F.col("_want")).select("_sk", "_h")
+    cuts = ranges.where("_to <= _want").select("_sk", F.col("_top").alias("_h")).union(nearest).groupBy("_sk").agg(F.max("_h").alias("_cut"))
 
     blocks = blocks.join(cuts, "_sk", "left").withColumn("_cut", F.when(F.col("_stops"), F.coalesce("_cut", F.lit(-1).cast("long"))))
     blocks = blocks.withColumn("_copies", F.col("_passes") + (F.col("_whole") | F.col("_stops")).cast("int"))
@@ -150,7 +162,7 @@ def taken(docs: DataFrame, *, seed: str = "mix-1", id_col: str = "doc_id", text_
 
 def mix(docs: DataFrame, *, seed: str = "mix-1", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mixed rows: every column of ``docs``, a row for each copy, plus ``mix_pass``, ``mix_shard`` and ``mix_order``
-    (the order inside the shard; sort by it when writing). Where ``docs`` has such a name, ours gets a trailing ``_``."""
+    (the order inside the shard, by which ``in_shards`` writes). Where ``docs`` has such a name, ours gets a trailing ``_``."""
     sizes = stored(sized(docs, seed, id_col, text_col, source_col), "mix-sizes")
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
     rows = sized(docs.select(row, *(F.col(c).alias(n) for n, c in (("_id", id_col), ("_t", text_col), ("_s", source_col)))), seed, "_id", "_t", "_s", "_row")
@@ -158,3 +170,10 @@ def mix(docs: DataFrame, *, seed: str = "mix-1", id_col: str = "doc_id", text_co
     order = md5_long(F.lit(seed), F.lit("order"), F.col("_copy.shard"), F.col("_copy.pass"), F.col("doc_id"), F.col("_h"))
     name = lambda n: name(f"{n}_") if n in docs.columns else n
     return rows.select("_row.*", F.col("_copy.pass").alias(name("mix_pass")), F.col("_copy.shard").alias(name("mix_shard")), order.alias(name("mix_order")))
+
+
+def in_shards(mixed: DataFrame, columns: list[str], parts: int) -> DataFrame:
+    """The ``columns`` of mixed rows, shard behind shard and shuffled inside each: what is written has this order. A shard
+    of more rows than one of ``parts`` partitions holds goes over several, each a run of its order."""
+    shard, order = mixed.columns[-2:]
+    return mixed.repartitionByRange(parts, shard, order).sortWithinPartitions(shard, order).select(*columns)

@@ -3,17 +3,23 @@
 Words and adjacent word pairs are hashed to ``BUCKETS`` buckets. Two multinomials over the buckets are counted: one over
 the trusted target documents, one over all documents; both counts cover every document. A document's score is the sum of
 log(target / raw) over its n-grams divided by their number, and it is kept when the base rules pass and the score is at
-least ``threshold``.
+least the threshold.
+
+The threshold is taken from the run's own trusted documents, as scores shrink towards 0 with the size of the corpus: each
+of them that passes the base rules is scored with its own n-grams taken out of the target, and ``MARGIN`` below the
+``LEAST`` quantile of these scores (counted over all of them, to a thousandth) is the line. So about one in 200 documents
+like the trusted ones may come near it, and none is below by chance alone.
 
 Defined cases: null or empty text has no words, fails the base rules and scores 0; very long texts are scored whole;
-repeated rows score alike; no trusted document at all gives every document the score 0; an empty table gives an empty
-result; other columns are not looked at.
+repeated rows score alike; no trusted document at all gives every document the score 0, and all that pass the base rules
+are kept; an empty table gives an empty result; malformed UTF-8 is read as bytes; other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +28,9 @@ from pyspark.sql import functions as F
 
 from .common import broadcast_if, byte_texts, in_arrow, map_arrow, sliced
 
-BUCKETS = 1 << 14
-THRESHOLD = -0.22
+BUCKETS = 1 << 17
+LEAST, MARGIN = 0.005, 0.05
+_BIN = 1000
 SYMBOLS = b"#*$%&|<>"
 _SPACE = bytes(range(9, 14)) + b" "
 _CACHE_WORDS = 100_000
@@ -57,14 +64,14 @@ def numbered(texts: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np
     return vocabulary.numbered([w for words in split for w in words]), counts
 
 
-def buckets_of(numbers: np.ndarray, counts: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+def buckets_of(numbers: np.ndarray, counts: np.ndarray, vocabulary: Vocabulary, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
     """Bucket and text of every n-gram (words, then pairs) of the batch."""
     h = np.array(vocabulary.hashes, np.uint64)[numbers] if len(numbers) else np.zeros(0, np.uint64)
     doc = np.repeat(np.arange(len(counts)), counts)
     pair = doc[1:] == doc[:-1]
     two = (h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:] * np.uint64(0xC2B2AE3D27D4EB4F))[pair] >> np.uint64(40)
     one = (h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
-    return (np.concatenate([one, two]) % np.uint64(BUCKETS)).astype(np.int64), np.concatenate([doc, doc[1:][pair]])
+    return (np.concatenate([one, two]) % np.uint64(buckets)).astype(np.int64), np.concatenate([doc, doc[1:][pair]])
 
 
 def repeated_words(numbers: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -98,7 +105,7 @@ def repeated_words(numbers: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def base_counts(text: bytes) -> tuple[int, int, int]:
     """(word_chars, n_symbols, n_dup_lines) of a UTF-8 text."""
     solid = text.translate(None, _SPACE)
-    chars = len(solid) if solid.isascii() else len(solid.decode("utf-8", "surrogatepass"))
+    chars = len(solid) if solid.isascii() else len(solid.decode("utf-8", "replace"))
     symbols = len(text) - len(text.translate(None, SYMBOLS))
     lines = [x for x in text.split(b"\n") if x.strip(_SPACE)]
     return chars, symbols, len(lines) - len(set(lines))
@@ -121,15 +128,60 @@ def ngram_counts(docs: DataFrame, text_col: str = "text", trusted_col: str = "_t
     return parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
-def log_ratios(counts: DataFrame) -> np.ndarray:
-    """log(target / raw) a bucket, add-one smoothed; at most BUCKETS rows come to the driver."""
+class Model(NamedTuple):
+    """What documents are judged by."""
+
+    raw: np.ndarray  # counts a bucket, add-one smoothed
+    target: np.ndarray
+    threshold: float
+
+    @property
+    def ratios(self) -> np.ndarray:
+        """log(target / raw) a bucket; 0 where there is no target."""
+        if self.target.sum() == len(self.target):
+            return np.zeros(len(self.target))
+        return np.log(self.target / self.target.sum()) - np.log(self.raw / self.raw.sum())
+
+
+def counted(counts: DataFrame) -> Model:
+    """The counts as arrays; at most BUCKETS rows come to the driver."""
     raw, target = np.ones(BUCKETS), np.ones(BUCKETS)
     for bucket, r, t in counts.collect():
         raw[bucket] += r
         target[bucket] += t
-    if target.sum() == BUCKETS:
-        return np.zeros(BUCKETS)
-    return np.log(target / target.sum()) - np.log(raw / raw.sum())
+    return Model(raw, target, -MARGIN)
+
+
+def left_out(texts: list[bytes], model: Model, vocabulary: Vocabulary) -> np.ndarray:
+    """Scores of trusted texts against the target without them; NaN where the base rules fail."""
+    numbers, counts = numbered(texts, vocabulary)
+    bucket, doc = buckets_of(numbers, counts, vocabulary)
+    n = np.bincount(doc, minlength=len(texts))
+    _, where, own = np.unique(doc * BUCKETS + bucket, return_inverse=True, return_counts=True)
+    target = np.log((model.target[bucket] - own[where]) / (model.target.sum() - n)[doc])
+    weights = target - np.log(model.raw / model.raw.sum())[bucket]
+    out = np.bincount(doc, weights=weights, minlength=len(texts)) / np.maximum(n, 1)
+    out[(counts < 50) | (100 * repeated_words(numbers, counts) > 50 * counts)] = np.nan
+    return out
+
+
+def threshold_of(docs: DataFrame, model: Model, text_col: str = "text", trusted_col: str = "_trusted", least: float = LEAST, margin: float = MARGIN) -> float:
+    """``margin`` under the ``least`` quantile of the trusted documents' left-out scores, by a histogram of thousandths."""
+    shared, vocabulary = docs.sparkSession.sparkContext.broadcast(model), Vocabulary()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b for whole in batches for b in sliced(whole)):
+            scores = left_out(byte_texts(batch.column(0)), shared.value, vocabulary)
+            bins, n = np.unique(np.floor(scores[~np.isnan(scores)] * _BIN).astype(np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(n)], names=["bin", "n"])
+
+    bins = in_arrow(docs.where(F.col(trusted_col)).select(text_col), run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()
+    total, seen = sum(r["n"] for r in bins), 0
+    for r in sorted(bins):
+        seen += r["n"]
+        if seen > least * total:
+            return r["bin"] / _BIN - margin
+    return -margin
 
 
 SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, llr double, kept boolean"
@@ -150,39 +202,47 @@ def verdicts(texts: list[bytes], ratios: np.ndarray, vocabulary: Vocabulary, thr
     }
 
 
-def judged(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    vocabulary = Vocabulary()
+def judged(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    shared, vocabulary = docs.sparkSession.sparkContext.broadcast((model.ratios, model.threshold)), Vocabulary()
 
     def each(batch: pa.RecordBatch) -> dict:
+        ratios, threshold = shared.value
         return {"doc_id": batch.column(0)} | verdicts(byte_texts(batch.column(1)), ratios, vocabulary, threshold)
 
     return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")), f"doc_id {dict(docs.dtypes)[id_col]}, {SCHEMA}", each)
 
 
-def passing(docs: DataFrame, ratios: np.ndarray, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def passing(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that are kept; no join is needed to drop the others."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.ratios, model.threshold))
     at, vocabulary = docs.columns.index(text_col), Vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ratios, threshold = shared.value
         for batch in (b for whole in batches for b in sliced(whole)):
             yield batch.filter(pa.array(verdicts(byte_texts(batch.column(at)), ratios, vocabulary, threshold)["kept"]))
 
     return in_arrow(docs, run, docs.schema)
 
 
-def trust(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", broadcast_ids: int = 5_000_000) -> DataFrame:
+def trust(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", broadcast_ids: int = 2_000_000) -> DataFrame:
     """``docs`` with _trusted: labelled as of good quality, and not as toxic."""
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").alias("_good")).where("_good is not null").distinct().withColumn("_trusted", F.lit(True))
     return docs.join(broadcast_if(good, broadcast_ids), docs[id_col] == F.col("_good"), "left").drop("_good")
 
 
-def quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Counts over every document, then the threshold over every trusted one."""
+    trusted = trust(docs.select(id_col, text_col), labels, id_col)
+    model = counted(ngram_counts(trusted, text_col))
+    return model._replace(threshold=threshold_of(trusted, model, text_col))
+
+
+def quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row a document: the base counts, base_failed, the score llr, and kept."""
-    ratios = log_ratios(ngram_counts(trust(docs.select(id_col, text_col), labels, id_col), text_col))
-    return judged(docs, ratios, id_col, text_col, threshold)
+    return judged(docs, train(docs, labels, id_col, text_col), id_col, text_col)
 
 
-def keep(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def keep(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that the rules reject."""
-    ratios = log_ratios(ngram_counts(trust(docs.select(id_col, text_col), labels, id_col), text_col))
-    return passing(docs, ratios, text_col, threshold)
+    return passing(docs, train(docs, labels, id_col, text_col), text_col)

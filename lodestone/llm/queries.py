@@ -12,7 +12,9 @@ from .common import table
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix.taken(table(spark, sf_dir, "documents")).drop("shards")
+    """The shards are those that the splitting tree deals the document's copies, in the order of the passes."""
+    out = mix.taken(table(spark, sf_dir, "documents"))
+    return out.withColumn("shards", F.array_join(F.col("shards").cast("array<string>"), ","))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +73,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _HEX = "('0x' || substr(md5({}), 1, 15))::BIGINT"
 
+#: A level of the splitting tree: slots of a node in seeded order, the first ones to its left half.
+_LEVELS = "\n".join(
+    f"""drawn{k} AS (
+  SELECT lo, hi, (lo + hi) // 2 AS mid, sk, everything, row_number() OVER (PARTITION BY lo, hi ORDER BY {_HEX.format("'mix-1|' || lo || '|' || hi || '|' || sk || '|' || slot")}, sk, slot) AS rk
+  FROM (SELECT *, unnest(range(1, n + 1)) AS slot FROM tree{k})),
+halved{k} AS (
+  SELECT *, rk <= (mid * everything) // 16 - (lo * everything) // 16 AS l FROM drawn{k}),
+tree{k + 1} AS (
+  SELECT CASE WHEN l THEN lo ELSE mid END AS lo, CASE WHEN l THEN mid ELSE hi END AS hi, sk, everything, count(*) AS n FROM halved{k} GROUP BY ALL),"""
+    for k in range(4)
+)
+
 OP1_SQL = rf"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
@@ -95,7 +109,7 @@ placed AS (
   SELECT k.doc_id, k.size, k.h, s.*, least(floor(k.h / 1152921504606846976.0::DOUBLE * nb)::BIGINT, nb - 1) AS block
   FROM keyed k JOIN src s USING (sk)),
 blocks AS (
-  SELECT sk, block, sum(size) AS words, any_value(rest) AS rest FROM placed GROUP BY sk, block),
+  SELECT sk, block, sum(size) AS words, any_value(rest) AS rest, any_value(passes) AS passes FROM placed GROUP BY sk, block),
 ordered AS (
   SELECT *, sum(words) OVER (PARTITION BY sk ORDER BY {_HEX.format("'mix-1|block|' || sk || '|' || block")}, block ROWS UNBOUNDED PRECEDING) AS e FROM blocks),
 kinds AS (
@@ -105,22 +119,40 @@ steps AS (
   FROM placed p JOIN kinds k ON p.sk = k.sk AND p.block = k.block WHERE k.stops GROUP BY p.sk, p.h),
 cuts AS (
   SELECT sk, max(h) AS cut FROM (SELECT *, sum(w) OVER (PARTITION BY sk ORDER BY h) AS upto FROM steps)
-  WHERE upto - w / 2 <= want GROUP BY sk)
-SELECT p.doc_id, p.size, p.source_size, p.target,
-       (p.size * (p.passes + CASE WHEN k.whole OR (k.stops AND p.h <= coalesce(c.cut, -1)) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM placed p JOIN kinds k ON p.sk = k.sk AND p.block = k.block LEFT JOIN cuts c ON p.sk = c.sk
+  WHERE upto - w / 2 <= want GROUP BY sk),
+quotas AS (
+  SELECT sk, block, passes, whole, stops, row_number() OVER (PARTITION BY sk ORDER BY e, {_HEX.format("'mix-1|block|' || sk || '|' || block")}, block) - 1 AS pos,
+         count(*) OVER (PARTITION BY sk) AS n, passes + CASE WHEN whole OR stops THEN 1 ELSE 0 END AS copies FROM kinds),
+tree0 AS (
+  SELECT 0 AS lo, 16 AS hi, sk, sum(copies)::BIGINT AS n, sum(sum(copies)) OVER ()::BIGINT AS everything FROM quotas GROUP BY sk HAVING sum(copies) > 0),
+{_LEVELS}
+spans AS (
+  SELECT sk, lo AS shard, n, sum(n) OVER (PARTITION BY sk ORDER BY lo)::BIGINT AS upto FROM tree4),
+dealt AS (
+  SELECT sk, shard, unnest(range(upto - n, upto)) AS slot FROM spans),
+copied AS (
+  SELECT sk, block, pass, shard FROM (SELECT sk, block, n, pos, unnest(range(0, copies)) AS pass FROM quotas) q JOIN dealt d USING (sk)
+  WHERE d.slot = q.pass * q.n + q.pos),
+kept AS (
+  SELECT p.*, p.passes + CASE WHEN k.whole OR (k.stops AND p.h <= coalesce(c.cut, -1)) THEN 1 ELSE 0 END AS copies
+  FROM placed p JOIN kinds k ON p.sk = k.sk AND p.block = k.block LEFT JOIN cuts c ON p.sk = c.sk),
+lists AS (
+  SELECT sk, block, list(shard ORDER BY pass) AS shards FROM copied GROUP BY sk, block)
+SELECT k.doc_id, k.size, k.source_size, k.target, (k.size * k.copies)::BIGINT AS taken,
+       coalesce(array_to_string(list_transform(l.shards[:k.copies], lambda x: x::VARCHAR), ','), '') AS shards
+FROM kept k LEFT JOIN lists l ON k.sk = l.sk AND k.block = l.block
 """
 
 OP2_SQL = r"""
 WITH pages AS (
   SELECT doc_id, source, text, coalesce('v' || source, 'n') AS host FROM documents),
 totals AS (
-  SELECT host, count(DISTINCT text) AS pages FROM pages WHERE text IS NOT NULL GROUP BY host HAVING count(DISTINCT text) >= 20),
+  SELECT host, count(DISTINCT text) AS pages FROM pages WHERE text IS NOT NULL GROUP BY host),
 lines AS (
-  SELECT DISTINCT host, text, line FROM (SELECT host, text, unnest(string_split(text, chr(10))) AS line FROM pages) WHERE trim(line) <> ''),
+  SELECT DISTINCT host, text, line FROM (SELECT host, text, unnest(string_split(text, chr(10))) AS line FROM pages) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 boiler AS (
   SELECT l.host, line FROM lines l JOIN totals t ON l.host = t.host
-  GROUP BY l.host, line HAVING count(*) > 1 AND count(*) > any_value(t.pages) * 0.1::DOUBLE),
+  GROUP BY l.host, line HAVING count(*) >= 3 AND count(*) > any_value(t.pages) * 0.01::DOUBLE),
 sets AS (SELECT host, list(line) AS bad FROM boiler GROUP BY host),
 cut AS (
   SELECT doc_id, source, text, string_split(text, chr(10)) AS ls,

@@ -4,11 +4,15 @@ Heuristic labellers vote good, bad or nothing on every document. Votes are count
 table bounded by the number of patterns), and expectation-maximisation over the counts estimates each labeller's
 accuracy for good and for bad documents, and the share of good ones. The posterior of each pattern labels a bounded
 sample of documents (``SAMPLE``, those of the least hashes), on which a hashed linear scorer is fitted; it then scores
-every document.
+every document. The sample comes to the driver as bucket counts, at most BUCKETS numbers a document however long it is,
+in the order of the hashes, so that reruns agree.
+
+Documents are kept from a score of ``THRESHOLD``: the posterior's odds have to be 3 to 1 against a document, as a good one
+lost costs more here than a bad one kept. The labellers' limits leave a band between the votes where they abstain.
 
 Defined cases: null or empty text has no words and scores by its bias alone; very long texts are scored whole; repeated
-rows score alike; an empty table gives an empty result; with no votes at all every posterior is one half; other columns
-are not looked at.
+rows score alike, and rows of equal id and text may take several places of the sample; an empty table gives an empty
+result; with no votes at all every posterior is one half; malformed UTF-8 is read as bytes; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -19,9 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_texts, map_arrow, md5_long
-from .quality import BUCKETS, Vocabulary, buckets_of, numbered, repeated_words
+from .quality import Vocabulary, buckets_of, numbered, repeated_words
 
 SAMPLE = 4_000
+BUCKETS = 1 << 14
 THRESHOLD = 0.25
 _SPACE = bytes(range(9, 14)) + b" "
 _UPPER = bytes(range(65, 91))
@@ -119,20 +124,22 @@ def expectation_maximisation(counts: dict[str, int], rounds: int = 100) -> tuple
     return dict(zip(patterns, good.tolist(), strict=True)), chance, float(share)
 
 
-def fit(texts: list[bytes], posterior: np.ndarray, rounds: int = 60, rate: float = 2.0, decay: float = 1e-4) -> np.ndarray:
-    """Weights (BUCKETS + 1, the last the bias) of a logistic scorer of hashed n-gram shares, fitted to soft labels."""
-    if not texts:
+def fit(buckets: list[np.ndarray], counts: list[np.ndarray], posterior: np.ndarray, rounds: int = 60, rate: float = 2.0, decay: float = 1e-4) -> np.ndarray:
+    """Weights (BUCKETS + 1, the last the bias) of a logistic scorer of hashed n-gram shares, fitted to soft labels.
+
+    A document is the buckets that it has, ascending, and how many of its n-grams are in each.
+    """
+    n = len(buckets)
+    if not n:
         return np.zeros(BUCKETS + 1)
-    vocabulary = Vocabulary()
-    bucket, doc = buckets_of(*numbered(texts, vocabulary), vocabulary)
-    n = len(texts)
-    value = 1 / np.sqrt(np.maximum(np.bincount(doc, minlength=n), 1))[doc]
+    bucket, times, doc = np.concatenate(buckets).astype(np.int64), np.concatenate(counts).astype(np.float64), np.repeat(np.arange(n), [len(b) for b in buckets])
+    value = times / np.sqrt(np.maximum(np.bincount(doc, weights=times, minlength=n), 1))[doc]
     w = np.zeros(BUCKETS + 1)
     speed = np.zeros_like(w)
     balance = np.where(posterior > 0.5, 0.5 / max(1e-9, (posterior > 0.5).mean()), 0.5 / max(1e-9, (posterior <= 0.5).mean()))
     for _ in range(rounds):
         z = np.bincount(doc, weights=value * w[bucket], minlength=n) + w[-1]
-        error = (1 / (1 + np.exp(-z)) - posterior) * balance / max(1, n)
+        error = (1 / (1 + np.exp(-z)) - posterior) * balance / n
         g = np.append(np.bincount(bucket, weights=value * error[doc], minlength=BUCKETS), error.sum()) + decay * w
         speed = 0.9 * speed + g
         w -= rate * speed
@@ -144,7 +151,7 @@ def scored(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_co
 
     def each(batch: pa.RecordBatch) -> dict:
         texts = byte_texts(batch.column(1))
-        bucket, doc = buckets_of(*numbered(texts, vocabulary), vocabulary)
+        bucket, doc = buckets_of(*numbered(texts, vocabulary), vocabulary, BUCKETS)
         n = np.bincount(doc, minlength=len(texts))
         z = np.bincount(doc, weights=weights[bucket], minlength=len(texts)) / np.sqrt(np.maximum(n, 1)) + weights[-1]
         return {"doc_id": batch.column(0), "score": np.round(1 / (1 + np.exp(-np.clip(z, -30, 30))), 6)}
@@ -152,17 +159,30 @@ def scored(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_co
     return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")), f"doc_id {dict(docs.dtypes)[id_col]}, score double", each)
 
 
+def sampled(docs: DataFrame, id_col: str, text_col: str, sample: int) -> DataFrame:
+    """Rows (_h, votes, buckets, counts) of the ``sample`` documents of the least hashes, in their order."""
+    hashed = docs.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("_text"), md5_long(F.col(id_col), F.xxhash64(text_col)).alias("_h"))
+    # The sample's greatest hash first: numbers are ordered, and only the chosen texts are read again.
+    cut = hashed.select("_h").orderBy("_h").limit(sample).agg(F.max("_h")).first()[0]
+    vocabulary = Vocabulary()
+
+    def each(batch: pa.RecordBatch) -> dict:
+        texts = byte_texts(batch.column(0))
+        bucket, doc = buckets_of(*numbered(texts, vocabulary), vocabulary, BUCKETS)
+        found = [np.unique(bucket[doc == k], return_counts=True) for k in range(len(texts))]
+        return {"_h": batch.column(1), "votes": votes_of(texts, vocabulary), "buckets": [b for b, _ in found], "counts": [n for _, n in found]}
+
+    chosen = map_arrow(hashed.where(F.col("_h") <= F.lit(-1 if cut is None else cut)), "_h long, votes string, buckets array<int>, counts array<int>", each)
+    return chosen.orderBy("_h", "votes", "buckets", "counts").limit(sample)  # ties at the cut are rows of equal id and text
+
+
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> tuple[np.ndarray, dict[str, float]]:
     """The scorer's weights, and the posterior of each pattern of votes."""
     counts = {r["votes"]: r["n"] for r in voted(docs, id_col, text_col).groupBy("votes").agg(F.count("*").alias("n")).collect()}
     posterior, _, _ = expectation_maximisation(counts)
-    hashed = docs.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("_text"), md5_long(F.col(id_col), F.xxhash64(text_col)).alias("_h"))
-    # The sample's greatest hash first: numbers are ordered, and only the chosen texts come to the driver.
-    cut = hashed.select("_h").orderBy("_h").limit(sample).agg(F.max("_h")).first()[0]
-    chosen = hashed.where(F.col("_h") <= F.lit(-1 if cut is None else cut)).select("_text").limit(2 * sample)
-    texts = [r["_text"].encode() for r in chosen.collect()]
-    votes = votes_of(texts, Vocabulary()) if texts else []
-    return fit(texts, np.array([posterior.get(v, 0.5) for v in votes])), posterior
+    rows = sampled(docs, id_col, text_col, sample).collect()
+    labels = np.array([posterior.get(r["votes"], 0.5) for r in rows])
+    return fit([np.array(r["buckets"], np.int64) for r in rows], [np.array(r["counts"], np.float64) for r in rows], labels), posterior
 
 
 def classify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:

@@ -2,8 +2,10 @@
 
 import hashlib
 import itertools
+import os
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -99,6 +101,12 @@ def test_line_dedup(spark):
     out = {r["doc_id"]: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, DOC), F.col("source")).collect()}
     assert out[0]["text"] == "body 0 of page\n" and out[0]["n_dropped"] == 2 and out[0]["n_lines"] == 4
     assert out[41]["text"] is None and out[42]["text"] == "menu" and out[43]["text"] == "menu\nz" and out[0]["note"] == "x"
+    few = [(i, "\t\r\nmenu\n" + f"x {i}", None, "x") for i in range(3)] + [(9, "\t\r\nmenu\nz", "h9", "x")]
+    out = {r["doc_id"]: r for r in line_dedup.dedup_lines(spark.createDataFrame(few, DOC).withColumnRenamed("note", "n_lines"), F.col("source")).collect()}
+    assert [out[i]["text"] for i in (0, 9)] == ["\t\r\nx 0", "\t\r\nmenu\nz"] and out[0]["n_lines"] == "x" and out[0]["n_lines_"] == 3  # blank lines stay; a null host is one; two pages are too few
+    many = spark.createDataFrame([(i, f"menu\np {i}\n" + "long " * 40_000 * (i == 0), "h", "x") for i in range(40)], DOC)
+    a, b = (sorted(map(tuple, line_dedup.dedup_lines(many, F.col("source"), broadcast_lines=n).collect())) for n in (10, 0))
+    assert a == b and all(r[5] == 1 for r in a)
     copies = spark.createDataFrame([(i, "one\ntwo", "h", "x") for i in range(50)] + [(100 + i, f"page {i}", "h", "x") for i in range(30)], DOC)
     assert line_dedup.dedup_lines(copies, F.col("source")).where("n_dropped > 0").count() == 0
 
@@ -111,6 +119,36 @@ def base_counts(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(hit)
 
 
+def ngram_buckets(t):
+    h = [zlib.crc32(w) for w in (t or "").encode().split()]
+    m = (1 << 64) - 1
+    one = [((x * 0x9E3779B97F4A7C15 & m) >> 40) % quality.BUCKETS for x in h]
+    return one + [((x * 0x9E3779B97F4A7C15 + y * 0xC2B2AE3D27D4EB4F & m) >> 40) % quality.BUCKETS for x, y in zip(h, h[1:], strict=False)]
+
+
+def brute_quality(rows, good):
+    """Scores of (id, text) rows and the threshold, by plain counting; ``good`` are the trusted ids."""
+    raw, target = np.ones(quality.BUCKETS), np.ones(quality.BUCKETS)
+    for i, t in rows:
+        for b in ngram_buckets(t):
+            raw[b] += 1
+            target[b] += i in good
+    base = np.log(raw / raw.sum())
+    ratio = np.log(target / target.sum()) - base
+    passes = lambda t: (lambda n, *_, repeats: n >= 50 and 100 * repeats <= 50 * n)(*base_counts(t)[:4], repeats=base_counts(t)[4])
+    own = []
+    for i, t in rows:
+        if i in good and passes(t):
+            b = np.array(ngram_buckets(t))
+            without = target.copy()
+            np.subtract.at(without, b, 1)
+            own.append(np.floor(float((np.log(without[b] / without.sum()) - base[b]).mean()) * 1000))
+    own.sort()
+    line = own[int(quality.LEAST * len(own))] / 1000 - quality.MARGIN if own else -quality.MARGIN
+    score = lambda t: float(ratio[ngram_buckets(t)].mean()) if ngram_buckets(t) else 0.0
+    return [(i, t, score(t), passes(t) and round(score(t), 9) >= line) for i, t in rows], line
+
+
 def test_quality_base_counts_and_scores(spark, edge):
     df, rows = edge
     extra = [(200, "a b c d a b c e a b c", "s", "n"), (201, "x# *y$\nx# *y$\n\n%&|<>", "s", "n"), (202, " x y z", "s", "n")]
@@ -121,24 +159,9 @@ def test_quality_base_counts_and_scores(spark, edge):
     assert Counter((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) for r in got) == want
     for r in got:
         assert r["base_failed"] == (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"])
-        assert r["kept"] == (not r["base_failed"] and r["llr"] >= quality.THRESHOLD)
-    # scores against plain counting
-    import zlib
-
-    def buckets(t):
-        h = [zlib.crc32(w) for w in (t or "").encode().split()]
-        m = (1 << 64) - 1
-        one = [((x * 0x9E3779B97F4A7C15 & m) >> 40) % quality.BUCKETS for x in h]
-        return one + [((x * 0x9E3779B97F4A7C15 + y * 0xC2B2AE3D27D4EB4F & m) >> 40) % quality.BUCKETS for x, y in zip(h, h[1:], strict=False)]
-
-    raw, good = np.ones(quality.BUCKETS), np.ones(quality.BUCKETS)
-    for i, t, *_ in rows + extra:
-        for b in buckets(t):
-            raw[b] += 1
-            good[b] += i is not None and i < 20
-    ratio = np.log(good / good.sum()) - np.log(raw / raw.sum())
-    want = sorted((str(i), round(float(ratio[buckets(t)].mean()) if buckets(t) else 0.0, 6)) for i, t, *_ in rows + extra)
-    assert sorted((str(r["doc_id"]), round(r["llr"], 6)) for r in got) == want
+    judged, line = brute_quality([(i, t) for i, t, *_ in rows + extra], set(range(20)))
+    assert sorted((str(r["doc_id"]), round(r["llr"], 6), r["kept"]) for r in got) == sorted((str(i), round(x, 6), bool(k)) for i, _, x, k in judged)
+    assert 10 < sum(k for *_, k in judged) < len(judged)
     assert sorted(str(r["doc_id"]) for r in quality.keep(df, labels).collect()) == sorted(str(r["doc_id"]) for r in got if r["kept"])
 
 
@@ -370,6 +393,55 @@ def test_weak_labels_find_the_better_labellers():
     assert posterior["++++++--"] > 0.9 and posterior["------++"] < 0.1
 
 
+def test_classifier_against_plain_python(spark, edge):
+    """Votes, EM, sample and scorer again, without buckets' vectors; and reruns agree."""
+    df, rows = edge
+    got = weak_labels.classify(df, sample=40).collect()
+    texts = [(t or "").encode() for _, t, *_ in rows]
+    votes = [v for t in texts for v in weak_labels.votes_of([t], quality.Vocabulary())]
+    posterior, *_ = weak_labels.expectation_maximisation(Counter(votes))
+    h = {(r["doc_id"], r["text"]): r["_h"] for r in df.withColumn("_h", weak_labels.md5_long(F.col("doc_id"), F.xxhash64("text"))).collect()}
+    chosen = sorted((h[i, t], t) for i, t, *_ in rows if t is not None)[:40]
+    n = weak_labels.BUCKETS
+    grams = lambda t: Counter(b % n for b in _wide_buckets(t))
+    x = np.zeros((len(chosen), n + 1))
+    for k, (_, t) in enumerate(chosen):
+        for b, c in grams(t).items():
+            x[k, b] = c / np.sqrt(max(1, sum(grams(t).values())))
+    x[:, -1] = 1
+    y = np.array([posterior[weak_labels.votes_of([t.encode()], quality.Vocabulary())[0]] for _, t in chosen])
+    share = (y > 0.5).mean()
+    weight = np.where(y > 0.5, 0.5 / max(1e-9, share), 0.5 / max(1e-9, 1 - share)) / len(y)
+    w, speed = np.zeros(n + 1), np.zeros(n + 1)
+    for _ in range(60):
+        speed = 0.9 * speed + x.T @ ((1 / (1 + np.exp(-x @ w)) - y) * weight) + 1e-4 * w
+        w = w - 2.0 * speed
+    for r in got:
+        text = next(t for i, t, *_ in rows if i == r["doc_id"])
+        z = sum(w[b] * c for b, c in grams(text).items()) / np.sqrt(max(1, sum(grams(text).values()))) + w[-1]
+        assert abs(r["score"] - 1 / (1 + np.exp(-z))) < 2e-6 and r["kept"] == (r["score"] >= weak_labels.THRESHOLD)
+    again = weak_labels.classify(df.repartition(1), sample=40).collect()
+    key = lambda r: (str(r["doc_id"]), r["score"])
+    assert sorted(map(key, got)) == sorted(map(key, again))
+
+
+def _wide_buckets(t):
+    h = [zlib.crc32(w) for w in (t or "").encode().split()]
+    m = (1 << 64) - 1
+    return [(x * 0x9E3779B97F4A7C15 & m) >> 40 for x in h] + [(x * 0x9E3779B97F4A7C15 + y * 0xC2B2AE3D27D4EB4F & m) >> 40 for x, y in zip(h, h[1:], strict=False)]
+
+
+def test_classifier_on_the_labelled_documents(spark):
+    """Held against labels that it never sees, where the synthetic tables are there."""
+    sf = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf):
+        pytest.skip("no synthetic tables")
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    rows = weak_labels.classify(docs).join(labels, "doc_id").select("kept", "quality").collect()
+    kept = lambda q: [r["kept"] for r in rows if r["quality"] == q]
+    assert np.mean(kept(1)) > 0.98 and np.mean(kept(0)) < 0.2
+
+
 def test_classifier_scores_clean_over_junk(spark):
     rnd = random.Random(8)
     vocab = ["".join(rnd.choices("abcdefgh", k=rnd.randint(2, 8))) for _ in range(200)]
