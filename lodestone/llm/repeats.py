@@ -14,12 +14,13 @@ One suffix array of 100 TB can't be built, so the corpus is cut into shards such
    hash of each whole window, which is exact as well and needs no task to hold them.
 
 Every step moves a few dozen bytes for each anchor (about one in 85 bytes), not texts, except for the final pass.
+Anchors and contexts that occur over ``OFTEN`` times are met by broadcast, where these are few, or dealt out by text.
 
-Equality of whole contexts is judged by 64-bit hashes inside one anchor (also 64 bits).
+Equality of whole contexts is judged by 128-bit hashes of their bytes inside one anchor.
 
 Defined cases: null text is empty; texts under 200 bytes keep everything; very long texts are worked through in
-overlapping pieces; repeated rows, also of equal ids, are copies of each other; null or repeated ids are allowed; an empty
-table gives an empty result; other columns are not looked at.
+overlapping pieces; repeated rows, also of equal ids, are copies of each other; null or repeated ids are allowed (a row is
+then told by the md5 of id and text); an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -29,15 +30,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if, byte_texts, in_arrow, map_arrow, sliced, stored
+from .common import bounded, broadcast_if, byte_texts, in_arrow, map_arrow, sliced, stored
 from .suffixes import permuted_lcp, suffix_array
 
 SPAN, GRAM = 200, 32
 HOT = 2_000
 SHARD_BYTES = 1 << 18
+OFTEN, OFTEN_ROWS, DEALT = 2_000, 200_000, 32
 _WINDOW = SPAN - GRAM + 1
 _PIECE = 1 << 20
 _SHAPE = _WINDOW + 1  # a context's windows, and its anchor's place, are under this: both go into one short
@@ -71,7 +74,8 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def contexts(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(row, first window, last window, place of the anchor, anchor, context hash) of every context of the texts; windows are their start bytes."""
+    """(row, first window, last window, place of the anchor, anchor, two halves of the context's hash) of every context of
+    the texts; windows are their start bytes."""
     out = []
     run, base, rows, size = [], [], [], 0
 
@@ -91,7 +95,7 @@ def contexts(texts: list[bytes]) -> tuple[np.ndarray, ...]:
             size += len(piece)
     flush()
     if not out:
-        return tuple(np.zeros(0, t) for t in (np.int64,) * 6)
+        return tuple(np.zeros(0, t) for t in (np.int64,) * 7)
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -126,21 +130,32 @@ def _contexts(data: bytes, lengths: np.ndarray, base: np.ndarray, rows: np.ndarr
     first = inside[fresh]
     last = inside[np.append(np.flatnonzero(fresh)[1:] - 1, len(inside) - 1)]
     at = place[first]
-    content = (total[last + SPAN] - total[first]) * down[first]
-    shape = ((at - first) * 4096 + (last - first)).astype(np.uint64)
-    context = _mixed(content ^ (shape * np.uint64(0xC2B2AE3D27D4EB4F)))
+    # Equal bytes have equal windows, but the same bytes may stand round the anchor's gram at another place.
+    view, digest = memoryview(data), xxhash.xxh3_128_digest
+    seeds = ((at - first) * _SHAPE + last - first).tolist()
+    hashes = b"".join([digest(view[a:b], s) for a, b, s in zip(first.tolist(), (last + SPAN).tolist(), seeds, strict=True)])
+    context, check = np.frombuffer(hashes, np.int64).reshape(-1, 2).T
     p = piece[first]
-    return rows[p], first - starts[p] + base[p], last - starts[p] + base[p], at - first, gram[at].view(np.int64), context.view(np.int64)
+    return rows[p], first - starts[p] + base[p], last - starts[p] + base[p], at - first, gram[at].view(np.int64), context, check
+
+
+def _kind(df: DataFrame) -> tuple[str, pa.DataType]:
+    """Spark's and Arrow's type of the row ids."""
+    return ("long", pa.int64()) if dict(df.dtypes)["rid"] == "bigint" else ("binary", pa.binary())
 
 
 def _context_rows(docs: DataFrame) -> DataFrame:
+    name, kind = _kind(docs)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b for whole in batches for b in sliced(whole)):
-            row, first, last, place, anchor, context = contexts(byte_texts(batch.column(1)))
-            rids = batch.column(0).to_numpy()[row]
-            yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(first.astype(np.int32)), pa.array((place * _SHAPE + last - first).astype(np.int16)), pa.array(anchor), pa.array(context)], names=["rid", "first", "shape", "anchor", "context"])
+            row, first, last, place, anchor, context, check = contexts(byte_texts(batch.column(1)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).cast(kind).take(pa.array(row)), pa.array(first.astype(np.int32)), pa.array((place * _SHAPE + last - first).astype(np.int16)), pa.array(anchor), pa.array(context), pa.array(check)],
+                names=["rid", "first", "shape", "anchor", "context", "check"],
+            )
 
-    return in_arrow(docs.select("rid", "_text"), run, "rid long, first int, shape short, anchor long, context long")
+    return in_arrow(docs.select("rid", "_text"), run, f"rid {name}, first int, shape short, anchor long, context long, check long")
 
 
 def repeated_windows(segments: list[bytes]) -> list[np.ndarray]:
@@ -168,6 +183,7 @@ def _runs(at: np.ndarray) -> list[tuple[int, int]]:
 
 def _sharded(segments: DataFrame) -> DataFrame:
     """Rows (rid, first, last) of repeated windows; ``segments`` are dealt by anchor, and sorted by it in each task."""
+    name, kind = _kind(segments)
 
     def solve(rids: list, firsts: list, texts: list) -> pa.RecordBatch:
         r, a, b = [], [], []
@@ -176,7 +192,7 @@ def _sharded(segments: DataFrame) -> DataFrame:
                 r.append(rid)
                 a.append(first + x)
                 b.append(first + y)
-        return pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array(a, pa.int32()), pa.array(b, pa.int32())], names=["rid", "first", "last"])
+        return pa.RecordBatch.from_arrays([pa.array(r, kind), pa.array(a, pa.int32()), pa.array(b, pa.int32())], names=["rid", "first", "last"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rids, firsts, texts, size, anchor = [], [], [], 0, None
@@ -193,13 +209,14 @@ def _sharded(segments: DataFrame) -> DataFrame:
         if texts:
             yield solve(rids, firsts, texts)
 
-    return in_arrow(segments, run, "rid long, first int, last int")
+    return in_arrow(segments, run, f"rid {name}, first int, last int")
 
 
 def _cut_segments(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Fetch the bytes of the wanted contexts: rows (anchor, hot, rid, first, place, segment)."""
     lists = wanted.groupBy("rid").agg(F.collect_list(F.struct("anchor", "hot", "first", "shape")).alias("_wanted"))
     rows = docs.select("rid", "_text").join(lists, "rid")
+    name, kind = _kind(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b for whole in batches for b in sliced(whole)):
@@ -209,9 +226,9 @@ def _cut_segments(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     first, (place, more) = w["first"], divmod(w["shape"], _SHAPE)
                     for column, value in zip(out, (w["anchor"], w["hot"], rid, first, place, text[first : first + more + SPAN]), strict=True):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["anchor", "hot", "rid", "first", "place", "segment"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.bool_(), kind, pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["anchor", "hot", "rid", "first", "place", "segment"])
 
-    return in_arrow(rows.select("rid", "_text", "_wanted"), run, "anchor long, hot boolean, rid long, first int, place int, segment binary")
+    return in_arrow(rows.select("rid", "_text", "_wanted"), run, f"anchor long, hot boolean, rid {name}, first int, place int, segment binary")
 
 
 PART = 21
@@ -222,6 +239,7 @@ def _parts(segments: DataFrame) -> DataFrame:
 
     ``segments`` has the place of the anchor in the segment; the key is a hash of the bytes common to a part's windows.
     """
+    name, kind = _kind(segments)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = lambda b: hashlib.blake2b(b, digest_size=16).digest()
@@ -236,13 +254,14 @@ def _parts(segments: DataFrame) -> DataFrame:
                     part = text[a : b + SPAN]
                     for column, value in zip(out, (key, digest(part), rid, first + a, part), strict=True):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["key", "content", "rid", "first", "segment"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.binary(), pa.binary(), kind, pa.int32(), pa.binary()), strict=True)], names=["key", "content", "rid", "first", "segment"])
 
-    return in_arrow(segments.select("anchor", "rid", "first", "place", "segment"), run, "key binary, content binary, rid long, first int, segment binary")
+    return in_arrow(segments.select("anchor", "rid", "first", "place", "segment"), run, f"key binary, content binary, rid {name}, first int, segment binary")
 
 
 def _window_rows(parts: DataFrame) -> DataFrame:
     """Rows (digest, rid, first) of every window of the parts."""
+    name, kind = _kind(parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,9 +271,19 @@ def _window_rows(parts: DataFrame) -> DataFrame:
                     digests.append(hashlib.blake2b(text[k : k + SPAN], digest_size=16).digest())
                     rids.append(rid)
                     firsts.append(first + k)
-            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(rids, pa.int64()), pa.array(firsts, pa.int32())], names=["digest", "rid", "first"])
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(rids, kind), pa.array(firsts, pa.int32())], names=["digest", "rid", "first"])
+
+    return in_arrow(parts, run, f"digest binary, rid {name}, first int")
+
 
-    return in_arrow(parts, run, "digest binary, rid long, first int")
+def _met(rows: DataFrame, once: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` joined to ``once`` (a row a key, with how many rows ``n`` the key has), whatever a key's share of them."""
+    often = once.where(F.col("n") > OFTEN)
+    if bounded(often, OFTEN_ROWS):
+        rest = rows.join(F.broadcast(often.select(*on)), on, "left_anti").join(once.where(F.col("n") <= OFTEN), on)
+        return rest.unionByName(rows.join(F.broadcast(often), on))
+    parts = once.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))))
+    return rows.withColumn("_part", F.pmod(F.xxhash64("rid", "first"), F.lit(DEALT)).cast("int")).join(parts, [*on, "_part"]).drop("_part")
 
 
 def repeated_ranges(docs: DataFrame, hot: int = HOT) -> DataFrame:
@@ -262,11 +291,13 @@ def repeated_ranges(docs: DataFrame, hot: int = HOT) -> DataFrame:
     parts = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     more = (F.col("shape") % _SHAPE).cast("int")
     rows = stored(_context_rows(docs), "contexts")
-    met = rows.groupBy("anchor").agg(F.min("context").alias("_a"), F.max("context").alias("_b"), F.count("*").alias("_n")).where("_n > 1").select("anchor", (F.col("_a") != F.col("_b")).alias("mixed"))
-    shared = stored(rows.join(met, "anchor"), "shared")
-    kinds = shared.groupBy("anchor", "context", "mixed").agg(F.count("*").alias("n"), F.min(F.struct("rid", "first", "shape")).alias("one"))
+    told = F.struct("context", "check")
+    met = rows.groupBy("anchor").agg(F.min(told).alias("_a"), F.max(told).alias("_b"), F.count("*").alias("n")).where("n > 1").select("anchor", "n", (F.col("_a") != F.col("_b")).alias("mixed"))
+    shared = stored(_met(rows, stored(met, "met"), ["anchor"]).drop("n"), "shared")
+    kinds = shared.groupBy("anchor", "context", "check", "mixed").agg(F.count("*").alias("n"), F.min(F.struct("rid", "first", "shape")).alias("one"))
     kinds = stored(kinds, "kinds")
-    whole = shared.join(kinds.where("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi").select("rid", "first", (F.col("first") + more).alias("last"))
+    again = kinds.where("n > 1").select("anchor", "context", "check", "n")
+    whole = _met(shared, again, ["anchor", "context", "check"]).select("rid", "first", (F.col("first") + more).alias("last"))
     # Anchors with a context that occurs once beside another one: these need the comparison.
     unsettled = kinds.where("mixed").groupBy("anchor").agg(F.min("n").alias("_least"), F.count("*").alias("_k")).where("_least = 1").select("anchor", (F.col("_k") > hot).alias("hot"))
     wanted = kinds.where("mixed").join(unsettled, "anchor").select("anchor", "hot", "one.*")
@@ -281,7 +312,7 @@ def _dealt_out(segments: DataFrame, hot: int, parts: int) -> DataFrame:
     """The repeated windows of hot anchors' contexts, by parts and then by windows."""
     pieces = stored(_parts(segments), "parts")
     kinds = stored(pieces.groupBy("key", "content").agg(F.count("*").alias("n"), F.min(F.struct("rid", "first", "segment")).alias("one")), "part-kinds")
-    whole = pieces.join(kinds.where("n > 1").select("key", "content"), ["key", "content"], "left_semi").select("rid", "first", (F.col("first") + F.length("segment") - SPAN).cast("int").alias("last"))
+    whole = _met(pieces, kinds.where("n > 1").select("key", "content", "n"), ["key", "content"]).select("rid", "first", (F.col("first") + F.length("segment") - SPAN).cast("int").alias("last"))
     unsettled = kinds.groupBy("key").agg(F.min("n").alias("_least"), F.count("*").alias("_k")).where("_least = 1 and _k > 1").select("key", (F.col("_k") > hot).alias("hot"))
     left = stored(kinds.join(unsettled, "key").select("key", "hot", "one.*"), "part-left")
     cold = left.where("not hot").select("key", "rid", "first", "segment").repartition(parts, "key").sortWithinPartitions("key")
@@ -292,10 +323,11 @@ def _dealt_out(segments: DataFrame, hot: int, parts: int) -> DataFrame:
 
 
 def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, _text, and rid: the id itself where ids are unique whole numbers, else a hash of id and text."""
+    """doc_id, _text, and rid: the id itself where ids are unique whole numbers, else the md5 of id and text."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     plain = dict(docs.dtypes)[id_col] in ("bigint", "int") and rows.where("doc_id is null").isEmpty() and rows.groupBy("doc_id").count().where("count > 1").isEmpty()
-    return rows.withColumn("rid", F.col("doc_id").cast("long") if plain else F.xxhash64("doc_id", "_text"))
+    told = F.concat_ws("|", F.coalesce(F.concat(F.lit("v"), F.col("doc_id").cast("string")), F.lit("n")), F.md5("_text"))
+    return rows.withColumn("rid", F.col("doc_id").cast("long") if plain else F.unhex(F.md5(told)))
 
 
 def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, keep_text: bool = False) -> DataFrame:

@@ -215,13 +215,13 @@ def test_forest_links_dense_groups():
 
 
 def brute_repeats(rows):
-    seen = Counter(b[k : k + 200] for _, t, *_ in rows for b in [(t or "").encode()] for k in range(len(b) - 199))
+    seen = Counter(xxhash.xxh3_128_intdigest(b[k : k + 200]) for _, t, *_ in rows for b in [(t or "").encode()] for k in range(len(b) - 199))
     out = []
     for i, t, *_ in rows:
         b = (t or "").encode()
         hit = bytearray(len(b))
         for k in range(len(b) - 199):
-            if seen[b[k : k + 200]] > 1:
+            if seen[xxhash.xxh3_128_intdigest(b[k : k + 200])] > 1:
                 hit[k : k + 200] = b"\1" * 200
         kept = bytes(x for x, h in zip(b, hit, strict=True) if not h)
         out.append((i, len(b), sum(hit), sum(1 for k in range(len(b)) if hit[k] and (k == 0 or not hit[k - 1])), hashlib.sha256(kept).hexdigest()))
@@ -230,13 +230,34 @@ def brute_repeats(rows):
 
 @pytest.mark.parametrize("hot", [2000, 2])
 def test_suffix_dedup(spark, edge, hot):
-    rows = [r for r in edge[1] if r[0] != 103]
+    rows = edge[1]
     passage = rows[20][1] + rows[21][1] + rows[22][1]
     rows = rows + [(400 + k, f"start {k} " * k + passage[k : 500 + 7 * k] + f" end {k}", "s", "n") for k in range(12)] + [(500, "z" * 700, "s", "n"), (501, passage[:200], "s", "n"), (502, "ab" * 300, "s", "n")]
     got = repeats.dedup(spark.createDataFrame(rows, DOC), hot=hot).collect()
     assert Counter(map(tuple, got)) == brute_repeats(rows)
 
 
+def test_suffix_dedup_of_texts_longer_than_a_piece(spark):
+    """Repeats on and near the borders of the pieces of a long text, with unique ids and without."""
+    rnd = random.Random(12)
+    body = bytearray(rnd.choices(b"abcdefghijklmnop", k=2_300_000))
+    for k, at in enumerate((0, (1 << 20) - 320, (1 << 20) - 150, (1 << 20) + 40, (2 << 20) - 199, len(body) - 260)):
+        body[at : at + 230 + k] = body[500_000 + 1000 * k : 500_230 + 1001 * k]
+    text = body.decode()
+    for ids in ((1, 2, 3), (1, None, 1)):
+        rows = [(ids[0], text, "s", "n"), (ids[1], text[1_500_000:1_500_900], "s", "n"), (ids[2], "q" + text[9000:9199], "s", "n")]
+        assert Counter(map(tuple, repeats.dedup(spark.createDataFrame(rows, DOC)).collect())) == brute_repeats(rows)
+
+
+def test_often_met_keys_are_dealt_out(spark, edge, monkeypatch):
+    rows = [(600 + k, f"{k} " + edge[1][20][1][:230], "s", "n") for k in range(40)] + edge[1][:30]
+    want = brute_repeats(rows)
+    for often, few in ((3, 1000), (3, 0)):  # by broadcast; by parts
+        monkeypatch.setattr(repeats, "OFTEN", often)
+        monkeypatch.setattr(repeats, "OFTEN_ROWS", few)
+        assert Counter(map(tuple, repeats.dedup(spark.createDataFrame(rows, DOC)).collect())) == want
+
+
 def test_suffix_arrays():
     rnd = random.Random(2)
     for _ in range(150):
