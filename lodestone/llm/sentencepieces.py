@@ -5,12 +5,18 @@ The model's protobuf is read field by field (no generated classes), and the enco
 scores imply, and byte fallback. Batches are encoded by the library's own threads.
 
 No text may cross a marker: where no piece of the vocabulary has a marker after another character, the text is cut before
-each run of markers. Merges can't cross such a cut, so the ids are those of the whole text, at a cost linear in it.
+each run of markers. Merges and best paths can't cross such a cut, so the ids are those of the whole text, at a cost linear
+in it. Without such a vocabulary the whole text is one cut.
 
 ``verify`` compares ids with the SentencePiece library's for every distinct piece between cuts that a task meets.
 
+Control, unknown, byte and unused pieces of a unigram model have strings in the library's trie that no text has, as only
+normal and user-defined pieces may match; user-defined ones get a score that always wins; what nothing matches is written
+in bytes here, where the model falls back to them.
+
 Defined cases: null or empty text has no ids; very long texts are encoded whole; repeated rows are alike; an empty table
-gives an empty result; the strings of control pieces in a text are ordinary text; other columns are not looked at.
+gives an empty result; the strings of control pieces in a text are ordinary text; malformed UTF-8 is read with replacement
+characters; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -109,7 +115,10 @@ def model_of(spec: Spec):
         vocab = {p: k for k, (p, _, _) in enumerate(spec.pieces)}
         return models.BPE(vocab, merges_of(spec.pieces), unk_token=spec.pieces[unk][0], fuse_unk=True, byte_fallback=spec.byte_fallback)
     if spec.model_type == UNIGRAM:
-        return models.Unigram([(p, s) for p, s, _ in spec.pieces], unk, spec.byte_fallback)
+        best = max((s for _, s, kind in spec.pieces if kind == NORMAL), default=0.0)
+        score = {NORMAL: lambda p, s: s, USER: lambda p, s: len(p.encode()) * best - 0.1}
+        # U+10FFFF is no character, so that pieces that nothing may match begin with it.
+        return models.Unigram([(p, score[kind](p, s)) if kind in score else (f"\U0010ffff{k}", 0.0) for k, (p, s, kind) in enumerate(spec.pieces)], unk, False)
     raise ValueError("only unigram and BPE models are supported")
 
 
@@ -130,6 +139,9 @@ class Backend:
         self.mark = MARK if self.spec.escape else " "
         inner = any(self.mark in p.lstrip(self.mark) for p, _, kind in self.spec.pieces if kind in (NORMAL, USER, UNUSED))
         self.cut = None if inner else re.compile(f"{self.mark}+[^{self.mark}]*|[^{self.mark}]+").findall
+        self.byte_ids = {int(p[3:5], 16): k for k, (p, _, kind) in enumerate(self.spec.pieces) if kind == BYTE}
+        self.unknown = next(k for k, (_, _, kind) in enumerate(self.spec.pieces) if kind == UNKNOWN)
+        self.in_bytes = self.spec.model_type == UNIGRAM and self.spec.byte_fallback and len(self.byte_ids) == 256
         self.bytes_of = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in self.spec.pieces]
         self.ids_of: dict[str, bytes] = {}  # little-endian 32-bit numbers
         self.wrong: set[str] = set()
@@ -150,8 +162,13 @@ class Backend:
 
     def learn(self, cuts: list[str]) -> None:
         """Encode cuts not met before, and hold them against SentencePiece."""
-        for cut, got in zip(cuts, self.tokenizer.encode_batch_fast(cuts, add_special_tokens=False), strict=True):
-            self.ids_of[cut] = array("i", got.ids).tobytes()
+        encode = self.tokenizer.encode_batch if self.in_bytes else self.tokenizer.encode_batch_fast  # the fast one has no offsets
+        for cut, got in zip(cuts, encode(cuts, add_special_tokens=False), strict=True):
+            ids = got.ids
+            if self.in_bytes and self.unknown in ids:
+                spelt = [[self.byte_ids[b] for b in cut[x:y].encode()] if k == self.unknown else [k] for k, (x, y) in zip(ids, got.offsets, strict=True)]
+                ids = [k for part in spelt for k in part]
+            self.ids_of[cut] = array("i", ids).tobytes()
         if self.original is not None:
             # Behind a letter, as cuts stand in a text: alone, a text of nothing but the dummy prefix would have no ids.
             lead = self.original.encode("a")
@@ -210,7 +227,7 @@ def tokenize(docs: DataFrame, *, model_path: str | None = None, id_col: str = "d
         engine, out = backend(broadcast.value, verify), {n: [] for n in ("n_tokens", "ids_sha256", "decoded_sha256", "round_trip", "parity", "ids")}
         piece = byte_texts(batch.column(1))
         if piece:
-            ids, parity = engine.encode([t.decode() for t in piece])
+            ids, parity = engine.encode([t.decode("utf-8", "replace") for t in piece])
             decoded = [engine.decode(x).encode() for x in ids]
             out["n_tokens"] += (len(x) // 4 for x in ids)
             out["ids_sha256"] += (hashlib.sha256(x).hexdigest() for x in ids)

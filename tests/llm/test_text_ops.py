@@ -285,9 +285,43 @@ def test_sentencepiece_round_trip_and_parity(spark, edge):
     assert all(r["round_trip"] for r in got if r["doc_id"] != 600)
 
 
-def test_unigram_models_are_rebuilt():
-    spec = sentencepieces.Spec([("<unk>", 0.0, 2), ("▁a", -1.0, 1), ("b", -2.0, 1), ("▁ab", -1.5, 1)], sentencepieces.UNIGRAM, False, b"", True, True, True)
-    assert sentencepieces.model_of(spec).__class__.__name__ == "Unigram"
+def model_proto(pieces, model_type, byte_fallback, dummy_prefix=True):
+    """A SentencePiece model's bytes, field by field."""
+    import struct
+
+    def varint(n):
+        return bytes([n & 127 | 128]) + varint(n >> 7) if n > 127 else bytes([n])
+
+    field = lambda k, data: varint(k << 3 | 2) + varint(len(data)) + data
+    number = lambda k, n: varint(k << 3) + varint(n)
+    out = b"".join(field(1, field(1, p.encode()) + varint(2 << 3 | 5) + struct.pack("<f", s) + number(3, kind)) for p, s, kind in pieces)
+    out += field(2, number(3, model_type) + number(4, len(pieces)) + number(35, int(byte_fallback)))
+    return out + field(3, field(1, b"identity") + number(3, int(dummy_prefix)) + number(4, 0) + number(5, 1))
+
+
+@pytest.mark.parametrize("byte_fallback", [True, False])
+def test_unigram_ids_equal_sentencepiece(byte_fallback):
+    import sentencepiece
+
+    rnd = random.Random(5)
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), ("<user>", 0.0, 4), ("▁<br>", 0.0, 4), ("gone", -1.0, 5)]
+    pieces += [(f"<0x{b:02X}>", 0.0, 6) for b in range(256)] if byte_fallback else []
+    seen = {p for p, *_ in pieces}
+    for p in ["▁", *"abcdefgé<>s/x0", *("".join(rnd.choices("▁" * (k % 3 == 0) + "abcdefgé", k=1) + rnd.choices("abcdefgé", k=rnd.randint(1, 4))) for k in range(120))]:
+        if p not in seen:
+            seen.add(p)
+            pieces.append((p, -rnd.uniform(2, 12), 1))
+    model = model_proto(pieces, sentencepieces.UNIGRAM, byte_fallback)
+    original = sentencepiece.SentencePieceProcessor(model_proto=model)
+    engine = sentencepieces.Backend(model)
+    texts = ["a<s>", "a<user>b <br> c", "gone", "<0x41> a", "日本 abc 😀é", "", " ", "  a  b ", "ab" * 400, "▁a", "zzz a", "</s><unk>", "a\ufffd"]
+    texts += ["".join(rnd.choices("abcdefgé  <z", k=rnd.randint(1, 60))) for _ in range(400)]
+    got, parity = engine.encode(texts)
+    for text, packed, same in zip(texts, got, parity, strict=True):
+        assert np.frombuffer(packed, np.int32).tolist() == original.encode(text), text
+        assert same
+        if byte_fallback:
+            assert engine.decode(packed) == text.replace("▁", " ")
 
 
 def brute_secrets(text):
