@@ -1,7 +1,7 @@
 """Long tokens are read whole, and recall alone sets the network's threshold."""
 
 import numpy as np
-from test_text_ops import DOC
+from test_text_ops import DOC, secret_scores
 
 from lodestone.llm import secrets
 
@@ -20,5 +20,5 @@ def test_key_in_the_middle_of_a_long_token(spark):
 def test_recall_sets_the_threshold():
     noisy = [(t, a, b, int(y or k % 4 == 0)) for k, (t, a, b, y) in enumerate(secrets.generated_findings(5, 600))]  # hard ones among the secrets
     net = secrets.train(noisy)
-    p = secrets.score(net, [secrets.window(t, a, b) for t, a, b, _ in noisy])
+    p = secret_scores(net, noisy)
     assert net.threshold < 0.5 and (p[np.array([x[3] for x in noisy]) == 1] >= net.threshold).mean() > 0.9
