@@ -49,7 +49,7 @@ def feature(payload: bytes) -> str:
     mean = float(counts @ np.arange(256)) / len(a)
     deviation = float(np.sqrt(max(0.0, counts @ (np.arange(256.0) ** 2) / len(a) - mean * mean)))
     cells = a.reshape(64, -1).astype(np.int64).sum(axis=1) * 64 > mean * len(a)
-    return f"mean={mean:.4f};std={deviation:.4f};entropy={float(-(share * np.log2(share)).sum()):.4f};hash={np.packbits(cells).tobytes().hex()}"
+    return f"mean={mean:.4f};std={deviation:.4f};entropy={abs(float((share * np.log2(share)).sum())):.4f};hash={np.packbits(cells).tobytes().hex()}"
 
 
 def to_media(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -5,7 +5,9 @@ cross-colour, subtract-green and palette transforms. Runs of literal grey pixels
 decoded a run at a time: numpy looks up the code at every bit position, and one pass follows the code lengths.
 
 The encoder writes grey images: samples in green with the subtract-green transform, prefix codes of limited length, and
-the constant tail of the padding as one back-reference.
+back-references for what is there again from ``MATCH`` samples on. It takes the palette for at most 16 different samples,
+and a predictor (left or above) where the residuals' entropy is lower by ``GAIN``. Grey pixels leave nothing to gain for
+the colour cache and the cross-colour transform, so these are only read.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ NEAR = (
 )
 PREDICTOR, CROSS_COLOR, SUBTRACT_GREEN, PALETTE = range(4)
 MAX_SIDE = 1 << 14
+MATCH, GAIN = 24, 0.98
 LONGEST = 12  # bits of a code that the encoder writes; the format allows 15
 _GREEN_CODES = 256 + 24
 
@@ -105,11 +108,16 @@ class Bits:
         return int(code.symbol[k])
 
 
+@lru_cache(maxsize=512)
+def _lone(symbol: int) -> Code:
+    return Code({symbol: 1})
+
+
 def read_code(bits: Bits, alphabet: int) -> Code:
     if bits.read(1):
         two, wide = bits.read(1), bits.read(1)
         symbols = [bits.read(8 if wide else 1)] + ([bits.read(8)] if two else [])
-        return Code(dict.fromkeys(symbols, 1))
+        return Code(dict.fromkeys(symbols, 1)) if two else _lone(symbols[0])
     given = [bits.read(3) for _ in range(4 + bits.read(4))]
     code = Code({s: n for s, n in zip(CODE_LENGTH_ORDER, given, strict=False) if n})
     left = 2 + bits.read(2 + 2 * bits.read(3)) if bits.read(1) else alphabet
@@ -137,6 +145,9 @@ def _amount(bits: Bits, prefix: int) -> int:
     return ((2 + (prefix & 1)) << extra) + bits.read(extra) + 1
 
 
+_RUN = 4096
+
+
 def _literal_run(bits: Bits, code: Code, most: int) -> np.ndarray:
     """The literals ahead, up to ``most`` and to the first symbol that isn't one; for codes of one symbol in red, blue, alpha."""
     room = (len(bits.data) << 3) - bits.at
@@ -175,6 +186,7 @@ def _entropy_image(bits: Bits, width: int, height: int, top: bool) -> np.ndarray
         groups = int(meta.max()) + 1
     codes = [[read_code(bits, n) for n in (_GREEN_CODES + len(cache), 256, 256, 256, 40)] for _ in range(groups)]
     out, n, total = np.zeros(width * height, np.uint32), 0, width * height
+    most = _RUN
 
     def put(pixel: int) -> None:
         nonlocal n
@@ -187,9 +199,15 @@ def _entropy_image(bits: Bits, width: int, height: int, top: bool) -> np.ndarray
         green, red, blue, alpha, dist = codes[int(meta[n // width >> side, n % width >> side]) if meta is not None else 0]
         grey = red.only is not None and blue.only is not None and alpha.only is not None
         if grey and meta is None and not cache and green.only is None:
-            run = _literal_run(bits, green, total - n)
-            out[n : n + len(run)] = (alpha.only << 24 | red.only << 16 | blue.only) | run.astype(np.uint32) << 8
-            n += len(run)
+            start = n
+            while n < total:
+                run = _literal_run(bits, green, min(most, total - n))
+                out[n : n + len(run)] = (alpha.only << 24 | red.only << 16 | blue.only) | run.astype(np.uint32) << 8
+                n += len(run)
+                if len(run) < most:
+                    break
+                most *= 4
+            most = 64 + 2 * (n - start)  # the next run is looked for as far as this one went
             if n == total:
                 break
         s = bits.symbol(green)
@@ -206,8 +224,12 @@ def _entropy_image(bits: Bits, width: int, height: int, top: bool) -> np.ndarray
                 back = max(1, x + y * width)
             if back > n or n + length > total:
                 raise ValueError("a back-reference leaves the image")
-            if back == 1 and not cache:
-                out[n : n + length] = out[n - 1]
+            if not cache:
+                at = n - back
+                if back >= length:
+                    out[n : n + length] = out[at : at + length]
+                else:  # what it writes is read again
+                    out[n : n + length] = np.resize(out[at:n], length)
                 n += length
             else:
                 for _ in range(length):
@@ -251,9 +273,19 @@ def _predicted(mode: int, left: list, top: list, corner: list, right: list) -> l
 
 
 def _add_prediction(pixels: np.ndarray, width: int, side: int, modes: np.ndarray) -> np.ndarray:
-    rest = _planes(pixels).tolist()
     across = (width + (1 << side) - 1) >> side
     mode_of = (modes >> 8 & 15).tolist()
+    if set(mode_of) in ({1}, {2}):  # all from the left, or all from above: running sums
+        planes = _planes(pixels).reshape(-1, width, 4)
+        planes[0, 0, 0] += 255
+        planes[0] = np.cumsum(planes[0], axis=0)
+        if mode_of[0] == 1:
+            planes[:, 0] = np.cumsum(planes[:, 0], axis=0)
+            planes[1:] = np.cumsum(planes[1:], axis=1)
+        else:
+            planes = np.cumsum(planes, axis=0)
+        return _packed(planes.reshape(-1, 4) & 255)
+    rest = _planes(pixels).tolist()
     for k, p in enumerate(rest):
         y, x = divmod(k, width)
         if k == 0:
@@ -399,7 +431,89 @@ def _length_prefix(length: int) -> tuple[int, str]:
     return 2 * n + high, low_first((length - 1) & ((1 << (n - 1)) - 1), n - 1)
 
 
-_CHARS = [chr(b) for b in range(256)]
+@lru_cache(maxsize=8)
+def _near_codes(width: int) -> dict[int, int]:
+    """Distance in pixels to the least short distance code."""
+    out: dict[int, int] = {}
+    for k, (x, y) in enumerate(NEAR, 1):
+        out.setdefault(x + y * width, k)
+    return out
+
+
+def matches(samples: np.ndarray) -> list[tuple[int, int, int]]:
+    """(place, length, distance) of back-references, ascending: greedily, to the nearest earlier place of MATCH samples."""
+    n = len(samples) - MATCH + 1
+    if n < 2:
+        return []
+    # Polynomial hashes of all runs of MATCH samples, by doubling: 8, 16 and 24 samples.
+    h = samples.astype(np.uint64)
+    for k, odd in ((1, 0x9E3779B97F4A7C15), (2, 0xC2B2AE3D27D4EB4F), (4, 0x165667B19E3779F9)):
+        h = h[:-k] * np.uint64(odd) + (h[k:] ^ (h[k:] >> np.uint64(29)))
+    h = h[: n + 16] * np.uint64(0xD6E8FEB86659FD93)
+    h = h[:n] + (h[8 : n + 8] >> np.uint64(7)) * np.uint64(0x9E3779B97F4A7C15) + (h[16 : n + 16] >> np.uint64(13)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    h = np.sort((h & np.uint64(0xFFFFFFFFFF000000)) | np.arange(n, dtype=np.uint64))  # the hash's high bits above the place
+    same = np.flatnonzero((h[1:] ^ h[:-1]) < np.uint64(1 << 24))
+    if not len(same):
+        return []
+    places = (h & np.uint64(0xFFFFFF)).astype(np.int64)
+    later, sooner = places[same + 1], places[same]
+    order = np.argsort(later)
+    data, out, free, total = samples.tobytes(), [], 0, len(samples)
+    for p, q in zip(later[order].tolist(), sooner[order].tolist(), strict=True):
+        if p < free:
+            continue
+        if p - q > (1 << 20) - 120 or data[q : q + MATCH] != data[p : p + MATCH]:
+            continue
+        length, step = MATCH, 64
+        while p + length < total and length < 4096:
+            step = min(step, total - p - length, 4096 - length)
+            if data[q + length : q + length + step] == data[p + length : p + length + step]:
+                length, step = length + step, step * 2
+            elif step == 1:
+                break
+            else:
+                step = max(1, step // 4)
+        out.append((p, length, p - q))
+        free = p + length
+    return out
+
+
+def _entropy(samples: np.ndarray) -> float:
+    counts = np.bincount(samples, minlength=256)
+    share = counts[counts > 0] / len(samples)
+    return float(-(share * np.log2(share)).sum())
+
+
+def _residuals(rows: np.ndarray, mode: int) -> np.ndarray:
+    """Samples less their prediction from the left (1) or from above (2), along the borders as the format has it."""
+    out = rows.copy()
+    out[0, 1:] -= rows[0, :-1]
+    out[1:, 0] -= rows[:-1, 0]
+    out[1:, 1:] -= rows[1:, :-1] if mode == 1 else rows[:-1, 1:]
+    return out
+
+
+def _flat_image(values: list[int]) -> str:
+    """An entropy-coded image of few pixels: alpha 255, red and blue 0, green as given; literals of a fixed length."""
+    counts = dict.fromkeys(values, 1)
+    lengths = code_lengths(counts, LONGEST)
+    strings = bit_strings(lengths) if len(counts) > 1 else {values[0]: ""}
+    return "0" + write_code(lengths, _GREEN_CODES) + "".join(write_code({s: 1}, 256) for s in (0, 0, 255)) + write_code({0: 1}, 40) + "".join(strings[v] for v in values)
+
+
+def _palette_image(colors: np.ndarray) -> str:
+    """The palette's greys, each less the one before; alpha is 255 and then 0."""
+    steps = np.diff(colors, prepend=0).astype(np.uint8).tolist()
+    counts: dict[int, int] = {}
+    for v in steps:
+        counts[v] = counts.get(v, 0) + 1
+    lengths = code_lengths(counts, LONGEST)
+    strings = bit_strings(lengths) if len(counts) > 1 else {steps[0]: ""}
+    alpha = {255: 1} if len(steps) == 1 else {0: 1, 255: 1}
+    signs = bit_strings(alpha) if len(steps) > 1 else {255: ""}
+    head = "0" + write_code(lengths, _GREEN_CODES) + write_code(lengths, 256) + write_code(lengths, 256)
+    head += write_code(alpha, 256) if len(steps) == 1 else "1" + "1" + "1" + low_first(0, 8) + low_first(255, 8)
+    return head + write_code({0: 1}, 40) + "".join(strings[v] * 3 + signs[255 if k == 0 else 0] for k, v in enumerate(steps))
 
 
 def encode_grey(samples: bytes, width: int) -> bytes:
@@ -407,31 +521,67 @@ def encode_grey(samples: bytes, width: int) -> bytes:
     height, odd = divmod(len(samples), width)
     if odd or not 0 < height <= MAX_SIDE or width > MAX_SIDE:
         raise ValueError("samples don't fill an image")
-    body = samples.rstrip(samples[-1:])
-    tail = len(samples) - len(body) - 1
-    body = body + samples[-1:]
-    if tail < 4:
-        body, tail = samples, 0
-    histogram = np.bincount(np.frombuffer(body, np.uint8), minlength=256)
-    counts = {int(s): int(histogram[s]) for s in np.flatnonzero(histogram)}
-    runs = []
-    while tail:
-        runs.append(min(tail, 4096))
-        tail -= runs[-1]
-    for r in runs:
-        s = 256 + _length_prefix(r)[0]
-        counts[s] = counts.get(s, 0) + 1
-    if len(counts) == 1 and not runs:
-        counts[(min(counts) + 1) & 255] = 1  # keep the code's bits: a code of one symbol has none
-    lengths = code_lengths(counts, LONGEST)
-    strings = bit_strings(lengths)
     head = low_first(0x2F, 8) + low_first(width - 1, 14) + low_first(height - 1, 14) + "0" + "000"
-    head += "1" + low_first(SUBTRACT_GREEN, 2) + "0" + "0" + "0"  # one transform; no colour cache, no meta codes
-    head += write_code(lengths, _GREEN_CODES) + "".join(write_code({s: 1}, 256) for s in (0, 0, 255)) + "1" + "0" + "0" + "1"
-    # The distance code is the one symbol 1: one to the left.
-    data = head + "".join(map({b: strings[b] for b in counts if b < 256}.__getitem__, body))
-    data += "".join(strings[256 + _length_prefix(r)[0]] + _length_prefix(r)[1] for r in runs)
-    size = (len(data) + 7) // 8
-    stream = int(data[::-1], 2).to_bytes(size, "little")
+    plain = np.frombuffer(samples, np.uint8)
+    colors = np.flatnonzero(np.bincount(plain, minlength=256))
+    across, alpha = width, 255
+    if len(colors) <= 16:
+        packing = 3 if len(colors) <= 2 else 2 if len(colors) <= 4 else 1
+        each = 8 >> packing
+        across = (width + (1 << packing) - 1) >> packing
+        index = np.zeros((height, across << packing), np.uint8)
+        index[:, :width] = np.searchsorted(colors, plain).reshape(height, width)
+        plain = (index.reshape(height, across, -1) << (np.arange(1 << packing, dtype=np.uint8) * each)).sum(axis=2, dtype=np.uint8).ravel()
+        head += "1" + low_first(PALETTE, 2) + low_first(len(colors) - 1, 8) + _palette_image(colors)
+    else:
+        rows = plain.reshape(height, width)
+        choices = [(_entropy(plain) * GAIN, 0)] + [(_entropy(_residuals(rows, mode).ravel()), mode) for mode in (1, 2)]
+        mode = min(choices)[1]
+        if mode:
+            side = 9  # one mode for blocks of 512 pixels
+            cells = ((width + 511) >> side) * ((height + 511) >> side)
+            head += "1" + low_first(PREDICTOR, 2) + low_first(side - 2, 3) + _flat_image([mode] * cells)
+            plain, alpha = _residuals(rows, mode).ravel(), 0
+        head += "1" + low_first(SUBTRACT_GREEN, 2)
+    found = matches(plain)
+    places = np.array([p for p, _, _ in found], np.int64)
+    literal = np.ones(len(plain), bool)
+    for p, length, _ in found:
+        literal[p : p + length] = False
+    near = _near_codes(across)
+    ahead = [(*_length_prefix(length), *_length_prefix(near.get(d, d + 120))) for _, length, d in found]
+    counts = np.bincount(plain[literal], minlength=_GREEN_CODES)
+    far: dict[int, int] = {}
+    for a, _, b, _ in ahead:
+        counts[256 + a] += 1
+        far[b] = far.get(b, 0) + 1
+    green = {int(s): int(counts[s]) for s in np.flatnonzero(counts)}
+    if len(green) == 1:
+        green[(min(green) + 1) & 255] = 1  # keep the code's bits: a code of one symbol has none
+    lengths, distances = code_lengths(green, LONGEST), code_lengths(far or {0: 1}, LONGEST)
+    if len(distances) == 1:
+        written = "1" + "0" + "1" + low_first(next(iter(distances)), 8)
+        back = dict.fromkeys(distances, "")
+    else:
+        written, back = write_code(distances, 40), bit_strings(distances)
+    head += "0" + "0" + "0"  # no more transforms; no colour cache, no meta codes
+    head += write_code(lengths, _GREEN_CODES) + "".join(write_code({s: 1}, 256) for s in (0, 0, alpha)) + written
+    strings = bit_strings(lengths)
+    deep = max(lengths.values())
+    digits, there = np.zeros((256, deep), np.uint8), np.zeros((256, deep), bool)
+    for s, bits in strings.items():
+        if s < 256:
+            digits[s, : len(bits)] = np.frombuffer(bits.encode(), np.uint8) - 48
+            there[s, : len(bits)] = True
+    parts = [np.frombuffer(head.encode(), np.uint8) - 48]
+    free = 0
+    for p, (_, length, _), (a, x, b, y) in zip(places.tolist(), found, ahead, strict=True):
+        parts += [digits[plain[free:p]][there[plain[free:p]]], np.frombuffer((strings[256 + a] + x + back[b] + y).encode(), np.uint8) - 48]
+        free = p + length
+    for k in range(free, len(plain), 1 << 16):
+        part = plain[k : min(len(plain), k + (1 << 16))]
+        parts.append(digits[part][there[part]])
+    stream = np.packbits(np.concatenate(parts), bitorder="little").tobytes()
+    size = len(stream)
     chunk = b"VP8L" + struct.pack("<I", size) + stream + b"\0" * (size & 1)
     return b"RIFF" + struct.pack("<I", 4 + len(chunk)) + b"WEBP" + chunk

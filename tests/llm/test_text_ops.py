@@ -403,6 +403,46 @@ def test_media_round_trip(spark, edge):
         assert bytes(r["pixels"]) == payload and r["payload_sha256"] == hashlib.sha256(payload).hexdigest() and r["n_bytes"] == len(text)
 
 
+def test_media_of_odd_payloads():
+    """What the encoder chooses: palettes, predictors, back-references near and far, and several files behind each other."""
+    rnd = random.Random(11)
+    used = set()
+    plain, refs = webp._entropy_image, webp.matches
+    cases = [b"", b"a", b"ab" * 300, b"x" * 5000, bytes(range(256)) * 10, rnd.randbytes(3000), b"0123456789" * 200 + b"abcdef", bytes(k // 7 % 251 for k in range(20_000)), bytes((3 * k + k // 576) % 256 for k in range(576 * 40)), rnd.randbytes(600) * 5]
+    cases += [bytes(rnd.randrange(rnd.choice([1, 2, 3, 5, 16, 17, 256])) for _ in range(rnd.randrange(2000))) for _ in range(60)]
+    for text in cases:
+        payload = media.padded(text)
+        form = media.stored_form(payload)
+        assert media.samples(form) == payload and form == media.stored_form(payload)
+        bits = webp.Bits(form[20:])
+        bits.read(8 + 28 + 4)
+        used.add((bits.read(1), bits.read(2)))
+        used.add(bool(refs(np.frombuffer(payload, np.uint8))))
+    assert {(1, webp.PALETTE), (1, webp.PREDICTOR), (1, webp.SUBTRACT_GREEN), True, False} <= used and plain
+    two = bytes(rnd.choices(b"abc def", k=media._FRAME)) + b"tail"
+    assert media.samples(media.stored_form(media.padded(two))) == media.padded(two) and media.stored_form(media.padded(two)).count(b"WEBPVP8L") == 2
+
+
+def test_media_digests_and_features(spark):
+    import zlib
+
+    rows = [(1, "é text " * 99, "s", "n"), (2, "é text " * 99, "s", "n"), (3, None, "s", "n"), (4, "", "s", "n"), (5, "a" * 1152, "s", "n")]
+    got = {r["doc_id"]: r for r in media.from_media(media.to_media(spark.createDataFrame(rows, DOC))).collect()}
+    for i, t, *_ in rows:
+        text = (t or "").encode()
+        payload = text + b"\xff" * (-len(text) % 576 or (0 if text else 576))
+        a = np.frombuffer(payload, np.uint8).astype(float)
+        share = np.array([c / len(a) for c in Counter(payload).values()])
+        cells = a.reshape(64, -1).mean(axis=1) > a.mean()
+        bits = "".join("01"[int(c)] for c in cells)
+        r = got[i]
+        assert (r["payload_bytes"], r["tail_crc32"]) == (len(payload), zlib.crc32(payload[-32:]))
+        form = media.stored_form(payload)
+        assert (r["media_bytes"], r["media_sha256"]) == (len(form), hashlib.sha256(form).hexdigest())
+        assert r["feature"] == f"mean={a.mean():.4f};std={a.std():.4f};entropy={abs((share * np.log2(1 / share)).sum()):.4f};hash={int(bits, 2):016x}"
+    assert got[1][1:] == got[2][1:] and got[3][1:] == got[4][1:]
+
+
 def _stream(width, height, body):
     bits = webp.low_first(0x2F, 8) + webp.low_first(width - 1, 14) + webp.low_first(height - 1, 14) + "0000" + body
     return int(bits[::-1], 2).to_bytes((len(bits) + 7) // 8, "little")
