@@ -1,78 +1,151 @@
 """Changes of stored tables: upsert, update, delete, counters, metadata; and table management.
 
-Tables are Parquet folders of versions: a change writes a new version beside the old one and then moves the pointer, so a
-failed change leaves nothing behind and readers never see half of one.
+A table is a folder of row files and a folder of numbered versions; a version lists the row folders that it consists of.
+A change writes new row folders, and only for the partitions that it touches, and then creates the next version's file,
+which is one step of the file system and fails where another writer was first. So a change that breaks off anywhere leaves
+the version before it, and readers of one of the last ``keep`` versions go on undisturbed.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from functools import reduce
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .filters import condition
 from .relational import latest
 
 
 class Table:
-    """A versioned folder; ``partition_by`` keeps datasets apart so that reads prune to theirs."""
+    """A versioned table; ``partition_by`` keeps datasets apart, so that reads prune to theirs and changes rewrite theirs.
 
-    def __init__(self, spark: SparkSession, path: str, partition_by: list[str] | None = None) -> None:
-        self.spark, self.path, self.partition_by = spark, path.rstrip("/"), partition_by or []
+    A partition column's value must be the same for all rows of a key, or the key's row moves: upsert finds it wherever it
+    is. Columns may be added by later rows; null partition values are a partition of their own.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, partition_by: list[str] | None = None, keep: int = 5) -> None:
+        self.spark, self.path, self.partition_by, self.keep = spark, path.rstrip("/"), partition_by or [], max(1, keep)
 
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return jvm, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return jvm.org.apache.hadoop.fs.Path, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def versions(self) -> list[int]:
+        path, fs = self._fs()
+        at = path(f"{self.path}/versions")
+        return sorted(int(f.getPath().getName()) for f in fs.listStatus(at) if f.getPath().getName().isdigit()) if fs.exists(at) else []
 
-    def _pointer(self) -> str:
-        return f"{self.path}/current"
+    def version(self) -> int | None:
+        found = self.versions()
+        return found[-1] if found else None
 
-    def version(self) -> str | None:
-        jvm, fs = self._fs()
-        at = jvm.org.apache.hadoop.fs.Path(self._pointer())
-        return self.spark.read.text(self._pointer()).first()[0] if fs.exists(at) else None
+    def _contents(self, version: int) -> tuple[list[str], StructType]:
+        """Row folders of a version, relative to the rows' folder, and its schema. The first line counts the folders, so that
+        half a file is none."""
+        text = self.spark.read.text(f"{self.path}/versions/{version:012d}", wholetext=True).first()[0]
+        lines = text.split("\n")
+        n = int(lines[0])
+        return lines[1 : n + 1], StructType.fromJson(json.loads(lines[n + 1]))
 
     def exists(self) -> bool:
         return self.version() is not None
 
-    def read(self) -> DataFrame:
-        v = self.version()
-        if v is None:
-            raise FileNotFoundError(self.path)
-        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/{v}")
+    def read(self, version: int | None = None) -> DataFrame:
+        """The rows of the last version, or of one of those kept."""
+        v = self.version() if version is None else version
+        if v is None or v not in self.versions():
+            raise FileNotFoundError(f"{self.path} {'' if version is None else version}")
+        return self._rows(*self._contents(v))
+
+    def _rows(self, folders: list[str], schema: StructType) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(StructType([*schema.fields, StructField("batch__", StringType())])).option("basePath", f"{self.path}/rows")
+        return reader.parquet(*(f"{self.path}/rows/{f}" for f in folders)).select(*schema.names)
+
+    def _add(self, df: DataFrame) -> list[str]:
+        """Write rows as folders of their own; the folders (none if there are no rows)."""
+        batch, (path, fs) = uuid.uuid4().hex, self._fs()
+        root = f"{self.path}/rows"
+        df.withColumn("batch__", F.lit(batch)).write.mode("append").partitionBy(*self.partition_by, "batch__").parquet(root)
+        found = fs.globStatus(path(root + "/*" * len(self.partition_by) + f"/batch__={batch}")) or []
+        return sorted("/".join(str(f.getPath()).rstrip("/").split("/")[-1 - len(self.partition_by) :]) for f in found)
+
+    def _commit(self, before: int | None, folders: list[str], schema: StructType) -> None:
+        path, fs = self._fs()
+        after = (before or 0) + 1
+        mine, target = path(f"{self.path}/versions/_next-{uuid.uuid4().hex}"), path(f"{self.path}/versions/{after:012d}")
+        stream = fs.create(mine, False)
+        stream.write(bytearray("\n".join([str(len(folders)), *folders, schema.json()]).encode()))
+        stream.close()
+        if fs.exists(target) or not fs.rename(mine, target):
+            fs.delete(mine, False)
+            raise RuntimeError(f"{self.path}: version {after} was written by another writer")
+        self._clean()
+
+    def _clean(self) -> None:
+        """Versions but the last ``keep`` go, and the row folders that only they list."""
+        path, fs = self._fs()
+        old = self.versions()[: -self.keep]
+        if not old:
+            return
+        held = {f for v in self.versions()[-self.keep :] for f in self._contents(v)[0]}
+        gone = {f for v in old for f in self._contents(v)[0]} - held
+        for v in old:
+            fs.delete(path(f"{self.path}/versions/{v:012d}"), False)
+        for f in gone:
+            fs.delete(path(f"{self.path}/rows/{f}"), True)
 
     def write(self, df: DataFrame) -> None:
-        """Commit a new version; the one before goes once the pointer has moved."""
-        before, v = self.version(), f"v-{uuid.uuid4().hex}"
-        df.write.partitionBy(*self.partition_by).parquet(f"{self.path}/{v}")
-        jvm, fs = self._fs()
-        path = jvm.org.apache.hadoop.fs.Path
-        new = path(f"{self.path}/next-{uuid.uuid4().hex}")
-        stream = fs.create(new)
-        stream.write(bytearray(v.encode()))
-        stream.close()
-        fs.delete(path(self._pointer()), False)
-        fs.rename(new, path(self._pointer()))
-        if before:
-            fs.delete(path(f"{self.path}/{before}"), True)
+        """Commit ``df`` as the whole table."""
+        before = self.version()
+        self._commit(before, self._add(df), df.schema)
 
     def drop(self) -> None:
-        jvm, fs = self._fs()
-        fs.delete(jvm.org.apache.hadoop.fs.Path(self.path), True)
+        path, fs = self._fs()
+        fs.delete(path(self.path), True)
+
+    def _rewrite(self, touched: DataFrame, change) -> None:
+        """Commit ``change`` (rows to rows) of the partitions in ``touched`` (partition columns); the others stay as they are."""
+        before = self.version()
+        folders, schema = self._contents(before)
+        now, stay = self._rows(folders, schema), []
+        if self.partition_by:
+            names = touched.select(*(F.col(c).cast("string") for c in self.partition_by)).distinct().collect()  # as many as there are datasets
+            hit = reduce(Column.__or__, [reduce(Column.__and__, [F.col(c).cast("string").eqNullSafe(F.lit(r[c])) for c in self.partition_by]) for r in names], F.lit(False))
+            files = now.where(~hit).select(F.input_file_name().alias("f")).distinct().collect()
+            held = {unquote("/".join(r["f"].split("/")[-2 - len(self.partition_by) : -1])) for r in files}
+            now, stay = now.where(hit), [f for f in folders if unquote(f) in held]
+        rows = change(now)
+        added = StructType([*schema.fields, *(f for f in rows.schema.fields if f.name not in schema.names)])
+        self._commit(before, stay + self._add(rows), added)
 
     def upsert(self, rows: DataFrame, key: str = "id") -> None:
-        self.write(upserted(self.read(), rows, key) if self.exists() else rows)
+        if not self.exists():
+            return self.write(rows)
+        rows = rows.persist()
+        try:
+            touched = rows.select(*self.partition_by) if self.partition_by else rows
+            if self.partition_by:
+                touched = touched.unionByName(self.read().join(rows.select(key), key, "left_semi").select(*self.partition_by))
+            self._rewrite(touched, lambda now: upserted(now, rows, key))
+        finally:
+            rows.unpersist()
 
     def update(self, where: dict[str, Any], changes: dict[str, Any]) -> None:
         now = self.read()
-        self.write(updated(now, condition(now, where), changes))
+        self._rewrite(now.where(condition(now, where)), lambda rows: updated(rows, condition(rows, where), changes))
 
     def delete(self, where: dict[str, Any]) -> None:
         now = self.read()
-        self.write(deleted(now, condition(now, where)))
+        self._rewrite(now.where(condition(now, where)), lambda rows: deleted(rows, condition(rows, where)))
 
 
 def upserted(stored: DataFrame, rows: DataFrame, key: str = "id") -> DataFrame:

@@ -19,6 +19,8 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
     spark = df.sparkSession
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = f"file://{tempfile.mkdtemp(prefix='lodestone-')}"
         spark.sparkContext.setCheckpointDir(where)
     path = f"{where.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -207,26 +209,52 @@ def community_retrieve(communities: DataFrame, entities: list[str], top: int = 1
     return communities.where(F.arrays_overlap("entities_kwd", F.array(*map(F.lit, entities)))).orderBy(F.desc("weight_flt"), "id").limit(top)
 
 
-def resolution_pairs(entities: DataFrame, name: str, kind: str, *, block: Column | None = None) -> DataFrame:
-    """Pairs of entities of a type with near-equal names: for Latin names edit distance up to half the shorter name.
+def resolution_links(entities: DataFrame, name: str, kind: str, block: int = 512) -> DataFrame:
+    """Pairs (a, b, kind), a < b, of different names of a type that are similar: no pair is lost.
 
-    Names meet by block (default: the type and the first character), not in a cross join; names with digits that differ
-    are never the same.
+    The rule knows no bound by which most pairs needn't be looked at (half of the shorter name may differ), so all of a
+    type's are, but evenly: names are dealt to blocks of about ``block``, a task is a pair of blocks, and only similar names
+    leave it. Names are distinct first, and the number of blocks follows the type's names.
     """
-    low = F.lower(F.col(name))
-    rows = entities.select(F.col(name).alias("n"), F.col(kind).alias("k"), (block if block is not None else F.substring(low, 1, 1)).alias("b")).distinct()
-    a, b = rows.select(F.col("n").alias("a"), "k", "b"), rows.select(F.col("n").alias("c"), "k", "b")
-    pairs = a.join(b, ["k", "b"]).where("a < c")
-    return pairs.where(similar_names(F.col("a"), F.col("c"))).select("a", F.col("c").alias("b"), F.col("k").alias("kind")).distinct()
+    rows = entities.select(F.col(name).alias("n"), F.col(kind).alias("k")).where("n is not null").distinct()
+    blocks = rows.groupBy(F.col("k").alias("_k")).agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("nb"))
+    rows = rows.join(blocks, F.col("k").eqNullSafe(F.col("_k"))).select("n", "k", "nb", F.pmod(F.xxhash64("n"), F.col("nb")).cast("int").alias("i"))
+    every = F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda j: F.struct(F.least("i", j).alias("x"), F.greatest("i", j).alias("y")))
+    left = rows.select(F.col("n").alias("a"), F.coalesce("k", F.lit("")).alias("k"), F.col("k").isNull().alias("_none"), F.explode(every).alias("t")).select("a", "k", "_none", "t.x", "t.y")
+    pairs = left.join(left.withColumnRenamed("a", "b"), ["k", "_none", "x", "y"]).where((F.col("a") < F.col("b")) & similar_names(F.col("a"), F.col("b")))
+    return pairs.select("a", "b", F.when(~F.col("_none"), F.col("k")).alias("kind")).distinct()
+
+
+def resolution(entities: DataFrame, name: str, kind: str, block: int = 512) -> DataFrame:
+    """A row a name of a type: (name, kind, links, component): how many names it is similar to, and the least name that
+    such links reach."""
+    links = cut(resolution_links(entities, name, kind, block), "name-links")
+    of = lambda c: F.concat_ws("\u0001", F.coalesce("kind", F.lit("")), F.col(c))
+    roots = components(links.select(of("a").alias("src"), of("b").alias("dst")))
+    counts = links.select("kind", F.explode(F.array("a", "b")).alias("name")).groupBy("kind", "name").agg(F.count("*").alias("links"))
+    rows = entities.select(F.col(name).alias("name"), F.col(kind).alias("kind")).where("name is not null").distinct()
+    rows = rows.join(counts.withColumnRenamed("kind", "_k").withColumnRenamed("name", "_n"), F.col("name").eqNullSafe(F.col("_n")) & F.col("kind").eqNullSafe(F.col("_k")), "left")
+    rows = rows.join(roots, of("name") == F.col("id"), "left")
+    return rows.select("name", "kind", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce(F.get(F.split("component", "\u0001"), F.lit(1)), F.col("name")).alias("component"))
+
+
+def is_english(c: Column) -> Column:
+    """Over 80 % of the characters are letters, digits or marks of English text."""
+    return F.regexp_count(c, F.lit("[`a-zA-Z0-9.,':;/\"?<>!()-]")) / F.length(c) > 0.8
 
 
 def similar_names(a: Column, b: Column) -> Column:
-    """English names by edit distance (at most half the shorter), others by shared characters (over 0.8 of the larger set)."""
-    latin = a.rlike("^[\\x00-\\x7f]+$") & b.rlike("^[\\x00-\\x7f]+$")
-    digits = F.array_join(F.regexp_extract_all(a, F.lit("(\\d+)"), 1), ",") == F.array_join(F.regexp_extract_all(b, F.lit("(\\d+)"), 1), ",")
-    sets = [F.array_distinct(F.filter(F.split(F.lower(x), ""), lambda y: y != "")) for x in (a, b)]
-    share = F.size(F.array_intersect(*sets)) / F.greatest(F.size(sets[0]), F.size(sets[1]))
-    return digits & F.when(latin, F.levenshtein(F.lower(a), F.lower(b)) <= F.floor(F.least(F.length(a), F.length(b)) / 2)).otherwise(share > 0.8)
+    """Never where a digit is in a letter pair that only one name has; English names by edit distance, at most half the
+    shorter (rounded down); others by their different characters: two or more in common where both have under four, else
+    80 % of the larger set."""
+    from .relational import bigram_difference
+
+    digits = F.exists(bigram_difference(a, b), lambda x: x.rlike("[0-9]"))
+    english = is_english(a) & is_english(b)
+    sets = [F.array_distinct(F.filter(F.split(x, ""), lambda y: y != "")) for x in (a, b)]
+    common, most = F.size(F.array_intersect(*sets)), F.greatest(F.size(sets[0]), F.size(sets[1]))
+    other = F.when(most < 4, common > 1).otherwise(common / most >= 0.8)
+    return F.coalesce(~digits & F.when(english, F.levenshtein(a, b) <= F.floor(F.least(F.length(a), F.length(b)) / 2)).otherwise(other), F.lit(False))
 
 
 def label_propagation(edges: DataFrame, rounds: int = 8, cut_every: int = 2) -> DataFrame:

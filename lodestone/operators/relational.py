@@ -77,6 +77,16 @@ def merged_counts(raw: DataFrame, counted: DataFrame) -> DataFrame:
     return raw.groupBy("value").count().unionByName(counted.select("value", F.col("count").cast("long"))).groupBy("value").agg(F.sum("count").alias("count"))
 
 
+def usage_stats(sessions: DataFrame, ts: str, user: str, source: str, wanted: str | None = None) -> DataFrame:
+    """By day, of the sessions of a source (those without one where ``wanted`` is null): views, users, tokens, mean rounds,
+    thumbs up and seconds. Columns tokens, round, thumb_up and duration are the sessions'."""
+    rows = sessions.where(F.col(source).isNull() if wanted is None else F.col(source) == wanted)
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    return rows.groupBy(F.date_trunc("day", ts).cast("date").alias("day")).agg(
+        F.count("*").alias("pv"), F.countDistinct(user).alias("uv"), zero("tokens"), zero("duration"), zero("thumb_up"), F.avg("round").alias("round"), F.try_divide(F.sum("tokens"), F.sum("duration")).alias("speed")
+    )
+
+
 def daily_stats(df: DataFrame, ts: str, user: str, value: str) -> DataFrame:
     """By day: views, users, the value's sum and mean."""
     return df.groupBy(F.date_trunc("day", ts).cast("date").alias("day")).agg(F.count("*").alias("pv"), F.countDistinct(user).alias("uv"), F.coalesce(F.sum(value), F.lit(0.0)).alias("total"), F.avg(value).alias("mean"))
@@ -125,10 +135,11 @@ def token_budget(df: DataFrame, order: list[Column], tokens: str, budget: int, p
 
 
 def apportion(df: DataFrame, weight: str, budget: int, id_col: str, partition: list[str] | None = None, out: str = "share") -> DataFrame:
-    """An integer budget by largest remainders: floors first, then one each by remainder."""
+    """An integer budget by largest remainders: floors first, then one each by remainder, ties by id. Where no weight is
+    above 0, it is split evenly, the first by id taking one more."""
     w = Window.partitionBy(*(partition or [F.lit(0)]))
-    exact = F.col(weight) * budget / F.sum(weight).over(w)
-    df = df.withColumn("_exact", exact).withColumn("_floor", F.floor("_exact"))
+    total, n = F.sum(weight).over(w), F.count("*").over(w)
+    df = df.withColumn("_exact", F.when(total > 0, F.col(weight) * budget / F.nullif(total, F.lit(0))).otherwise(F.lit(budget) / n)).withColumn("_floor", F.floor("_exact"))
     df = df.withColumn("_left", F.lit(budget) - F.sum("_floor").over(w))
     df = df.withColumn("_rank", F.row_number().over(w.orderBy(F.desc(F.round(F.col("_exact") - F.col("_floor"), 9)), id_col)))
     return df.withColumn(out, (F.col("_floor") + (F.col("_rank") <= F.col("_left")).cast("int")).cast("long")).drop("_exact", "_floor", "_left", "_rank")
@@ -179,6 +190,7 @@ def merged_metadata(a: Column, b: Column) -> Column:
 
 
 def bigram_difference(a: Column, b: Column) -> Column:
-    """Symmetric difference of the texts' two-letter sets."""
-    grams = lambda c: F.array_distinct(F.when(F.length(c) > 1, F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substring(c, i, F.lit(2)))).otherwise(F.array(c)))
+    """Symmetric difference of the texts' two-letter sets; a text of under two letters has none."""
+    none = F.array().cast("array<string>")
+    grams = lambda c: F.when(F.length(c) > 1, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substring(c, i, F.lit(2))))).otherwise(none)
     return F.concat(F.array_except(grams(a), grams(b)), F.array_except(grams(b), grams(a)))

@@ -11,43 +11,58 @@ from ..functions.text import tokenize
 from .chunkers import HEADING_FAMILIES, group_title_chunks, heading_level, section_ids, token_chunks
 
 KINDS = ("int", "float", "text", "datetime", "bool")
-TRUE, FALSE = ("yes", "true", "1.0", "1", "是", "✓", "√", "√", "on"), ("no", "false", "0", "否", "×", "off")
+# The words and signs of yes and no, in either case.
+TRUE, FALSE = ("true", "yes", "是", "*", "✓", "✔", "☑", "✅", "√"), ("false", "no", "否", "⍻", "×")
+#: Forms of dates, the first that fits counts; a text of digits alone is a number before it is a date.
+DATES = (
+    "yyyy-M-d[ H:m[:s]]", "yyyy/M/d[ H:m[:s]]", "yyyy.M.d", "yyyy-M-d'T'H:m[:s][.SSS][XXX]", "M/d/yyyy[ H:m[:s]]", "M-d-yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "yyyy-M", "MMM yyyy",
+)
 #: Columns that never become content.
 INTERNAL = {"id", "_id", "index", "idx"}
 
 
+def _date(c: Column) -> Column:
+    return F.coalesce(*(F.try_to_timestamp(F.trim(c), F.lit(f)) for f in DATES))
+
+
 def value_kind(c: Column) -> Column:
-    """The kind a cell votes for: digits (no leading zero, within 64 bits) int, decimals float, yes/no bool, dates datetime."""
-    t = F.trim(c)
+    """The kind a cell votes for: digits without a leading zero int; up to 19 digits and points, likewise, float; yes and no
+    bool; dates datetime; else text. Whole numbers above 64 bits are ``big``, of which one makes the column float."""
+    t = F.replace(c, F.lit("%%"), F.lit(""))
+    led = ~t.startswith("0")
+    whole, number = t.rlike("^[+-]?[0-9]+$") & led, t.try_cast("decimal(38,0)")
     return (
-        F.when(t.rlike("^[+-]?(0|[1-9][0-9]*)$") & t.try_cast("bigint").isNotNull(), "int")
-        .when(t.rlike("^[+-]?(0|[1-9][0-9]*)(\\.[0-9]+)?([eE][+-]?[0-9]+)?$") & t.try_cast("double").isNotNull(), "float")
-        .when(F.lower(t).isin(*(x for x in TRUE + FALSE if not x[0].isdigit())), "bool")
-        .when(t.rlike("^[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}") & F.try_to_timestamp(F.replace(t, F.lit("/"), F.lit("-"))).isNotNull(), "datetime")
+        F.when(whole & ~t.startswith("-") & (number.isNull() | (number > F.lit(str((1 << 63) - 1)).cast("decimal(38,0)"))), "big")
+        .when(whole, "int")
+        .when(t.rlike("^[+-]?[0-9.]{0,19}$") & led, "float")
+        .when(F.lower(c).isin(*TRUE, *FALSE), "bool")
+        .when(_date(c).isNotNull(), "datetime")
         .otherwise("text")
     )
 
 
 def column_types(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows (column, kind): the kind with most votes among non-empty cells, ties by the order of KINDS. One aggregate for
-    all columns."""
-    votes = df.agg(*(F.count_if((value_kind(F.col(c).cast("string")) == k) & (F.trim(F.col(c).cast("string")) != "")).alias(f"{c}|{k}") for c in columns for k in KINDS))
-    rows = F.array(*(F.struct(F.lit(c).alias("column"), *(F.col(f"`{c}|{k}`").alias(k) for k in KINDS)) for c in columns))
+    """Rows (column, kind, votes): the kind with most votes among cells that aren't empty, ties by the order of KINDS; float
+    where a whole number is beyond 64 bits. One aggregate for all columns."""
+    every = (*KINDS, "big")
+    cells = df.select(*(F.struct(value_kind(F.col(f"`{c}`").cast("string")).alias("k"), (F.trim(F.col(f"`{c}`").cast("string")) != "").alias("any")).alias(c) for c in columns))
+    votes = cells.agg(*(F.count_if((F.col(f"`{c}`.k") == k) & F.col(f"`{c}`.any")).alias(f"{c}|{k}") for c in columns for k in every))
+    rows = F.array(*(F.struct(F.lit(c).alias("column"), *(F.col(f"`{c}|{k}`").alias(k) for k in every)) for c in columns))
     best = F.greatest(*KINDS)
     pick = F.lit("text")
     for k in reversed(KINDS):
         pick = F.when((F.col(k) == best) & (best > 0), k).otherwise(pick)
-    return votes.select(F.explode(rows).alias("r")).select("r.*").select("column", pick.alias("kind"), best.alias("votes"))
+    return votes.select(F.explode(rows).alias("r")).select("r.*").select("column", F.when(F.col("big") > 0, "float").otherwise(pick).alias("kind"), best.alias("votes"))
 
 
 def as_bool(c: Column) -> Column:
-    """yes or no of the usual words, else null."""
+    """yes or no of the usual words and signs, else null."""
     t = F.lower(F.trim(c))
     return F.when(t.isin(*TRUE), "yes").when(t.isin(*FALSE), "no")
 
 
 def as_datetime(c: Column) -> Column:
-    return F.date_format(F.try_to_timestamp(F.replace(F.trim(c), F.lit("/"), F.lit("-"))), "yyyy-MM-dd HH:mm:ss")
+    return F.date_format(_date(c), "yyyy-MM-dd HH:mm:ss")
 
 
 def coerced(df: DataFrame, kinds: dict[str, str]) -> DataFrame:

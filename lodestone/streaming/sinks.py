@@ -28,7 +28,10 @@ def upsert_into(stream: DataFrame, table: Table, key: str, order: str, tie: str,
 
     def write(batch: DataFrame, _: int) -> None:
         fresh = latest(batch, [key], order, tie)
-        table.write(latest(table.read().unionByName(fresh, True), [key], order, tie) if table.exists() else fresh)
+        if table.exists():  # of the stored rows only those of the batch's keys matter, so that other partitions stay as they are
+            stored = table.read().join(fresh.select(key), key, "left_semi")
+            fresh = latest(stored.unionByName(fresh, True), [key], order, tie)
+        table.upsert(fresh, key)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

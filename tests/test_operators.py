@@ -480,3 +480,119 @@ def test_sql_and_user_code(spark):
 def test_schemas(spark):
     assert "tag_feas" in chunk_schema().names and "forget_at" in message_schema().names
     assert (type_of("a_kwd"), type_of("docnm_kwd"), type_of("x_sm_tks"), type_of("n_long"), type_of("q_768_vec")) == ("array<string>", "string", "string", "bigint", "array<float>")
+
+
+def _crash(table, monkeypatch, step):
+    def fail(*_):
+        raise OSError(step)
+
+    monkeypatch.setattr(table, step, fail)
+
+
+@pytest.mark.parametrize("step", ["_add", "_commit"])
+def test_a_change_that_breaks_off_leaves_the_table(spark, tmp_path, monkeypatch, step):
+    rows = spark.createDataFrame([("1", "a", 1.0), ("2", "b c", 2.0)], "id string, kb string, x double")
+    dml.Table(spark, f"file://{tmp_path}/t", ["kb"]).upsert(rows)
+    broken = dml.Table(spark, f"file://{tmp_path}/t", ["kb"])
+    _crash(broken, monkeypatch, step)
+    for change in (lambda: broken.upsert(rows.withColumn("x", F.lit(9.0))), lambda: broken.delete({"id": ["1"]}), lambda: broken.update({"id": "1"}, {"x": 5.0})):
+        with pytest.raises(OSError, match=step):
+            change()
+    table = dml.Table(spark, f"file://{tmp_path}/t", ["kb"])
+    assert {r["id"]: r["x"] for r in table.read().collect()} == {"1": 1.0, "2": 2.0} and table.version() == 1
+    table.upsert(spark.createDataFrame([("3", "a", 3.0)], "id string, kb string, x double"))
+    assert {r["id"]: r["x"] for r in table.read().collect()} == {"1": 1.0, "2": 2.0, "3": 3.0}
+
+
+def test_versions_partitions_and_other_writers(spark, tmp_path):
+    schema = "id string, kb string, x double"
+    table = dml.Table(spark, f"file://{tmp_path}/t", ["kb"], keep=3)
+    table.upsert(spark.createDataFrame([("1", "a", 1.0), ("2", "b c", 2.0), ("4", None, 4.0)], schema))
+    first, before = table.read(), table._contents(1)[0]
+    table.upsert(spark.createDataFrame([("1", "a", 7.0)], schema))
+    assert len(set(table._contents(2)[0]) & set(before)) == 2  # the other partitions' folders stay
+    assert {r["id"]: r["x"] for r in first.collect()} == {"1": 1.0, "2": 2.0, "4": 4.0}  # a reader of the version before
+    table.upsert(spark.createDataFrame([("2", "a", 8.0), ("4", None, 5.0)], schema))  # a row moves to another partition
+    assert {r["id"]: (r["kb"], r["x"]) for r in table.read().collect()} == {"1": ("a", 7.0), "2": ("a", 8.0), "4": (None, 5.0)}
+    assert {r["id"]: r["x"] for r in table.read(1).collect()} == {"1": 1.0, "2": 2.0, "4": 4.0}
+    with pytest.raises(RuntimeError, match="another writer"):
+        table._commit(2, *table._contents(3))
+    for _ in range(3):
+        table.update({"id": "1"}, {"x": 0.5})
+    assert table.versions() == [4, 5, 6]
+    table.delete({"id": ["1", "2"]})
+    table.delete({"id": ["4"]})
+    assert table.read().count() == 0 and set(table.read().columns) == {"id", "kb", "x"}
+    table.upsert(spark.createDataFrame([("9", "z", 1.5)], schema))
+    assert [tuple(r) for r in table.read().select("id", "kb", "x").collect()] == [("9", "z", 1.5)]
+
+
+DSL = {"name": "n", "pipeline": [{"operator": "preprocess", "normalize_newlines": True}, {"operator": "split", "strategy": "sentence", "params": {"boundaries": [". "], "keep_separators": True}}, {"operator": "postprocess", "merge": {"target_size": 30, "strategy": "greedy"}, "overlap": {"enabled": True, "unit": "char", "conditions": [{"name": "c", "if": "length > 12", "then": {"size": 1, "unit": "sentence"}}], "default": {"size": 2}}, "filter": {"min_length": 1}}]}
+
+
+def test_chunk_dsl_as_a_pipeline(spark):
+    plan = chunking.compile_plan(DSL)
+    assert plan.operators == ["preprocess", "split", "postprocess"] and plan.name == "n" and plan.version == "1.0"
+    flat = {"preprocess": {"normalize_newlines": True}, "split": DSL["pipeline"][1] | {}, "postprocess": DSL["pipeline"][2] | {}}
+    flat = {k: {x: y for x, y in v.items() if x != "operator"} for k, v in flat.items()}
+    docs = spark.createDataFrame([(1, "Aa bb. Cc dd. A longer sentence here. End")], "doc_id long, text string")
+    got = [r["content"] for r in plan.execute(docs).orderBy("index").collect()]
+    assert got == [r["content"] for r in chunking.compile_plan(flat).execute(docs).orderBy("index").collect()]
+    assert got == ["Aa bb.  Cc dd. ", "Cc dd.A longer sentence here.  End"]
+    assert chunking.compile_plan({"pipeline": []}).execute(docs).count() == 0 == chunking.compile_plan({"version": "1.0"}).execute(docs).count()
+
+
+@pytest.mark.parametrize(
+    "dsl, message",
+    [
+        ("{bad json}", "Expecting"),
+        ({"pipeline": [{"operator": "unknown_operator"}]}, "unknown_operator"),
+        ({"pipeline": ["split"]}, "expected object"),
+        ({"pipeline": [{"operator": "split", "strategi": "char"}]}, "strategi"),
+        ({"pipeline": [{"operator": "split", "strategy": "nope"}]}, "nope"),
+        ({"pipelines": []}, "pipelines"),
+        ({"postprocess": {"merge": {"strategy": "other"}}}, "other"),
+        ({"postprocess": {"overlap": {"conditions": [{"if": "length > 1", "then": {"size": 1, "unit": "word"}}]}}}, "word"),
+        ({"pipeline": [{"operator": "split"}, {"operator": "preprocess"}]}, "order"),
+    ],
+)
+def test_chunk_dsl_mistakes_show(dsl, message):
+    with pytest.raises(ValueError, match=message):
+        chunking.compile_plan(dsl)
+
+
+def test_apportion_without_weights(spark):
+    rows = spark.createDataFrame([(1, 0.0, "a"), (2, 0.0, "a"), (3, 0.0, "a"), (4, 2.0, "b"), (5, 1.0, "b")], "id long, w double, g string")
+    got = {r["id"]: r["share"] for r in relational.apportion(rows, "w", 8, "id", ["g"]).collect()}
+    assert got == {1: 3, 2: 3, 3: 2, 4: 5, 5: 3}
+
+
+def test_similar_names_rule(spark):
+    rows = [("Apple Inc", "The Apple Inc", True), ("ab1c", "a1bc", False), ("APPLE", "apple", False), ("item 7", "item 7", True), ("张三丰", "张三", True), ("一二三四五", "一二三四六", True), ("一二三四五", "一二三七六", False), ("a", "b", False), (None, "x", False)]
+    df = spark.createDataFrame(rows, "a string, b string, want boolean")
+    assert [r["got"] for r in df.select(graph.similar_names(F.col("a"), F.col("b")).alias("got")).collect()] == [r[2] for r in rows]
+
+
+def test_resolution_loses_no_pair(spark):
+    import itertools
+    import random
+
+    rnd = random.Random(4)
+    names = ["".join(rnd.choices("abcde 12", k=rnd.randint(1, 9))) for _ in range(60)] + ["张三", "张三丰", "李四"]
+    rows = [(n, rnd.choice(["x", "y", None])) for n in names] * 2
+    df = spark.createDataFrame(rows, "n string, k string")
+    links = {(r["a"], r["b"], r["kind"]) for r in graph.resolution_links(df, "n", "k", block=7).collect()}
+    every = spark.createDataFrame([(a, b, k) for k in ("x", "y", None) for a, b in itertools.combinations(sorted({n for n, j in rows if j == k}), 2)], "a string, b string, k string")
+    assert links == {tuple(r) for r in every.where(graph.similar_names(F.col("a"), F.col("b"))).collect()}
+    got = {(r["name"], r["kind"]): (r["links"], r["component"]) for r in graph.resolution(df, "n", "k", block=7).collect()}
+    assert set(got) == set(rows) and all(got[n, k][0] == sum(n in p[:2] and p[2] == k for p in links) for n, k in got)
+    assert all(got[a, k][1] == got[b, k][1] <= a for a, b, k in links)
+
+
+def test_column_kinds(spark):
+    cells = {"12": "int", "-3": "int", "007": "text", "0": "text", "1.5": "float", "0.5": "text", "12%%": "int", "9223372036854775808": "big", "✔": "bool", "No": "bool", "on": "text", "1": "int", "2024-05-06": "datetime", "2024/5/6 7:08:09": "datetime", "5/6/2024": "datetime", "May 6, 2024": "datetime", "word": "text"}
+    df = spark.createDataFrame([(k,) for k in cells], "c string")
+    assert {r["c"]: r["k"] for r in df.select("c", templates.value_kind(F.col("c")).alias("k")).collect()} == cells
+    kinds = {r["column"]: r["kind"] for r in templates.column_types(df.select("c", F.when(F.col("c").rlike("^[0-9]+$") & ~F.col("c").startswith("0"), F.col("c")).alias("n")), ["c", "n"]).collect()}
+    assert kinds["n"] == "float"
+    assert [r[0] for r in spark.createDataFrame([("☑",), ("⍻",), ("1",), (" YES",)], "c string").select(templates.as_bool(F.col("c"))).collect()] == ["yes", "no", None, "yes"]
