@@ -371,6 +371,7 @@ def shared_lines(pages: DataFrame, parts: int) -> DataFrame:
     # Many pages may have one text: its row meets them in 16 parts.
     salt = F.pmod(F.xxhash64("_key"), F.lit(16))
     mine = lined.where(F.size("weak") > 0).select("_host", "print", "_key", "weak", "marked", salt.alias("salt")).dropDuplicates(["_host", "_key"])
+    same = same.join(mine.select("_host", "print").distinct(), ["_host", "print"], "left_semi")
     met = mine.join(same.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long")))), ["_host", "print", "salt"])
     gone = F.array_intersect("weak", "shared")
     met = met.select("_host", "_key", F.when(~F.col("marked") & (F.size(gone) == F.size("weak")), F.array().cast("array<int>")).otherwise(gone).alias("gone"))
