@@ -20,6 +20,17 @@ def set_metrics(retrieved: Column, relevant: Column) -> dict[str, Column]:
     }
 
 
+def run_metrics(run: DataFrame, relevant: DataFrame, depth: int = 10) -> DataFrame:
+    """set_metrics by query of the first ``depth`` of a run (query, chunk_id, score) against (query, chunk_id), however many
+    are relevant: joins and counts, nothing is gathered."""
+    top = ranked_run(run, depth)
+    truth = relevant.select("query", "chunk_id").distinct()
+    got = top.join(truth.withColumn("_rel", F.lit(1)), ["query", "chunk_id"], "left").groupBy("query").agg(F.count("*").alias("_got"), F.count("_rel").cast("double").alias("_hits"), F.min(F.when(F.col("_rel").isNotNull(), F.col("rank"))).alias("_first"))
+    both = got.join(truth.groupBy("query").agg(F.count("*").alias("_all")), "query", "left")
+    p, r = F.col("_hits") / F.col("_got"), F.coalesce(F.col("_hits") / F.col("_all"), F.lit(0.0))
+    return both.select("query", p.alias("precision"), r.alias("recall"), F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0)).alias("f1"), (F.col("_hits") > 0).cast("double").alias("hit_rate"), F.coalesce(1.0 / F.col("_first"), F.lit(0.0)).alias("mrr"))
+
+
 def averages(df: DataFrame, metrics: list[str]) -> DataFrame:
     """Rows (metric, mean)."""
     means = df.agg(*(F.avg(m).alias(m) for m in metrics))

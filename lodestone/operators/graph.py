@@ -102,7 +102,7 @@ def degrees(edges: DataFrame) -> DataFrame:
 def pagerank(edges: DataFrame, *, iterations: int = 20, damping: float = DAMPING, tolerance: float | None = None, cut_every: int = 5) -> DataFrame:
     """(id, pagerank) by power iteration on an undirected weighted graph; the rank of nodes without edges is spread.
 
-    Edges are dealt by source once and stay so; each round joins the ranks and sums by target. With ``tolerance`` the
+    Each round joins the ranks to the transitions and sums by target, before the sums are shuffled. With ``tolerance`` the
     rounds end when the summed change is below tolerance x nodes.
     """
     w = both_ways(edges)
@@ -177,6 +177,24 @@ def nhop_scores(entities: DataFrame) -> DataFrame:
     return edges.groupBy("e.src", "e.dst").agg(F.sum(F.col("similarity") / (F.lit(2.0) + F.col("e.i"))).alias("sim"), F.max("e.w").alias("weight"))
 
 
+def two_hop_scores(edges: DataFrame, scored: DataFrame) -> DataFrame:
+    """nhop_scores of all paths of one and two edges around scored entities (id, similarity), without making the paths.
+
+    In a graph without loops and parallel edges, the edge (f, t) is the first step of deg(t) paths from f, one of them of one
+    edge, and the second step of the paths over f from each neighbour of f but t. So sums of neighbours give the score, at the
+    cost of the edges, not of their pairs.
+    """
+    w = both_ways(undirected(edges).where("src <> dst"))
+    sims = scored.groupBy("id").agg(F.sum("similarity").alias("_sim"))
+    degree = w.groupBy(F.col("src").alias("dst")).agg(F.count("*").alias("_deg"))
+    around = w.join(sims.withColumnRenamed("id", "dst"), "dst").groupBy("src").agg(F.sum("_sim").alias("_around"))
+    out = w.join(degree, "dst").join(around, "src", "left").join(sims.select(F.col("id").alias("src"), F.col("_sim").alias("_f")), "src", "left").join(sims.select(F.col("id").alias("dst"), F.col("_sim").alias("_t")), "dst", "left")
+    none = F.lit(0.0)
+    first, second = F.coalesce("_f", none) * F.col("_deg") / 2, (F.coalesce("_around", none) - F.coalesce("_t", none)) / 3
+    others = F.coalesce("_around", none) > F.coalesce("_t", none) * (1 + 1e-12)
+    return out.where(F.col("_f").isNotNull() | others).select("src", "dst", (first + F.when(others, second).otherwise(none)).alias("sim"), "weight")
+
+
 def fused_relations(relations: DataFrame, hops: DataFrame, typed: DataFrame) -> DataFrame:
     """Relations (src, dst, sim, pagerank) with their n-hop score, and +1 for each end among typed entities (id); n-hop
     edges without a relation become relations."""
@@ -190,13 +208,14 @@ def fused_relations(relations: DataFrame, hops: DataFrame, typed: DataFrame) ->
     return both.select("src", "dst", sim.alias("sim"), F.coalesce("_rp", "_hp").alias("pagerank"))
 
 
-def kg_retrieve(entities: DataFrame, relations: DataFrame, typed: DataFrame, *, threshold: float = 0.3, top: int = 6, budget: int = 8196) -> DataFrame:
-    """Entities found by text (id, similarity, pagerank, description, paths), doubled where their type fits too; relations
-    fused with n-hop edges; the best of both within a token budget: rows (kind, name, score, description)."""
+def kg_retrieve(entities: DataFrame, relations: DataFrame, typed: DataFrame, *, edges: DataFrame | None = None, threshold: float = 0.3, top: int = 6, budget: int = 8196) -> DataFrame:
+    """Entities found by text (id, similarity, pagerank, description, and paths stored with them or ``edges`` of the graph),
+    doubled where their type fits too; relations fused with n-hop edges; the best of both within a token budget: rows (kind,
+    name, score, description)."""
     hit = entities.where(F.coalesce("similarity", F.lit(0.0)) >= threshold)
     boosted = hit.join(typed.select("id", F.lit(2.0).alias("_x")).distinct(), "id", "left").withColumn("similarity", F.col("similarity") * F.coalesce("_x", F.lit(1.0))).drop("_x")
     best = boosted.select(F.lit("entity").alias("kind"), F.col("id").alias("name"), (F.col("similarity") * F.col("pagerank")).alias("score"), "description").orderBy(F.desc("score"), "name").limit(top)
-    fused = fused_relations(relations, nhop_scores(hit), typed)
+    fused = fused_relations(relations, nhop_scores(hit) if edges is None else two_hop_scores(edges, hit), typed)
     described = fused.join(relations.select("src", "dst", "description"), ["src", "dst"], "left")
     rel = described.select(F.lit("relation").alias("kind"), F.concat_ws(" -> ", "src", "dst").alias("name"), (F.col("sim") * F.col("pagerank")).alias("score"), F.coalesce("description", F.lit("")).alias("description")).orderBy(F.desc("score"), "name").limit(top)
     both = best.unionByName(rel)  # at most 2 x top rows

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .relational import nest, recent, within_budget
-from .search import bm25, fuse, literal_vector
+from .search import bm25_columns, fuse, literal_vector
 from ..functions.values import cosine
 
 #: Kinds of memory as bits.
@@ -44,8 +44,8 @@ def with_extracted(messages: DataFrame, kind: str, message_id: str, source_id: s
 
 def search(messages: DataFrame, id_col: str, text: str, vec: str, words: list[str], query: list[float], *, vector_weight: float = 0.3, threshold: float = 0.2, top: int = 10) -> DataFrame:
     """Messages that the text match lets through, by the weighted sum of scaled text score and cosine."""
-    gate = bm25(messages, id_col, F.col(text), words).select(F.col("id").alias("_id"), F.col("score").alias("text_score"))
-    hits = messages.join(gate, messages[id_col] == F.col("_id")).drop("_id").withColumn("cosine", cosine(F.col(vec), literal_vector(query))).where(F.col("cosine") >= threshold)
+    wanted = dict.fromkeys((t for q in words for t in q.lower().split()), 1.0)
+    hits = bm25_columns(messages, {text: F.col(text)}, wanted).where("matched > 0").drop("matched").withColumn("cosine", cosine(F.col(vec), literal_vector(query))).where(F.col("cosine") >= threshold)
     return fuse(hits, "text_score", "cosine", (1 - vector_weight, vector_weight), "atan").orderBy(F.desc("score"), id_col).limit(top)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import terms as T
@@ -15,7 +15,7 @@ BOOSTS = {"title_tks": 10.0, "title_sm_tks": 5.0, "important_kwd": 30.0, "import
 K1, B = 1.2, 0.75
 #: First-stage fusion weights (text, vector), rerank weight of the vector, and thresholds by stage.
 FIRST_STAGE = (0.05, 0.95)
-VECTOR_WEIGHT, KNN_THRESHOLD, RETRY_THRESHOLD, RETRY_MATCH, FINAL_THRESHOLD, TOP = 0.3, 0.1, 0.17, 0.1, 0.2, 1024
+VECTOR_WEIGHT, KNN_THRESHOLD, RETRY_THRESHOLD, MIN_MATCH, RETRY_MATCH, FINAL_THRESHOLD, TOP = 0.3, 0.1, 0.17, 0.3, 0.1, 0.2, 1024
 
 
 # --- text -------------------------------------------------------------------------------------------------------------
@@ -27,52 +27,86 @@ def postings(chunks: DataFrame, id_col: str, text: Column) -> DataFrame:
     return rows.select("id", F.size("_t").alias("len"), F.explode("_t").alias("token")).groupBy("token", "id", "len").agg(F.count("*").alias("tf"))
 
 
-def _count_of(terms: str, word: str) -> Column:
-    return F.size(F.filter(terms, lambda x: x == word))
+_EDGE = "[\\p{L}\\p{N}]"
 
 
-def bm25(chunks: DataFrame, id_col: str, text: Column, query: list[str], *, boost: float = 1.0, min_match: float = 0.0) -> DataFrame:
-    """Rows (id, score, matched) of the chunks that hold a query term, at least ``min_match`` of them.
+def occurrences(text: Column, term: str) -> Column:
+    """How often a term, or the words of a phrase one behind the other, occur among the tokens of a text: a regular
+    expression over the text, so that no array of tokens is made."""
+    words = "[^\\p{L}\\p{N}]+".join("\\Q" + w + "\\E" for w in term.lower().split())
+    return F.regexp_count(F.lower(text), F.lit(f"(?<!{_EDGE}){words}(?!{_EDGE})"))
+
+
+def length(text: Column) -> Column:
+    return F.regexp_count(F.lower(text), F.lit(f"{_EDGE}+"))
 
-    Term counts are taken inside the row, so nothing is exploded or shuffled: one pass for document frequencies and mean
-    length (a one-row table), one for scores.
+
+def bm25_columns(base: DataFrame, fields: dict[str, Column], terms: dict[str, float], extra: dict[str, float] | None = None, boosts: dict[str, float] | None = None) -> DataFrame:
+    """``base`` with ``text_score`` (BM25 of the weighted terms, and of the ``extra`` phrases and synonyms, summed over the
+    fields times their boosts) and ``matched`` (how many of the terms are in any field).
+
+    Two scans and no join but of the one-row statistics: counts are taken inside the row, so that the score is a column of
+    the row. What no row has gives nothing.
     """
-    wanted = list(dict.fromkeys(t for q in query for t in q.lower().split()))
+    wanted = {**{t: w for t, w in terms.items()}, **{t: w for t, w in (extra or {}).items() if t not in terms}}
+    names, columns = list(wanted), []
+    counted = base
+    for f, (_, c) in enumerate(fields.items()):
+        text = F.coalesce(c.cast("string"), F.lit(""))
+        columns += [length(text).cast("double").alias(f"_len{f}"), *(occurrences(text, t).cast("double").alias(f"_tf{f}_{k}") for k, t in enumerate(names))]
+    stats = base.select(*columns).agg(
+        F.count("*").alias("_n"), *(F.avg(f"_len{f}").alias(f"_avg{f}") for f in range(len(fields))), *(F.count_if(F.col(f"_tf{f}_{k}") > 0).alias(f"_df{f}_{k}") for f in range(len(fields)) for k in range(len(names)))
+    )
+    counted = base.select("*", *columns).crossJoin(F.broadcast(stats))  # one row on the right
+    score, matched = F.lit(0.0), F.lit(0)
+    for k, t in enumerate(names):
+        for f, name in enumerate(fields):
+            tf, df, boost = F.col(f"_tf{f}_{k}"), F.col(f"_df{f}_{k}"), (boosts or {}).get(name, 1.0)
+            idf = F.log(1 + (F.col("_n") - df + 0.5) / (df + 0.5))
+            part = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col(f"_len{f}") / F.nullif(F.col(f"_avg{f}"), F.lit(0.0))))
+            score = score + F.coalesce(part, F.lit(0.0)) * (boost * wanted[t])
+        if t in terms:
+            matched = matched + F.greatest(*(F.col(f"_tf{f}_{k}") for f in range(len(fields))), F.lit(0.0)).cast("boolean").cast("int")
+    return counted.select(*(F.col(f"`{c}`") for c in base.columns), score.alias("text_score"), matched.alias("matched"))
+
+
+def least_matches(terms: int, share: float) -> int:
+    """How many of the terms a row must have: the share of them, rounded down, and one at least."""
+    return max(1, int(share * terms + 1e-9))
+
+
+def bm25(chunks: DataFrame, id_col: str, text: Column, query: list[str], *, boost: float = 1.0, min_match: float = 0.0) -> DataFrame:
+    """Rows (id, score, matched) of the chunks that hold a query term, at least ``min_match`` of them."""
+    wanted = dict.fromkeys((t for q in query for t in q.lower().split()), 1.0)
     if not wanted:
         return chunks.select(F.col(id_col).alias("id"), F.lit(0.0).alias("score"), F.lit(0).alias("matched")).limit(0)
-    rows = chunks.select(F.col(id_col).alias("id"), X.tokens(text).alias("_t"))
-    rows = rows.select("id", F.size("_t").alias("_len"), *(_count_of("_t", w).alias(f"_tf{k}") for k, w in enumerate(wanted)))
-    stats = rows.agg(F.count("*").alias("_n"), F.avg("_len").alias("_avg"), *(F.sum((F.col(f"_tf{k}") > 0).cast("long")).alias(f"_df{k}") for k in range(len(wanted))))
-    both = rows.crossJoin(F.broadcast(stats))  # one row on the right
-    parts = []
-    for k in range(len(wanted)):
-        tf, df = F.col(f"_tf{k}").cast("double"), F.col(f"_df{k}")
-        idf = F.log(1 + (F.col("_n") - df + 0.5) / (df + 0.5))
-        parts.append(idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("_len") / F.col("_avg"))))
-    matched = reduce(Column.__add__, [(F.col(f"_tf{k}") > 0).cast("int") for k in range(len(wanted))])
-    out = both.select("id", (reduce(Column.__add__, parts) * boost).alias("score"), matched.alias("matched"))
-    return out.where(F.col("matched") >= max(1, round(min_match * len(wanted))))
+    rows = bm25_columns(chunks.select(F.col(id_col).alias("id"), text.alias("_t")), {"_t": F.col("_t")}, wanted, None, {"_t": boost})
+    return rows.where(F.col("matched") >= least_matches(len(wanted), min_match)).select("id", F.col("text_score").alias("score"), "matched")
 
 
 def bm25_fields(chunks: DataFrame, id_col: str, fields: dict[str, Column], query: list[str], boosts: dict[str, float] | None = None) -> DataFrame:
-    """BM25 over several fields with boosts, summed."""
-    legs = [bm25(chunks, id_col, c, query, boost=(boosts or BOOSTS).get(name, 1.0)) for name, c in fields.items()]
-    return reduce(DataFrame.unionByName, legs).groupBy("id").agg(F.sum("score").alias("score"), F.max("matched").alias("matched"))
+    """BM25 over several fields with boosts, summed: rows (id, score, matched) that have a term."""
+    wanted = dict.fromkeys((t for q in query for t in q.lower().split()), 1.0)
+    rows = bm25_columns(chunks.select(F.col(id_col).alias("id"), *(c.alias(n) for n, c in fields.items())), {n: F.col(n) for n in fields}, wanted, None, boosts or BOOSTS)
+    return rows.where("matched > 0").select("id", F.col("text_score").alias("score"), "matched")
 
 
 def phrase(text: Column, words: list[str], slop: int = 0) -> Column:
     """Whether the words occur in order, each within ``slop`` further places of the one before."""
-    def ends(t: Column) -> Column:
-        out = F.filter(F.transform(t, lambda x, i: F.when(x == words[0], i)), lambda i: i.isNotNull())
-        for w in words[1:]:
-            out = following(t, out, w)
-        return F.size(out) > 0
+    gap = f"[^\\p{{L}}\\p{{N}}]+(?:{_EDGE}+[^\\p{{L}}\\p{{N}}]+){{0,{slop}}}" if slop else "[^\\p{L}\\p{N}]+"
+    any_of = gap.join("\\Q" + w.lower() + "\\E" for w in words)
+    return F.lower(text).rlike(f"(?<!{_EDGE}){any_of}(?!{_EDGE})")
 
-    def following(t: Column, before: Column, word: str) -> Column:
-        places = F.filter(F.transform(t, lambda x, i: F.when(x == word, i)), lambda i: i.isNotNull())
-        return V.let(before, lambda b: F.filter(places, lambda i: F.exists(b, lambda e: (i > e) & (i <= e + 1 + slop))))
 
-    return V.let(X.tokens(text), ends)
+def question_terms(spark: SparkSession, question: str, synonyms: dict[str, list[str]] | None = None) -> tuple[dict[str, float], dict[str, float]]:
+    """A question as weighted terms, and as weighted phrases and synonyms: the few rows of ``question_query``."""
+    rows = question_query(spark.range(1).select(F.lit(question).alias("q")), "q", synonyms).collect()
+    terms: dict[str, float] = {}
+    more: dict[str, float] = {}
+    for r in sorted(rows, key=lambda r: (r["kind"], r["pos"], r["term"])):
+        into = terms if r["kind"] == "term" else more
+        into[r["term"]] = max(into.get(r["term"], 0.0), r["weight"])
+    return terms, more
 
 
 def question_query(df: DataFrame, text: str, synonyms: dict[str, list[str]] | None = None) -> DataFrame:
@@ -216,8 +250,14 @@ def retrieve(
     id_col: str = "id",
     text_col: str = "text",
     vec_col: str = "vec",
+    fields: dict[str, str] | None = None,
+    boosts: dict[str, float] | None = None,
+    synonyms: dict[str, list[str]] | None = None,
+    query_tags: dict[str, float] | None = None,
+    tags_col: str | None = None,
+    pagerank_col: str | None = None,
     where: Column | None = None,
-    min_match: float = 0.0,
+    min_match: float = MIN_MATCH,
     top: int = TOP,
     similarity_threshold: float = FINAL_THRESHOLD,
     knn_threshold: float = KNN_THRESHOLD,
@@ -226,20 +266,31 @@ def retrieve(
 ) -> DataFrame:
     """Question to ranked chunks: filter, text gate, cosine, first-stage fusion, top candidates, rerank, threshold.
 
-    The text match gates the vectors (not a union of both); one lazy plan, whose only wide steps are the statistics of
-    BM25 (one row) and the top-k.
+    The question becomes weighted terms, phrases of neighbours and synonyms, scored over ``fields`` (field name to column;
+    the text alone by default) with their boosts. At least ``min_match`` of the terms must be in a chunk: the text match
+    gates the vectors (not a union of both). Candidates are reranked by the bag of title, important words, questions and
+    content, and tags and pagerank are added before the threshold is applied. One lazy plan of two scans: the statistics
+    (one row), and scores, cosine and top-k; the text is neither joined nor shuffled.
     """
     base = chunks.where(where) if where is not None else chunks
-    words = [w for (w,) in chunks.sparkSession.range(1).select(F.explode(X.tokens(X.query_text(F.lit(question))))).collect()]
-    gate = bm25(base, id_col, F.col(text_col), words, min_match=min_match).select(F.col("id").alias("_id"), F.col("score").alias("text_score"))
-    hits = base.join(gate, base[id_col] == F.col("_id")).drop("_id").withColumn("cosine", V.cosine(F.col(vec_col), literal_vector(query_vector)))
+    terms, more = question_terms(chunks.sparkSession, question, synonyms)
+    if not terms:
+        return base.limit(0).withColumns({c: F.lit(0.0) for c in ("text_score", "cosine", "first_stage", "tsim", "vsim", "sim")})
+    columns = {f: F.col(c) for f, c in (fields or {"content_ltks": text_col}).items()}
+    hits = bm25_columns(base, columns, terms, more, (boosts or BOOSTS) if fields else None)
+    hits = hits.where(F.col("matched") >= least_matches(len(terms), min_match)).drop("matched").withColumn("cosine", V.cosine(F.col(vec_col), literal_vector(query_vector)))
     hits = fuse(hits.where(F.col("cosine") >= knn_threshold), "text_score", "cosine", FIRST_STAGE, fusion, "first_stage").orderBy(F.desc("first_stage"), id_col).limit(top)
-    out = rerank(hits, question, F.col(text_col), "cosine", vector_weight)
+    pick = lambda *names: next((F.col(fields[n]) for n in names if fields and n in fields), None)
+    bag = term_bag_text(F.col(text_col), pick("title_tks"), pick("important_kwd", "important_tks"), pick("question_tks"))
+    out = rerank(hits, question, bag, "cosine", vector_weight)
+    if query_tags is not None or pagerank_col:
+        tags = F.col(tags_col) if tags_col else F.create_map().cast("map<string,double>")
+        out = rank_features(out, "sim", query_tags or {}, tags, F.col(pagerank_col) if pagerank_col else F.lit(0.0), "sim")
     return out.where(F.col("sim") >= (0.0 if vector_weight == 0 else similarity_threshold))
 
 
 def retrieve_relaxed(chunks: DataFrame, question: str, query_vector: list[float], **options) -> DataFrame:
-    """retrieve, and where nothing is found once more with a looser text match."""
+    """retrieve, and where nothing is found once more with a looser text match and a cosine that stands for it."""
     out = retrieve(chunks, question, query_vector, **options)
     if out.isEmpty():
         return retrieve(chunks, question, query_vector, **(options | {"min_match": RETRY_MATCH, "knn_threshold": RETRY_THRESHOLD}))
@@ -260,7 +311,8 @@ def both_legs(chunks: DataFrame, question_words: list[str], query_vector: list[f
 
 
 def children_to_parents(children: DataFrame, parents: DataFrame) -> DataFrame:
-    """Chunks with a parent become it: mean similarity, joined text, united keywords."""
+    """Chunks with a parent become it: mean similarity, joined text, united keywords. Meant for the chunks that a search
+    returns, a page of them at most: the texts of a parent's children come into one row."""
     grouped = children.where("mom_id is not null").groupBy("mom_id").agg(
         F.avg("similarity").alias("similarity"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_order_int", "content"))), lambda x: x["content"]), " ").alias("child_text"),

@@ -173,12 +173,12 @@ def delimited_agg(spark, d):
 
 
 @query(
-    """WITH o AS (SELECT o_custkey AS k, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1)
+    """WITH o AS (SELECT o_custkey AS k, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1)
     SELECT coalesce(c.k, o.k) AS k, c.name, c.seg, o.n, o.total FROM (SELECT c_custkey AS k, c_name AS name, c_mktsegment AS seg FROM customer WHERE c_acctbal > 0) c FULL OUTER JOIN o ON c.k = o.k"""
 )
 def excel_outer_merge(spark, d):
     c = t(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("seg"))
-    o = t(spark, d, "orders").where("o_orderkey % 3 = 0").groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    o = t(spark, d, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
     return relational.outer_merge([c, o], ["k"])
 
 
@@ -229,13 +229,15 @@ def upsert_latest(spark, d):
 
 @query(
     """SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN a.fp IS NULL THEN 'added' WHEN b.fp IS NULL THEN 'deleted' ELSE 'changed' END AS change
-    FROM (SELECT doc_id, md5(text) AS fp FROM documents WHERE doc_id % 3 <> 0) a FULL OUTER JOIN (SELECT doc_id, md5(CASE WHEN doc_id % 5 = 0 THEN text || '.' ELSE text END) AS fp FROM documents WHERE doc_id % 4 <> 0) b
+    FROM (SELECT doc_id, md5(text) AS fp FROM documents) a FULL OUTER JOIN (SELECT l.doc_id, md5(CASE WHEN quality = 1 THEN d.text ELSE d.text || '.' END) AS fp FROM labels l JOIN documents d ON l.doc_id = d.doc_id UNION ALL SELECT -1 - item_id, md5(text) FROM benchmark) b
     ON a.doc_id = b.doc_id WHERE a.fp IS DISTINCT FROM b.fp"""
 )
 def fingerprint_diff(spark, d):
-    docs = t(spark, d, "documents")
-    old = docs.where("doc_id % 3 <> 0").select("doc_id", F.md5("text").alias("fp"))
-    new = docs.where("doc_id % 4 <> 0").select("doc_id", F.md5(F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit("."))).otherwise(F.col("text"))).alias("fp"))
+    """The documents against a later listing: the labelled ones, the bad ones changed, and the benchmark's items added."""
+    docs = t(spark, d, "documents").select("doc_id", "text")
+    old = docs.select("doc_id", F.md5("text").alias("fp"))
+    later = t(spark, d, "labels").join(docs, "doc_id").select("doc_id", F.md5(F.when(F.col("quality") == 1, F.col("text")).otherwise(F.concat("text", F.lit(".")))).alias("fp"))
+    new = later.unionByName(t(spark, d, "benchmark").select((-1 - F.col("item_id")).alias("doc_id"), F.md5("text").alias("fp")))
     return relational.fingerprint_diff(old, new, "doc_id", "fp")
 
 
@@ -333,16 +335,32 @@ def column_type_vote(spark, d):
     return templates.column_types(t(spark, d, "part"), ["p_name", "p_size", "p_retailprice", "p_brand"])
 
 
-@query("SELECT c_custkey::VARCHAR AS doc_id, '- c_name: ' || c_name || '\n- c_acctbal: ' || c_acctbal::VARCHAR AS content, c_mktsegment AS segment FROM customer WHERE c_acctbal = floor(c_acctbal * 4) / 4 AND abs(c_acctbal) < 10000")
+@query("SELECT c_custkey::VARCHAR AS doc_id, '- c_name: ' || c_name || '\n- c_acctbal: ' || c_acctbal::VARCHAR AS content, c_mktsegment AS segment FROM customer")
 def table_chunks(spark, d):
-    df = t(spark, d, "customer").where("c_acctbal = floor(c_acctbal * 4) / 4 and abs(c_acctbal) < 10000").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    df = t(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     out = templates.table_chunks(df, "c_custkey", ["c_name", "c_acctbal", "c_mktsegment"], {"c_mktsegment": "metadata", "c_name": "indexing"})
     return out.select("doc_id", "content", F.col("chunk_data")["c_mktsegment"].alias("segment"))
 
 
 # --- chunkers and parsers ---------------------------------------------------------------------------------------------------
 
-_SENT = "list_filter(regexp_split_to_array(text, '[.!?]\\s*|\\n'), lambda x: x <> '')"
+
+
+def _folded(pieces: str, element: str, start: str, step: str) -> str:
+    """A list folded from the left: DuckDB's accumulator must be of the type of the elements, so these are made into ones."""
+    return f"list_reduce(list_transform({pieces}, lambda x: {element}), lambda s, y: {step}, {start})"
+
+
+def _packed(pieces: str, target: int) -> str:
+    """Pieces packed greedily, joined by a space."""
+    flushed = "CASE WHEN s.buf <> '' THEN list_append(s.done, s.buf) ELSE s.done END"
+    step = f"CASE WHEN length(y.buf) >= {target} THEN {{'done': list_append({flushed}, y.buf), 'buf': ''}} WHEN s.buf <> '' AND length(s.buf) + length(y.buf) + 1 <= {target} THEN {{'done': s.done, 'buf': s.buf || ' ' || y.buf}} ELSE {{'done': {flushed}, 'buf': y.buf}} END"
+    return _folded(pieces, "{'done': []::VARCHAR[], 'buf': x}", "{'done': []::VARCHAR[], 'buf': ''}", step)
+
+
+_DONE = "CASE WHEN r.buf <> '' THEN list_append(r.done, r.buf) ELSE r.done END"
+_EACH = "SELECT doc_id, (i - 1)::INT AS \"index\", length(p[i])::INT AS size, md5(p[i]) AS content_md5 FROM {}, unnest(range(1, len(p) + 1)) AS u(i)"
+_KEPT = "list_filter(string_split(regexp_replace(text, '({})', '\\1' || chr(1), 'g'), chr(1)), lambda x: {})"
 
 
 @query("SELECT doc_id, (i - 1)::INT AS \"index\", p[i] AS content FROM (SELECT doc_id, string_split(text, chr(10)) AS p0, list_filter(string_split(text, chr(10)), lambda x: x <> '') AS p FROM documents), unnest(range(1, len(p) + 1)) AS u(i)")
@@ -366,18 +384,26 @@ def paragraph_chunks(spark, d):
     return t(spark, d, "documents").select("doc_id", F.posexplode(chunking.split_paragraphs(F.col("text"))).alias("position", "content"))
 
 
-@query("SELECT doc_id, CASE WHEN regexp_matches(text, '\\p{Han}') THEN 'zh' ELSE 'en' END AS language FROM documents")
+@query("SELECT doc_id, CASE WHEN len(regexp_extract_all(text, '\\p{Han}')) > 0.3 * len(regexp_extract_all(text, '\\p{L}')) THEN 'zh' ELSE 'en' END AS language FROM documents")
 def lang_detect(spark, d):
     return t(spark, d, "documents").select("doc_id", X.language(F.col("text")).alias("language"))
 
 
-@query()
+@query(
+    f"""WITH q AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '\\r\\n?', chr(10), 'g'), chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') AS ps FROM documents),
+    m AS (SELECT doc_id, {_packed('ps', 400)} AS r FROM q) """
+    + _EACH.format(f"(SELECT doc_id, {_DONE} AS p FROM m)")
+)
 def greedy_merge(spark, d):
     dsl = {"preprocess": {"normalize_newlines": True, "strip_whitespace": True, "remove_empty_lines": True}, "split": {"params": {"boundaries": ["\n"]}}, "postprocess": {"merge": {"target_size": 400}}}
     return chunking.compile_plan(dsl).execute(t(spark, d, "documents")).select("doc_id", "index", "size", F.md5("content").alias("content_md5"))
 
 
-@query()
+@query(
+    f"""WITH q AS (SELECT doc_id, {_KEPT.format('[.\\n]', "x <> ''")} AS ps FROM documents), m AS (SELECT doc_id, {_packed('ps', 300)} AS r FROM q), c AS (SELECT doc_id, {_DONE} AS ps FROM m),
+    o AS (SELECT doc_id, {_folded('ps', "{'done': [x]}", "{'done': []::VARCHAR[]}", "{'done': list_append(s.done, CASE WHEN len(s.done) > 0 THEN right(s.done[-1], CASE WHEN regexp_matches(y.done[1], 'https?://[^\\s]+') OR length(y.done[1]) > 280 THEN 10 ELSE 30 END) || y.done[1] ELSE y.done[1] END)}")} AS r FROM c) """
+    + _EACH.format("(SELECT doc_id, r.done AS p FROM o)")
+)
 def overlap_merge(spark, d):
     dsl = {
         "split": {"params": {"boundaries": [".", "\n"], "keep_separators": True}},
@@ -386,12 +412,21 @@ def overlap_merge(spark, d):
     return chunking.compile_plan(dsl).execute(t(spark, d, "documents")).select("doc_id", "index", "size", F.md5("content").alias("content_md5"))
 
 
-@query()
+@query(
+    f"""WITH q AS (SELECT doc_id, {_KEPT.format('[.] |\\n', "regexp_matches(x, '\\S')")} AS ps FROM documents),
+    m AS (SELECT doc_id, {_folded('ps', "{'done': [x], 'n': len(regexp_extract_all(x, '\\S+'))}", "{'done': []::VARCHAR[], 'n': 0::BIGINT}", "CASE WHEN len(s.done) = 0 THEN y WHEN s.n > 57.6 THEN {'done': list_append(s.done, s.done[-1][floor(length(s.done[-1]) * 0.9::DOUBLE)::INT + 1:] || y.done[1]), 'n': len(regexp_extract_all(s.done[-1][floor(length(s.done[-1]) * 0.9::DOUBLE)::INT + 1:] || y.done[1], '\\S+'))} ELSE {'done': list_append(s.done[1:len(s.done) - 1], s.done[-1] || y.done[1]), 'n': s.n + y.n} END")} AS r FROM q)
+    SELECT doc_id, (i - 1)::INT AS position, md5(p[i]) AS content_md5 FROM (SELECT doc_id, r.done AS p FROM m), unnest(range(1, len(p) + 1)) AS u(i)"""
+)
 def token_chunks(spark, d):
     return chunkers.token_chunks(t(spark, d, "documents"), "doc_id", "text", size=64, delimiters=("\n", ". "), overlap_percent=10.0).select("doc_id", "position", F.md5("content").alias("content_md5"))
 
 
-@query()
+@query(
+    f"""WITH ln AS (SELECT doc_id, i AS pos, ls[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), unnest(range(1, len(ls) + 1)) AS u(i)),
+    g AS (SELECT *, sum((length(line) < 30)::INT) OVER (PARTITION BY doc_id ORDER BY pos)::BIGINT AS sec FROM ln), q AS (SELECT doc_id, list({{'s': sec, 'n': len(regexp_extract_all(line, '\\S+')), 'c': line}} ORDER BY pos) AS ps FROM g GROUP BY 1),
+    m AS (SELECT doc_id, {_folded('ps', "{'done': [x]}", "{'done': []::STRUCT(s BIGINT, n BIGINT, c VARCHAR)[]}", "CASE WHEN len(s.done) > 0 AND (s.done[-1].n < 32 OR (s.done[-1].s = y.done[1].s AND s.done[-1].n < 1024)) THEN {'done': list_append(s.done[1:len(s.done) - 1], {'s': y.done[1].s, 'n': s.done[-1].n + y.done[1].n, 'c': s.done[-1].c || chr(10) || y.done[1].c})} ELSE {'done': list_append(s.done, y.done[1])} END")} AS r FROM q)
+    SELECT doc_id, (i - 1)::INT AS position, p[i].n::INT AS tokens, md5(p[i].c) AS content_md5 FROM (SELECT doc_id, r.done AS p FROM m), unnest(range(1, len(p) + 1)) AS u(i)"""
+)
 def group_title_chunks(spark, d):
     lines = t(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("position", "line"))
     lines = chunkers.section_ids(lines, "doc_id", "position", F.length("line") < 30)
@@ -404,7 +439,12 @@ def section_ids(spark, d):
     return chunkers.section_ids(lines, "doc_id", "position", F.length("line") < 30).drop("line")
 
 
-@query()
+@query(
+    """WITH ln AS (SELECT doc_id, (i - 1)::INT AS pos, ls[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), unnest(range(1, len(ls) + 1)) AS u(i)), v AS (SELECT *, CASE WHEN length(line) < 20 THEN 1 WHEN length(line) < 40 THEN 2 ELSE 0 END AS level FROM ln),
+    w AS (SELECT *, sum((level > 0)::INT) OVER o AS h, max(CASE WHEN level = 1 THEN pos END) OVER o AS p1, max(CASE WHEN level = 2 THEN pos END) OVER o AS p2 FROM v WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+    g AS (SELECT doc_id, h, min(pos)::INT AS position, any_value(p1) AS p1, any_value(p2) AS p2, string_agg(line, chr(10) ORDER BY pos) AS content FROM w WHERE level = 0 GROUP BY 1, 2)
+    SELECT g.doc_id, position, concat_ws(' / ', a.line, CASE WHEN p1 IS NULL OR p2 > p1 THEN b.line END) AS path, md5(content) AS content_md5 FROM g LEFT JOIN ln a ON a.doc_id = g.doc_id AND a.pos = p1 LEFT JOIN ln b ON b.doc_id = g.doc_id AND b.pos = p2"""
+)
 def hierarchy_chunks(spark, d):
     lines = t(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("position", "line"))
     level = F.when(F.length("line") < 20, 1).when(F.length("line") < 40, 2).otherwise(0)
@@ -412,11 +452,10 @@ def hierarchy_chunks(spark, d):
     return out.select("doc_id", "position", F.array_join("path", " / ").alias("path"), F.md5("content").alias("content_md5"))
 
 
-@query()
+@query("SELECT doc_id, (i - 1)::INT AS child_order, md5(p[i]) AS content_md5, md5(text) AS mom_md5 FROM (SELECT doc_id, text, list_filter(string_split(regexp_replace(text, '([.\\n])', '\\1' || chr(1), 'g'), chr(1)), lambda x: regexp_matches(x, '\\S')) AS p FROM documents), unnest(range(1, len(p) + 1)) AS u(i)")
 def parent_child_chunks(spark, d):
     docs = t(spark, d, "documents").select("doc_id", F.col("text").alias("content"))
-    out = chunkers.parent_child(docs, "content", [".", "\n"])
-    return out.select("doc_id", "child_order", F.md5("content").alias("content_md5"), "mom_id")
+    return chunkers.parent_child(docs, "content", [".", "\n"]).select("doc_id", "child_order", F.md5("content").alias("content_md5"), F.md5("mom").alias("mom_md5"))
 
 
 @query("SELECT doc_id, regexp_matches(text, 'https?://[^\\s]+') OR length(text) > 2000 AND NOT lang = 'en' AS hit FROM (SELECT doc_id, text, CASE WHEN false THEN 'zh' ELSE 'en' END AS lang FROM documents)")
@@ -486,7 +525,7 @@ def fulltext_topk(spark, d):
 
 @query(_BM + " SELECT doc_id AS id, matched FROM b WHERE matched >= 2")
 def minimum_should_match(spark, d):
-    return search.bm25(t(spark, d, "documents"), "doc_id", F.col("text"), ["the that license"], min_match=0.6).select("id", "matched")
+    return search.bm25(t(spark, d, "documents"), "doc_id", F.col("text"), ["the that license"], min_match=0.67).select("id", "matched")
 
 
 @query(f"SELECT doc_id, contains(' ' || array_to_string({tok('text')}, ' ') || ' ', ' of the ') AS exact FROM documents")
@@ -520,21 +559,44 @@ def token_similarity(spark, d):
     return both.select("doc_id", F.round(T.token_similarity(F.col("q"), F.col("text")), 6).alias("sim"))
 
 
-@query("SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(lower(substr(text, 1, 200)), '[ :|\\r\\n\\t,，。？?/`!！&^%()\\[\\]{}<>*~''\"\\\\]+', ' ', 'g'), '(^| )(what|who|how|which|where|why)(''re|''s)? ', ' ', 'gi'), 'zzzz', '', 'g')) AS q FROM documents")
+@query("SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(lower(text), '[ :|\\r\\n\\t,，。？?/`!！&^%()\\[\\]{}<>*~''\"\\\\]+', ' ', 'g'), '(^| )(what|who|how|which|where|why)(''re|''s)? ', ' ', 'gi'), 'zzzz', '', 'g')) AS q FROM documents")
 def query_clean(spark, d):
-    c = F.regexp_replace(F.lower(F.substring("text", 1, 200)), X.QUERY_SPECIALS, " ")
+    c = F.regexp_replace(F.lower("text"), X.QUERY_SPECIALS, " ")
     return t(spark, d, "documents").select("doc_id", F.trim(F.regexp_replace(c, "(?i)" + X.QUESTION_EN, " ")).alias("q"))
 
 
-@query()
+def _without_words(c: str) -> str:
+    q = lambda p: p.replace("'", "''")
+    out = f"regexp_replace(regexp_replace(regexp_replace({c}, '{q(X.QUESTION_ZH)}', '', 'g'), '(?i){q(X.QUESTION_EN)}', ' ', 'g'), '(?i){q(X.FUNCTION_EN)}', ' ', 'g')"
+    return f"CASE WHEN {out} = '' THEN {c} ELSE {out} END"
+
+
+_CLEAN = "trim(regexp_replace(lower(text), '" + X.QUERY_SPECIALS.replace("'", "''") + "', ' ', 'g'), ' ')"
+
+
+@query(
+    f"""WITH a AS (SELECT text, {_CLEAN} AS c FROM benchmark), b AS (SELECT text, {_without_words('c')} AS c FROM a), d AS (SELECT text, trim({_without_words('c')}, ' ') AS c FROM b),
+    tk AS (SELECT text, unnest({tok('c')}) AS x, unnest(range(len({tok('c')}))) AS pos FROM d), w AS (SELECT text, x, pos, raw / sum(raw) OVER (PARTITION BY text) AS w FROM {_RAW}),
+    n AS (SELECT *, lead(x) OVER (PARTITION BY text ORDER BY pos) AS nx, lead(w) OVER (PARTITION BY text ORDER BY pos) AS nw FROM w WHERE pos < 256)
+    SELECT md5(text) AS question_md5, pos::INT AS pos, kind, term, round(weight, 6) AS weight FROM (SELECT text, pos, 'term' AS kind, x AS term, w AS weight FROM n UNION ALL SELECT text, pos, 'phrase', x || ' ' || nx, 2 * greatest(w, nw) FROM n WHERE nx IS NOT NULL
+    UNION ALL SELECT text, pos, 'synonym', unnest(['this', 'which']), w / 4 FROM n WHERE x = 'that')"""
+)
 def question_query(spark, d):
-    out = search.question_query(t(spark, d, "benchmark").select(F.col("text")), "text", {"the": ["this", "that"]})
+    out = search.question_query(t(spark, d, "benchmark").select(F.col("text")), "text", {"that": ["this", "which"]})
     return out.select(F.md5("question").alias("question_md5"), "pos", "kind", "term", F.round("weight", 6).alias("weight"))
 
 
-@query()
+_MARKS = "[ .?/''\"()!,:;-]"
+_MARKED = f"regexp_replace({{0}}, '(^|{_MARKS})(license|that|the)($|{_MARKS})', '\\1<em>\\2</em>\\3', 'gi')"
+
+
+@query(
+    f"""WITH s AS (SELECT doc_id, list_transform(regexp_extract_all(regexp_replace(text, '[\\r\\n]', ' ', 'g'), '[^.?!;]*[.?!;]|[^.?!;]+'), lambda x: regexp_replace(x, '^\\s+', '')) AS p FROM documents), m AS (SELECT doc_id, list_filter(list_transform(p, lambda x: {_MARKED.format(_MARKED.format('x'))}), lambda x: contains(x, '<em>')) AS p FROM s)
+    SELECT doc_id, md5(regexp_replace(array_to_string(p, '...'), '^\\s+', '')) AS highlight_md5 FROM m WHERE len(p) > 0"""
+)
 def highlight(spark, d):
-    return t(spark, d, "documents").select("doc_id", X.highlight(F.col("text"), ["the", "that", "license"]).alias("highlight")).where("highlight <> ''")
+    marked = X.highlight(F.col("text"), ["the", "that", "license"])
+    return t(spark, d, "documents").select("doc_id", marked.alias("h")).where("h <> ''").select("doc_id", F.md5(F.regexp_replace("h", "^\\s+", "")).alias("highlight_md5"))
 
 
 _VEC = "(SELECT embedding AS q FROM embeddings WHERE vec_id = 0)"
@@ -584,9 +646,9 @@ def rerank_normalize(spark, d):
     return search.normalised_scores(df, "s").select("vec_id", F.round("score", 6).alias("score"))
 
 
-@query("SELECT vec_id, round(10 * (label * 1.0) / (sqrt(2.0) * sqrt(label * label + 1)) + 0.5 * label, 6) AS score FROM embeddings WHERE label > 0")
+@query("SELECT vec_id, round(10 * (label * 1.0) / (sqrt(2.0) * sqrt(label * label + 1)) + 0.5 * label, 6) AS score FROM embeddings")
 def rank_feature_score(spark, d):
-    df = t(spark, d, "embeddings").where("label > 0").select("vec_id", F.lit(0.0).alias("s"), F.create_map(F.lit("a"), F.col("label").cast("double"), F.lit("c"), F.lit(1.0)).alias("tags"), (F.col("label") * 0.5).alias("pr"))
+    df = t(spark, d, "embeddings").select("vec_id", F.lit(0.0).alias("s"), F.create_map(F.lit("a"), F.col("label").cast("double"), F.lit("c"), F.lit(1.0)).alias("tags"), (F.col("label") * 0.5).alias("pr"))
     return search.rank_features(df, "s", {"a": 1.0, "b": 1.0, "pagerank_fea": 10}, F.col("tags"), F.col("pr")).select("vec_id", F.round("score", 6).alias("score"))
 
 
@@ -597,40 +659,82 @@ def block_paging(spark, d):
     return search.page(ranked, "_score", 7, 10, "vec_id").select("vec_id", "rank")
 
 
-def _hybrid(spark, d) -> DataFrame:
+def _with_vectors(spark, d) -> DataFrame:
+    """Documents, each with a vector."""
     docs, vecs = t(spark, d, "documents"), t(spark, d, "embeddings")
     n = vecs.count()
-    pairs = docs.select("doc_id", "text", (F.col("doc_id") % n).alias("vec_id")).join(vecs.select("vec_id", F.col("embedding").alias("vec")), "vec_id")
-    return search.retrieve(pairs, "that the license", _q(spark, d), id_col="doc_id", top=50, knn_threshold=-0.05, similarity_threshold=0.05)
+    return docs.select("doc_id", "text", "source", (F.col("doc_id") % n).alias("vec_id")).join(vecs.select("vec_id", F.col("embedding").alias("vec"), "label"), "vec_id")
+
+
+def _bm_part(count: str, weight: str, df: str, length: str = "n", mean: str = "av") -> str:
+    return f"{weight} * ln(1 + (nd - {df} + 0.5) / ({df} + 0.5)) * {count} * 2.2 / ({count} + 1.2 * (0.25 + 0.75 * {length} / {mean}))"
+
+
+#: The question's terms, phrases and a synonym, weighed; the columns that count them are named in the same order.
+_ASKED = "['that', 'ing', 'license']"
+_WEIGHED = f"""tk AS (SELECT unnest({_ASKED}) AS x, unnest([0, 1, 2]) AS pos), wt AS (SELECT x, pos, raw / sum(raw) OVER () AS w, lead(x) OVER (ORDER BY pos) AS nx, lead(raw) OVER (ORDER BY pos) / sum(raw) OVER () AS nw FROM {_RAW}),
+    wq AS (SELECT max(w) FILTER (WHERE pos = 0) AS w0, max(w) FILTER (WHERE pos = 1) AS w1, max(w) FILTER (WHERE pos = 2) AS w2, max(2 * greatest(w, nw)) FILTER (WHERE pos = 0) AS w3, max(2 * greatest(w, nw)) FILTER (WHERE pos = 1) AS w4, max(w / 4) FILTER (WHERE pos = 2) AS w5 FROM wt)"""
+
+
+def _counted(field: str, p: str) -> str:
+    one = lambda w: f"len(list_filter({p}a, lambda v: v = '{w}'))"
+    two = lambda v, w: f"len(list_filter(range(1, len({p}a)), lambda i: {p}a[i] = '{v}' AND {p}a[i + 1] = '{w}'))"
+    return f"len({p}a) AS {p}n, " + ", ".join(f"{e} AS {p}t{k}" for k, e in enumerate([one("that"), one("ing"), one("license"), two("that", "ing"), two("ing", "license"), one("licence")]))
+
+
+_HYBRID = f"""WITH base AS (SELECT d.doc_id, d.text, list_cosine_similarity(e.embedding::DOUBLE[], (SELECT q::DOUBLE[] FROM {_VEC})) AS c, e.label, {tok('d.text')} AS a, {tok('d.source')} AS ba FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id % (SELECT count(*) FROM embeddings)),
+    f AS (SELECT *, {_counted('text', '')}, {_counted('source', 'b')} FROM base), {_WEIGHED},
+    s AS (SELECT count(*) AS nd, avg(n) AS av, avg(bn) AS bav, {', '.join(f'count(*) FILTER (WHERE {p}t{k} > 0) AS {p}d{k}' for p in ('', 'b') for k in range(6))} FROM f),
+    g AS (SELECT f.*, {' + '.join(_bm_part(f't{k}', f'<boost>w{k}', f'd{k}') for k in range(6))} <more> AS score FROM f, s, wq WHERE (t0 > 0)::INT + (t1 > 0)::INT + (t2 > 0)::INT >= 1),
+    h AS (SELECT *, 0.05 * score + 0.95 * c AS fs FROM g WHERE c >= -0.05 ORDER BY fs DESC, doc_id LIMIT 50),
+    q AS (SELECT x AS term, 0.4 * w AS w FROM wt UNION ALL SELECT x || nx, 0.6 * greatest(w, nw) FROM wt WHERE nx IS NOT NULL),
+    z AS (SELECT doc_id, c, label, (1e-9 + coalesce((SELECT sum(w) FROM q WHERE list_contains(list_concat(bag, list_transform(range(1, len(bag)), lambda i: bag[i] || bag[i + 1])), q.term)), 0)) / (1e-9 + (SELECT sum(w) FROM q)) AS ts FROM (SELECT *, <bag> AS bag FROM h))"""
+
+
+def _hybrid_sql(boost: str, more: str, bag: str) -> str:
+    return _HYBRID.replace("<boost>", boost).replace("<more>", more).replace("<bag>", bag)
+
+
+@query(_hybrid_sql("", "", "a") + " SELECT doc_id, round(0.7 * ts + 0.3 * c, 5) AS sim FROM z WHERE 0.7 * ts + 0.3 * c >= 0.05")
+def hybrid_retrieve(spark, d):
+    """Weighted terms, phrases and a synonym over the text; one field, no boosts."""
+    out = search.retrieve(_with_vectors(spark, d), "that ing license", _q(spark, d), id_col="doc_id", synonyms={"license": ["licence"]}, top=50, knn_threshold=-0.05, similarity_threshold=0.05)
+    return out.select("doc_id", F.round("sim", 5).alias("sim"))
 
 
 @query(
-    f"""{_BM}, v AS (SELECT d.doc_id, list_cosine_similarity(e.embedding::DOUBLE[], (SELECT q::DOUBLE[] FROM {_VEC})) AS c, {tok('d.text')} AS a FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id % (SELECT count(*) FROM embeddings)),
-    h AS (SELECT v.doc_id, c, a, 0.05 * g.score + 0.95 * c AS fs FROM v JOIN (SELECT doc_id, {' + '.join(f'ln(1 + (nd - d{k} + 0.5) / (d{k} + 0.5)) * t{k} * 2.2 / (t{k} + 1.2 * (0.25 + 0.75 * n / av))' for k in (1, 2))} AS score FROM f, s WHERE t1 + t2 > 0) g ON v.doc_id = g.doc_id WHERE c >= -0.05 ORDER BY fs DESC, v.doc_id LIMIT 50),
-    tk AS (SELECT unnest(['that', 'the', 'license']) AS x, unnest([0, 1, 2]) AS pos), w AS (SELECT x, pos, raw / sum(raw) OVER () AS w, lead(x) OVER (ORDER BY pos) AS nx, lead(raw) OVER (ORDER BY pos) / sum(raw) OVER () AS nw FROM {_RAW}),
-    q AS (SELECT x AS term, 0.4 * w AS w FROM w UNION ALL SELECT x || nx, 0.6 * greatest(w, nw) FROM w WHERE nx IS NOT NULL),
-    z AS (SELECT doc_id, c, (1e-9 + coalesce((SELECT sum(w) FROM q WHERE list_contains(list_concat(a, list_transform(range(1, len(a)), lambda i: a[i] || a[i + 1])), q.term)), 0)) / (1e-9 + (SELECT sum(w) FROM q)) AS ts FROM h)
-    SELECT doc_id, round(0.7 * ts + 0.3 * c, 5) AS sim FROM z WHERE 0.7 * ts + 0.3 * c >= 0.05"""
+    _hybrid_sql("2.0 * ", " + 10.0 * (" + " + ".join(f"CASE WHEN bt{k} > 0 THEN {_bm_part(f'bt{k}', f'w{k}', f'bd{k}', 'bn', 'bav')} ELSE 0 END" for k in range(6)) + ")", "list_concat(a, ba, ba)")
+    + " SELECT doc_id, round(0.7 * ts + 0.3 * c + 10 * (label * 1.0) / sqrt(label * label + 1) + 0.01 * label, 5) AS sim FROM z"
 )
-def hybrid_retrieve(spark, d):
-    return _hybrid(spark, d).select("doc_id", F.round("sim", 5).alias("sim"))
+def boosted_retrieve(spark, d):
+    """Two fields with their boosts, title words twice in the bag, tags and pagerank in the score."""
+    rows = _with_vectors(spark, d).withColumn("tags", F.create_map(F.lit("a"), F.col("label").cast("double"), F.lit("c"), F.lit(1.0))).withColumn("pr", F.col("label") * 0.01)
+    out = search.retrieve(
+        rows, "that ing license", _q(spark, d), id_col="doc_id", fields={"content_ltks": "text", "title_tks": "source"}, synonyms={"license": ["licence"]}, query_tags={"a": 2.0}, tags_col="tags", pagerank_col="pr",
+        top=50, knn_threshold=-0.05, similarity_threshold=-1e9,
+    )
+    return out.select("doc_id", F.round("sim", 5).alias("sim"))
 
 
-@query()
+@query(
+    f"""{_BM}, v AS (SELECT d.doc_id, list_cosine_similarity(e.embedding::DOUBLE[], (SELECT q::DOUBLE[] FROM {_VEC})) AS c FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id % (SELECT count(*) FROM embeddings)),
+    tx AS (SELECT doc_id, score AS s FROM (SELECT doc_id, {' + '.join(f'ln(1 + (nd - d{k} + 0.5) / (d{k} + 0.5)) * t{k} * 2.2 / (t{k} + 1.2 * (0.25 + 0.75 * n / av))' for k in (0, 1))} AS score FROM f, s WHERE t0 + t1 > 0) ORDER BY score DESC, doc_id LIMIT 50),
+    nx AS (SELECT doc_id, c FROM v ORDER BY c DESC, doc_id LIMIT 50), la AS (SELECT doc_id, (s - min(s) OVER ()) / (max(s) OVER () - min(s) OVER ()) AS s FROM tx), lb AS (SELECT doc_id, (c - min(c) OVER ()) / (max(c) OVER () - min(c) OVER ()) AS c FROM nx)
+    SELECT coalesce(la.doc_id, lb.doc_id) AS id, round((coalesce(s, 0) + coalesce(c, 0)) / 2, 5) AS score FROM la FULL OUTER JOIN lb ON la.doc_id = lb.doc_id"""
+)
 def both_legs(spark, d):
-    docs, vecs = t(spark, d, "documents"), t(spark, d, "embeddings")
-    pairs = docs.select("doc_id", "text", F.col("doc_id").alias("vec_id")).join(vecs.select("vec_id", F.col("embedding").alias("vec")), "vec_id")
-    return search.both_legs(pairs, ["that the"], _q(spark, d), "doc_id", "text", "vec", 50).select("id", F.round("score", 6).alias("score"))
+    return search.both_legs(_with_vectors(spark, d), ["the that"], _q(spark, d), "doc_id", "text", "vec", 50).select("id", F.round("score", 5).alias("score"))
 
 
 @query(
-    """WITH c AS (SELECT source AS mom, doc_id, n_chars / 1000.0 AS s, lang FROM documents WHERE n_chars < 600) SELECT mom, round(avg(s), 6) AS similarity, count(*) AS children, list_sort(list_distinct(list(lang))) AS keywords FROM c GROUP BY 1"""
+    """WITH c AS (SELECT conv_id AS mom, turn, length(text) / 1000.0 AS s, role, text FROM conversations) SELECT mom, round(avg(s), 6) AS similarity, count(*) AS children, list_sort(list_distinct(list(role))) AS keywords, md5(string_agg(text, ' ' ORDER BY turn, text)) AS text_md5 FROM c GROUP BY 1"""
 )
 def children_to_parent(spark, d):
-    docs = t(spark, d, "documents")
-    kids = docs.where("n_chars < 600").select(F.col("source").alias("mom_id"), (F.col("n_chars") / 1000.0).alias("similarity"), F.col("doc_id").alias("chunk_order_int"), F.col("text").alias("content"), F.array("lang").alias("important_kwd"))
-    parents = docs.select(F.col("source").alias("id")).distinct()
-    return search.children_to_parents(kids, parents).select(F.col("id").alias("mom"), F.round("similarity", 6).alias("similarity"), "children", F.col("important_kwd").alias("keywords"))
+    """The turns of a conversation become it."""
+    turns = t(spark, d, "conversations")
+    kids = turns.select(F.col("conv_id").alias("mom_id"), (F.length("text") / 1000.0).alias("similarity"), F.col("turn").alias("chunk_order_int"), F.col("text").alias("content"), F.array("role").alias("important_kwd"))
+    out = search.children_to_parents(kids, turns.select(F.col("conv_id").alias("id")).distinct())
+    return out.select(F.col("id").alias("mom"), F.round("similarity", 6).alias("similarity"), "children", F.col("important_kwd").alias("keywords"), F.md5("child_text").alias("text_md5"))
 
 
 @query("SELECT doc_id AS id, lang, n_chars FROM documents WHERE source = 'src2' AND lang = 'en' ORDER BY n_chars DESC, doc_id LIMIT 10 OFFSET 2")
@@ -659,13 +763,19 @@ def sql_text_match(spark, d):
 # --- graphs -----------------------------------------------------------------------------------------------------------------------
 
 
-def _bipartite(spark, d, where: str = "l_partkey % 10 = 0 and l_quantity > 30") -> DataFrame:
-    """Parts and suppliers; by default the part of the graph that the SQL below has."""
-    li = t(spark, d, "lineitem").where(where)
-    return li.select(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst")).groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
+def _bipartite(spark, d) -> DataFrame:
+    """Parts and suppliers, of all lines."""
+    return t(spark, d, "lineitem").select(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst")).groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
+
 
+_E = "e AS (SELECT 'p' || l_partkey AS src, 's' || l_suppkey AS dst, count(*)::DOUBLE AS weight FROM lineitem GROUP BY 1, 2)"
+_PLACES = "e AS (SELECT 'c' || c_custkey AS src, 'n' || c_nationkey AS dst, 1.0::DOUBLE AS weight FROM customer UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey, 2.0::DOUBLE FROM nation)"
 
-_E = "e AS (SELECT 'p' || l_partkey AS src, 's' || l_suppkey AS dst, count(*)::DOUBLE AS weight FROM lineitem WHERE l_partkey % 10 = 0 AND l_quantity > 30 GROUP BY 1, 2)"
+
+def _places(spark, d) -> DataFrame:
+    """Customers, nations and regions."""
+    c = t(spark, d, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("src"), F.concat(F.lit("n"), "c_nationkey").alias("dst"), F.lit(1.0).alias("weight"))
+    return c.unionByName(t(spark, d, "nation").select(F.concat(F.lit("n"), "n_nationkey").alias("src"), F.concat(F.lit("r"), "n_regionkey").alias("dst"), F.lit(2.0).alias("weight")))
 
 
 @query(f"WITH {_E} SELECT id, count(*) AS degree FROM (SELECT src AS id FROM e UNION ALL SELECT dst FROM e) GROUP BY 1")
@@ -683,25 +793,34 @@ def cooccur_edges(spark, d):
 
 
 @query(
-    f"""WITH {_E}, w AS (SELECT src, dst, weight FROM e UNION ALL SELECT dst, src, weight FROM e), two AS (SELECT a.src, [a.src, a.dst, b.dst] AS path, [a.weight, b.weight] AS weights FROM w a JOIN w b ON a.dst = b.src WHERE b.dst <> a.src)
+    f"""WITH {_PLACES}, w AS (SELECT src, dst, weight FROM e UNION ALL SELECT dst, src, weight FROM e), two AS (SELECT a.src, [a.src, a.dst, b.dst] AS path, [a.weight, b.weight] AS weights FROM w a JOIN w b ON a.dst = b.src WHERE b.dst <> a.src)
     SELECT src, count(*) AS paths, round(sum(len(path)), 0)::BIGINT AS nodes, round(sum(list_sum(weights)), 4) AS weight FROM (SELECT src, [src, dst] AS path, [weight] AS weights FROM w UNION ALL SELECT * FROM two) GROUP BY 1"""
 )
 def nhop_paths(spark, d):
-    p = graph.nhop_paths(_bipartite(spark, d), 2)
+    p = graph.nhop_paths(_places(spark, d), 2)
     total = F.aggregate("weights", F.lit(0.0), lambda a, x: a + x)
     return p.groupBy("src").agg(F.count("*").alias("paths"), F.sum(F.size("path")).alias("nodes"), F.round(F.sum(total), 4).alias("weight"))
 
 
-@query(
-    f"""WITH {_E}, w AS (SELECT src, dst, weight FROM e UNION ALL SELECT dst, src, weight FROM e), s AS (SELECT src AS id, 1.0::DOUBLE / count(*) AS sim FROM w GROUP BY 1),
-    st AS (SELECT src, src AS f, dst AS t, 0 AS i, weight FROM w UNION ALL SELECT a.src, a.src, a.dst, 0, a.weight FROM w a JOIN w b ON a.dst = b.src WHERE b.dst <> a.src UNION ALL SELECT a.src, b.src, b.dst, 1, b.weight FROM w a JOIN w b ON a.dst = b.src WHERE b.dst <> a.src)
-    SELECT f AS src, t AS dst, round(sum(sim / (2 + i)), 6) AS sim, max(weight) AS weight FROM st JOIN s ON st.src = s.id GROUP BY 1, 2"""
-)
+_HOPS = f"""{_PLACES}, w AS (SELECT src, dst, weight FROM e UNION ALL SELECT dst, src, weight FROM e), s AS (SELECT src AS id, 1.0::DOUBLE / count(*) AS sim FROM w GROUP BY 1),
+    st AS (SELECT src, src AS f, dst AS t, 0 AS i, weight FROM w UNION ALL SELECT a.src, a.src, a.dst, 0, a.weight FROM w a JOIN w b ON a.dst = b.src WHERE b.dst <> a.src UNION ALL SELECT a.src, b.src, b.dst, 1, b.weight FROM w a JOIN w b ON a.dst = b.src WHERE b.dst <> a.src),
+    hop AS (SELECT f AS src, t AS dst, sum(sim / (2 + i)) AS sim, max(weight) AS weight FROM st JOIN s ON st.src = s.id GROUP BY 1, 2)"""
+
+
+@query(f"WITH {_HOPS} SELECT src, dst, round(sim, 6) AS sim, weight FROM hop")
 def nhop_score(spark, d):
-    e = _bipartite(spark, d)
-    p = graph.nhop_paths(e, 2).groupBy(F.col("src").alias("id")).agg(F.collect_list(F.struct("path", "weights")).alias("paths"))
-    sim = graph.both_ways(e).groupBy(F.col("src").alias("id")).agg((1.0 / F.count("*")).alias("similarity"))
-    return graph.nhop_scores(p.join(sim, "id")).withColumn("sim", F.round("sim", 6))
+    e = _places(spark, d)
+    sims = graph.both_ways(e).groupBy(F.col("src").alias("id")).agg((1.0 / F.count("*")).alias("similarity"))
+    return graph.two_hop_scores(e, sims).withColumn("sim", F.round("sim", 6))
+
+
+@query(f"WITH {_HOPS} SELECT src, dst, round(sim, 6) AS sim, weight FROM hop")
+def nhop_path_scores(spark, d):
+    """The same by paths, as entities store them."""
+    e = _places(spark, d)
+    sims = graph.both_ways(e).groupBy(F.col("src").alias("id")).agg((1.0 / F.count("*")).alias("similarity"))
+    p = graph.nhop_paths(e, 2).join(sims, F.col("src") == F.col("id")).select("similarity", F.array(F.struct("path", "weights")).alias("paths"))
+    return graph.nhop_scores(p).withColumn("sim", F.round("sim", 6))
 
 
 _STEP = "SELECT n.id, 0.15 / (SELECT count(*) FROM nodes) + 0.85 * coalesce(sum(r.r * p.p), 0) AS r FROM nodes n LEFT JOIN p ON p.dst = n.id LEFT JOIN {} r ON r.id = p.src GROUP BY 1"
@@ -717,26 +836,40 @@ def pagerank(spark, d):
 
 
 @query(
-    """WITH RECURSIVE e AS (SELECT DISTINCT 'o' || o_orderkey AS a, 'c' || o_custkey AS b FROM orders WHERE o_totalprice > 250000), w AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+    """WITH RECURSIVE e AS (SELECT DISTINCT 'o' || o_orderkey AS a, 'c' || o_custkey AS b FROM orders), w AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
     r AS (SELECT a AS id, least(a, min(b)) AS component FROM w GROUP BY 1), r2 AS (SELECT w.a AS id, min(r.component) AS component FROM w JOIN r ON w.b = r.id GROUP BY 1) SELECT id, component FROM r2"""
 )
 def components(spark, d):
-    e = t(spark, d, "orders").where("o_totalprice > 250000").select(F.concat(F.lit("o"), "o_orderkey").alias("src"), F.concat(F.lit("c"), "o_custkey").alias("dst"))
+    e = t(spark, d, "orders").select(F.concat(F.lit("o"), "o_orderkey").alias("src"), F.concat(F.lit("c"), "o_custkey").alias("dst"))
     return graph.components(e)
 
 
 @query()
 def communities(spark, d):
-    return graph.label_propagation(_bipartite(spark, d, "true"), rounds=4)
+    return graph.label_propagation(_bipartite(spark, d), rounds=4)
+
+
+def _gram(c: str) -> str:
+    return f"list_distinct(list_transform(range(1, length({c})), lambda i: substr({c}, i, 2)))"
+
+
+def _english(c: str) -> str:
+    return f"len(regexp_extract_all({c}, '[`a-zA-Z0-9.,'':;/\"?<>!()-]')) > 0.8 * length({c})"
+
+
+_ALIKE = f"""NOT list_bool_or(list_concat([false], list_transform(list_concat(list_filter({_gram('a.n')}, lambda x: NOT list_contains({_gram('b.n')}, x)), list_filter({_gram('b.n')}, lambda x: NOT list_contains({_gram('a.n')}, x))), lambda x: regexp_matches(x, '[0-9]'))))
+    AND CASE WHEN {_english('a.n')} AND {_english('b.n')} THEN levenshtein(a.n, b.n) <= floor(least(length(a.n), length(b.n)) / 2)
+    ELSE (SELECT CASE WHEN m < 4 THEN c > 1 ELSE c * 1.0 / m >= 0.8 END FROM (SELECT len(list_intersect(string_split(a.n, ''), string_split(b.n, ''))) AS c, greatest(len(list_distinct(string_split(a.n, ''))), len(list_distinct(string_split(b.n, '')))) AS m)) END"""
 
 
 @query(
-    """WITH n AS (SELECT DISTINCT p_name AS n, split_part(p_type, ' ', 1) AS k FROM part) SELECT a.n AS a, b.n AS b, a.k AS kind FROM n a JOIN n b ON a.k = b.k AND lower(a.n[1]) = lower(b.n[1]) AND a.n < b.n
-    WHERE levenshtein(lower(a.n), lower(b.n)) <= floor(least(length(a.n), length(b.n)) / 2) AND array_to_string(regexp_extract_all(a.n, '\\d+'), ',') = array_to_string(regexp_extract_all(b.n, '\\d+'), ',')"""
+    f"""WITH n AS (SELECT DISTINCT p_name || ' ' || p_brand AS n, p_type AS k FROM part), p AS (SELECT a.n AS a, b.n AS b, a.k FROM n a JOIN n b ON a.k = b.k AND a.n < b.n WHERE {_ALIKE}),
+    c AS (SELECT k, n, count(*) AS links FROM (SELECT k, a AS n FROM p UNION ALL SELECT k, b FROM p) GROUP BY 1, 2) SELECT n.n AS name, n.k AS kind, coalesce(links, 0) AS links FROM n LEFT JOIN c ON n.n = c.n AND n.k = c.k"""
 )
-def entity_resolution_pairs(spark, d):
-    parts = t(spark, d, "part").select("p_name", F.split("p_type", " ")[0].alias("kind"))
-    return graph.resolution_pairs(parts, "p_name", "kind")
+def entity_resolution(spark, d):
+    """How many other names of its type each part's name is similar to."""
+    parts = t(spark, d, "part").select(F.concat_ws(" ", "p_name", "p_brand").alias("name"), F.col("p_type").alias("kind"))
+    return graph.resolution(parts, "name", "kind").drop("component")
 
 
 @query("SELECT 'r' || n_regionkey AS src, 'n' || n_nationkey AS dst, 2.0::DOUBLE AS weight, 2 AS n FROM nation")
@@ -747,13 +880,21 @@ def graph_merge(spark, d):
     return m.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight", F.size("source_id").alias("n"))
 
 
-@query()
+@query(
+    f"""WITH {_HOPS}, d AS (SELECT src AS id, count(*) AS degree FROM w GROUP BY 1), en AS (SELECT id, 1.0::DOUBLE / (1 + length(id)) AS similarity, degree FROM d WHERE 1.0::DOUBLE / (1 + length(id)) >= 0.1),
+    st2 AS (SELECT st.f, st.t, sum(en.similarity / (2 + st.i)) AS sim, max(st.weight) AS weight FROM st JOIN en ON st.src = en.id GROUP BY 1, 2), ty AS (SELECT id FROM en WHERE id LIKE 'n%'),
+    r AS (SELECT coalesce(e.src, h.f) AS src, coalesce(e.dst, h.t) AS dst, e.weight AS rp, h.sim AS hs, h.weight AS hp FROM e FULL OUTER JOIN st2 h ON e.src = h.f AND e.dst = h.t),
+    g AS (SELECT src, dst, CASE WHEN rp IS NOT NULL THEN 0.5 * (coalesce(hs, 0) + x + 1) * rp ELSE hs * (x + 1) * hp END AS score, rp IS NOT NULL AS known FROM (SELECT *, (src IN (SELECT id FROM ty))::INT + (dst IN (SELECT id FROM ty))::INT AS x FROM r)),
+    o AS (SELECT 'entity' AS kind, id AS name, similarity * degree * (CASE WHEN id LIKE 'n%' THEN 2 ELSE 1 END) AS score, 'd' AS description FROM en ORDER BY score DESC, name LIMIT 6),
+    l AS (SELECT 'relation' AS kind, src || ' -> ' || dst AS name, score, CASE WHEN known THEN 'r' ELSE '' END AS description FROM g ORDER BY score DESC, name LIMIT 6)
+    SELECT kind, name, round(score, 5) AS score, description FROM o UNION ALL SELECT kind, name, round(score, 5), description FROM l"""
+)
 def kg_retrieve(spark, d):
-    e = _bipartite(spark, d)
-    p = graph.nhop_paths(e, 2).groupBy(F.col("src").alias("id")).agg(F.collect_list(F.struct("path", "weights")).alias("paths"))
-    ents = p.join(graph.degrees(e), "id").select("id", (1.0 / (1 + F.length("id"))).alias("similarity"), F.col("degree").cast("double").alias("pagerank"), F.lit("d").alias("description"), "paths")
+    e = _places(spark, d)
+    ents = graph.degrees(e).select("id", (1.0 / (1 + F.length("id"))).alias("similarity"), F.col("degree").cast("double").alias("pagerank"), F.lit("d").alias("description"))
     rels = e.select("src", "dst", F.lit(0.5).alias("sim"), F.col("weight").alias("pagerank"), F.lit("r").alias("description"))
-    return graph.kg_retrieve(ents, rels, ents.select("id").where("id like 's%'"), threshold=0.1).withColumn("score", F.round("score", 6))
+    out = graph.kg_retrieve(ents, rels, ents.select("id").where("id like 'n%'"), edges=e, threshold=0.1)
+    return out.select("kind", "name", F.round("score", 5).alias("score"), "description")
 
 
 # --- trees ------------------------------------------------------------------------------------------------------------------------
@@ -827,17 +968,15 @@ def rank_metrics(spark, d):
 
 @query(
     """WITH a AS (SELECT source, list(d.doc_id ORDER BY d.n_chars DESC, d.doc_id)[1:10] AS got, list(d.doc_id) FILTER (WHERE l.quality = 1) AS rel FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1),
-    m AS (SELECT source, got, coalesce(rel, []) AS rel, len(list_intersect(got, coalesce(rel, [])))::DOUBLE AS h FROM a)
-    SELECT source, round(h / len(got), 6) AS precision, round(coalesce(h / nullif(len(rel), 0), 0), 6) AS recall, (h > 0)::INT::DOUBLE AS hit_rate, round(coalesce(1.0 / list_min(list_filter(range(1, len(got) + 1), lambda i: list_contains(rel, got[i]))), 0), 6) AS mrr FROM m"""
+    m AS (SELECT source, got, coalesce(rel, []) AS rel, len(list_intersect(got, coalesce(rel, [])))::DOUBLE AS h FROM a), p AS (SELECT *, h / len(got) AS p, coalesce(h / nullif(len(rel), 0), 0) AS r FROM m)
+    SELECT source, round(p, 6) AS precision, round(r, 6) AS recall, round(coalesce(2 * p * r / nullif(p + r, 0), 0), 6) AS f1, (h > 0)::INT::DOUBLE AS hit_rate, round(coalesce(1.0 / list_min(list_filter(range(1, len(got) + 1), lambda i: list_contains(rel, got[i]))), 0), 6) AS mrr FROM p"""
 )
 def eval_metrics(spark, d):
-    x = t(spark, d, "documents").join(t(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
-    got = x.groupBy("source").agg(
-        F.transform(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n_chars")).alias("n"), "doc_id"))), 1, 10), lambda s: s["doc_id"]).alias("got"),
-        F.collect_list(F.when(F.col("quality") == 1, F.col("doc_id"))).alias("rel"),
-    )
-    m = evals.set_metrics(F.col("got"), F.col("rel"))
-    return got.select("source", *(F.round(m[k], 6).alias(k) for k in ("precision", "recall", "hit_rate", "mrr")))
+    """By source: its ten longest documents as a run, its good ones as what is relevant."""
+    docs = t(spark, d, "documents").select(F.col("source").alias("query"), F.col("doc_id").alias("chunk_id"), F.col("n_chars").alias("score"))
+    good = docs.join(t(spark, d, "labels").where("quality = 1").select(F.col("doc_id").alias("chunk_id")), "chunk_id", "left_semi")
+    m = evals.run_metrics(docs, good, 10)
+    return m.select(F.col("query").alias("source"), *(F.round(k, 6).alias(k) for k in ("precision", "recall", "f1", "hit_rate", "mrr")))
 
 
 # --- streams and dataflows ----------------------------------------------------------------------------------------------------------
@@ -863,10 +1002,11 @@ def channel_fold(spark, d):
     return channels.folded(w, "sum")
 
 
-@query("SELECT event_type AS channel, list(event_id ORDER BY day, event_id)[1:5] AS value FROM (SELECT event_type, event_id, day(ts) AS day FROM events) GROUP BY 1")
+@query("SELECT conv_id AS channel, list(md5(text) ORDER BY turn, role, md5(text)) AS value FROM conversations GROUP BY 1")
 def channel_topic(spark, d):
-    w = t(spark, d, "events").select(F.col("event_type").alias("channel"), F.dayofmonth("ts").alias("step"), F.col("event_id").alias("writer"), F.col("event_id").alias("value"))
-    return channels.topic(w).select("channel", F.slice("value", 1, 5).alias("value"))
+    """A conversation as a channel: all its messages in order."""
+    w = t(spark, d, "conversations").select(F.col("conv_id").alias("channel"), F.col("turn").alias("step"), F.col("role").alias("writer"), F.md5("text").alias("value"))
+    return channels.topic(w)
 
 
 @query("SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_quantity), 2) AS qty FROM lineitem WHERE l_quantity > 10 GROUP BY 1, 2")
@@ -897,6 +1037,9 @@ def hashed_embeddings(spark, d):
     return t(spark, d, "benchmark").select("item_id", F.transform(embed(F.col("text"), 16), lambda x: F.round(x, 5)).alias("vec"))
 
 
+from . import queries_more  # noqa: E402, F401  more queries, which register themselves
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

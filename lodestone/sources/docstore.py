@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.filters import condition
 from ..operators.relational import gathered, order_by, terms_agg
-from ..operators.search import bm25, fuse, knn, literal_vector, rank_features, ranked
+from ..operators.search import bm25_columns, fuse, least_matches, literal_vector, rank_features, ranked
 from ..functions.text import highlight
 from ..functions.values import cosine
 
@@ -21,7 +21,8 @@ class Search:
 
     select: list[str] = field(default_factory=list)
     where: dict[str, Any] = field(default_factory=dict)
-    text: tuple[str, list[str]] | None = None  # (column, words)
+    text: tuple[str | list[str] | dict[str, float], list[str]] | None = None  # (column, columns or boosts by column; words)
+    min_match: float = 0.0
     dense: tuple[str, list[float], int, float] | None = None  # (column, vector, top, threshold)
     weights: tuple[float, float] = (0.05, 0.95)
     fusion: str = "raw"
@@ -53,23 +54,29 @@ class DocStore:
         return (df if last is None else df.where(F.col(self.id) > last)).orderBy(self.id).limit(size)
 
     def candidates(self, s: Search, kb_ids: list[str] | None = None) -> DataFrame:
+        """The rows that condition, text and vector let through, scored; boosts by tags and pagerank are part of the score
+        before the top is taken."""
         df = self.chunks(kb_ids)
         df = df.where(condition(df, s.where))
         if s.text:
-            gate = bm25(df, self.id, F.col(s.text[0]), s.text[1]).select(F.col("id").alias("_id"), F.col("score").alias("_text"))
-            df = df.join(gate, df[self.id] == F.col("_id")).drop("_id")
+            columns, words = s.text
+            names = [columns] if isinstance(columns, str) else list(columns)
+            wanted = dict.fromkeys((t for q in words for t in q.lower().split()), 1.0)
+            df = bm25_columns(df, {n: F.col(n) for n in names}, wanted, None, columns if isinstance(columns, dict) else None)
+            df = df.where(F.col("matched") >= least_matches(len(wanted), s.min_match)).drop("matched").withColumnRenamed("text_score", "score")
         if s.dense:
             column, vector, top, threshold = s.dense
-            if s.text:
-                df = df.withColumn("_dense", cosine(F.col(column), literal_vector(vector))).where(F.col("_dense") >= threshold)
-                df = fuse(df, "_text", "_dense", s.weights, s.fusion).orderBy(F.desc("score"), self.id).limit(top)
-            else:
-                df = knn(df, column, vector, top, threshold, self.id).withColumnRenamed("_score", "score")
-        elif s.text:
-            df = df.withColumn("score", F.col("_text"))
-        if s.tags and "score" in df.columns:
-            df = rank_features(df, "score", s.tags, F.col("tag_feas"), F.col("pagerank_fea"))
-        return df
+            df = df.withColumn("_dense", cosine(F.col(column), literal_vector(vector))).where(F.col("_dense") >= threshold)
+            df = fuse(df, "score", "_dense", s.weights, s.fusion) if s.text else df.withColumn("score", F.col("_dense"))
+            df = self._boosted(df, s).drop("_dense")
+            return df.orderBy(F.desc("score"), self.id).limit(top)
+        return self._boosted(df, s)
+
+    def _boosted(self, df: DataFrame, s: Search) -> DataFrame:
+        if not s.tags or "score" not in df.columns:
+            return df
+        tags = F.col("tag_feas") if "tag_feas" in df.columns else F.create_map().cast("map<string,double>")
+        return rank_features(df, "score", s.tags, tags, F.col("pagerank_fea") if "pagerank_fea" in df.columns else F.lit(0.0))
 
     def search(self, s: Search, kb_ids: list[str] | None = None) -> DataFrame:
         df = self.candidates(s, kb_ids)
