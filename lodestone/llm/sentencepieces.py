@@ -28,6 +28,7 @@ import struct
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import Any, NamedTuple
 
 import numpy as np
@@ -40,6 +41,7 @@ from .common import byte_texts, map_arrow
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
+_ROW = 512
 
 
 class Spec(NamedTuple):
@@ -126,7 +128,7 @@ class Backend:
     """Encodes and decodes as the SentencePiece model does, on the tokenizers library.
 
     Texts are normalised, cut at the markers, and the cuts not met before are encoded in one multithreaded batch; their
-    ids are remembered up to ``remember`` cuts. With ``verify``, every cut is also encoded by SentencePiece when first met.
+    ids are remembered: the last ``remember`` cuts at most, and at least half as many. With ``verify``, every cut is also encoded by SentencePiece when first met.
     """
 
     def __init__(self, model: bytes, verify: bool = True, remember: int = 200_000) -> None:
@@ -144,6 +146,7 @@ class Backend:
         self.in_bytes = self.spec.model_type == UNIGRAM and self.spec.byte_fallback and len(self.byte_ids) == 256
         self.bytes_of = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in self.spec.pieces]
         self.ids_of: dict[str, bytes] = {}  # little-endian 32-bit numbers
+        self.older: dict[str, bytes] = {}
         self.wrong: set[str] = set()
         self.verify, self.remember, self.original = verify, remember, None
         if verify:
@@ -163,26 +166,45 @@ class Backend:
     def learn(self, cuts: list[str]) -> None:
         """Encode cuts not met before, and hold them against SentencePiece."""
         encode = self.tokenizer.encode_batch if self.in_bytes else self.tokenizer.encode_batch_fast  # the fast one has no offsets
+        found = []
         for cut, got in zip(cuts, encode(cuts, add_special_tokens=False), strict=True):
             ids = got.ids
             if self.in_bytes and self.unknown in ids:
                 spelt = [[self.byte_ids[b] for b in cut[x:y].encode()] if k == self.unknown else [k] for k, (x, y) in zip(ids, got.offsets, strict=True)]
                 ids = [k for part in spelt for k in part]
-            self.ids_of[cut] = array("i", ids).tobytes()
+            found.append(array("i", ids).tobytes())
+        self.ids_of.update(zip(cuts, found, strict=True))
         if self.original is not None:
-            # Behind a letter, as cuts stand in a text: alone, a text of nothing but the dummy prefix would have no ids.
-            lead = self.original.encode("a")
-            plain = ["a" + (c.replace(MARK, " ") if self.spec.escape else c) for c in cuts]
-            self.wrong.update(c for c, ids in zip(cuts, self.original.encode(plain, num_threads=1), strict=True) if ids[len(lead) :] != list(array("i", self.ids_of[c])) or ids[: len(lead)] != lead)
+            self._hold(cuts, found)
+
+    def _hold(self, cuts: list[str], found: list[bytes]) -> None:
+        """Cuts whose ids aren't SentencePiece's become wrong. Cuts are encoded in rows of ``_ROW``, as they stand in a text,
+        and one by one only in a row that differs."""
+        # Behind a letter: alone, a text of nothing but the dummy prefix would have no ids.
+        lead = array("i", self.original.encode("a")).tobytes()
+        spelt = lambda c: "a" + (c.replace(MARK, " ") if self.spec.escape else c)
+        ids = lambda text: array("i", self.original.encode(text)).tobytes()
+        # A row is cut again where its cuts were joined: each begins with a marker, and has something behind it.
+        joins = [self.cut is not None and c.startswith(self.mark) and not c.endswith(self.mark) for c in cuts]
+        rows = [(c, x) for c, x, j in zip(cuts, found, joins, strict=True) if j]
+        alone = [(c, x) for c, x, j in zip(cuts, found, joins, strict=True) if not j]
+        for k in range(0, len(rows), _ROW):
+            row = rows[k : k + _ROW]
+            if ids(spelt("".join([c for c, _ in row]))) != lead + b"".join([x for _, x in row]):
+                alone += row
+        self.wrong.update(c for c, x in alone if ids(spelt(c)) != lead + x)
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
         """The ids of each text (as packed 32-bit numbers), and whether all its cuts agree with SentencePiece."""
         cuts = [self.cut(t) if self.cut else [t] for t in map(self.normalised, texts)]
-        if len(self.ids_of) > self.remember:
-            self.ids_of, self.wrong = {}, set()
-        unseen = {c for cut in cuts for c in cut if c not in self.ids_of}
-        if unseen:
-            self.learn(sorted(unseen))
+        if len(self.ids_of) > self.remember // 2:  # what wasn't met since the last time is forgotten
+            self.older, self.ids_of = self.ids_of, {}
+            self.wrong &= self.older.keys()
+        need = set(chain.from_iterable(cuts)) - self.ids_of.keys()
+        again = need & self.older.keys()
+        self.ids_of.update(zip(again, map(self.older.__getitem__, again), strict=True))
+        if unseen := need - again:
+            self.learn(list(unseen))
         get, wrong = self.ids_of.__getitem__, self.wrong
         return [b"".join(map(get, cut)) for cut in cuts], [not wrong or wrong.isdisjoint(cut) for cut in cuts]
 
