@@ -276,14 +276,15 @@ def _window_rows(parts: DataFrame) -> DataFrame:
     return in_arrow(parts, run, f"digest binary, rid {name}, first int")
 
 
-def _met(rows: DataFrame, once: DataFrame, on: list[str]) -> DataFrame:
-    """``rows`` joined to ``once`` (a row a key, with how many rows ``n`` the key has), whatever a key's share of them."""
+def _met(rows: DataFrame, once: DataFrame, on: list[str], spread: tuple[str, ...] = ("rid", "first")) -> DataFrame:
+    """``rows`` joined to ``once`` (a row a key, with how many rows ``n`` the key has), whatever a key's share of them; keys
+    that are too many to be broadcast are dealt out by the columns ``spread``."""
     often = once.where(F.col("n") > OFTEN)
     if bounded(often, OFTEN_ROWS):
         rest = rows.join(F.broadcast(often.select(*on)), on, "left_anti").join(once.where(F.col("n") <= OFTEN), on)
         return rest.unionByName(rows.join(F.broadcast(often), on))
     parts = once.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))))
-    return rows.withColumn("_part", F.pmod(F.xxhash64("rid", "first"), F.lit(DEALT)).cast("int")).join(parts, [*on, "_part"]).drop("_part")
+    return rows.withColumn("_part", F.pmod(F.xxhash64(*spread), F.lit(DEALT)).cast("int")).join(parts, [*on, "_part"]).drop("_part")
 
 
 def repeated_ranges(docs: DataFrame, hot: int = HOT) -> DataFrame:
@@ -299,8 +300,8 @@ def repeated_ranges(docs: DataFrame, hot: int = HOT) -> DataFrame:
     again = kinds.where("n > 1").select("anchor", "context", "check", "n")
     whole = _met(shared, again, ["anchor", "context", "check"]).select("rid", "first", (F.col("first") + more).alias("last"))
     # Anchors with a context that occurs once beside another one: these need the comparison.
-    unsettled = kinds.where("mixed").groupBy("anchor").agg(F.min("n").alias("_least"), F.count("*").alias("_k")).where("_least = 1").select("anchor", (F.col("_k") > hot).alias("hot"))
-    wanted = kinds.where("mixed").join(unsettled, "anchor").select("anchor", "hot", "one.*")
+    unsettled = kinds.where("mixed").groupBy("anchor").agg(F.min("n").alias("_least"), F.count("*").alias("_k")).where("_least = 1").select("anchor", F.col("_k").alias("n"), (F.col("_k") > hot).alias("hot"))
+    wanted = _met(kinds.where("mixed").select("anchor", "one"), unsettled, ["anchor"], ("one",)).select("anchor", "hot", "one.*")
     segments = stored(_cut_segments(docs, wanted), "segments")
     cold = segments.where("not hot").select("anchor", "rid", "first", "segment").repartition(parts, "anchor").sortWithinPartitions("anchor")
     out = whole.unionByName(_sharded(cold))
@@ -313,8 +314,8 @@ def _dealt_out(segments: DataFrame, hot: int, parts: int) -> DataFrame:
     pieces = stored(_parts(segments), "parts")
     kinds = stored(pieces.groupBy("key", "content").agg(F.count("*").alias("n"), F.min(F.struct("rid", "first", "segment")).alias("one")), "part-kinds")
     whole = _met(pieces, kinds.where("n > 1").select("key", "content", "n"), ["key", "content"]).select("rid", "first", (F.col("first") + F.length("segment") - SPAN).cast("int").alias("last"))
-    unsettled = kinds.groupBy("key").agg(F.min("n").alias("_least"), F.count("*").alias("_k")).where("_least = 1 and _k > 1").select("key", (F.col("_k") > hot).alias("hot"))
-    left = stored(kinds.join(unsettled, "key").select("key", "hot", "one.*"), "part-left")
+    unsettled = kinds.groupBy("key").agg(F.min("n").alias("_least"), F.count("*").alias("_k")).where("_least = 1 and _k > 1").select("key", F.col("_k").alias("n"), (F.col("_k") > hot).alias("hot"))
+    left = stored(_met(kinds.select("key", "one"), unsettled, ["key"], ("one",)).select("key", "hot", "one.*"), "part-left")
     cold = left.where("not hot").select("key", "rid", "first", "segment").repartition(parts, "key").sortWithinPartitions("key")
     windows = _window_rows(left.where("hot").select("rid", "first", "segment"))
     twice = windows.groupBy("digest").agg(F.count("*").alias("_n")).where("_n > 1").select("digest")
