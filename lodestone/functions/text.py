@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import base64
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import LongType, StringType
 
 # Question words, function words and fence patterns that queries are cleaned of.
 QUESTION_ZH = "是*(怎么办|什么样的|哪家|一下|那家|请问|啥样|咋样了|什么时候|何时|何地|何人|是否|是不是|多少|哪里|怎么|哪儿|怎么样|如何|哪些|是啥|啥是|啊|吗|呢|吧|咋|什么|有没有|呀|谁|哪位|哪个)是*"
@@ -158,3 +160,28 @@ def token_count(c: Column) -> Column:
 
 def truncate_tokens(c: Column, n: int) -> Column:
     return F.array_join(F.slice(F.filter(F.split(c, "\\s+"), lambda w: w != ""), 1, max(0, n)), " ") if n > 0 else F.lit("")
+
+
+# Fixed value: how the public byte-level vocabularies cut a text ahead of merging.
+CUTS = r"""(?i:'s|'t|'re|'ve|'m|'ll|'d)|[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+(?!\S)|\s+"""
+
+
+@lru_cache(maxsize=4)
+def _vocabulary(path: str, cuts: str):
+    import tiktoken
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("vocabulary", pat_str=cuts, mergeable_ranks=ranks, special_tokens={})
+
+
+def model_token_count(c: Column, path: str, cuts: str = CUTS) -> Column:
+    """Tokens of a vocabulary (a file of base64 pieces and ranks, at the same path on all workers); special tokens' strings
+    are ordinary text, and null has none. Once a worker has read the file it keeps it."""
+
+    @F.pandas_udf(LongType())
+    def count(s: pd.Series) -> pd.Series:
+        encode = _vocabulary(path, cuts).encode_ordinary_batch
+        return pd.Series([len(x) for x in encode(s.fillna("").tolist())], dtype="int64")
+
+    return count(c)

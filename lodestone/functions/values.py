@@ -37,6 +37,15 @@ def blend(title: Column, content: Column, title_weight: float = 0.1) -> Column:
     return F.zip_with(title, content, lambda x, y: x * title_weight + y * (1 - title_weight))
 
 
+def pairwise_sum(a: Column) -> Column:
+    """The sum of an array of numbers by halves, whose rounding error grows with the logarithm of their number: sums of 128
+    in a row, then the sums of those."""
+    doubles = F.transform(a, lambda x: x.cast("double"))
+    total = lambda x: F.aggregate(x, F.lit(0.0), lambda s, v: s + v)
+    runs = lambda x: F.transform(F.sequence(F.lit(1), F.size(x), F.lit(128)), lambda i: total(F.slice(x, i, F.lit(128))))
+    return F.when(F.size(a) <= 128, total(doubles)).otherwise(let(doubles, lambda x: total(runs(x))))
+
+
 def arithmetic(op: str, a: Column, b: Column) -> Column:
     """``+= -= *= /=``; division by zero gives null."""
     return {"+=": a + b, "-=": a - b, "*=": a * b, "/=": F.try_divide(a, b)}[op]

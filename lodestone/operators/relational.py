@@ -194,3 +194,20 @@ def bigram_difference(a: Column, b: Column) -> Column:
     none = F.array().cast("array<string>")
     grams = lambda c: F.when(F.length(c) > 1, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substring(c, i, F.lit(2))))).otherwise(none)
     return F.concat(F.array_except(grams(a), grams(b)), F.array_except(grams(b), grams(a)))
+
+
+# --- grouping sets and sketches -------------------------------------------------------------------------------------------
+
+
+def grouped(df: DataFrame, keys: list[str], aggregates: list[Column], how: str = "group") -> DataFrame:
+    """Aggregates by all keys (group), by each prefix of them (rollup) or by every subset (cube), with ``level``: a bit for
+    each key that a row sums over, the last key's lowest."""
+    by = {"group": df.groupBy, "rollup": df.rollup, "cube": df.cube}[how](*keys)
+    return by.agg(*aggregates, *([F.grouping_id().alias("level")] if how != "group" else [F.lit(0).cast("long").alias("level")]))
+
+
+def distinct_counts(df: DataFrame, keys: list[str], column: str, error: float | None = None) -> DataFrame:
+    """Different values by key: exact, or by a sketch of a relative error, which merges map-side and needs no shuffle of the
+    values."""
+    count = F.count_distinct(column) if error is None else F.approx_count_distinct(column, error)
+    return df.groupBy(*keys).agg(count.alias("distinct"))

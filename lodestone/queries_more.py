@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .functions import terms as T
 from .functions import text as X
 from .functions import values as V
-from .operators import chunkers, dml, evals, filters, graph, memory, relational, search, templates
+from .operators import chunkers, dml, enrich, evals, filters, graph, memory, relational, search, templates
 from .plans.sql import execute
 from .queries import _q, query, t, tok
 from .sources import connectors
@@ -708,3 +708,93 @@ def highlight_words(spark, d):
     """What a highlight marks, from the marked text."""
     marked = X.highlight(F.col("text"), ["license"])
     return t(spark, d, "documents").select("doc_id", F.array_sort(F.array_distinct(F.regexp_extract_all(marked, F.lit("<em>(license)</em>"), 1))).alias("found"))
+
+
+# --- enrichment, grouping sets, sketches ----------------------------------------------------------------------------------------
+
+
+@query(
+    f"""WITH tk AS (SELECT item_id, unnest({tok('text')}) AS x FROM benchmark), w AS (SELECT item_id, x, raw / sum(raw) OVER (PARTITION BY item_id) AS w FROM {_SHAPES}), u AS (SELECT DISTINCT item_id, x, round(w, 12) AS w FROM w),
+    r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY w DESC, x) AS r FROM u) SELECT item_id, list(x ORDER BY r) AS important_kwd FROM r WHERE r <= 5 GROUP BY 1"""
+)
+def enrich_keywords(spark, d):
+    """Keywords of every chunk, by the stand-in of a model."""
+    return enrich.enriched(t(spark, d, "benchmark"), "important_kwd").select("item_id", "important_kwd")
+
+
+@query(
+    f"""WITH tk AS (SELECT item_id, unnest({tok('text')}) AS x FROM benchmark), w AS (SELECT item_id, x, raw / sum(raw) OVER (PARTITION BY item_id) AS w FROM {_SHAPES}), u AS (SELECT DISTINCT item_id, x, round(w, 12) AS w FROM w),
+    r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY w DESC, x) AS r FROM u) SELECT item_id, list('What about ' || x || '?' ORDER BY r) AS question_kwd FROM r WHERE r <= 3 GROUP BY 1"""
+)
+def enrich_questions(spark, d):
+    return enrich.enriched(t(spark, d, "benchmark"), "question_kwd").select("item_id", "question_kwd")
+
+
+@query("SELECT conv_id, turn, regexp_replace(regexp_extract(text, '(?s)^\\s*(.*?[.!?。！？](\\s|$)|.+$)', 1), '\\s+$', '') AS summary FROM conversations")
+def extract_summary(spark, d):
+    out = enrich.enriched(t(spark, d, "conversations"), "summary").select("conv_id", "turn", "summary")
+    return out.withColumn("summary", F.regexp_replace("summary", "\\s+$", ""))
+
+
+@query("SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(text, '\\p{Lu}\\p{Ll}+(?: \\p{Lu}\\p{Ll}+)*')))[1:5], ', ') AS names, len(regexp_extract_all(text, 'https?://\\S+'))::VARCHAR AS links FROM documents")
+def enrich_metadata(spark, d):
+    out = enrich.enriched(t(spark, d, "documents"), "metadata")
+    return out.select("doc_id", F.col("metadata")["names"].alias("names"), F.col("metadata")["links"].alias("links"))
+
+
+@query("WITH n AS (SELECT *, sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn)::BIGINT AS entry FROM conversations) SELECT conv_id, entry, max(CASE WHEN role = 'user' THEN md5(text) END) AS title, list(turn ORDER BY turn) AS ids FROM n WHERE entry > 0 GROUP BY 1, 2")
+def table_of_contents(spark, d):
+    """Headings (here a user's turns) with the chunks below them."""
+    c = t(spark, d, "conversations").withColumn("id", F.col("turn"))
+    return enrich.table_of_contents(c, "conv_id", "turn", "id", F.col("role") == "user", F.md5("text"))
+
+
+@query("SELECT l.doc_id, d.lang, CASE WHEN d.source <> 'src1' THEN d.source END AS source FROM labels l LEFT JOIN documents d ON l.doc_id = d.doc_id")
+def citation_metadata(spark, d):
+    """Cited chunks with the fields that their documents have."""
+    docs = t(spark, d, "documents").withColumn("source", F.when(F.col("source") != "src1", F.col("source")))
+    out = enrich.with_document_metadata(t(spark, d, "labels").select("doc_id"), docs, ["lang", "source"])
+    return out.select("doc_id", F.col("document_metadata")["lang"].alias("lang"), F.col("document_metadata")["source"].alias("source"))
+
+
+@query("SELECT s.s_suppkey, n.n_name, r.r_name, c.latest FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey LEFT JOIN (SELECT c_nationkey, max(c_custkey) AS latest FROM customer WHERE c_acctbal > 9000 GROUP BY 1) c ON c.c_nationkey = n.n_nationkey")
+def dataset_owner(spark, d):
+    """A dataset with its owner, and the canvas that it may have."""
+    s, n, r = t(spark, d, "supplier"), t(spark, d, "nation"), t(spark, d, "region")
+    c = t(spark, d, "customer").where("c_acctbal > 9000").groupBy("c_nationkey").agg(F.max("c_custkey").alias("latest"))
+    out = s.join(n, s["s_nationkey"] == n["n_nationkey"]).join(r, n["n_regionkey"] == r["r_regionkey"]).join(c, n["n_nationkey"] == c["c_nationkey"], "left")
+    return out.select("s_suppkey", "n_name", "r_name", "latest")
+
+
+@query("SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_quantity), 2) AS qty, grouping(l_returnflag, l_linestatus)::BIGINT AS level FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)")
+def rollup_totals(spark, d):
+    return relational.grouped(t(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], [F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("qty")], "rollup")
+
+
+@query("SELECT o_orderstatus, o_orderpriority, count(*) AS n, count(DISTINCT o_custkey) AS customers, grouping(o_orderstatus, o_orderpriority)::BIGINT AS level FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)")
+def cube_totals(spark, d):
+    return relational.grouped(t(spark, d, "orders"), ["o_orderstatus", "o_orderpriority"], [F.count("*").alias("n"), F.count_distinct("o_custkey").alias("customers")], "cube")
+
+
+@query("SELECT event_type, true AS near FROM events GROUP BY 1")
+def approximate_distinct(spark, d):
+    """A sketch's counts, and whether they are within 5 % of the exact ones."""
+    e = t(spark, d, "events")
+    both = relational.distinct_counts(e, ["event_type"], "user_id", 0.02).join(relational.distinct_counts(e, ["event_type"], "user_id").withColumnRenamed("distinct", "exact"), "event_type")
+    return both.select("event_type", (F.abs(F.col("distinct") - F.col("exact")) <= 0.05 * F.col("exact")).alias("near"))
+
+
+@query("SELECT vec_id, round(list_sum(embedding::DOUBLE[]), 5) AS total FROM embeddings")
+def pairwise_sum(spark, d):
+    return t(spark, d, "embeddings").select("vec_id", F.round(V.pairwise_sum(F.col("embedding")), 5).alias("total"))
+
+
+@query(
+    f"""WITH x AS (SELECT doc_id, {tok('text')} AS w FROM documents), q AS (SELECT unnest([1, 2, 3]) AS level, unnest(['license', 'that', 'version']) AS term) SELECT DISTINCT ON (doc_id) doc_id AS chunk_id, term AS question, level::INT AS level FROM x JOIN q ON list_contains(w, term) ORDER BY doc_id, level"""
+)
+def decomposed_question(spark, d):
+    """A question, and the ones below it that a (fixed) model finds missing; each chunk counts for the first that found it."""
+    docs = t(spark, d, "documents")
+    tree = {"license": ["that"], "that": ["version", "license"], "version": ["of"]}
+    found = lambda q: docs.where(search.phrase(F.col("text"), [q])).select(F.col("doc_id").alias("chunk_id"))
+    return enrich.decomposed("license", found, lambda q, _: tree.get(q, []), 3)

@@ -47,6 +47,9 @@ class Endpoint:
     params: tuple[tuple[str, str], ...] = ()
     metadata: tuple[str, ...] = ()
     format: str = "json"
+    body: tuple[tuple[str, str], ...] | None = None  # fields of a JSON body: the request is then a POST, and paging goes there
+    next_url: str = ""  # path of the next page's address in the response, which is then called as it is
+    next_call: str = ""  # where the pages after the first are asked for, if elsewhere; only the cursor is sent there
     splits: tuple[str, ...] = ("",)  # one partition each: spaces, repositories, channels; fills {split} in the url
 
 
@@ -58,23 +61,23 @@ SERVICES: dict[str, Endpoint] = {
     "box": Endpoint("https://api.box.com/2.0/folders/{split}/items", "entries", "id", "name", ("description",), "modified_at", paging="offset", page_param="offset", size_param="limit"),
     "confluence": Endpoint("https://{split}/wiki/rest/api/content", "results", "id", "title", ("body.storage.value",), "version.when", "_links.webui", "offset", "start", "limit"),
     "dingtalk": Endpoint("https://api.dingtalk.com/v1.0/notable/bases/{split}/records", "records", "id", "fields.title", ("fields",), "lastModifiedTime", paging="cursor", page_param="nextToken", size_param="maxResults", cursor_path="nextToken"),
-    "discord": Endpoint("https://discord.com/api/v10/channels/{split}/messages", "", "id", "author.username", ("content",), "timestamp", paging="none"),
-    "dropbox": Endpoint("https://api.dropboxapi.com/2/files/list_folder", "entries", "id", "name", ("path_display",), "server_modified", paging="cursor", page_param="cursor", cursor_path="cursor"),
+    "discord": Endpoint("https://discord.com/api/v10/channels/{split}/messages", "", "id", "author.username", ("content",), "timestamp", paging="last", page_param="before", size_param="limit"),
+    "dropbox": Endpoint("https://api.dropboxapi.com/2/files/list_folder", "entries", "id", "name", ("path_display",), "server_modified", paging="cursor", page_param="cursor", size_param="limit", cursor_path="cursor", body=(("path", "{split}"), ("recursive", "true")), next_call="https://api.dropboxapi.com/2/files/list_folder/continue"),
     "github": Endpoint("https://api.github.com/repos/{split}/issues", "", "id", "title", ("body",), "updated_at", "html_url", "page"),
     "gitlab": Endpoint("https://gitlab.com/api/v4/projects/{split}/issues", "", "id", "title", ("description",), "updated_at", "web_url", "page"),
     "gmail": Endpoint("https://gmail.googleapis.com/gmail/v1/users/{split}/messages", "messages", "id", "snippet", ("snippet",), "internalDate", paging="cursor", page_param="pageToken", size_param="maxResults", cursor_path="nextPageToken"),
     "google_drive": Endpoint("https://www.googleapis.com/drive/v3/files", "files", "id", "name", ("description",), "modifiedTime", "webViewLink", "cursor", "pageToken", "pageSize", cursor_path="nextPageToken"),
     "jira": Endpoint("https://{split}/rest/api/2/search", "issues", "key", "fields.summary", ("fields.description",), "fields.updated", "self", "offset", "startAt", "maxResults", first_page=0),
-    "moodle": Endpoint("https://{split}/webservice/rest/server.php", "courses", "id", "fullname", ("summary",), "timemodified"),
-    "notion": Endpoint("https://api.notion.com/v1/databases/{split}/query", "results", "id", "properties.Name", ("properties",), "last_edited_time", "url", "cursor", "start_cursor", "page_size"),
-    "onedrive": Endpoint("https://graph.microsoft.com/v1.0/users/{split}/drive/root/children", "value", "id", "name", ("description",), "lastModifiedDateTime", "webUrl", "cursor", "$skiptoken", "$top", cursor_path="@odata.nextLink"),
-    "outlook": Endpoint("https://graph.microsoft.com/v1.0/users/{split}/messages", "value", "id", "subject", ("body.content",), "lastModifiedDateTime", "webLink", "offset", "$skip", "$top"),
-    "salesforce": Endpoint("https://{split}/services/data/v60.0/query", "records", "Id", "Name", ("Description",), "LastModifiedDate"),
+    "moodle": Endpoint("https://{split}/webservice/rest/server.php", "courses", "id", "fullname", ("summary",), "timemodified", params=(("wsfunction", "core_course_get_courses_by_field"), ("moodlewsrestformat", "json"), ("wstoken", "{token}"))),
+    "notion": Endpoint("https://api.notion.com/v1/databases/{split}/query", "results", "id", "properties.Name", ("properties",), "last_edited_time", "url", "cursor", "start_cursor", "page_size", headers=(("Notion-Version", "2022-06-28"),), body=()),
+    "onedrive": Endpoint("https://graph.microsoft.com/v1.0/users/{split}/drive/root/children", "value", "id", "name", ("description",), "lastModifiedDateTime", "webUrl", size_param="$top", next_url="@odata.nextLink"),
+    "outlook": Endpoint("https://graph.microsoft.com/v1.0/users/{split}/messages", "value", "id", "subject", ("body.content",), "lastModifiedDateTime", "webLink", size_param="$top", next_url="@odata.nextLink"),
+    "salesforce": Endpoint("https://{split}/services/data/v60.0/query", "records", "Id", "Name", ("Description",), "LastModifiedDate", params=(("q", "SELECT Id, Name, Description, LastModifiedDate FROM Account ORDER BY Id"),), next_url="nextRecordsUrl"),
     "seafile": Endpoint("https://{split}/api2/repos/", "", "id", "name", ("desc",), "mtime"),
-    "sharepoint": Endpoint("https://graph.microsoft.com/v1.0/sites/{split}/drive/root/children", "value", "id", "name", ("description",), "lastModifiedDateTime", "webUrl"),
+    "sharepoint": Endpoint("https://graph.microsoft.com/v1.0/sites/{split}/drive/root/children", "value", "id", "name", ("description",), "lastModifiedDateTime", "webUrl", size_param="$top", next_url="@odata.nextLink"),
     "slack": Endpoint("https://slack.com/api/conversations.history?channel={split}", "messages", "ts", "user", ("text",), "ts", paging="cursor", page_param="cursor", size_param="limit", cursor_path="response_metadata.next_cursor"),
-    "teams": Endpoint("https://graph.microsoft.com/v1.0/teams/{split}/messages", "value", "id", "subject", ("body.content",), "lastModifiedDateTime", "webUrl"),
-    "zendesk": Endpoint("https://{split}/api/v2/help_center/articles.json", "articles", "id", "title", ("body",), "updated_at", "html_url", "page"),
+    "teams": Endpoint("https://graph.microsoft.com/v1.0/teams/{split}/messages", "value", "id", "subject", ("body.content",), "lastModifiedDateTime", "webUrl", size_param="$top", next_url="@odata.nextLink"),
+    "zendesk": Endpoint("https://{split}/api/v2/help_center/articles.json", "articles", "id", "title", ("body",), "updated_at", "html_url", next_url="next_page"),
 }
 
 
@@ -92,8 +95,8 @@ def at_path(value: Any, path: str) -> Any:
     return None
 
 
-def http_client(url: str, headers: dict[str, str]) -> str:
-    with urlopen(Request(url, headers=headers), timeout=60) as r:
+def http_client(url: str, headers: dict[str, str], data: bytes | None = None) -> str:
+    with urlopen(Request(url, data, headers), timeout=60) as r:
         return r.read().decode("utf-8", "replace")
 
 
@@ -121,24 +124,46 @@ def plain(v: Any) -> str:
     return re.sub(r"\s+", " ", re.sub(r"<[^>]*>", " ", text)).strip() if "<" in text else text
 
 
-def pages_of(e: Endpoint, split: str, client: Callable[[str, dict[str, str]], str]) -> Iterator[Any]:
-    """The responses of a listing, page after page until one is empty or names no next."""
-    number, cursor = (0 if e.paging == "offset" else e.first_page), None
+def _typed(v: str) -> Any:
+    return {"true": True, "false": False}.get(v, v)
+
+
+def pages_of(e: Endpoint, split: str, client: Callable[..., str]) -> Iterator[Any]:
+    """The items of a listing, page after page until one is empty or names no next. Pages go by number, offset, cursor, the
+    last item's id, or an address in the response; of a POST, size and cursor are in the body."""
+    number, cursor, following, seen = (0 if e.paging == "offset" else e.first_page), None, "", set()
+    token = next((v.removeprefix("Bearer ") for k, v in e.headers if k == "Authorization"), "")
+    fill = lambda v: v.replace("{split}", split).replace("{token}", token)
     while True:
-        params = dict(e.params)
-        if e.paging != "none":
-            params[e.size_param] = str(e.size)
+        paged = e.paging != "none" or bool(e.next_url)
+        params = {k: fill(v) for k, v in e.params}
+        fields = params if e.body is None else {k: _typed(fill(v)) for k, v in e.body}
+        if paged and e.size_param:
+            fields[e.size_param] = str(e.size) if e.body is None else e.size
         if e.paging in ("page", "offset"):
-            params[e.page_param] = str(number)
-        elif e.paging == "cursor" and cursor:
-            params[e.page_param] = str(cursor)
-        url = e.url.format(split=split)
-        body = json.loads(client(url + (("&" if "?" in url else "?") + urlencode(params) if params else ""), dict(e.headers)))
+            fields[e.page_param] = str(number)
+        elif cursor:
+            if e.next_call:
+                fields.clear()
+            fields[e.page_param] = str(cursor)
+        url = following or (e.next_call if cursor and e.next_call else fill(e.url))
+        query = {} if following else params if e.body is None else {k: fill(v) for k, v in e.params}
+        url += ("&" if "?" in url else "?") + urlencode(query) if query else ""
+        headers = dict(e.headers)
+        got = client(url, headers) if e.body is None else client(url, headers | {"Content-Type": "application/json"}, json.dumps(fields).encode())
+        body = json.loads(got)
         items = at_path(body, e.items) or []
         yield from items
-        cursor = at_path(body, e.cursor_path) if e.paging == "cursor" else None
-        if e.paging == "none" or not items or (e.paging == "cursor" and not cursor) or (e.paging in ("page", "offset") and len(items) < e.size):
+        cursor = at_path(body, e.cursor_path) if e.paging == "cursor" and at_path(body, "has_more") is not False else at_path(items[-1], e.id) if e.paging == "last" and len(items) >= e.size else None
+        following = at_path(body, e.next_url) or "" if e.next_url else ""
+        if following.startswith("/"):
+            following = "/".join(fill(e.url).split("/")[:3]) + following
+        more = following or cursor or (e.paging in ("page", "offset") and len(items) >= e.size)
+        if not items or not more:
             return
+        if more in seen and more is not True:  # a service that names the same page again
+            raise RuntimeError(f"{url}: the listing goes in circles at {more}")
+        seen.add(more)
         number += e.size if e.paging == "offset" else 1
 
 
@@ -175,7 +200,7 @@ class _Split(InputPartition):
         self.value = value
 
 
-def rows_of(e: Endpoint, split: str, client: Callable[[str, dict[str, str]], str], start: datetime | None, end: datetime | None) -> Iterator[tuple]:
+def rows_of(e: Endpoint, split: str, client: Callable[..., str], start: datetime | None, end: datetime | None) -> Iterator[tuple]:
     found = feed_rows(client(e.url.format(split=split), dict(e.headers))) if e.format == "rss" else (item_row(e, x) for x in pages_of(e, split, client))
     return (r for r in found if in_window(r[4], start, end))
 
@@ -213,7 +238,7 @@ class _Stream(SimpleDataSourceStreamReader):
         return iter([r for s in self.e.splits for r in rows_of(self.e, s, self.client, a, b)])
 
 
-def data_source(name: str, endpoint: Endpoint, client: Callable[[str, dict[str, str]], str] = http_client) -> type[DataSource]:
+def data_source(name: str, endpoint: Endpoint, client: Callable[..., str] = http_client) -> type[DataSource]:
     """A Data Source class to register: ``spark.dataSource.register(data_source(...))``. Options: start, end (ISO), splits
     (comma-separated), token."""
 
@@ -244,7 +269,7 @@ def data_source(name: str, endpoint: Endpoint, client: Callable[[str, dict[str,
     return Source
 
 
-def register_services(spark: SparkSession, client: Callable[[str, dict[str, str]], str] = http_client) -> list[str]:
+def register_services(spark: SparkSession, client: Callable[..., str] = http_client) -> list[str]:
     """Register every known service, ``rest`` and ``rss``; returns the format names."""
     known = SERVICES | {"rest": Endpoint("{split}"), "rss": Endpoint("{split}", format="rss")}
     for name, e in known.items():

@@ -14,7 +14,7 @@ from lodestone.functions import terms as T
 from lodestone.functions import text as X
 from lodestone.functions import values as V
 from lodestone.functions.registry import embed, embedded, publish, transform_with
-from lodestone.operators import chunkers, dml, evals, filters, graph, memory, records, relational, search, templates, tree
+from lodestone.operators import chunkers, dml, enrich, evals, filters, graph, memory, records, relational, search, templates, tree
 from lodestone.plans import chunking, sql
 from lodestone.plans.canvas import Canvas
 from lodestone.plans.expressions import compile_expression, parse
@@ -596,3 +596,107 @@ def test_column_kinds(spark):
     kinds = {r["column"]: r["kind"] for r in templates.column_types(df.select("c", F.when(F.col("c").rlike("^[0-9]+$") & ~F.col("c").startswith("0"), F.col("c")).alias("n")), ["c", "n"]).collect()}
     assert kinds["n"] == "float"
     assert [r[0] for r in spark.createDataFrame([("☑",), ("⍻",), ("1",), (" YES",)], "c string").select(templates.as_bool(F.col("c"))).collect()] == ["yes", "no", None, "yes"]
+
+
+def _server(endpoint, calls):
+    """A service that lists three items on two pages, by the paging that its endpoint describes; it remembers its calls."""
+    from urllib.parse import parse_qs, urlparse
+
+    def put(into, path, value):
+        *heads, last = [path] if path.startswith("@") else path.split(".")
+        for h in heads:
+            into = into.setdefault(h, {})
+        into[last] = value
+
+    def item(k):
+        out = {}
+        for path, value in ((endpoint.title, f"t{k}"), (endpoint.content[0], f"c{k}"), (endpoint.updated, "2024-01-02T03:04:05Z"), (endpoint.id, f"i{k}")):
+            put(out, path, value)
+        return out
+
+    def client(url, headers, data=None):
+        query = {k: v[0] for k, v in parse_qs(urlparse(url).query).items()}
+        sent = json.loads(data) if data else query
+        calls.append((url, sent, data))
+        second = sent.get(endpoint.page_param) == "CUR" if endpoint.paging == "cursor" else sent.get(endpoint.page_param) == "i1" if endpoint.paging == "last" else "page2" in url if endpoint.next_url else False
+        if endpoint.paging == "page":
+            second = sent[endpoint.page_param] == str(endpoint.first_page + 1)
+        if endpoint.paging == "offset":
+            second = sent[endpoint.page_param] == "2"
+        items = [item(2)] if second else [item(0), item(1)]
+        if not endpoint.items:
+            return json.dumps(items)
+        body = {}
+        put(body, endpoint.items, items)
+        if not second and endpoint.paging == "cursor":
+            put(body, endpoint.cursor_path, "CUR")
+        if not second and endpoint.next_url:
+            put(body, endpoint.next_url, "/services/page2" if endpoint.next_url == "nextRecordsUrl" else "https://next/page2")
+        return json.dumps(body)
+
+    return client
+
+
+@pytest.mark.parametrize("name", sorted(connectors.SERVICES))
+def test_services_are_listed_to_the_end(name):
+    import dataclasses
+
+    e = dataclasses.replace(connectors.SERVICES[name], size=2, headers=(*connectors.SERVICES[name].headers, ("Authorization", "Bearer KEY")))
+    calls = []
+    rows = list(connectors.rows_of(e, "sub.example", _server(e, calls), None, None))
+    paged = e.paging != "none" or e.next_url
+    assert [r[0] for r in rows] == (["i0", "i1", "i2"] if paged else ["i0", "i1"]) and len(calls) == (2 if paged else 1)
+    assert all((data is not None) == (e.body is not None) for *_, data in calls) and "{" not in calls[0][0].replace("%7B", "{")
+    if name == "dropbox":
+        assert calls[0][1] == {"path": "sub.example", "recursive": True, "limit": 2} and calls[1][:2] == ("https://api.dropboxapi.com/2/files/list_folder/continue", {"cursor": "CUR"})
+    if name == "notion":
+        assert calls[1][1] == {"page_size": 2, "start_cursor": "CUR"}
+    if name == "moodle":
+        assert calls[0][1]["wstoken"] == "KEY" and calls[0][1]["wsfunction"].startswith("core_course")
+    if name == "salesforce":
+        assert calls[0][1]["q"].startswith("SELECT Id") and calls[1][0] == "https://sub.example/services/page2"
+
+
+def test_enrichment_asks_once_for_a_text(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "Red apples fall. Then rest."), (2, "Red apples fall. Then rest."), (3, None)], "id long, text string")
+    cache, asked = dml.Table(spark, f"file://{tmp_path}/cache"), spark.sparkContext.accumulator(0)
+
+    def model(c):
+        @F.pandas_udf("string")
+        def answer(s):
+            asked.add(len(s))
+            return s.fillna("").str.upper()
+
+        return answer(c)
+
+    out = enrich.enriched(rows, "summary", model=model, cache=cache)
+    assert {r["id"]: r["summary"] for r in out.collect()} == {1: "RED APPLES FALL. THEN REST.", 2: "RED APPLES FALL. THEN REST.", 3: ""}
+    first = asked.value
+    again = enrich.enriched(rows.unionByName(spark.createDataFrame([(4, "new")], "id long, text string")), "summary", model=model, cache=cache)
+    assert {r["id"]: r["summary"] for r in again.collect()}[4] == "NEW" and first <= 4 and asked.value - first <= 2
+    assert {r["id"]: r["summary"] for r in enrich.enriched(rows, "summary").collect()} == {1: "Red apples fall.", 2: "Red apples fall.", 3: None}
+
+
+def test_metadata_as_json_schema():
+    want = {"type": "object", "properties": {"a": {"description": "x", "enum": ["1"], "type": "string"}, "b": {"description": ""}}, "additionalProperties": False}
+    assert enrich.json_schema([{"key": "a", "descriptions": "x", "enum": ["1"]}, {"key": "b", "description": None}]) == want
+    assert enrich.json_schema(want) == want and enrich.json_schema([{"key": ""}]) == {} == enrich.json_schema([]) == enrich.json_schema({"a": 1}) == enrich.json_schema([{"key": "a", "enum": "x"}])
+
+
+def test_model_tokens(spark):
+    P = pytest.importorskip("public_tokenizers")
+    import base64
+
+    import tiktoken
+
+    path = P.path("byte_bpe_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    plain = tiktoken.Encoding("own", pat_str=X.CUTS, mergeable_ranks=ranks, special_tokens={})
+    texts = ["Hello world, it's 12345 o'clock.\n\n", "日本語 é <|endoftext|>", "", None, "a" * 5000]
+    got = [r["n"] for r in spark.createDataFrame(list(enumerate(texts)), "i long, t string").select("i", X.model_token_count(F.col("t"), path).alias("n")).orderBy("i").collect()]
+    assert got == [len(plain.encode_ordinary(t or "")) for t in texts]
+
+
+def test_pairwise_sum_of_long_arrays(spark):
+    got = one(spark, V.pairwise_sum(F.array_repeat(F.lit(0.1), 1000)), V.pairwise_sum(F.array().cast("array<double>")))
+    assert abs(got[0] - 100) < 1e-11 and got[1] == 0
