@@ -70,7 +70,7 @@ def byte_texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def sliced(batch: pa.RecordBatch, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def sliced(batch: pa.RecordBatch, size: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Runs of rows of about ``size`` bytes, by the bytes of all string and binary columns together: what a function
     builds from one run stays small, however wide the batch."""
     if not batch.num_rows:
@@ -87,7 +87,7 @@ def sliced(batch: pa.RecordBatch, size: int = 1 << 20) -> Iterator[pa.RecordBatc
         yield batch.slice(a, b - a)
 
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 _BYTES, _BYTES_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 

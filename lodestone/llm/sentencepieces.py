@@ -165,18 +165,20 @@ class Backend:
 
     def learn(self, cuts: list[str]) -> None:
         """Encode cuts not met before, and hold them against SentencePiece."""
-        encode = self.tokenizer.encode_batch if self.in_bytes else self.tokenizer.encode_batch_fast  # the fast one has no offsets
-        found = []
-        for cut, got in zip(cuts, encode(cuts, add_special_tokens=False), strict=True):
-            ids = got.ids
-            if self.in_bytes and self.unknown in ids:
-                spelt = [[self.byte_ids[b] for b in cut[x:y].encode()] if k == self.unknown else [k] for k, (x, y) in zip(ids, got.offsets, strict=True)]
-                ids = [k for part in spelt for k in part]
-            found.append(array("i", ids).tobytes())
+        if self.in_bytes:
+            found = [array("i", self._spelt(cut, got)).tobytes() for cut, got in zip(cuts, self.tokenizer.encode_batch(cuts, add_special_tokens=False), strict=True)]
+        else:
+            found = [array("i", got.ids).tobytes() for got in self.tokenizer.encode_batch_fast(cuts, add_special_tokens=False)]
         self.ids_of.update(zip(cuts, found, strict=True))
         if self.original is not None:
             self._hold(cuts, found)
 
+    def _spelt(self, cut: str, got) -> list[int]:
+        """The ids of an encoded cut, with bytes in place of what nothing matches."""
+        if self.unknown not in got.ids:
+            return got.ids
+        return [x for k, (a, b) in zip(got.ids, got.offsets, strict=True) for x in ([self.byte_ids[y] for y in cut[a:b].encode()] if k == self.unknown else [k])]
+
     def _hold(self, cuts: list[str], found: list[bytes]) -> None:
         """Cuts whose ids aren't SentencePiece's become wrong. Cuts are encoded in rows of ``_ROW``, as they stand in a text,
         and one by one only in a row that differs."""
@@ -185,13 +187,15 @@ class Backend:
         spelt = lambda c: "a" + (c.replace(MARK, " ") if self.spec.escape else c)
         ids = lambda text: array("i", self.original.encode(text)).tobytes()
         # A row is cut again where its cuts were joined: each begins with a marker, and has something behind it.
-        joins = [self.cut is not None and c.startswith(self.mark) and not c.endswith(self.mark) for c in cuts]
-        rows = [(c, x) for c, x, j in zip(cuts, found, joins, strict=True) if j]
-        alone = [(c, x) for c, x, j in zip(cuts, found, joins, strict=True) if not j]
-        for k in range(0, len(rows), _ROW):
-            row = rows[k : k + _ROW]
-            if ids(spelt("".join([c for c, _ in row]))) != lead + b"".join([x for _, x in row]):
-                alone += row
+        mark, alone = self.mark, []
+        if self.cut is None or any(c[0] != mark or c[-1] == mark for c in cuts):
+            alone = [(c, x) for c, x in zip(cuts, found, strict=True) if self.cut is None or c[0] != mark or c[-1] == mark]
+            rest = [(c, x) for c, x in zip(cuts, found, strict=True) if not (self.cut is None or c[0] != mark or c[-1] == mark)]
+            cuts, found = [c for c, _ in rest], [x for _, x in rest]
+        for k in range(0, len(cuts), _ROW):
+            row, packed = cuts[k : k + _ROW], found[k : k + _ROW]
+            if ids(spelt("".join(row))) != lead + b"".join(packed):
+                alone += zip(row, packed, strict=True)
         self.wrong.update(c for c, x in alone if ids(spelt(c)) != lead + x)
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
