@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -277,8 +278,8 @@ def similar_names(a: Column, b: Column) -> Column:
 
 
 def label_propagation(edges: DataFrame, rounds: int = 8, cut_every: int = 2) -> DataFrame:
-    """(id, label) of communities: each node takes the heaviest label around it, the least of equals. A stand-in of
-    hierarchical Leiden, whose results it doesn't reproduce."""
+    """(id, label) of communities: each node takes the heaviest label around it, the least of equals. Cheaper than
+    ``hierarchical_communities``, and without levels."""
     w = cut(both_ways(undirected(edges)), "links")
     labels = w.select(F.col("src").alias("id")).distinct().withColumn("label", F.col("id"))
     for k in range(rounds):
@@ -290,6 +291,90 @@ def label_propagation(edges: DataFrame, rounds: int = 8, cut_every: int = 2) ->
     return labels
 
 
+def _moved(w: DataFrame, nodes: DataFrame, resolution: float, rounds: int, seed: int) -> DataFrame:
+    """Communities of nodes (id, top, k) by local moves of greatest modularity gain: rows (id, c). ``w`` has an edge both ways
+    and a loop once, with twice its weight; a graph of several ``top`` parts is several graphs."""
+    total = nodes.groupBy("top").agg(F.sum("k").alias("_m"))
+    known = cut(nodes.join(total, "top").select("id", "k", "_m"), "nodes")
+    c = known.select("id", F.col("id").alias("c"))
+    for r in range(rounds):
+        now = known.join(c, "id")
+        sums = now.groupBy("c").agg(F.sum("k").alias("_sum"))
+        votes = w.where("src <> dst").join(c.select(F.col("id").alias("dst"), "c"), "dst").groupBy(F.col("src").alias("id"), "c").agg(F.sum("weight").alias("_w"))
+        own = now.select("id", "k", "_m", F.col("c").alias("_own"))
+        choices = votes.join(own, "id").unionByName(own.select("id", F.col("_own").alias("c"), F.lit(0.0).alias("_w"), "k", "_m", "_own"))
+        choices = choices.groupBy("id", "c", "k", "_m", "_own").agg(F.sum("_w").alias("_w")).join(sums, "c")
+        stay = F.col("c") == F.col("_own")
+        gain = F.col("_w") - F.lit(resolution) * F.col("k") * (F.col("_sum") - F.when(stay, F.col("k")).otherwise(0.0)) / F.col("_m")
+        best = choices.groupBy("id", "_own").agg(F.max(F.when(stay, gain)).alias("_now"), F.max_by("c", F.struct(F.round(gain, 9), F.xxhash64("c", F.lit(seed)))).alias("_to"), F.max(gain).alias("_gain"))
+        # Half of the nodes move in a round, as neighbours that move at once would swap places.
+        turn = F.pmod(F.xxhash64("id", F.lit(seed + r)), F.lit(2)) == 0
+        fresh = cut(best.select("id", "_own", F.when(turn & (F.col("_gain") > F.col("_now") + 1e-9), F.col("_to")).otherwise(F.col("_own")).alias("c")), "moves")
+        c = fresh.select("id", "c")
+        if r % 2 and fresh.where("c <> _own").isEmpty():
+            break
+    return c
+
+
+def _partition(edges: DataFrame, tops: DataFrame, resolution: float, rounds: int, levels: int, seed: int) -> DataFrame:
+    """Communities (id, c) of a graph of parts (id, top): moves, refinement to connected pieces, aggregation, and again."""
+    members = cut(tops.select("id", F.col("id").alias("node")), "members")
+    plain = cut(undirected(edges), "plain")
+    graph = plain
+    for level in range(levels):
+        loops = graph.where("src = dst").select("src", "dst", (2 * F.col("weight")).alias("weight"))
+        w = cut(both_ways(graph.where("src <> dst")).unionByName(loops), "links")
+        of = members.join(tops, "id").groupBy("node").agg(F.first("top").alias("top"))
+        nodes = of.withColumnRenamed("node", "id").join(w.groupBy(F.col("src").alias("id")).agg(F.sum("weight").alias("k")), "id", "left").withColumn("k", F.coalesce("k", F.lit(0.0)))
+        c = _moved(w, nodes.where("k > 0"), resolution, rounds, seed + 100 * level)
+        # A community is a connected piece: its edges alone say which nodes it has.
+        inside = graph.join(c.select(F.col("id").alias("src"), F.col("c").alias("_a")), "src").join(c.select(F.col("id").alias("dst"), F.col("c").alias("_b")), "dst").where("_a = _b and src <> dst")
+        pieces = cut(components(inside.select("src", "dst")), "pieces")
+        if pieces.isEmpty():
+            break
+        name = pieces.select(F.col("id").alias("node"), "component")
+        members = cut(members.join(name, "node", "left").select("id", F.coalesce("component", "node").alias("node")), "members")
+        ends = [members.select(F.col("id").alias(x), F.col("node").alias(f"_{x}")) for x in ("src", "dst")]
+        graph = cut(undirected(plain.join(ends[0], "src").join(ends[1], "dst").select(F.col("_src").alias("src"), F.col("_dst").alias("dst"), "weight")), "graph")
+    return members.select("id", F.col("node").alias("c"))
+
+
+def hierarchical_communities(edges: DataFrame, *, max_size: int = 12, resolution: float = 1.0, rounds: int = 8, levels: int = 6, depth: int = 8, seed: int = 0xDEADBEEF) -> DataFrame:
+    """Communities in the manner of hierarchical Leiden: rows (id, level, community, parent, final). Level 0 is the whole
+    graph's; communities of more than ``max_size`` nodes are parted again on the level below, by their own edges alone, until
+    none is larger or none parts; ``final`` marks a node's last. Communities are connected and named by their least node.
+
+    Each round of moves joins edges to labels and sums by node before anything is ranked; tables are written between rounds.
+    Moves go by seeded halves of the nodes, so results are those of a parallel version, not of a sequential one.
+    """
+    plain = cut(undirected(edges), "graph")
+    tops = cut(plain.select(F.explode(F.array("src", "dst")).alias("id")).distinct().withColumn("top", F.lit("")), "tops")
+    out, now = [], plain
+    for level in range(depth):
+        found = _partition(now, tops, resolution, rounds, levels, seed + 10_000 * level)
+        least = found.groupBy("c").agg(F.min("id").alias("community"), F.count("*").alias("_n"))
+        rows = cut(tops.join(found, "id").join(least, "c").select("id", F.lit(level).alias("level"), "community", F.nullif(F.col("top"), F.lit("")).alias("parent"), "_n"), "level")
+        out.append(rows)
+        parted = rows if level == 0 else rows.join(tops.groupBy(F.col("top").alias("parent")).agg(F.count("*").alias("_all")), "parent").where("_n < _all")
+        tops = cut(parted.where(F.col("_n") > max_size).select("id", F.col("community").alias("top")), "tops")
+        if tops.isEmpty():
+            break
+        ends = [tops.select(F.col("id").alias(x), F.col("top").alias(f"_{x}")) for x in ("src", "dst")]
+        now = cut(now.join(ends[0], "src").join(ends[1], "dst").where("_src = _dst").select("src", "dst", "weight"), "graph")
+    every = reduce(DataFrame.unionByName, out).drop("_n")
+    last = every.groupBy("id").agg(F.max("level").alias("_last"))
+    return every.join(last, "id").select("id", "level", "community", "parent", (F.col("level") == F.col("_last")).alias("final"))
+
+
+def modularity(edges: DataFrame, labels: DataFrame, label: str = "community", resolution: float = 1.0) -> DataFrame:
+    """One row: the share of weight inside communities less what chance would put there."""
+    w = both_ways(undirected(edges)).unionByName(undirected(edges).where("src = dst"))
+    a, b = labels.select(F.col("id").alias("src"), F.col(label).alias("_a")), labels.select(F.col("id").alias("dst"), F.col(label).alias("_b"))
+    total = w.agg(F.sum("weight").alias("_m"))
+    inside = w.join(a, "src").join(b, "dst").groupBy(F.col("_a").alias("c")).agg(F.sum("weight").alias("_k"), F.sum(F.when(F.col("_a") == F.col("_b"), F.col("weight")).otherwise(0.0)).alias("_in"))
+    return inside.crossJoin(F.broadcast(total)).agg(F.sum(F.col("_in") / F.col("_m") - resolution * F.pow(F.col("_k") / F.col("_m"), 2)).alias("modularity"))
+
+
 def community_weights(labels: DataFrame, vertices: DataFrame) -> DataFrame:
     """Sum of rank x weight of a community's members, over the largest such sum."""
     sums = labels.join(vertices.select("id", (F.col("rank") * F.coalesce("weight", F.lit(1.0))).alias("_w")), "id").groupBy("label").agg(F.sum("_w").alias("weight"), F.count("*").alias("size"))

@@ -1,7 +1,8 @@
 """Summary trees over chunk vectors: Ward clusters, Gaussian mixtures by BIC, and rank-ordered pair merging.
 
-Trees are built in groups: a document's chunks (or a bucket of them) are one group, bounded by what a model can summarise;
-groups are spread over tasks. Models that summarise are plugged in; the stand-in is the medoid's first sentence.
+Trees are built in groups: a document's chunks are one group. A group of more than ``BUCKET`` rows is parted into buckets of
+near vectors first, so that no task holds more, and its clusters are those of its buckets. Models that summarise are plugged
+in; the stand-in is the medoid's first sentence.
 """
 
 from __future__ import annotations
@@ -10,35 +11,49 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+BUCKET, FAN_OUT = 2_000, 32
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     n = np.linalg.norm(x, axis=1, keepdims=True)
     return np.divide(x, n, out=np.zeros_like(x), where=n > 0)
 
 
 def ward_merges(x: np.ndarray) -> list[tuple[int, int, float]]:
-    """Ward's merges by nearest-neighbour chains over Lance-Williams distances: (a, b, height); new clusters count on from n."""
+    """Ward's merges, nearest pair first, over Lance-Williams distances: (a, b, height); new clusters count on from n. Each
+    row remembers its nearest neighbour, so that a step looks at a row and not at all pairs."""
     n = len(x)
-    d = ((x[:, None] - x[None]) ** 2).sum(-1)
+    square = (x * x).sum(1)
+    d = np.maximum(square[:, None] + square - 2 * (x @ x.T), 0.0)
     np.fill_diagonal(d, np.inf)
-    size, name, live = np.ones(n), list(range(n)), np.ones(n, bool)
+    size, name, live = np.ones(n), np.arange(n), np.ones(n, bool)
+    near = d.argmin(1)
+    best = d[np.arange(n), near]
     found = []
     for _ in range(n - 1):
-        i, j = divmod(int(np.argmin(np.where(live[:, None] & live[None], d, np.inf))), n)
+        i = int(np.argmin(best))
+        j = int(near[i])
         i, j = min(i, j), max(i, j)
         h = d[i, j]
-        found.append((name[i], name[j], float(np.sqrt(max(0.0, h)))))
-        others = live.copy()
-        others[[i, j]] = False
-        k = np.flatnonzero(others)
+        found.append((int(name[i]), int(name[j]), float(np.sqrt(max(0.0, h)))))
+        live[j] = False
+        k = np.flatnonzero(live)
+        k = k[k != i]
         d[i, k] = ((size[i] + size[k]) * d[i, k] + (size[j] + size[k]) * d[j, k] - size[k] * h) / (size[i] + size[j] + size[k])
         d[k, i] = d[i, k]
-        live[j] = False
+        d[j], d[:, j] = np.inf, np.inf
+        best[j] = np.inf
         size[i] += size[j]
         name[i] = n + len(found) - 1
+        for r in (i, *k[(near[k] == i) | (near[k] == j)].tolist()):
+            near[r] = d[r].argmin()
+            best[r] = d[r, near[r]]
+        closer = k[d[k, i] < best[k]]
+        near[closer], best[closer] = i, d[closer, i]
     return found
 
 
@@ -187,16 +202,50 @@ def psi_tree(x: np.ndarray, bucket: int = 512, max_children: int = 4) -> list[tu
     return sorted([*out, *((number[v], -1 if p == -1 else number[p]) for v, p in above)])
 
 
-def clusters(df: DataFrame, group: str, id_col: str, vec: str, method: str = "ward") -> DataFrame:
-    """(group, id, cluster) by group; ``ward`` or ``mixture``."""
+def in_buckets(df: DataFrame, group: str, id_col: str, vec: str, size: int = BUCKET) -> DataFrame:
+    """``df`` with ``_bucket``: groups of more than ``size`` rows are parted by the nearest of FAN_OUT seeded pivots at a time
+    until no bucket has more; what pivots don't part (equal vectors) is dealt by hash. Pivots are the rows of the least hashes,
+    and only they are broadcast or joined, a row a bucket."""
+    from ..functions.values import dot, norm
+    from .graph import cut
+
+    place = F.xxhash64(F.col(group), F.col(id_col))
+    rows, before = df.withColumn("_bucket", F.lit("")), None
+    while True:
+        counts = rows.groupBy(group, "_bucket").agg(F.count("*").alias("_n")).where(F.col("_n") > size)
+        total = counts.agg(F.count("*"), F.coalesce(F.max("_n"), F.lit(0))).first()
+        if not total[0]:
+            return rows
+        if tuple(total) == before:
+            big = rows.join(F.broadcast(counts) if total[0] <= 100_000 else counts, [group, "_bucket"], "left")
+            dealt = F.concat(F.col("_bucket"), F.lit("/"), F.pmod(place, F.ceil(F.col("_n") / F.lit(size))).cast("string"))
+            return big.withColumn("_bucket", F.coalesce(dealt, F.col("_bucket"))).drop("_n")
+        before = tuple(total)
+        chosen = rows.join(counts, [group, "_bucket"]).withColumn("_place", place)
+        # The least hashes of a bucket: those under a threshold that leaves some 4 x FAN_OUT, then the first of them.
+        few = chosen.where(F.pmod(F.xxhash64("_place"), F.col("_n")) < 4 * FAN_OUT)
+        pivots = few.groupBy(group, "_bucket").agg(F.slice(F.array_sort(F.collect_list(F.struct("_place", F.col(vec).alias("v")))), 1, FAN_OUT).alias("_pivots"))
+        near = F.transform("_pivots", lambda p, i: F.struct(F.coalesce(F.try_divide(dot(F.col(vec), p["v"]), norm(p["v"])), F.lit(0.0)).alias("s"), (-i).alias("i")))
+        step = rows.join(pivots, [group, "_bucket"], "left")
+        rows = cut(step.withColumn("_bucket", F.when(F.col("_pivots").isNull(), F.col("_bucket")).otherwise(F.concat_ws("/", "_bucket", (-F.array_max(near)["i"]).cast("string")))).drop("_pivots"), "buckets")
+
+
+def clusters(df: DataFrame, group: str, id_col: str, vec: str, method: str = "ward", size: int = BUCKET) -> DataFrame:
+    """(group, id, cluster) by group; ``ward`` or ``mixture``, in buckets of at most ``size`` rows."""
     f = {"ward": ward_labels, "mixture": mixture_labels}[method]
     kinds = dict(df.dtypes)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(id_col)
-        return pd.DataFrame({group: pdf[group], id_col: pdf[id_col], "cluster": f(np.stack(pdf[vec]).astype(float))})
-
-    return df.select(group, id_col, vec).groupBy(group).applyInPandas(run, f"{group} {kinds[group]}, {id_col} {kinds[id_col]}, cluster int")
+        return pd.DataFrame({group: pdf[group], "_bucket": pdf["_bucket"], id_col: pdf[id_col], "_c": f(np.stack(pdf[vec]).astype(float))})
+
+    rows = in_buckets(df.select(group, id_col, vec), group, id_col, vec, size)
+    found = rows.groupBy(group, "_bucket").applyInPandas(run, f"{group} {kinds[group]}, _bucket string, {id_col} {kinds[id_col]}, _c int")
+    # Buckets count on from one another.
+    ends = found.groupBy(group, "_bucket").agg((F.max("_c") + 1).alias("_k"))
+    order = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("_from", F.coalesce(F.sum("_k").over(order), F.lit(0)))
+    return found.join(ends, [group, "_bucket"]).select(group, id_col, (F.col("_c") + F.col("_from")).cast("int").alias("cluster"))
 
 
 def psi(df: DataFrame, group: str, id_col: str, vec: str, bucket: int = 512, max_children: int = 4) -> DataFrame:

@@ -449,6 +449,14 @@ def community_retrieve(spark, d):
     return graph.community_retrieve(c, ["red widget", "blue ring"], 3).drop("entities_kwd")
 
 
+@query()
+def hierarchical_communities(spark, d):
+    """Customers, nations and regions in communities of communities."""
+    from .queries import _places
+
+    return graph.hierarchical_communities(_places(spark, d), max_size=200, rounds=4, levels=3, depth=3).withColumn("level", F.col("level").cast("int"))
+
+
 @query("SELECT conv_id AS g, role AS item, n, round(n * 1.0 / sum(n) OVER (PARTITION BY conv_id), 6) AS tf FROM (SELECT conv_id, role, count(*) AS n FROM conversations GROUP BY 1, 2)")
 def term_frequency(spark, d):
     """Shares of an entity's mentions in its chunk."""

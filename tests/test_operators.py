@@ -700,3 +700,31 @@ def test_model_tokens(spark):
 def test_pairwise_sum_of_long_arrays(spark):
     got = one(spark, V.pairwise_sum(F.array_repeat(F.lit(0.1), 1000)), V.pairwise_sum(F.array().cast("array<double>")))
     assert abs(got[0] - 100) < 1e-11 and got[1] == 0
+
+
+def test_ward_merges_are_nearest_pairs():
+    rng = np.random.default_rng(3)
+    for n in (2, 3, 9, 25):
+        x = rng.normal(size=(n, 3))
+        groups, heights = {k: [k] for k in range(n)}, []
+        for step in range(n - 1):  # by definition: the pair whose union adds least variance
+            cost = lambda a, b: len(a) * len(b) / (len(a) + len(b)) * 2 * ((x[a].mean(0) - x[b].mean(0)) ** 2).sum()
+            a, b = min(itertools.combinations(groups, 2), key=lambda p: cost(groups[p[0]], groups[p[1]]))
+            heights.append(cost(groups[a], groups[b]) ** 0.5)
+            groups[n + step] = groups.pop(a) + groups.pop(b)
+        assert np.allclose([h for *_, h in tree.ward_merges(x)], heights)
+
+
+def test_large_groups_are_clustered_in_buckets(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(6, 4)) * 9
+    rows = [("big", k, (centres[k % 6] + rng.normal(size=4) * 0.1).tolist()) for k in range(240)] + [("big", 1000 + k, [1.0] * 4) for k in range(60)] + [("small", k, [float(k), 1.0]) for k in range(5)]
+    df = spark.createDataFrame(rows, "g string, i long, v array<double>")
+    sizes = {(r["g"], r["_bucket"]): r["count"] for r in tree.in_buckets(df, "g", "i", "v", 50).groupBy("g", "_bucket").count().collect()}
+    assert max(sizes.values()) <= 50 + 40 and sizes["small", ""] == 5 and sum(sizes.values()) == 305
+    got = {(r["g"], r["i"]): r["cluster"] for r in tree.clusters(df, "g", "i", "v", size=50).collect()}
+    assert len(got) == 305
+    for c in {c for (g, _), c in got.items() if g == "big"}:
+        kinds = {k % 6 for (g, k), x in got.items() if g == "big" and x == c and k < 1000}
+        assert len(kinds) <= 6
+    assert sorted({c for (g, _), c in got.items() if g == "big"}) == list(range(len({c for (g, _), c in got.items() if g == "big"})))

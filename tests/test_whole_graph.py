@@ -25,3 +25,28 @@ def test_communities_of_the_whole_graph(spark, tmp_path):
         labels = fresh
     got = {r["id"]: r["label"] for r in Q.QUERIES["communities"](spark, str(tmp_path)).collect()}
     assert got == labels
+
+
+def test_hierarchical_communities(spark):
+    """Planted groups of groups are found, connected, named by their least node, and no worse than label propagation."""
+    from lodestone.operators import graph
+
+    rnd = random.Random(5)
+    rows = []
+    for big in range(3):
+        for group in range(3):
+            nodes = [f"n{big}{group}{k}" for k in range(6)]
+            rows += [(a, b, 4.0) for i, a in enumerate(nodes) for b in nodes[i + 1 :]]
+        rows += [(f"n{big}{g}{rnd.randrange(6)}", f"n{big}{(g + 1) % 3}{rnd.randrange(6)}", 1.5) for g in range(3) for _ in range(5)]
+    rows += [("n000", "n100", 0.2), ("n111", "n211", 0.2)]
+    edges = spark.createDataFrame(rows, "src string, dst string, weight double")
+    found = graph.hierarchical_communities(edges, max_size=8).collect()
+    assert {r["id"] for r in found if r["level"] == 0} == {x for r in rows for x in r[:2]}
+    final = {r["id"]: r["community"] for r in found if r["final"]}
+    assert all(final[f"n{b}{g}{k}"] == f"n{b}{g}0" for b in range(3) for g in range(3) for k in range(6))
+    for r in found:
+        if r["level"]:
+            assert r["parent"] == next(x["community"] for x in found if x["id"] == r["id"] and x["level"] == r["level"] - 1)
+    quality = lambda labels, c: graph.modularity(edges, labels, c).first()[0]
+    top = spark.createDataFrame([(r["id"], r["community"]) for r in found if r["level"] == 0], "id string, community string")
+    assert quality(top, "community") >= quality(graph.label_propagation(edges, 4), "label") - 1e-9
