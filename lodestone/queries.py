@@ -493,7 +493,7 @@ def markdown_blocks(spark, d):
     return parsers.sections(t(spark, d, "documents"), "doc_id", "text", parsers.markdown_blocks).select("doc_id", "position", "kind", F.md5("content").alias("content_md5"))
 
 
-@query()
+@query("SELECT event_id::VARCHAR AS doc_id, 0 AS position, 'json' AS kind, props AS content FROM events")
 def json_sections(spark, d):
     return parsers.sections(t(spark, d, "events"), "event_id", "props", parsers.json_blocks)
 
