@@ -232,16 +232,20 @@ def community_retrieve(communities: DataFrame, entities: list[str], top: int = 1
 def resolution_links(entities: DataFrame, name: str, kind: str, block: int = 512) -> DataFrame:
     """Pairs (a, b, kind), a < b, of different names of a type that are similar: no pair is lost.
 
-    The rule knows no bound by which most pairs needn't be looked at (half of the shorter name may differ), so all of a
-    type's are, but evenly: names are dealt to blocks of about ``block``, a task is a pair of blocks, and only similar names
-    leave it. Names are distinct first, and the number of blocks follows the type's names.
+    Similar names have the same letter pairs with a digit, so names meet by type and these. Beyond that the rule knows no
+    bound by which most pairs needn't be looked at (half of the shorter name may differ), so all that meet are, but evenly:
+    names are dealt to blocks of about ``block``, a task is a pair of blocks, and only similar names leave it. What the rule
+    needs of a name is made once a name.
     """
     rows = entities.select(F.col(name).alias("n"), F.col(kind).alias("k")).where("n is not null").distinct()
-    blocks = rows.groupBy(F.col("k").alias("_k")).agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("nb"))
-    rows = rows.join(blocks, F.col("k").eqNullSafe(F.col("_k"))).select("n", "k", "nb", F.pmod(F.xxhash64("n"), F.col("nb")).cast("int").alias("i"))
+    rows = rows.select("n", F.coalesce("k", F.lit("")).alias("k"), F.col("k").isNull().alias("_none"), digit_pairs(F.col("n")).alias("d"), is_english(F.col("n")).alias("e"), _characters(F.col("n")).alias("c"))
+    met = ["k", "_none", "d"]
+    blocks = rows.groupBy(*met).agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("nb"))
+    rows = rows.join(blocks, met).withColumn("i", F.pmod(F.xxhash64("n"), F.col("nb")).cast("int"))
     every = F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda j: F.struct(F.least("i", j).alias("x"), F.greatest("i", j).alias("y")))
-    left = rows.select(F.col("n").alias("a"), F.coalesce("k", F.lit("")).alias("k"), F.col("k").isNull().alias("_none"), F.explode(every).alias("t")).select("a", "k", "_none", "t.x", "t.y")
-    pairs = left.join(left.withColumnRenamed("a", "b"), ["k", "_none", "x", "y"]).where((F.col("a") < F.col("b")) & similar_names(F.col("a"), F.col("b")))
+    left = rows.select(*met, F.col("n").alias("a"), F.col("e").alias("ea"), F.col("c").alias("ca"), F.explode(every).alias("t")).select(*met, "t.x", "t.y", "a", "ea", "ca")
+    right = left.withColumnsRenamed({"a": "b", "ea": "eb", "ca": "cb"})
+    pairs = left.join(right, [*met, "x", "y"]).where((F.col("a") < F.col("b")) & _close(*map(F.col, ("a", "b", "ea", "eb", "ca", "cb"))))
     return pairs.select("a", "b", F.when(~F.col("_none"), F.col("k")).alias("kind")).distinct()
 
 
@@ -263,18 +267,28 @@ def is_english(c: Column) -> Column:
     return F.regexp_count(c, F.lit("[`a-zA-Z0-9.,':;/\"?<>!()-]")) / F.length(c) > 0.8
 
 
+def digit_pairs(c: Column) -> Column:
+    """The different letter pairs with a digit, in order, as one text."""
+    pairs = F.when(F.length(c) > 1, F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substring(c, i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
+    return F.array_join(F.array_sort(F.array_distinct(F.filter(pairs, lambda x: x.rlike("[0-9]")))), "\u0001")
+
+
+def _characters(c: Column) -> Column:
+    return F.array_distinct(F.filter(F.split(c, ""), lambda y: y != ""))
+
+
+def _close(a: Column, b: Column, a_english: Column, b_english: Column, a_characters: Column, b_characters: Column) -> Column:
+    half = F.floor(F.least(F.length(a), F.length(b)) / 2)
+    common, most = F.size(F.array_intersect(a_characters, b_characters)), F.greatest(F.size(a_characters), F.size(b_characters))
+    other = F.when(most < 4, common > 1).otherwise(common / most >= 0.8)
+    return F.when(a_english & b_english, (F.abs(F.length(a) - F.length(b)) <= half) & (F.levenshtein(a, b) <= half)).otherwise(other)
+
+
 def similar_names(a: Column, b: Column) -> Column:
     """Never where a digit is in a letter pair that only one name has; English names by edit distance, at most half the
     shorter (rounded down); others by their different characters: two or more in common where both have under four, else
     80 % of the larger set."""
-    from .relational import bigram_difference
-
-    digits = F.exists(bigram_difference(a, b), lambda x: x.rlike("[0-9]"))
-    english = is_english(a) & is_english(b)
-    sets = [F.array_distinct(F.filter(F.split(x, ""), lambda y: y != "")) for x in (a, b)]
-    common, most = F.size(F.array_intersect(*sets)), F.greatest(F.size(sets[0]), F.size(sets[1]))
-    other = F.when(most < 4, common > 1).otherwise(common / most >= 0.8)
-    return F.coalesce(~digits & F.when(english, F.levenshtein(a, b) <= F.floor(F.least(F.length(a), F.length(b)) / 2)).otherwise(other), F.lit(False))
+    return F.coalesce((digit_pairs(a) == digit_pairs(b)) & _close(a, b, is_english(a), is_english(b), _characters(a), _characters(b)), F.lit(False))
 
 
 def label_propagation(edges: DataFrame, rounds: int = 8, cut_every: int = 2) -> DataFrame:
