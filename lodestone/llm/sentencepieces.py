@@ -145,6 +145,7 @@ class Backend:
         self.unknown = next(k for k, (_, _, kind) in enumerate(self.spec.pieces) if kind == UNKNOWN)
         self.in_bytes = self.spec.model_type == UNIGRAM and self.spec.byte_fallback and len(self.byte_ids) == 256
         self.bytes_of = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in self.spec.pieces]
+        self.begins = np.array([p.startswith(self.mark) for p, _, _ in self.spec.pieces])
         self.ids_of: dict[str, bytes] = {}  # little-endian 32-bit numbers
         self.older: dict[str, bytes] = {}
         self.wrong: set[str] = set()
@@ -153,6 +154,7 @@ class Backend:
             import sentencepiece
 
             self.original = sentencepiece.SentencePieceProcessor(model_proto=model)
+            self.lead = array("i", self.original.encode("a")).tobytes()
 
     def normalised(self, text: str) -> str:
         if self.charsmap is not None:
@@ -164,14 +166,31 @@ class Backend:
         return text.replace(" ", MARK) if self.spec.escape else text
 
     def learn(self, cuts: list[str]) -> None:
-        """Encode cuts not met before, and hold them against SentencePiece."""
-        if self.in_bytes:
-            found = [array("i", self._spelt(cut, got)).tobytes() for cut, got in zip(cuts, self.tokenizer.encode_batch(cuts, add_special_tokens=False), strict=True)]
-        else:
-            found = [array("i", got.ids).tobytes() for got in self.tokenizer.encode_batch_fast(cuts, add_special_tokens=False)]
-        self.ids_of.update(zip(cuts, found, strict=True))
-        if self.original is not None:
-            self._hold(cuts, found)
+        """Encode cuts not met before, and hold them against SentencePiece.
+
+        Cuts of one marker and something behind it are encoded in rows of ``_ROW``, one behind the other as they stand in a
+        text: no piece crosses a marker, so a row's ids fall apart at the pieces that begin with one. What can't be told apart
+        so, and rows that SentencePiece encodes differently, go one by one.
+        """
+        mark, alone = self.mark, cuts
+        if self.cut is not None and not self.in_bytes:
+            plain = [c for c in cuts if c[0] == mark and c[1:2] not in ("", mark)]
+            alone = [c for c in cuts if c[0] != mark or c[1:2] in ("", mark)] if len(plain) < len(cuts) else []
+            rows = [plain[k : k + _ROW] for k in range(0, len(plain), _ROW)]
+            joined = ["".join(row) for row in rows]
+            for row, text, got in zip(rows, joined, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+                ids = np.array(got.ids, np.int32)
+                packed, starts = ids.tobytes(), (4 * np.flatnonzero(self.begins[ids])).tolist()
+                if len(starts) != len(row) or starts[0] or (self.original is not None and self._original(text) != packed):
+                    alone += row
+                else:
+                    self.ids_of.update(zip(row, [packed[x:y] for x, y in zip(starts, [*starts[1:], len(packed)], strict=True)], strict=True))
+        if alone:
+            encode = self.tokenizer.encode_batch if self.in_bytes else self.tokenizer.encode_batch_fast  # the fast one has no offsets
+            for cut, got in zip(alone, encode(alone, add_special_tokens=False), strict=True):
+                self.ids_of[cut] = packed = array("i", self._spelt(cut, got) if self.in_bytes else got.ids).tobytes()
+                if self.original is not None and self._original(cut) != packed:
+                    self.wrong.add(cut)
 
     def _spelt(self, cut: str, got) -> list[int]:
         """The ids of an encoded cut, with bytes in place of what nothing matches."""
@@ -179,24 +198,11 @@ class Backend:
             return got.ids
         return [x for k, (a, b) in zip(got.ids, got.offsets, strict=True) for x in ([self.byte_ids[y] for y in cut[a:b].encode()] if k == self.unknown else [k])]
 
-    def _hold(self, cuts: list[str], found: list[bytes]) -> None:
-        """Cuts whose ids aren't SentencePiece's become wrong. Cuts are encoded in rows of ``_ROW``, as they stand in a text,
-        and one by one only in a row that differs."""
-        # Behind a letter: alone, a text of nothing but the dummy prefix would have no ids.
-        lead = array("i", self.original.encode("a")).tobytes()
-        spelt = lambda c: "a" + (c.replace(MARK, " ") if self.spec.escape else c)
-        ids = lambda text: array("i", self.original.encode(text)).tobytes()
-        # A row is cut again where its cuts were joined: each begins with a marker, and has something behind it.
-        mark, alone = self.mark, []
-        if self.cut is None or any(c[0] != mark or c[-1] == mark for c in cuts):
-            alone = [(c, x) for c, x in zip(cuts, found, strict=True) if self.cut is None or c[0] != mark or c[-1] == mark]
-            rest = [(c, x) for c, x in zip(cuts, found, strict=True) if not (self.cut is None or c[0] != mark or c[-1] == mark)]
-            cuts, found = [c for c, _ in rest], [x for _, x in rest]
-        for k in range(0, len(cuts), _ROW):
-            row, packed = cuts[k : k + _ROW], found[k : k + _ROW]
-            if ids(spelt("".join(row))) != lead + b"".join(packed):
-                alone += zip(row, packed, strict=True)
-        self.wrong.update(c for c, x in alone if ids(spelt(c)) != lead + x)
+    def _original(self, cut: str) -> bytes | None:
+        """SentencePiece's ids behind a letter, as a text of nothing but the dummy prefix would have none; None if the letter's
+        own ids change."""
+        got = array("i", self.original.encode("a" + (cut.replace(MARK, " ") if self.spec.escape else cut))).tobytes()
+        return got[len(self.lead) :] if got.startswith(self.lead) else None
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
         """The ids of each text (as packed 32-bit numbers), and whether all its cuts agree with SentencePiece."""
