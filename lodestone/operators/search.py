@@ -30,15 +30,27 @@ def postings(chunks: DataFrame, id_col: str, text: Column) -> DataFrame:
 _EDGE = "[\\p{L}\\p{N}]"
 
 
+def spaced(text: Column) -> Column:
+    """The tokens of a text, each between two blanks of its own, so that counting is a search for plain strings."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), f"[^{_EDGE[1:-1]}]+", "  ")), F.lit(" "))
+
+
+def _count(tokens: Column, term: str) -> Column:
+    found = " " + "  ".join(term.lower().split()) + " "
+    return ((F.octet_length(tokens) - F.octet_length(F.replace(tokens, F.lit(found), F.lit("")))) / len(found.encode())).cast("int")
+
+
+def _size(tokens: Column) -> Column:
+    return F.when(tokens == "  ", 0).otherwise(((F.octet_length(tokens) - F.octet_length(F.replace(tokens, F.lit("  "), F.lit("")))) / 2 + 1).cast("int"))
+
+
 def occurrences(text: Column, term: str) -> Column:
-    """How often a term, or the words of a phrase one behind the other, occur among the tokens of a text: a regular
-    expression over the text, so that no array of tokens is made."""
-    words = "[^\\p{L}\\p{N}]+".join("\\Q" + w + "\\E" for w in term.lower().split())
-    return F.regexp_count(F.lower(text), F.lit(f"(?<!{_EDGE}){words}(?!{_EDGE})"))
+    """How often a term, or the words of a phrase one behind the other, occur among the tokens of a text."""
+    return _count(spaced(text), term)
 
 
 def length(text: Column) -> Column:
-    return F.regexp_count(F.lower(text), F.lit(f"{_EDGE}+"))
+    return _size(spaced(text))
 
 
 def bm25_columns(base: DataFrame, fields: dict[str, Column], terms: dict[str, float], extra: dict[str, float] | None = None, boosts: dict[str, float] | None = None) -> DataFrame:
@@ -50,14 +62,14 @@ def bm25_columns(base: DataFrame, fields: dict[str, Column], terms: dict[str, fl
     """
     wanted = {**{t: w for t, w in terms.items()}, **{t: w for t, w in (extra or {}).items() if t not in terms}}
     names, columns = list(wanted), []
-    counted = base
-    for f, (_, c) in enumerate(fields.items()):
-        text = F.coalesce(c.cast("string"), F.lit(""))
-        columns += [length(text).cast("double").alias(f"_len{f}"), *(occurrences(text, t).cast("double").alias(f"_tf{f}_{k}") for k, t in enumerate(names))]
-    stats = base.select(*columns).agg(
+    for f in range(len(fields)):
+        text = F.col(f"_text{f}")
+        columns += [_size(text).cast("double").alias(f"_len{f}"), *(_count(text, t).cast("double").alias(f"_tf{f}_{k}") for k, t in enumerate(names))]
+    texts = [spaced(c.cast("string")).alias(f"_text{f}") for f, c in enumerate(fields.values())]
+    stats = base.select(*texts).select(*columns).agg(
         F.count("*").alias("_n"), *(F.avg(f"_len{f}").alias(f"_avg{f}") for f in range(len(fields))), *(F.count_if(F.col(f"_tf{f}_{k}") > 0).alias(f"_df{f}_{k}") for f in range(len(fields)) for k in range(len(names)))
     )
-    counted = base.select("*", *columns).crossJoin(F.broadcast(stats))  # one row on the right
+    counted = base.select("*", *texts).select("*", *columns).crossJoin(F.broadcast(stats))  # one row on the right
     score, matched = F.lit(0.0), F.lit(0)
     for k, t in enumerate(names):
         for f, name in enumerate(fields):
@@ -67,6 +79,8 @@ def bm25_columns(base: DataFrame, fields: dict[str, Column], terms: dict[str, fl
             score = score + F.coalesce(part, F.lit(0.0)) * (boost * wanted[t])
         if t in terms:
             matched = matched + F.greatest(*(F.col(f"_tf{f}_{k}") for f in range(len(fields))), F.lit(0.0)).cast("boolean").cast("int")
+    # With the statistics in it, a condition on ``matched`` stays where the counts are: at the scan they would be made again.
+    matched = F.when(F.col("_n") > 0, matched).otherwise(0)
     return counted.select(*(F.col(f"`{c}`") for c in base.columns), score.alias("text_score"), matched.alias("matched"))
 
 
@@ -205,10 +219,10 @@ def hybrid(token: Column, cosine: Column, vector_weight: float = VECTOR_WEIGHT)
 
 
 def rerank(df: DataFrame, question: str, text: Column, cosine: str, vector_weight: float = VECTOR_WEIGHT) -> DataFrame:
-    """Adds tsim, vsim, sim. If no candidate has a cosine, the token similarity stands alone."""
+    """Adds tsim, vsim, sim. If no candidate has a cosine, the token similarity stands alone: a window over the candidates,
+    which a limit has bounded, so that they are made once."""
     out = df.withColumn("tsim", T.token_similarity(F.lit(question), text)).withColumn("vsim", F.col(cosine))
-    some = out.agg(F.coalesce(F.sum(F.abs("vsim")), F.lit(0.0)).alias("_some"))
-    return out.crossJoin(F.broadcast(some)).withColumn("sim", F.when(F.col("_some") == 0, F.col("tsim")).otherwise(hybrid(F.col("tsim"), F.col("vsim"), vector_weight))).drop("_some")
+    return out.withColumn("_some", F.coalesce(F.sum(F.abs("vsim")).over(_everything()), F.lit(0.0))).withColumn("sim", F.when(F.col("_some") == 0, F.col("tsim")).otherwise(hybrid(F.col("tsim"), F.col("vsim"), vector_weight))).drop("_some")
 
 
 def model_rerank(df: DataFrame, question: str, text: Column, model_score: str, vector_weight: float = VECTOR_WEIGHT) -> DataFrame:
