@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, line_dedup, media, mix, quality, repeats, secrets, sentencepieces, simhash, weak_labels
+from . import html_text, line_dedup, media, mix, packing, quality, repeats, secrets, sentencepieces, simhash, tandem_runs, weak_labels
 from .common import table
 
 
@@ -56,6 +56,16 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract makes a tenth of the documents periodic."""
+    found = tandem_runs.collapse(table(spark, sf_dir, "documents"), text_col=tandem_runs.planted(F.col("doc_id"), F.col("text")))
+    return tandem_runs.digests(found)
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), packing.default_tokenizer())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -68,6 +78,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_simhash": op9_simhash,
         "op10_secret_scan": op10_secret_scan,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_best_fit_packing": op13_best_fit_packing,
     }
 
 
