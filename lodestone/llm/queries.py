@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, line_dedup, media, mix, packing, quality, repeats, secrets, sentencepieces, simhash, tandem_runs, weak_labels
+from . import html_text, line_dedup, media, mix, packing, quality, repeats, secrets, sentencepieces, simhash, spelling, tandem_runs, weak_labels
 from .common import table
 
 
@@ -56,6 +56,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract takes a letter from some runs."""
+    return spelling.variants(spelling.altered_words(table(spark, sf_dir, "documents")))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract makes a tenth of the documents periodic."""
     found = tandem_runs.collapse(table(spark, sf_dir, "documents"), text_col=tandem_runs.planted(F.col("doc_id"), F.col("text")))
@@ -78,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_simhash": op9_simhash,
         "op10_secret_scan": op10_secret_scan,
+        "op11_spelling_variants": op11_spelling_variants,
         "op12_periodic_runs": op12_periodic_runs,
         "op13_best_fit_packing": op13_best_fit_packing,
     }
@@ -176,5 +182,42 @@ FROM cut
 """
 
 
+#: crc32 by bytes with its table; letters beyond ASCII are two bytes of UTF-8.
+OP11_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, i) ORDER BY i) AS t
+  FROM (SELECT unnest(range(0, 256)) AS i)),
+runs AS (
+  SELECT doc_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS c
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS raw FROM documents) WHERE length(raw) >= 6 GROUP BY ALL),
+hashed AS (
+  SELECT run, c, xor(list_reduce(flatten(list_transform(string_split(doc_id::VARCHAR || ':' || run, ''),
+      lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195::BIGINT, unicode(x)::BIGINT - 64] END)),
+    lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS h
+  FROM runs, crc),
+words AS (
+  SELECT word, sum(c)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+rests AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)),
+longer AS (
+  SELECT DISTINCT r.word, r.n, w.word AS other, w.n AS m FROM rests r JOIN words w ON r.rest = w.word),
+links AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM rests a JOIN rests b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION ALL SELECT word, other, m FROM longer
+  UNION ALL SELECT other, word, n FROM longer),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS other, max(m) AS m FROM links GROUP BY word),
+found AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN m >= 5 * n THEN other END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word),
+followed AS (
+  SELECT word, word AS root, form AS next FROM found
+  UNION ALL SELECT f.word, f.next, g.form FROM followed f JOIN found g ON f.next = g.word)
+SELECT f.word, form, root, n, n_near, form_n FROM found f JOIN followed r ON f.word = r.word WHERE r.next IS NULL
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1_SQL, "op2_line_dedup": OP2_SQL}
+    return {"op1_mix_sources": OP1_SQL, "op2_line_dedup": OP2_SQL, "op11_spelling_variants": OP11_SQL}
