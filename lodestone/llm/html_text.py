@@ -5,16 +5,18 @@ of its two neighbours whose path has more in common with its own (the one ahead
 by longest common subsequence, and what both share is taken for the template's.
 
 Differencing alone deletes right text (articles quote whole lines of one another) and leaves wrong text (menus and
-adverts drawn anew for each page), so markup is the second evidence. A shared line goes unless it is prose inside an
-element marked as the article; a line of its own stays unless it lies in an element of menus, headers, footers, notices,
-adverts, forms, hidden parts or reader comments, or outside the article of a page that marks one.
+adverts drawn anew for each page). So a shared line goes, but prose inside an element marked as the article only if it is
+shared on more than half of the host's different pages: a quotation isn't. Markup is the second evidence: a line of its
+own stays unless it lies in an element of menus, headers, footers, notices, adverts, forms, hidden parts or reader
+comments, or outside the article of a page that marks one.
 
-The html itself is never shuffled where few lines go: one pass writes line hashes, pairs meet in a small table ordered by
-(host, path), and a second pass deletes line numbers. The text of a page doesn't depend on how rows are partitioned.
+A page is parsed once, and its html is never shuffled: line hashes and the lines of the article are written, pairs meet
+in a table of hashes ordered by (host, path), and line numbers are deleted. The text of a page doesn't depend on how rows
+are partitioned.
 
 Defined cases: null or empty html has no text; a null or malformed URL belongs to the host ''; pages of a host with
 equal lines are one page, at the least of their paths; a host with one different page has no pair; a page without a
-marked article all of whose lines are shared keeps them; very long pages are parsed whole, in linear time; repeated rows
+marked article all of whose lines are shared keeps them, and an article most of whose prose would go keeps it; very long pages are parsed whole, in linear time; repeated rows
 have equal texts; an empty table gives an empty result; other columns are not looked at.
 """
 
@@ -30,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_texts, map_arrow, stored
+from .common import byte_texts, join_hot, map_arrow, stored
 
 BOILER, ASIDE, BODY, ARTICLE = 0, 1, 2, 3
 
@@ -62,6 +64,7 @@ _STOP = re.compile(r">|=\s*[\"']")
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORDS = re.compile(r"[a-z]+|[0-9]+")
 _HUMPS = re.compile(r"(?<=[a-z])(?=[A-Z])")
+_MAIN = re.compile(r"role\s*=\s*[\"']?main\b|itemprop\s*=\s*[\"']?articleBody\b")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
@@ -92,6 +95,9 @@ class _Parser:
         # elements open inside each of them.
         self._open: list[tuple[str, int, bool]] = []
         self._depths: list[dict[str, int]] = []
+        # Open elements by name, those that change the zone and those inside them; and how many of _open end all articles.
+        self._there: dict[str, int] = {}
+        self._never = 0
         self._zone, self._parts, self._linked, self._in_link = BODY, [], 0, 0
         self._parse(page)
 
@@ -184,48 +190,48 @@ class _Parser:
             return
         if tag == "a":
             self._in_link += 1
-        if self._depths:
-            self._depths[-1][tag] = self._depths[-1].get(tag, 0) + 1
-        if not all(around for _, _, around in self._open):
-            return
-        zone, around = self._drops(tag, attributes)
+        zone, around = self._drops(tag, attributes) if not self._never else (None, False)
         if zone is not None:
             self._enter(tag, min(zone, self._zone), around)
-        elif tag in ("article", "main") or re.search(r"role\s*=\s*[\"']?main\b|itemprop\s*=\s*[\"']?articleBody\b", attributes):
+        elif not self._never and (tag in ("article", "main") or _MAIN.search(attributes)):
             self._enter(tag, ARTICLE, True)
             self.marked = True
+        elif self._depths:
+            self._depths[-1][tag] = self._depths[-1].get(tag, 0) + 1
+            self._there[tag] = self._there.get(tag, 0) + 1
 
     def _enter(self, tag: str, zone: int, around: bool) -> None:
         self._flush()
         self._open.append((tag, self._zone, around))
         self._zone = zone
         self._depths.append({tag: 1})
+        self._there[tag] = self._there.get(tag, 0) + 1
+        self._never += not around
 
     def _close(self) -> None:
         self._flush()
-        self._zone = self._open.pop()[1]
-        self._depths.pop()
+        _, self._zone, around = self._open.pop()
+        self._never -= not around
+        for tag, n in self._depths.pop().items():
+            self._there[tag] -= n
 
     def _end(self, tag: str) -> None:
         if tag in BLOCKS:
             self._flush()
         if tag == "a":
             self._in_link = max(0, self._in_link - 1)
-        if not self._open:
-            return
-        if self._depths[-1].get(tag, 0) > 0:
-            self._depths[-1][tag] -= 1
-            if tag == self._open[-1][0] and self._depths[-1][tag] == 0:
-                self._close()
-        elif tag in BLOCKS or tag in DROPPED:
+        while self._open:
+            inside = self._depths[-1]
+            if inside.get(tag, 0) > 0:
+                inside[tag] -= 1
+                self._there[tag] -= 1
+                if tag == self._open[-1][0] and inside[tag] == 0:
+                    self._close()
+                return
             # The end of an element opened further out: what is open inside it ends with it.
-            for k in range(len(self._open) - 1, -1, -1):
-                if (k and self._depths[k - 1].get(tag, 0) > 0) or tag in ("body", "html"):
-                    while len(self._open) > k:
-                        self._close()
-                    if self._open:
-                        self._end(tag)
-                    return
+            if tag not in ("body", "html") and not (self._there.get(tag, 0) > 0 and (tag in BLOCKS or tag in DROPPED)):
+                return
+            self._close()
 
 
 def parse(page: str) -> tuple[list[Line], bool]:
@@ -242,10 +248,25 @@ def weak(lines: list[Line], marked: bool) -> list[int]:
     return [k for k, x in enumerate(lines) if (x.zone == ARTICLE and x.links > 0.5 if marked else x.zone == BODY)]
 
 
-def main_text(lines: list[Line], marked: bool, gone: set[int] | frozenset[int] = frozenset()) -> str:
-    """The article's blocks but for the lines ``gone``, joined by one space."""
+def prose(lines: list[Line], marked: bool) -> list[int]:
+    """Numbers of the lines of a marked article that go if the pair shares them and most pages of the host do so."""
+    return [k for k, x in enumerate(lines) if marked and x.zone == ARTICLE and x.links <= 0.5]
+
+
+def main_lines(lines: list[Line], marked: bool) -> list[int]:
+    """Numbers of the article's lines, by markup alone."""
     zone = ARTICLE if marked else BODY
-    return " ".join(x.text for k, x in enumerate(lines) if x.zone == zone and k not in gone)
+    return [k for k, x in enumerate(lines) if x.zone == zone]
+
+
+def deleted(weak: list[int], prose: list[int], shared: set[int], common: set[int], marked: bool) -> set[int]:
+    """The lines that go: ``shared`` with the pair; of these ``common``, on most pages of the host. Where more than half of an
+    article's prose is common the pages are versions of one article, and where a body without an article is shared whole
+    nothing is left: neither is a template."""
+    gone, lines = shared.intersection(weak), common.intersection(prose)
+    if not marked and len(gone) == len(weak):
+        return set()
+    return gone | lines if 2 * len(lines) <= len(prose) else gone
 
 
 def shared(a: list, b: list) -> list[bool]:
@@ -323,23 +344,29 @@ def pages_of(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Data
     return rows.withColumn("_host", host).withColumn("_path", path).withColumn("_key", F.unhex(F.md5("_html")))
 
 
-def shared_lines(pages: DataFrame, parts: int) -> DataFrame:
-    """Rows (_host, _key, gone): numbers of the lines that the page's pair takes away; pages that lose none have no row."""
-    id_type = dict(pages.dtypes)["page_id"]
+def lines_of(pages: DataFrame) -> DataFrame:
+    """The pages' lines, written once: hashes of all, numbers of those that differencing may delete, the article's text."""
+    schema = (
+        f"_host string, _path string, page_id {dict(pages.dtypes)['page_id']}, url string, _key binary, print binary, hashes array<long>, "
+        "weak array<int>, prose array<int>, marked boolean, main array<int>, texts array<string>"
+    )
 
     def cut(batch: pa.RecordBatch) -> dict:
-        hashes, weaks, marks, prints = [], [], [], []
-        for raw in byte_texts(batch.column(4)):
+        out: dict = {n: [] for n in ("hashes", "weak", "prose", "marked", "print", "main", "texts")}
+        for raw in byte_texts(batch.column(5)):
             lines, marked = parse(raw.decode("utf-8", "replace"))
-            h = [xxhash.xxh3_64_intdigest(x.text.encode("utf-8", "replace")) - (1 << 63) for x in lines]
-            hashes.append(h)
-            weaks.append(weak(lines, marked))
-            marks.append(marked)
-            prints.append(xxhash.xxh3_128_digest("\n".join(x.text for x in lines).encode("utf-8", "replace")))
-        return {"_host": batch.column(0), "_path": batch.column(1), "page_id": batch.column(2), "_key": batch.column(3), "print": prints, "hashes": hashes, "weak": weaks, "marked": marks}
-
-    rows = pages.select("_host", "_path", "page_id", "_key", "_html")
-    lined = stored(map_arrow(rows, f"_host string, _path string, page_id {id_type}, _key binary, print binary, hashes array<long>, weak array<int>, marked boolean", cut), "page-lines")
+            main = main_lines(lines, marked)
+            text = [x.text.encode("utf-8", "replace") for x in lines]
+            values = ([xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in text], weak(lines, marked), prose(lines, marked), marked, xxhash.xxh3_128_digest(b"\n".join(text)), main, [lines[k].text for k in main])
+            for name, value in zip(out, values, strict=True):
+                out[name].append(value)
+        return out | {n: batch.column(k) for k, n in enumerate(("_host", "_path", "page_id", "url", "_key"))}
+
+    return stored(map_arrow(pages.select("_host", "_path", "page_id", "url", "_key", "_html"), schema, cut), "page-lines")
+
+
+def shared_lines(lined: DataFrame, parts: int) -> DataFrame:
+    """Rows (_host, _key, gone): numbers of the lines of ``lines_of`` that go; pages that lose none have no row."""
     # One row a different text of a host, in the order of its least place, over ranges of that order.
     order = ["_host", "_path", "page_id", "print"]
     texts = lined.groupBy("_host", "print").agg(F.min(F.struct("_path", "page_id")).alias("_at"), F.first("hashes").alias("hashes"))
@@ -363,38 +390,42 @@ def shared_lines(pages: DataFrame, parts: int) -> DataFrame:
             pair = ahead or behind
             if ahead and behind and _common(path, behind["_path"]) > _common(path, ahead["_path"]):
                 pair = behind
-            found.append([k for k, s in enumerate(shared(mine, pair["hashes"])) if s])
+            found.append([{"line": k, "hash": mine[k]} for k, s in enumerate(shared(mine, pair["hashes"])) if s])
         return {"_host": batch.column(0), "print": batch.column(1), "shared": found}
 
-    aligned_rows = map_arrow(near.select("_host", "print", "_path", "hashes", "ahead", "behind"), "_host string, print binary, shared array<int>", aligned)
+    aligned_rows = map_arrow(near.select("_host", "print", "_path", "hashes", "ahead", "behind"), "_host string, print binary, shared array<struct<line: int, hash: long>>", aligned)
     same = stored(aligned_rows.where(F.size("shared") > 0), "page-shared")
+    # A host's common lines are shared on more than half of its different pages, so they are at most twice what a page shares.
+    held = same.select("_host", F.explode(F.array_distinct("shared.hash")).alias("hash")).groupBy("_host", "hash").agg(F.count("*").alias("_n"))
+    hosts = texts.groupBy("_host").agg(F.count("*").alias("_pages"))
+    common = held.join(hosts, "_host").where("2 * _n > _pages").groupBy("_host").agg(F.collect_set("hash").alias("common"))
+    same = join_hot(same, stored(common, "page-common"), "_host", F.col("print"), "left")
+    often = F.when(F.col("common").isNotNull(), F.filter("shared", lambda x: F.array_contains("common", x["hash"]))["line"])
+    same = same.select("_host", "print", F.col("shared.line").alias("shared"), F.coalesce(often, F.array().cast("array<int>")).alias("often"))
     # Many pages may have one text: its row meets them in 16 parts.
     salt = F.pmod(F.xxhash64("_key"), F.lit(16))
-    mine = lined.where(F.size("weak") > 0).select("_host", "print", "_key", "weak", "marked", salt.alias("salt")).dropDuplicates(["_host", "_key"])
-    same = same.join(mine.select("_host", "print").distinct(), ["_host", "print"], "left_semi")
+    mine = lined.where((F.size("weak") > 0) | (F.size("prose") > 0)).select("_host", "print", "_key", "weak", "prose", "marked", salt.alias("salt")).dropDuplicates(["_host", "_key"])
     met = mine.join(same.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long")))), ["_host", "print", "salt"])
-    gone = F.array_intersect("weak", "shared")
-    met = met.select("_host", "_key", F.when(~F.col("marked") & (F.size(gone) == F.size("weak")), F.array().cast("array<int>")).otherwise(gone).alias("gone"))
+
+    none, gone, lines = F.array().cast("array<int>"), F.array_intersect("weak", "shared"), F.array_intersect("prose", "often")  # as deleted() has it
+    body = F.when(~F.col("marked") & (F.size(gone) == F.size("weak")), none).otherwise(gone)
+    met = met.select("_host", "_key", F.concat(body, F.when(2 * F.size(lines) <= F.size("prose"), lines).otherwise(none)).alias("gone"))
     return stored(met.where(F.size("gone") > 0), "page-gone")
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", broadcast_lines: int = 2_000_000) -> DataFrame:
     """Rows page_id, url, text, n_chars."""
-    rows = pages_of(pages, id_col, url_col, html_col)
+    lined = lines_of(pages_of(pages, id_col, url_col, html_col))
     parts = max(8, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    gone = shared_lines(rows, parts)
+    gone = shared_lines(lined, parts)
     total = gone.agg(F.coalesce(F.sum(F.size("gone") + 8), F.lit(0))).first()[0]
+    rows = lined.select("_host", "_key", "page_id", "url", "main", "texts")
     if total <= broadcast_lines:
         joined = rows.join(F.broadcast(gone), ["_host", "_key"], "left")
     else:  # copies of one page spread over 16 parts
         rows = rows.withColumn("_salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(16)))
         spread = gone.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long"))))
         joined = rows.join(spread, ["_host", "_key", "_salt"], "left")
-
-    def each(batch: pa.RecordBatch) -> dict:
-        texts = []
-        for raw, dropped in zip(byte_texts(batch.column(2)), batch.column(3).to_pylist(), strict=True):
-            texts.append(main_text(*parse(raw.decode("utf-8", "replace")), frozenset(dropped or ())))
-        return {"page_id": batch.column(0), "url": batch.column(1), "text": texts, "n_chars": [len(t) for t in texts]}
-
-    return map_arrow(joined.select("page_id", "url", "_html", "gone"), f"page_id {dict(rows.dtypes)['page_id']}, url string, text string, n_chars long", each)
+    left = F.filter("texts", lambda x, k: ~F.array_contains("gone", F.get("main", k)))
+    text = F.array_join(F.when(F.col("gone").isNull(), F.col("texts")).otherwise(left), " ")
+    return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

@@ -15,12 +15,16 @@ PAGE = """<!DOCTYPE html><html><head><title>T &amp; x</title><style>p{}</style><
 <table><tr><td>a<td>b</tr></table><section id="comments"><article><p>comment one</p></article></section> tail</article><div class="sidebar">S</div><footer>&copy; f</footer></body></html>"""
 
 
+def main_text(lines, marked, gone=()):
+    return " ".join(lines[k].text for k in H.main_lines(lines, marked) if k not in gone)
+
+
 def text(page, pair=None):
+    """Of a page whose host has one other page."""
     lines, marked = H.parse(page)
     same = H.shared([x.text for x in lines], [x.text for x in H.parse(pair)[0]]) if pair else [False] * len(lines)
-    w = H.weak(lines, marked)
-    gone = {k for k in w if same[k]}
-    return H.main_text(lines, marked, set() if not marked and len(gone) == len(w) else gone)
+    same = {k for k, s in enumerate(same) if s}
+    return main_text(lines, marked, H.deleted(H.weak(lines, marked), H.prose(lines, marked), same, same, marked))
 
 
 def test_article_without_its_surroundings():
@@ -52,7 +56,9 @@ def test_shared_lines_go_from_unmarked_pages():
     assert text(a, b) == "Own para one" and text(a) == "Own para one Shared foot" and text(a, a) == "Own para one Shared foot"
     c = "<body><article><p>own</p><p><a href=1>read more</a></p><p>quoted line</p></article></body>"
     d = "<body><article><p><a href=1>read more</a></p><p>quoted line</p></article></body>"
-    assert text(c, d) == "own quoted line"
+    assert text(c, d) == "own"
+    e = "<body><article><p>own</p><p>two</p><p>three</p><p>quoted line</p></article></body>"
+    assert text(e, d) == "own two three" and text(d, e) == "read more quoted line"  # d: all its prose
 
 
 def test_longest_common_subsequence():
@@ -68,13 +74,33 @@ def test_longest_common_subsequence():
         assert len(kept) == best[-1][-1] and all(x in rest for x in kept)
 
 
-@pytest.mark.parametrize("unit", ["<a '", "<a b='", '<p x=">', "<a href=\"'", "</script", "<!--", "<p a=", "&", "<"])
-def test_malformed_pages_are_parsed_in_linear_time(unit):
-    t = time.time()
-    H.parse("<p>a</p>" + unit * ((1 << 20) // len(unit)) + "<p>z</p>")
+@pytest.mark.parametrize("unit", ["<a '", "<a b='", '<p x=">', "<a href=\"'", "</script", "<!--", "<p a=", "&", "<", '<div class="menu">', "<nav>", '<div class="menu"><p>', '<div class=ad><div class="menu">'])
+@pytest.mark.parametrize("tail", ["", "</div></section></span>", "</body>"])
+def test_malformed_pages_are_parsed_in_linear_time(unit, tail):
+    t, n = time.time(), (1 << 20) // len(unit)
+    H.parse("<p>a</p>" + unit * n + tail * (n if len(tail) > 10 else 1) + "<p>z</p>")
     assert time.time() - t < 8
 
 
+def test_elements_inside_named_ones_end_with_them():
+    assert text('<div class="menu"><div class="nav">x</div>y</div><p>z</p>') == "z"
+    assert text('<div class="menu"><div class="comments">x</div><div>w</div>y</div><p>z</p>') == "z"
+    assert text('<article>a<div class="share"><div class="social">s</div></div><p>b</p></article><p>c</p>') == "a b"
+    assert text('<div class="menu">x<section><div class="nav">y</section>v</div><p>z</p>') == "z"
+    assert text("<body><div class=menu>" * 3000 + "</body>" + "<p>z") == "z"
+
+
+def test_template_lines_inside_marked_articles_go_and_quotations_stay(spark):
+    rows = []
+    for k in range(12):
+        own = "".join(f"<p>own line {k} {j}</p>" for j in range(4))
+        quote = "<p>A passage that two articles quote</p>" if k in (4, 5) else ""
+        rows.append((k, f"http://h/{k:02d}", f"<body><article>{own}{quote}<p>Subscribe to our letter today</p></article></body>"))
+    rows += [(20 + k, f"http://two/{k}", f"<article><p>a {k}</p><p>b {k}</p><p>Subscribe to our letter today</p></article>") for k in range(2)]
+    got = {r["page_id"]: r["text"] for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert not any("Subscribe" in t for t in got.values()) and all("A passage" in got[k] for k in (4, 5)) and got[20] == "a 0 b 0"
+
+
 def test_lcs_of_long_pages_is_bounded():
     rnd = random.Random(2)
     a, b = ([rnd.randrange(5000) for _ in range(20_000)] for _ in range(2))
@@ -128,17 +154,25 @@ def brute(rows):
         parsed[id(page), i, url] = (host, key, lines, marked)
         least = hosts.setdefault(host, {})
         least[key] = min(least.get(key, (path, i)), (path, i))
+    pairs, held = {}, Counter()
+    for host, least in hosts.items():
+        order = sorted(least, key=lambda k: least[k])
+        for at, key in enumerate(order):
+            near = [order[k] for k in (at - 1, at + 1) if 0 <= k < len(order)]
+            like = lambda k: len(os.path.commonprefix([least[key][0], least[k][0]]))  # noqa: B023, E731
+            pair = max(near, key=like) if near else ()  # the first of equals: the one ahead
+            pairs[host, key] = {k for k, s in enumerate(H.shared(list(key), list(pair))) if s}
+            held.update({(host, key[k]) for k in pairs[host, key]})
     for i, url, page in rows:
         host, key, lines, marked = parsed[id(page), i, url]
-        order = sorted(hosts[host], key=lambda k: hosts[host][k])
-        at, mine = order.index(key), hosts[host][key][0]
-        near = [order[k] for k in (at - 1, at + 1) if 0 <= k < len(order)]
-        like = lambda k: len(os.path.commonprefix([mine, hosts[host][k][0]]))
-        pair = max(near, key=like) if near else ()  # the first of equals: the one ahead
-        same = H.shared(list(key), list(pair)) if near else [False] * len(key)
-        w = H.weak(lines, marked)
-        gone = {k for k in w if same[k]}
-        out.append((i, url, H.main_text(lines, marked, set() if not marked and len(gone) == len(w) else gone)))
+        same = pairs[host, key]
+        common = {k for k in same if 2 * held[host, key[k]] > len(hosts[host])}
+        w, p, gone = H.weak(lines, marked), H.prose(lines, marked), set()
+        if marked or not same.issuperset(w):
+            gone |= same & set(w)
+        if 2 * len(common & set(p)) <= len(p):
+            gone |= common & set(p)
+        out.append((i, url, main_text(lines, marked, gone)))
     return Counter(out)
 
 
@@ -161,7 +195,7 @@ def test_extract(spark):
     rows = [(1, "http://h/a", PAGE, "n"), (2, "http://h/b", PAGE, "n"), (2, "http://h/b", PAGE, "n"), (3, None, None, "n"), (4, "not a url", "", "n"), (5, "http://h/c", long, None), (None, "http://x/", "<p>a&nbsp;&amp; b", "n"), (6, "http://h/d", "<nav>only</nav>", "n")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string").repartition(3)
     got = H.extract(df).collect()
-    want = Counter((i, u, text(h or "")) for i, u, h, _ in rows)
-    assert Counter((r["page_id"], r["url"], r["text"]) for r in got) == want
+    want = Counter((i, u, text(h or "", PAGE if h == long else long if h == PAGE else None)) for i, u, h, _ in rows)
+    assert Counter((r["page_id"], r["url"], r["text"]) for r in got) == want == brute([r[:3] for r in rows])
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     assert H.extract(df.limit(0)).count() == 0
