@@ -96,10 +96,22 @@ def candidates(text: str, raw: bytes, taken: list[tuple[int, int, int]]) -> list
             if b > end:
                 outer.append((a, b))
                 end = b
-        return [(a, b) for a, b in outer if not any(s <= a and b <= e for s, e, _ in taken)]
+        return _outside(outer, taken)
     return []
 
 
+def _outside(spans: list[tuple[int, int]], taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The spans, ascending, that none of the taken ones, ascending too, covers whole: one sweep over both."""
+    out, at, end = [], 0, -1
+    for a, b in spans:
+        while at < len(taken) and taken[at][0] <= a:
+            end = max(end, taken[at][1])
+            at += 1
+        if end < b:
+            out.append((a, b))
+    return out
+
+
 def window(text: str, a: int, b: int) -> bytes:
     """The characters that the network reads, one byte each: 0 outside the text, 127 for anything but ASCII."""
     head = text[max(0, a - BEFORE) : a].rjust(BEFORE, "\0")
