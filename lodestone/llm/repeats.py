@@ -31,10 +31,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded, broadcast_if, byte_texts, in_arrow, map_arrow, sliced, stored
+from .common import bounded, broadcast_if, byte_texts, in_arrow, join_hot, map_arrow, sliced, stored
 from .suffixes import permuted_lcp, suffix_array
 
 SPAN, GRAM = 200, 32
@@ -319,7 +319,10 @@ def _dealt_out(segments: DataFrame, hot: int, parts: int) -> DataFrame:
     cold = left.where("not hot").select("key", "rid", "first", "segment").repartition(parts, "key").sortWithinPartitions("key")
     windows = _window_rows(left.where("hot").select("rid", "first", "segment"))
     twice = windows.groupBy("digest").agg(F.count("*").alias("_n")).where("_n > 1").select("digest")
-    same = windows.join(twice, "digest", "left_semi").select("rid", "first", F.col("first").alias("last"))
+    same = windows.join(twice, "digest", "left_semi").select("rid", "first")
+    # Windows in a row become one range: the place less the rank is the same along them.
+    along = F.col("first") - F.row_number().over(Window.partitionBy("rid").orderBy("first"))
+    same = same.select("rid", "first", along.alias("_run")).groupBy("rid", "_run").agg(F.min("first").alias("first"), F.max("first").alias("last")).drop("_run")
     return whole.unionByName(_sharded(cold)).unionByName(same)
 
 
@@ -337,7 +340,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ho
     rows = _identified(docs, id_col, text_col)
     digests = stored(rows.select("rid", F.unhex(F.md5("_text")).alias("_md5")), "digests")
     copied = digests.groupBy("_md5").agg(F.min("rid").alias("_rep"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    copies = stored(digests.join(copied, "_md5").select("rid", (F.col("rid") == F.col("_rep")).alias("_first")).distinct(), "copies")
+    copies = stored(join_hot(digests, copied, "_md5", F.col("rid"), parts=DEALT).select("rid", (F.col("rid") == F.col("_rep")).alias("_first")).distinct(), "copies")
     copies = broadcast_if(copies, 1_000_000)
     texts = rows.join(copies.where("not _first").select("rid"), "rid", "left_anti")
     ranges = repeated_ranges(texts, hot).groupBy("rid").agg(F.collect_list(F.struct("first", "last")).alias("_ranges"))

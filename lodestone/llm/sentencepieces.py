@@ -124,11 +124,14 @@ def model_of(spec: Spec):
     raise ValueError("only unigram and BPE models are supported")
 
 
+REMEMBER_CHARS = 16 << 20
+
+
 class Backend:
     """Encodes and decodes as the SentencePiece model does, on the tokenizers library.
 
     Texts are normalised, cut at the markers, and the cuts not met before are encoded in one multithreaded batch; their
-    ids are remembered: the last ``remember`` cuts at most, and at least half as many. With ``verify``, every cut is also encoded by SentencePiece when first met.
+    ids are remembered: of the last ``remember`` cuts and REMEMBER_CHARS characters at most. With ``verify``, every cut is also encoded by SentencePiece when first met.
     """
 
     def __init__(self, model: bytes, verify: bool = True, remember: int = 200_000) -> None:
@@ -149,7 +152,7 @@ class Backend:
         self.ids_of: dict[str, bytes] = {}  # little-endian 32-bit numbers
         self.older: dict[str, bytes] = {}
         self.wrong: set[str] = set()
-        self.verify, self.remember, self.original = verify, remember, None
+        self.verify, self.remember, self.original, self.held = verify, remember, None, 0
         if verify:
             import sentencepiece
 
@@ -207,10 +210,11 @@ class Backend:
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
         """The ids of each text (as packed 32-bit numbers), and whether all its cuts agree with SentencePiece."""
         cuts = [self.cut(t) if self.cut else [t] for t in map(self.normalised, texts)]
-        if len(self.ids_of) > self.remember // 2:  # what wasn't met since the last time is forgotten
-            self.older, self.ids_of = self.ids_of, {}
+        if len(self.ids_of) > self.remember // 2 or self.held > REMEMBER_CHARS // 2:  # what wasn't met since the last time is forgotten
+            self.older, self.ids_of, self.held = self.ids_of, {}, 0
             self.wrong &= self.older.keys()
         need = set(chain.from_iterable(cuts)) - self.ids_of.keys()
+        self.held += sum(map(len, need))
         again = need & self.older.keys()
         self.ids_of.update(zip(again, map(self.older.__getitem__, again), strict=True))
         if unseen := need - again:
