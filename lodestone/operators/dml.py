@@ -118,15 +118,19 @@ class Table:
         folders, schema = self._contents(before)
         now, stay = self._rows(folders, schema), []
         if self.partition_by:
-            names = touched.select(*(F.col(c).cast("string") for c in self.partition_by)).distinct().collect()  # as many as there are datasets
-            hit = reduce(Column.__or__, [reduce(Column.__and__, [F.col(c).cast("string").eqNullSafe(F.lit(r[c])) for c in self.partition_by]) for r in names], F.lit(False))
-            files = now.where(~hit).select(F.input_file_name().alias("f")).distinct().collect()
-            held = {unquote("/".join(r["f"].split("/")[-2 - len(self.partition_by) : -1])) for r in files}
-            now, stay = now.where(hit), [f for f in folders if unquote(f) in held]
+            # As many as there are datasets. A folder's name has its values, so that no other partition is looked at.
+            names = {tuple(v or None for v in r) for r in touched.select(*(F.col(c).cast("string") for c in self.partition_by)).distinct().collect()}
+            hit = [f for f in folders if self._values(f) in names]
+            now, stay = self._rows(hit, schema), [f for f in folders if f not in set(hit)]
         rows = change(now)
         added = StructType([*schema.fields, *(f for f in rows.schema.fields if f.name not in schema.names)])
         self._commit(before, stay + self._add(rows), added)
 
+    def _values(self, folder: str) -> tuple[str | None, ...]:
+        """The partition values in a row folder's name; an empty string is stored as null."""
+        found = [unquote(part.split("=", 1)[1]) for part in folder.split("/")[: len(self.partition_by)]]
+        return tuple(None if v in ("", "__HIVE_DEFAULT_PARTITION__") else v for v in found)
+
     def upsert(self, rows: DataFrame, key: str = "id") -> None:
         if not self.exists():
             return self.write(rows)

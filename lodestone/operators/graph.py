@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -11,22 +9,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import token_count
+from .scratch import stored
 
 DAMPING, ITERATIONS = 0.85, 100
 
 
 def cut(df: DataFrame, name: str = "step") -> DataFrame:
     """Write an iteration's table to the folder that executors share, and go on from there."""
-    spark = df.sparkSession
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not where:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        where = f"file://{tempfile.mkdtemp(prefix='lodestone-')}"
-        spark.sparkContext.setCheckpointDir(where)
-    path = f"{where.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return stored(df, name)
 
 
 def undirected(edges: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from .functions import terms as T
 from .functions import text as X
 from .functions import values as V
 from .functions.registry import embed
-from .operators import chunkers, dml, evals, filters, graph, memory, records, relational, search, templates, tree
+from .operators import chunkers, dml, evals, filters, graph, index, memory, records, relational, search, templates, tree
+from .operators.scratch import place
 from .plans import chunking, sql
 from .plans.canvas import Canvas
 from .plans.expressions import compile_expression
@@ -523,6 +524,26 @@ def fulltext_topk(spark, d):
     return out.orderBy(F.desc("score"), "id").limit(10).withColumn("score", F.round("score", 6))
 
 
+@query(_BM + " SELECT doc_id AS id, round(score, 6) AS score, matched FROM b WHERE matched >= 1 ORDER BY score DESC, doc_id LIMIT 10")
+def indexed_topk(spark, d):
+    """fulltext_topk from a stored index: the terms' folders and the ranges that can reach the ten best."""
+    at = index.TextIndex(spark, place(spark, "text-index")).build(t(spark, d, "documents"), "doc_id", {"text": F.col("text")}, per_range=256)
+    return at.search({"the": 1.0, "that": 1.0, "license": 1.0}, 10).withColumn("score", F.round("score", 6))
+
+
+@query(
+    f"""WITH x AS (SELECT doc_id, {tok('text')} AS w FROM documents), n AS (SELECT doc_id, len(w) AS n FROM x), s AS (SELECT count(*) AS nd, avg(n) AS av FROM n),
+    p AS (SELECT doc_id, token, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS token FROM x) GROUP BY 1, 2), df AS (SELECT token, count(*) AS df FROM p GROUP BY 1), q AS (SELECT DISTINCT item_id, unnest({tok('text')}) AS token FROM benchmark),
+    sc AS (SELECT item_id, doc_id, sum(ln(1 + (nd - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n / av))) AS score, count(*)::INT AS matched FROM q JOIN p USING (token) JOIN df USING (token) JOIN n USING (doc_id), s GROUP BY 1, 2)
+    SELECT item_id AS question, doc_id AS id, round(score, 6) AS score, matched, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 9) DESC, doc_id)::INT AS rank FROM sc) WHERE rank <= 5"""
+)
+def indexed_topk_many(spark, d):
+    """Every benchmark passage as a question of its tokens, five documents each."""
+    at = index.TextIndex(spark, place(spark, "text-index")).build(t(spark, d, "documents"), "doc_id", {"text": F.col("text")}, per_range=1024)
+    asked = t(spark, d, "benchmark").select(F.col("item_id").alias("question"), F.explode(F.array_distinct(X.tokens(F.col("text")))).alias("token"), F.lit(1.0).alias("weight"))
+    return at.search_many(asked, 5).withColumn("score", F.round("score", 6))
+
+
 @query(_BM + " SELECT doc_id AS id, matched FROM b WHERE matched >= 2")
 def minimum_should_match(spark, d):
     return search.bm25(t(spark, d, "documents"), "doc_id", F.col("text"), ["the that license"], min_match=0.67).select("id", "matched")
@@ -616,6 +637,26 @@ def knn_threshold(spark, d):
     return search.knn(t(spark, d, "embeddings"), "embedding", _q(spark, d), 50, 0.3, "vec_id").select("vec_id")
 
 
+_NEIGHBOURS = "SELECT query, id FROM (SELECT a.vec_id AS query, b.vec_id AS id, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) DESC, b.vec_id) AS r FROM embeddings a JOIN embeddings b ON a.vec_id % 100 = 0) WHERE r <= 10"
+
+
+def _vector_index(spark, d) -> index.VectorIndex:
+    return index.VectorIndex(spark, place(spark, "vector-index")).build(t(spark, d, "embeddings"), "vec_id", "embedding")
+
+
+@query(_NEIGHBOURS)
+def exact_neighbours(spark, d):
+    """The ten nearest of every hundredth vector, by all lists of the index."""
+    at = _vector_index(spark, d)
+    return at.search_many(t(spark, d, "embeddings").where("vec_id % 100 = 0"), "vec_id", "embedding", 10, probes=len(at.centroids())).select("query", "id")
+
+
+@query()
+def near_neighbours(spark, d):
+    """The same by the nearest sixteen lists: over nine of ten are right (tests measure it)."""
+    return _vector_index(spark, d).search_many(t(spark, d, "embeddings").where("vec_id % 100 = 0"), "vec_id", "embedding", 10, probes=16)
+
+
 @query("SELECT vec_id, round(list_sum(list_transform([1, 5, 9], lambda i: embedding[i + 1]::DOUBLE * (i + 1))), 5) AS score FROM embeddings")
 def sparse_match(spark, d):
     df = t(spark, d, "embeddings")
