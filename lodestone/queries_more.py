@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .functions import dictionary, wordnet
 from .functions import terms as T
 from .functions import text as X
 from .functions import values as V
@@ -806,3 +807,79 @@ def decomposed_question(spark, d):
     tree = {"license": ["that"], "that": ["version", "license"], "version": ["of"]}
     found = lambda q: docs.where(search.phrase(F.col("text"), [q])).select(F.col("doc_id").alias("chunk_id"))
     return enrich.decomposed("license", found, lambda q, _: tree.get(q, []), 3)
+
+
+# --- dictionaries ----------------------------------------------------------------------------------------------------------
+
+
+@query(
+    f"""WITH k AS (SELECT DISTINCT term FROM (SELECT unnest({tok('text')}) AS term FROM benchmark) WHERE length(term) >= 7) SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest({tok('text')}) AS term FROM documents) JOIN k USING (term) GROUP BY 1, 2"""
+)
+def dictionary_terms(spark, d):
+    """The longer words of the benchmark, found in the documents by an automaton."""
+    words = t(spark, d, "benchmark").select(F.explode(X.tokens(F.col("text"))).alias("term")).where("length(term) >= 7").distinct()
+    return dictionary.find_terms(t(spark, d, "documents"), "doc_id", "text", words).groupBy("doc_id", "term").agg(F.count("*").alias("n"))
+
+
+@query(
+    f"""WITH k AS (SELECT DISTINCT term FROM (SELECT unnest({tok('text')}) AS term FROM benchmark) WHERE length(term) >= 7) SELECT term, count(*) AS n FROM (SELECT unnest({tok('text')}) AS term FROM documents) JOIN k USING (term) GROUP BY 1"""
+)
+def dictionary_terms_joined(spark, d):
+    """The same by n-grams, as for a dictionary too large for an automaton."""
+    words = t(spark, d, "benchmark").select(F.explode(X.tokens(F.col("text"))).alias("term")).where("length(term) >= 7").distinct()
+    return dictionary.find_terms_joined(t(spark, d, "documents"), "doc_id", "text", words).groupBy("term").agg(F.count("*").alias("n"))
+
+
+_LATIN, _SIGNS = "abcdefghijklmnopqrstuvwxyz", "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余"
+
+
+@query()
+def dictionary_segments(spark, d):
+    """Texts without blanks, of one Han character a letter, cut by a dictionary of the benchmark's words and their counts."""
+    signs = lambda c: F.translate(F.lower(c), _LATIN, _SIGNS)
+    words = t(spark, d, "benchmark").select(F.explode(X.tokens(signs(F.col("text")))).alias("w")).groupBy("w").count().where("length(w) between 2 and 8")
+    known = {r["w"]: 1000.0 * r["count"] for r in words.collect()}
+    text = F.regexp_replace(signs(F.col("text")), " ", "")
+    return t(spark, d, "conversations").select("conv_id", "turn", dictionary.segmented(text, known, spark).alias("tokens"))
+
+
+def _rules_sql() -> str:
+    one = lambda p, k, old, new: f"SELECT word, '{p}' AS pos, left(word, length(word) - {len(old)}) || '{new}' AS form, {k} AS place FROM w WHERE suffix(word, '{old}')"
+    own = [f"SELECT word, '{p}' AS pos, word AS form, 0 AS place FROM w" for p in wordnet.POS]
+    return " UNION ALL ".join(own + [one(p, k + 1, old, new) for p in wordnet.POS for k, (old, new) in enumerate(wordnet.DETACHED[p])])
+
+
+_NET = f"""w AS (SELECT DISTINCT unnest({tok('text')}) AS word FROM benchmark), dt AS (SELECT unnest({tok('text')}) AS lemma, source FROM documents),
+    lemmas AS (SELECT lemma, CASE WHEN source IN ('src1', 'src2') THEN 'n' ELSE 'v' END AS pos, count(*) AS n FROM dt GROUP BY 1, 2 HAVING count(*) >= 5),
+    f AS (SELECT word, pos, form, min(place)::INT AS place FROM ({_rules_sql()}) GROUP BY 1, 2, 3)"""
+
+
+def _net(spark, d) -> wordnet.WordNet:
+    """The documents' words as a dictionary: a word is a noun by two sources and a verb by the others, and its synset is the
+    words of its first four letters."""
+    tokens = t(spark, d, "documents").select(F.explode(X.tokens(F.col("text"))).alias("lemma"), F.when(F.col("source").isin("src1", "src2"), "n").otherwise("v").alias("pos"))
+    lemmas = tokens.groupBy("lemma", "pos").count().where("count >= 5").select("lemma", "pos", F.concat("pos", F.left("lemma", F.lit(4))).alias("synset"), F.lit(1).alias("sense"))
+    synsets = lemmas.groupBy("synset", "pos").agg(F.sort_array(F.collect_set("lemma")).alias("words"), F.lit("").alias("gloss"))
+    none = spark.createDataFrame([], "form string, pos string, lemma string")
+    up = lemmas.select("synset", F.lit("@").alias("kind"), F.left("synset", F.length("synset") - 1).alias("target")).unionByName(lemmas.select(F.left("synset", F.lit(4)).alias("synset"), F.lit("@").alias("kind"), F.left("synset", F.lit(2)).alias("target")))
+    return wordnet.WordNet(lemmas, none, synsets, up.where("synset <> target").distinct())
+
+
+@query(f"WITH {_NET} SELECT word, pos, form, place FROM f SEMI JOIN lemmas l ON f.form = l.lemma AND f.pos = l.pos")
+def base_forms(spark, d):
+    """The benchmark's words and their base forms among the documents' words."""
+    return wordnet.morphy(t(spark, d, "benchmark").select(F.explode(X.tokens(F.col("text"))).alias("w")), "w", _net(spark, d))
+
+
+@query(
+    f"""WITH {_NET}, s AS (SELECT DISTINCT pos || left(lemma, 4) AS synset FROM lemmas), asked AS (SELECT DISTINCT f.pos || left(f.form, 4) AS synset FROM f SEMI JOIN lemmas l ON f.form = l.lemma AND f.pos = l.pos),
+    up AS (SELECT synset, left(synset, length(synset) - 1) AS target FROM s UNION SELECT left(synset, 4), left(synset, 2) FROM s), p AS (SELECT DISTINCT * FROM up WHERE synset <> target),
+    walk AS (SELECT synset, synset AS ancestor, 0 AS depth FROM asked UNION ALL SELECT a.synset, p.target, 1 FROM asked a JOIN p USING (synset) UNION ALL SELECT a.synset, q.target, 2 FROM asked a JOIN p USING (synset) JOIN p q ON p.target = q.synset
+    UNION ALL SELECT a.synset, r.target, 3 FROM asked a JOIN p USING (synset) JOIN p q ON p.target = q.synset JOIN p r ON q.target = r.synset UNION ALL SELECT a.synset, z.target, 4 FROM asked a JOIN p USING (synset) JOIN p q ON p.target = q.synset JOIN p r ON q.target = r.synset JOIN p z ON r.target = z.synset)
+    SELECT synset, ancestor, min(depth)::INT AS depth FROM walk GROUP BY 1, 2"""
+)
+def synset_walk(spark, d):
+    """What the synsets of the benchmark's words have above them."""
+    net = _net(spark, d)
+    found = wordnet.synsets(t(spark, d, "benchmark").select(F.explode(X.tokens(F.col("text"))).alias("w")), "w", net)
+    return wordnet.closure(found, net)

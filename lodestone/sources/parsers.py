@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import dictionary
 from ..functions.text import token_count
 from ..operators.chunkers import delimiter_split, token_merge
 
@@ -427,13 +428,16 @@ def parse_files(files: DataFrame, id_col: str = "path", content: str = "content"
 
 
 def resume_fields(docs: DataFrame, id_col: str, text_col: str, dictionaries: dict[str, list[str]]) -> DataFrame:
-    """E-mail, phone and years by pattern; degree, school, region and industry as the dictionary words that occur."""
+    """E-mail, phone and years by pattern; degree, school, region and industry as the dictionary words that occur, found by one
+    automaton of each dictionary: words of their own, the longest where they overlap, each once and in lower case."""
     c = F.coalesce(F.col(text_col), F.lit(""))
-    found = [F.filter(F.array(*map(F.lit, words)), lambda w: F.contains(F.lower(c), F.lower(w))).alias(name) for name, words in sorted(dictionaries.items())]
-    return docs.select(
+    out = docs.select(
         F.col(id_col).alias("doc_id"),
         F.regexp_extract(c, "[\\w.+-]+@[\\w-]+\\.[\\w.]+", 0).alias("email"),
         F.regexp_extract(c, "\\+?\\d[\\d ()-]{7,}\\d", 0).alias("phone"),
         F.regexp_extract(c, "(\\d{1,2})\\+? years", 1).try_cast("int").alias("years"),
-        *found,
+        c.alias("_text"),
     )
+    for name, words in sorted(dictionaries.items()):
+        out = out.withColumn(name, dictionary.terms_in(F.col("_text"), words, docs.sparkSession))
+    return out.drop("_text")
