@@ -51,17 +51,19 @@ def bag(terms: Column) -> Column:
 def bag_terms(terms: Column) -> Column:
     """The terms of a bag: single ones, and neighbours glued together."""
     pairs = lambda t: F.zip_with(F.slice(t, F.lit(1), F.size(t) - 1), F.slice(t, F.lit(2), F.size(t) - 1), lambda x, y: F.concat(x, y))
-    return let(terms, lambda t: F.when(F.size(t) > 1, F.array_distinct(F.concat(t, pairs(t)))).otherwise(t))
+    return let(terms, lambda t: F.when(F.size(t) > 1, F.concat(t, pairs(t))).otherwise(t))
 
 
 def similarity(query: Column, doc_terms: Column) -> Column:
-    """Share of the query bag's weight whose terms are among the document's; asymmetric."""
+    """Share of the query bag's weight whose terms are among the document's; asymmetric. One pass over the document's terms
+    leaves those of the query, and weights are summed over these few."""
 
-    def share(q: Column, known: Column) -> Column:
-        hit = F.aggregate(F.filter(q, lambda x: F.array_contains(known, x["term"])), F.lit(1e-9), lambda a, x: a + x["w"])
+    def share(q: Column) -> Column:
+        met = F.array_intersect(F.transform(q, lambda x: x["term"]), doc_terms)
+        hit = let(met, lambda known: F.aggregate(F.filter(q, lambda x: F.array_contains(known, x["term"])), F.lit(1e-9), lambda a, x: a + x["w"]))
         return hit / F.aggregate(q, F.lit(1e-9), lambda a, x: a + x["w"])
 
-    return let(query, lambda q: let(doc_terms, lambda known: share(q, known)))
+    return let(query, share)
 
 
 def token_similarity(query_text: Column, doc_text: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,25 +94,27 @@ def degrees(edges: DataFrame) -> DataFrame:
 def pagerank(edges: DataFrame, *, iterations: int = 20, damping: float = DAMPING, tolerance: float | None = None, cut_every: int = 5) -> DataFrame:
     """(id, pagerank) by power iteration on an undirected weighted graph; the rank of nodes without edges is spread.
 
-    Each round joins the ranks to the transitions and sums by target, before the sums are shuffled. With ``tolerance`` the
-    rounds end when the summed change is below tolerance x nodes.
+    The transitions, with one of weight 0 from each node to itself so that every node is summed, are dealt by source once and
+    kept; a round meets them with the ranks, which lie as the round before has summed them, and shuffles sums by target. With
+    ``tolerance`` the rounds end when the summed change is below tolerance x nodes.
     """
     w = both_ways(edges)
     out = w.groupBy("src").agg(F.sum("weight").alias("_out"))
     share = cut(w.join(out, "src").select("src", "dst", (F.col("weight") / F.col("_out")).alias("p")), "transitions")
-    nodes = cut(share.select(F.col("src").alias("id")).distinct(), "nodes")
-    n = nodes.count()
-    ranks = nodes.withColumn("pagerank", F.lit(1.0 / n if n else 0.0))
+    nodes = share.select(F.col("src").alias("id")).distinct()
+    held = share.unionByName(nodes.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("p"))).repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
+    n = held.select("src").distinct().count()
+    ranks = held.select(F.col("src").alias("id")).distinct().withColumn("pagerank", F.lit(1.0 / n if n else 0.0))
     for k in range(iterations):
-        got = share.join(ranks, share["src"] == ranks["id"]).groupBy("dst").agg(F.sum(F.col("pagerank") * F.col("p")).alias("_in"))
-        fresh = nodes.join(got, nodes["id"] == got["dst"], "left").select("id", (F.lit((1 - damping) / n) + damping * F.coalesce("_in", F.lit(0.0))).alias("pagerank"))
-        if tolerance is not None or (k + 1) % cut_every == 0:
+        got = held.join(ranks, held["src"] == ranks["id"]).groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("pagerank") * F.col("p")).alias("_in"))
+        fresh = got.select("id", (F.lit((1 - damping) / n if n else 0.0) + damping * F.col("_in")).alias("pagerank"))
+        if tolerance is not None or (k + 1) % cut_every == 0 or k + 1 == iterations:
             fresh = cut(fresh, "ranks")
-        if tolerance is not None:
-            change = fresh.join(ranks.withColumnRenamed("pagerank", "_before"), "id").agg(F.sum(F.abs(F.col("pagerank") - F.col("_before")))).first()[0]
-            if change is not None and change < n * tolerance:
-                return fresh
+        change = fresh.join(ranks.withColumnRenamed("pagerank", "_before"), "id").agg(F.sum(F.abs(F.col("pagerank") - F.col("_before")))).first()[0] if tolerance is not None else None
         ranks = fresh
+        if change is not None and change < n * tolerance:
+            break
+    held.unpersist()
     return ranks
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import terms as T
 from ..functions import text as X
 from ..functions import values as V
+from .scratch import stored
 
 BOOSTS = {"title_tks": 10.0, "title_sm_tks": 5.0, "important_kwd": 30.0, "important_tks": 20.0, "question_tks": 20.0, "content_ltks": 2.0, "content_sm_ltks": 1.0}
 K1, B = 1.2, 0.75
@@ -218,16 +219,22 @@ def hybrid(token: Column, cosine: Column, vector_weight: float = VECTOR_WEIGHT)
     return token * (1 - vector_weight) + cosine * vector_weight
 
 
+def token_similarities(df: DataFrame, question: str, text: Column) -> DataFrame:
+    """``df`` with ``tsim``; the question's bag is made once, as a row that every row meets."""
+    bag = df.sparkSession.range(1).select(T.bag(X.tokens(F.lit(question))).alias("_bag"))
+    return df.crossJoin(F.broadcast(bag)).withColumn("tsim", T.similarity(F.col("_bag"), T.bag_terms(X.tokens(text)))).drop("_bag")
+
+
 def rerank(df: DataFrame, question: str, text: Column, cosine: str, vector_weight: float = VECTOR_WEIGHT) -> DataFrame:
     """Adds tsim, vsim, sim. If no candidate has a cosine, the token similarity stands alone: a window over the candidates,
     which a limit has bounded, so that they are made once."""
-    out = df.withColumn("tsim", T.token_similarity(F.lit(question), text)).withColumn("vsim", F.col(cosine))
+    out = token_similarities(df, question, text).withColumn("vsim", F.col(cosine))
     return out.withColumn("_some", F.coalesce(F.sum(F.abs("vsim")).over(_everything()), F.lit(0.0))).withColumn("sim", F.when(F.col("_some") == 0, F.col("tsim")).otherwise(hybrid(F.col("tsim"), F.col("vsim"), vector_weight))).drop("_some")
 
 
 def model_rerank(df: DataFrame, question: str, text: Column, model_score: str, vector_weight: float = VECTOR_WEIGHT) -> DataFrame:
     """An external model's score, normalised, blended with the token similarity."""
-    out = normalised_scores(df, model_score, "vsim").withColumn("tsim", T.token_similarity(F.lit(question), text))
+    out = token_similarities(normalised_scores(df, model_score, "vsim"), question, text)
     return out.withColumn("sim", hybrid(F.col("tsim"), F.col("vsim"), vector_weight))
 
 
@@ -305,7 +312,7 @@ def retrieve(
 
 def retrieve_relaxed(chunks: DataFrame, question: str, query_vector: list[float], **options) -> DataFrame:
     """retrieve, and where nothing is found once more with a looser text match and a cosine that stands for it."""
-    out = retrieve(chunks, question, query_vector, **options)
+    out = stored(retrieve(chunks, question, query_vector, **options), "retrieved")  # a page of rows at most
     if out.isEmpty():
         return retrieve(chunks, question, query_vector, **(options | {"min_match": RETRY_MATCH, "knn_threshold": RETRY_THRESHOLD}))
     return out

@@ -575,9 +575,8 @@ def term_weights(spark, d):
     SELECT doc_id, round((1e-9 + coalesce((SELECT sum(w) FROM q WHERE list_contains(s, q.term)), 0)) / (1e-9 + (SELECT sum(w) FROM q)), 6) AS sim FROM db"""
 )
 def token_similarity(spark, d):
-    first = t(spark, d, "benchmark").agg(F.min_by("text", "item_id").alias("q"))
-    both = t(spark, d, "documents").select("doc_id", "text").crossJoin(F.broadcast(first))
-    return both.select("doc_id", F.round(T.token_similarity(F.col("q"), F.col("text")), 6).alias("sim"))
+    question = t(spark, d, "benchmark").agg(F.min_by("text", "item_id")).first()[0]
+    return search.token_similarities(t(spark, d, "documents").select("doc_id", "text"), question, F.col("text")).select("doc_id", F.round("tsim", 6).alias("sim"))
 
 
 @query("SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(lower(text), '[ :|\\r\\n\\t,，。？?/`!！&^%()\\[\\]{}<>*~''\"\\\\]+', ' ', 'g'), '(^| )(what|who|how|which|where|why)(''re|''s)? ', ' ', 'gi'), 'zzzz', '', 'g')) AS q FROM documents")
