@@ -211,3 +211,33 @@ def distinct_counts(df: DataFrame, keys: list[str], column: str, error: float |
     values."""
     count = F.count_distinct(column) if error is None else F.approx_count_distinct(column, error)
     return df.groupBy(*keys).agg(count.alias("distinct"))
+
+
+def sketches(df: DataFrame, keys: list[str], column: str, value: str | None = None, lg_nominal: int = 12, k: int = 200) -> DataFrame:
+    """Mergeable summaries by key (a day, say), to be stored: the number of rows, ``distinct`` (HyperLogLog) and ``members``
+    (theta, which also intersects) of a column, and ``quantiles`` (KLL) of the numbers in ``value``."""
+    parts = [F.count("*").alias("rows"), F.hll_sketch_agg(column, F.lit(lg_nominal)).alias("distinct"), F.theta_sketch_agg(column, F.lit(lg_nominal)).alias("members")]
+    if value is not None:
+        parts.append(F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(k)).alias("quantiles"))
+    return df.groupBy(*keys).agg(*parts)
+
+
+def merged_sketches(stored: DataFrame, keys: list[str]) -> DataFrame:
+    """The summaries of coarser keys, from the stored ones alone."""
+    parts = [F.sum("rows").alias("rows"), F.hll_union_agg("distinct").alias("distinct"), F.theta_union_agg("members").alias("members")]
+    if "quantiles" in stored.columns:
+        parts.append(F.kll_merge_agg_double("quantiles").alias("quantiles"))
+    return stored.groupBy(*keys).agg(*parts)
+
+
+def sketch_estimates(stored: DataFrame, quantiles: tuple[float, ...] = (0.5, 0.9)) -> DataFrame:
+    """``distinct`` and ``members`` as numbers, and the quantiles asked for as q50, q90, ..."""
+    out = stored.withColumn("distinct", F.hll_sketch_estimate("distinct")).withColumn("members", F.theta_sketch_estimate("members"))
+    if "quantiles" in stored.columns:
+        out = out.withColumns({f"q{round(100 * q)}": F.kll_sketch_get_quantile_double("quantiles", F.lit(q)) for q in quantiles}).drop("quantiles")
+    return out
+
+
+def sketch_overlap(a: Column, b: Column) -> Column:
+    """About how many values two groups share, by their ``members``."""
+    return F.theta_sketch_estimate(F.theta_intersection(a, b))

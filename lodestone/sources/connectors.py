@@ -12,8 +12,9 @@ import json
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, replace
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from email.utils import parsedate_to_datetime
+from math import ceil
 from typing import Any
 from urllib.parse import urlencode
 from urllib.request import Request, urlopen
@@ -21,7 +22,7 @@ from xml.etree import ElementTree
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual, SimpleDataSourceStreamReader
 
 ITEM_SCHEMA = "id string, title string, content string, link string, updated_at timestamp, fingerprint string, metadata map<string,string>"
 
@@ -50,6 +51,9 @@ class Endpoint:
     body: tuple[tuple[str, str], ...] | None = None  # fields of a JSON body: the request is then a POST, and paging goes there
     next_url: str = ""  # path of the next page's address in the response, which is then called as it is
     next_call: str = ""  # where the pages after the first are asked for, if elsewhere; only the cursor is sent there
+    since: str = ""  # parameters of the listing that bound the update time, where it has them
+    until: str = ""
+    epoch: bool = False  # whether these are seconds since 1970 rather than ISO text
     splits: tuple[str, ...] = ("",)  # one partition each: spaces, repositories, channels; fills {split} in the url
 
 
@@ -128,7 +132,14 @@ def _typed(v: str) -> Any:
     return {"true": True, "false": False}.get(v, v)
 
 
-def pages_of(e: Endpoint, split: str, client: Callable[..., str]) -> Iterator[Any]:
+def _bounds(e: Endpoint, start: datetime | None, end: datetime | None) -> dict[str, str]:
+    """The parameters that ask the service for a window; what it sends beside it is left out afterwards."""
+    shown = lambda t: str(int(t.timestamp())) if e.epoch else t.astimezone(timezone.utc).isoformat().replace("+00:00", "Z")
+    up = lambda t: t + timedelta(seconds=1) if e.epoch and t.microsecond else t
+    return {n: v for n, v in ((e.since, start and shown(start)), (e.until, end and shown(up(end)))) if n and v}
+
+
+def pages_of(e: Endpoint, split: str, client: Callable[..., str], start: datetime | None = None, end: datetime | None = None) -> Iterator[Any]:
     """The items of a listing, page after page until one is empty or names no next. Pages go by number, offset, cursor, the
     last item's id, or an address in the response; of a POST, size and cursor are in the body."""
     number, cursor, following, seen = (0 if e.paging == "offset" else e.first_page), None, "", set()
@@ -136,7 +147,7 @@ def pages_of(e: Endpoint, split: str, client: Callable[..., str]) -> Iterator[An
     fill = lambda v: v.replace("{split}", split).replace("{token}", token)
     while True:
         paged = e.paging != "none" or bool(e.next_url)
-        params = {k: fill(v) for k, v in e.params}
+        params = {k: fill(v) for k, v in e.params} | _bounds(e, start, end)
         fields = params if e.body is None else {k: _typed(fill(v)) for k, v in e.body}
         if paged and e.size_param:
             fields[e.size_param] = str(e.size) if e.body is None else e.size
@@ -196,26 +207,74 @@ def in_window(t: datetime | None, start: datetime | None, end: datetime | None)
 
 
 class _Split(InputPartition):
-    def __init__(self, value: str) -> None:
-        self.value = value
+    def __init__(self, value: str, start: datetime | None = None, end: datetime | None = None) -> None:
+        self.value, self.start, self.end = value, start, end
 
 
 def rows_of(e: Endpoint, split: str, client: Callable[..., str], start: datetime | None, end: datetime | None) -> Iterator[tuple]:
-    found = feed_rows(client(e.url.format(split=split), dict(e.headers))) if e.format == "rss" else (item_row(e, x) for x in pages_of(e, split, client))
+    found = feed_rows(client(e.url.format(split=split), dict(e.headers))) if e.format == "rss" else (item_row(e, x) for x in pages_of(e, split, client, start, end))
     return (r for r in found if in_window(r[4], start, end))
 
 
-class _Reader(DataSourceReader):
-    """One task a split, so that repositories, channels or feeds load side by side."""
+_TICK = timedelta(microseconds=1)
 
-    def __init__(self, e: Endpoint, client: Callable, start: datetime | None, end: datetime | None) -> None:
-        self.e, self.client, self.start, self.end = e, client, start, end
+
+class _Reader(DataSourceReader):
+    """One task a split and window, so that repositories, channels or feeds, and long spans of time, load side by side.
+
+    Filters on ``updated_at`` become the window that the service is asked for, filters on ``id`` leave rows out before they
+    reach Spark; the others stay with Spark. Which filters are taken shows in EXPLAIN."""
+
+    def __init__(self, e: Endpoint, client: Callable, start: datetime | None, end: datetime | None, days: float | None = None) -> None:
+        self.e, self.client, self.start, self.end, self.days = e, client, start, end, days
+        self.timed, self.ids = False, None
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
+        for f in filters:
+            if not self._take(f):
+                yield f
+
+    def _take(self, f: Filter) -> bool:
+        if getattr(f, "attribute", None) == ("id",):
+            if isinstance(f, (EqualTo, In)):
+                values = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.ids = values if self.ids is None else self.ids & values
+                return True
+            return isinstance(f, IsNotNull)  # every item has one
+        if getattr(f, "attribute", None) != ("updated_at",):
+            return False
+        if isinstance(f, IsNotNull):
+            self.timed = True
+            return True
+        value = getattr(f, "value", None)
+        if not isinstance(value, datetime):
+            return False
+        value = value if value.tzinfo else value.replace(tzinfo=timezone.utc)
+        later = lambda t: max(t, self.start) if self.start else t
+        sooner = lambda t: min(t, self.end) if self.end else t
+        if isinstance(f, (GreaterThan, GreaterThanOrEqual, EqualTo)):
+            self.start = later(value if isinstance(f, GreaterThan) else value - _TICK)
+        if isinstance(f, (LessThan, LessThanOrEqual, EqualTo)):
+            self.end = sooner(value - _TICK if isinstance(f, LessThan) else value)
+        self.timed = self.timed or isinstance(f, (GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual, EqualTo))
+        return isinstance(f, (GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual, EqualTo))
 
     def partitions(self) -> list[InputPartition]:
-        return [_Split(s) for s in self.e.splits]
+        if self.ids is not None and not self.ids or (self.start and self.end and self.start >= self.end):
+            return []
+        windows = [(self.start, self.end)]
+        if self.days and self.start and self.end:
+            step = timedelta(days=self.days)
+            n = max(1, ceil((self.end - self.start) / step))
+            edges = [self.start + k * step for k in range(n)] + [self.end]
+            windows = list(zip(edges, edges[1:], strict=False))
+        return [_Split(s, a, b) for s in self.e.splits for a, b in windows]
 
     def read(self, partition: _Split) -> Iterator[tuple]:
-        return rows_of(self.e, partition.value, self.client, self.start, self.end)
+        first = partition.start == self.start  # items without a time are in every window: the first one has them
+        for row in rows_of(self.e, partition.value, self.client, partition.start, partition.end):
+            if (row[4] is not None or (first and not self.timed)) and (self.ids is None or row[0] in self.ids):
+                yield row
 
 
 class _Stream(SimpleDataSourceStreamReader):
@@ -239,8 +298,9 @@ class _Stream(SimpleDataSourceStreamReader):
 
 
 def data_source(name: str, endpoint: Endpoint, client: Callable[..., str] = http_client) -> type[DataSource]:
-    """A Data Source class to register: ``spark.dataSource.register(data_source(...))``. Options: start, end (ISO), splits
-    (comma-separated), token."""
+    """A Data Source class to register: ``spark.dataSource.register(data_source(...))``. Options: start, end (ISO), window (days
+    that one task reads, where both are known), splits (comma-separated), token. Filters are pushed where the session has
+    spark.sql.python.filterPushdown.enabled, as ``session`` sets it."""
 
     class Source(DataSource):
         @classmethod
@@ -261,7 +321,8 @@ def data_source(name: str, endpoint: Endpoint, client: Callable[..., str] = http
             return e
 
         def reader(self, schema: Any) -> DataSourceReader:
-            return _Reader(self._endpoint(), client, to_time(self.options.get("start")), to_time(self.options.get("end")))
+            days = self.options.get("window")
+            return _Reader(self._endpoint(), client, to_time(self.options.get("start")), to_time(self.options.get("end")), float(days) if days else None)
 
         def simpleStreamReader(self, schema: Any) -> SimpleDataSourceStreamReader:  # noqa: N802
             return _Stream(self._endpoint(), client)
@@ -269,6 +330,11 @@ def data_source(name: str, endpoint: Endpoint, client: Callable[..., str] = http
     return Source
 
 
+for _name, _since, _until, _epoch in (("github", "since", "", False), ("gitlab", "updated_after", "updated_before", False), ("slack", "oldest", "latest", True)):
+    if _name in SERVICES:
+        SERVICES[_name] = replace(SERVICES[_name], since=_since, until=_until, epoch=_epoch)
+
+
 def register_services(spark: SparkSession, client: Callable[..., str] = http_client) -> list[str]:
     """Register every known service, ``rest`` and ``rss``; returns the format names."""
     known = SERVICES | {"rest": Endpoint("{split}"), "rss": Endpoint("{split}", format="rss")}
@@ -330,8 +396,9 @@ class Rdbms:
     def derived(self, start: str | None = None, end: str | None = None) -> str:
         """The derived table of a read; a trailing ORDER BY goes, where databases refuse it."""
         base = self.table if self.table else "(" + re.sub(r"(?is)\s+order\s+by\s+[^()]*$", "", self.query.strip().rstrip(";")) + ")"
-        parts = [f"q.{self.cursor} > '{start}'"] if self.cursor and start else []
-        parts += [f"q.{self.cursor} <= '{end}'"] if self.cursor and end else []
+        quoted = lambda v: "'" + str(v).replace("'", "''") + "'"
+        parts = [f"q.{self.cursor} > {quoted(start)}"] if self.cursor and start else []
+        parts += [f"q.{self.cursor} <= {quoted(end)}"] if self.cursor and end else []
         return f"(SELECT * FROM {base} q" + (" WHERE " + " AND ".join(parts) if parts else "") + ") src"
 
     def read(self, spark: SparkSession, start: str | None = None, end: str | None = None) -> DataFrame:
