@@ -7,15 +7,22 @@ in; the stand-in is the medoid's first sentence.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import components
+from .scratch import stored
 
 BUCKET, FAN_OUT = 2_000, 32
+#: Clusters of a Ward cut at most.
+MOST = 64
+#: Digits of a cosine that count: those behind them depend on how a product of matrices is cut.
+DIGITS = 10
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -57,16 +64,19 @@ def ward_merges(x: np.ndarray) -> list[tuple[int, int, float]]:
     return found
 
 
-def ward_labels(x: np.ndarray, refinements: int = 5) -> np.ndarray:
-    """Clusters cut at the largest gap between merge heights, then moved to the nearest centroid a few times."""
+def ward_labels(x: np.ndarray, most: int = MOST, refinements: int = 5) -> np.ndarray:
+    """Clusters cut at the largest gap between merge heights, ``most`` of them at most, then moved to the nearest centroid a
+    few times. Two rows are two clusters."""
     n = len(x)
     if n <= 2:
-        return np.zeros(n, int)
+        return np.arange(n)
     merges = ward_merges(x)
-    heights = np.array([h for *_, h in merges])
-    gap = int(np.argmax(np.diff(heights))) + 1 if len(heights) > 1 else 1
+    gap = int(np.argmax(np.diff([h for *_, h in merges])))
+    clusters = max(1, min(n - gap - 1, most))
+    if clusters == 1:
+        return np.zeros(n, int)
     parent = list(range(2 * n))
-    for k, (a, b, _) in enumerate(merges[:gap]):
+    for k, (a, b, _) in enumerate(merges[: n - clusters]):
         parent[a] = parent[b] = n + k
 
     def root(v: int) -> int:
@@ -85,32 +95,47 @@ def ward_labels(x: np.ndarray, refinements: int = 5) -> np.ndarray:
     return labels
 
 
+def _fit(z: np.ndarray, k: int, seed: int, rounds: int = 100) -> tuple[float, np.ndarray]:
+    """The log likelihood and the memberships of a Gaussian mixture of k parts with full covariances, by EM."""
+    n, d = z.shape
+    rng = np.random.default_rng(seed)
+    means, ridge = z[rng.choice(n, k, replace=False)], 1e-6 * np.eye(d)
+    covariance, share, before = np.stack([np.cov(z.T, bias=True).reshape(d, d) + ridge] * k), np.full(k, 1 / k), -np.inf
+    for _ in range(rounds):
+        logs = np.empty((n, k))
+        for c in range(k):
+            low = np.linalg.cholesky(covariance[c])
+            far = np.linalg.solve(low, (z - means[c]).T)
+            logs[:, c] = np.log(share[c]) - 0.5 * ((far**2).sum(0) + d * np.log(2 * np.pi)) - np.log(np.diag(low)).sum()
+        top = logs.max(1, keepdims=True)
+        p = np.exp(logs - top)
+        total = p.sum(1, keepdims=True)
+        p /= total
+        likelihood = float((top + np.log(total)).sum())
+        if likelihood - before < 1e-3 * n * 1e-3:
+            break
+        before, weight = likelihood, p.sum(0) + 1e-9
+        share, means = weight / weight.sum(), (p.T @ z) / weight[:, None]
+        covariance = np.stack([((p[:, c, None] * (z - means[c])).T @ (z - means[c])) / weight[c] + ridge for c in range(k)])
+    return likelihood, p
+
+
+def mixture_bics(z: np.ndarray, most: int, seed: int) -> list[float]:
+    """The BIC of mixtures of 1..most parts."""
+    n, d = z.shape
+    return [(k * d * (d + 1) // 2 + k * d + k - 1) * np.log(n) - 2 * _fit(z, k, seed)[0] for k in range(1, most + 1)]
+
+
 def mixture_labels(x: np.ndarray, most: int = 10, seed: int = 224, components: int = 8, threshold: float = 0.1) -> np.ndarray:
-    """Diagonal Gaussian mixtures of 1..most parts on principal components; the number by least BIC, the label the first
-    part with a probability over the threshold."""
+    """Gaussian mixtures of 1..most parts with full covariances on principal components; the number by least BIC, the label
+    the first part with a probability over the threshold."""
     x = x - x.mean(0)
     if len(x) < 3:
         return np.zeros(len(x), int)
     _, _, axes = np.linalg.svd(x, full_matrices=False)
     z = x @ axes[: min(components, len(x) - 1)].T
-    best = (np.inf, np.zeros(len(x), int))
-    for k in range(1, min(most, len(z) - 1) + 1):
-        rng = np.random.default_rng(seed)
-        means, var, share = z[rng.choice(len(z), k, replace=False)], np.tile(z.var(0) + 1e-6, (k, 1)), np.full(k, 1 / k)
-        for _ in range(50):
-            logs = np.log(share) - 0.5 * (((z[:, None] - means) ** 2 / var).sum(-1) + np.log(2 * np.pi * var).sum(-1))
-            top = logs.max(1, keepdims=True)
-            p = np.exp(logs - top)
-            total = p.sum(1, keepdims=True)
-            p /= total
-            weight = p.sum(0) + 1e-9
-            share, means = weight / weight.sum(), (p.T @ z) / weight[:, None]
-            var = (p.T @ z**2) / weight[:, None] - means**2 + 1e-6
-        likelihood = float((top[:, 0] + np.log(total[:, 0])).sum())
-        bic = (2 * k * z.shape[1] + k - 1) * np.log(len(z)) - 2 * likelihood
-        if bic < best[0]:
-            best = (bic, (p > threshold).argmax(1))
-    return best[1]
+    k = 1 + int(np.argmin(mixture_bics(z, min(most, len(z) - 1), seed)))
+    return (_fit(z, k, seed)[1] > threshold).argmax(1)
 
 
 def psi_parents(x: np.ndarray, max_children: int = 4) -> list[tuple[int, int]]:
@@ -119,11 +144,17 @@ def psi_parents(x: np.ndarray, max_children: int = 4) -> list[tuple[int, int]]:
     Pairs of equal cosine merge by index, so the tree doesn't depend on the order of work.
     """
     n = len(x)
-    if n == 1:
-        return [(0, -1)]
     u = unit(x)
     i, j = np.triu_indices(n, 1)
-    order = np.lexsort((j, i, -(u @ u.T)[i, j]))
+    cosine = np.round(u @ u.T, DIGITS)[i, j]
+    order = np.lexsort((j, i, -cosine))
+    return psi_of_edges(n, zip(i[order].tolist(), j[order].tolist(), strict=True), max_children)
+
+
+def psi_of_edges(n: int, edges: Iterable[tuple[int, int]], max_children: int = 4) -> list[tuple[int, int]]:
+    """``psi_parents`` of pairs in the order of their merging; those of a greatest spanning tree are enough."""
+    if n == 1:
+        return [(0, -1)]
     root_of, top, children = list(range(n)), list(range(n)), {}
 
     def find(v: int) -> int:
@@ -132,8 +163,8 @@ def psi_parents(x: np.ndarray, max_children: int = 4) -> list[tuple[int, int]]:
             v = root_of[v]
         return v
 
-    for k in order:
-        a, b = find(int(i[k])), find(int(j[k]))
+    for i, j in edges:
+        a, b = find(i), find(j)
         if a != b:
             node = n + len(children)
             children[node] = [top[a], top[b]]
@@ -163,6 +194,76 @@ def psi_parents(x: np.ndarray, max_children: int = 4) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def spanning_trees(df: DataFrame, group: str, id_col: str, vec: str, block: int = 1024, keep: int = 16) -> DataFrame:
+    """(group, a, b, cosine, ordinals as numbers): the edges of each group's greatest spanning tree of cosines, where pairs of
+    equal cosine go by their rows' order of ids. a < b are numbers that rise with the ids of all rows.
+
+    Boruvka's rounds: every component takes its best edge to another one. A row knows its ``keep`` best rows outside its
+    component; as components only grow, the first of them that is still outside is its best. A row that has none left is held
+    against the group's blocks again. So all pairs are looked at once, as products of blocks, and little more.
+    """
+    parts = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = df.select(F.col(group).alias("g"), F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("v")).repartitionByRange(parts, "g", "id").sortWithinPartitions("g", "id")
+    rows = stored(rows.withColumn("num", F.monotonically_increasing_id()), "psi-rows")
+    sizes = stored(rows.groupBy("g").agg(F.count("*").alias("n"), F.ceil(F.count("*") / block).alias("blocks")), "psi-sizes")
+    placed = rows.join(sizes, "g").withColumn("b", F.pmod(F.xxhash64("num"), F.col("blocks")))
+    data = stored(placed.groupBy("g", "b", "blocks").agg(F.collect_list("num").alias("nums"), F.collect_list("v").alias("vs")), "psi-blocks")
+    labels = stored(rows.select("g", "num", F.col("num").alias("comp")), "psi-labels")
+
+    def best_outside(asked: DataFrame) -> DataFrame:
+        """(g, num, near): for the rows asked, the ``keep`` best of other components, best first."""
+        own = placed.select("num", "v", "b", "blocks").join(asked.select("num"), "num").join(labels, "num")
+        own = own.groupBy("g", "b", "blocks").agg(F.collect_list(F.struct("num", "comp", "v")).alias("mine"))
+        own = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("g", F.col("other").alias("b"), "mine")
+        comps = placed.select("num", "b").join(labels, "num").groupBy("g", "b").agg(F.map_from_entries(F.collect_list(F.struct("num", "comp"))).alias("comps"))
+        sides = data.join(comps, ["g", "b"]).select("g", "b", "nums", "vs", F.transform("nums", lambda n: F.col("comps")[n]).alias("comps"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = lambda x: np.array(x.to_pylist(), float)
+            for batch in batches:
+                for mine, nums, vs, comps in zip(*(batch.column(n) for n in ("mine", "nums", "vs", "comps")), strict=True):
+                    m, num, comp = mine.values, nums.values.to_numpy(), comps.values.to_numpy()
+                    me, my = m.field("num").to_numpy(), m.field("comp").to_numpy()
+                    score = np.round(unit(table(m.field("v"))) @ unit(table(vs.values)).T, DIGITS)
+                    score[my[:, None] == comp] = -np.inf
+                    k = min(keep, len(num))
+                    # Of equal cosines the pair of the lesser numbers is first: for one row, the lesser other.
+                    order = np.lexsort((np.broadcast_to(num, score.shape), -score), axis=1)[:, :k]
+                    which = np.repeat(np.arange(len(me)), k)
+                    got = score[which, order.ravel()]
+                    there = got > -np.inf
+                    yield pa.RecordBatch.from_arrays([pa.array(me[which][there]), pa.array(got[there]), pa.array(num[order.ravel()][there])], names=["num", "cosine", "other"])
+
+        found = own.join(sides, ["g", "b"]).select("mine", "nums", "vs", "comps").mapInArrow(run, "num long, cosine double, other long")
+        one = F.struct((-F.col("cosine")).alias("less"), F.col("other").alias("other"))
+        return stored(found.groupBy("num").agg(F.slice(F.array_sort(F.collect_list(one)), 1, keep).alias("near")), "psi-near")
+
+    near, edges, k = best_outside(rows), None, 0
+    while True:
+        k += 1
+        opened = near.select("num", F.explode("near").alias("x")).select("num", "x.less", "x.other")
+        ends = opened.join(labels.select("num", "comp", "g"), "num").join(labels.select(F.col("num").alias("other"), F.col("comp").alias("there")), "other").where("comp <> there")
+        order = F.struct("less", F.least("num", "other").alias("a"), F.greatest("num", "other").alias("b"), "there")
+        best = stored(ends.groupBy("g", "comp", "num").agg(F.min(order).alias("x")), "psi-best")
+        many = stored(labels.select("g", "comp").distinct().groupBy("g").count().where("count > 1").select("g"), "psi-open")  # groups in several components
+        if many.isEmpty():
+            break
+        dry = labels.join(many, "g", "left_semi").join(best.select("num"), "num", "left_anti")
+        if not dry.isEmpty():
+            again = best_outside(dry)
+            near = stored(near.join(again.select("num"), "num", "left_anti").unionByName(again), "psi-near")
+            continue
+        chosen = stored(best.groupBy("g", "comp").agg(F.min("x").alias("x")).select("g", "comp", "x.a", "x.b", "x.there", (-F.col("x.less")).alias("cosine")), "psi-chosen")
+        step = chosen.select("g", "a", "b", "cosine").distinct()
+        edges = stored(step if edges is None else edges.unionByName(step).distinct(), "psi-edges")
+        joined = components(chosen.select(F.col("comp").alias("src"), F.col("there").alias("dst")))
+        labels = stored(labels.join(joined.select(F.col("id").alias("comp"), F.col("component").alias("_to")), "comp", "left").select("g", "num", F.coalesce("_to", "comp").alias("comp")), "psi-labels")
+    if edges is None:
+        edges = rows.select("g", F.col("num").alias("a"), F.col("num").alias("b"), F.lit(0.0).alias("cosine")).limit(0)
+    ids = rows.select("num", "id")
+    return edges.join(ids.select(F.col("num").alias("a"), F.col("id").alias("a_id")), "a").join(ids.select(F.col("num").alias("b"), F.col("id").alias("b_id")), "b").select(F.col("g").alias(group), "a", "b", "a_id", "b_id", "cosine")
+
+
 def spherical_buckets(x: np.ndarray, size: int, fan_out: int = 32, rounds: int = 5) -> np.ndarray:
     """Bucket of each row by spherical k-means with evenly spaced seeds."""
     k = min(fan_out, max(1, -(-len(x) // size)))
@@ -248,16 +349,36 @@ def clusters(df: DataFrame, group: str, id_col: str, vec: str, method: str = "wa
     return found.join(ends, [group, "_bucket"]).select(group, id_col, (F.col("_c") + F.col("_from")).cast("int").alias("cluster"))
 
 
-def psi(df: DataFrame, group: str, id_col: str, vec: str, bucket: int = 512, max_children: int = 4) -> DataFrame:
-    """(group, node, parent, id): leaves carry their row's id."""
+def psi(df: DataFrame, group: str, id_col: str, vec: str, max_children: int = 4, small: int = BUCKET) -> DataFrame:
+    """(group, node, parent, id): leaves carry their row's id. The tree merges pairs of a group by falling cosine.
+
+    Groups of ``small`` rows at most are merged in one task each. Of a larger group the greatest spanning tree is found in
+    blocks (``spanning_trees``), which merges alike, and a task holds the tree's edges: three numbers a row, no vectors."""
     kinds = dict(df.dtypes)
+    number = kinds[id_col] in ("bigint", "int")
+    schema = f"{group} {kinds[group]}, node int, parent int, {id_col} {kinds[id_col]}"
+    rows = df.select(group, id_col, vec)
+    large = stored(rows.groupBy(group).count().where(F.col("count") > small).select(group), "psi-large")  # a row a large group
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(id_col).reset_index(drop=True)
-        tree = psi_tree(np.stack(pdf[vec]).astype(float), bucket, max_children)
-        return pd.DataFrame({group: pdf[group].iloc[0], "node": [v for v, _ in tree], "parent": [p for _, p in tree], id_col: pd.array([pdf[id_col][v] if v < len(pdf) else None for v, _ in tree], dtype="Int64" if kinds[id_col] in ("bigint", "int") else "object")})
+    def table(g, ids: list, tree: list[tuple[int, int]]) -> pd.DataFrame:
+        named = pd.array([ids[v] if v < len(ids) else None for v, _ in tree], dtype="Int64" if number else "object")
+        return pd.DataFrame({group: [g] * len(tree), "node": [v for v, _ in tree], "parent": [p for _, p in tree], id_col: named})
 
-    return df.select(group, id_col, vec).groupBy(group).applyInPandas(run, f"{group} {kinds[group]}, node int, parent int, {id_col} {kinds[id_col]}")
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(id_col).reset_index(drop=True)
+        return table(pdf[group].iloc[0], pdf[id_col].tolist(), psi_parents(np.stack(pdf[vec]).astype(float), max_children))
+
+    def of_edges(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["cosine", "a", "b"], ascending=[False, True, True])
+        ends = dict(zip(pdf["a"], pdf["a_id"], strict=True)) | dict(zip(pdf["b"], pdf["b_id"], strict=True))
+        place = {n: k for k, n in enumerate(sorted(ends))}
+        tree = psi_of_edges(len(place), zip(pdf["a"].map(place), pdf["b"].map(place), strict=True), max_children)
+        return table(pdf[group].iloc[0], [ends[n] for n in sorted(ends)], tree)
+
+    if large.isEmpty():
+        return rows.groupBy(group).applyInPandas(whole, schema)
+    few = rows.join(large, group, "left_anti").groupBy(group).applyInPandas(whole, schema)
+    return few.unionByName(spanning_trees(rows.join(large, group, "left_semi"), group, id_col, vec).groupBy(group).applyInPandas(of_edges, schema))
 
 
 def medoid_summary(df: DataFrame, keys: list[str], text: str, vec: str) -> DataFrame:

@@ -715,6 +715,68 @@ def test_ward_merges_are_nearest_pairs():
         assert np.allclose([h for *_, h in tree.ward_merges(x)], heights)
 
 
+def test_ward_clusters_of_few_rows_and_at_most_so_many():
+    rng = np.random.default_rng(6)
+    assert [tree.ward_labels(rng.normal(size=(n, 3))).tolist() for n in (0, 1, 2)] == [[], [0], [0, 1]]
+    three = np.array([[0.0, 0], [0.1, 0], [9, 9]])
+    assert tree.ward_labels(three)[0] == tree.ward_labels(three)[1] != tree.ward_labels(three)[2]
+    even = np.concatenate([np.arange(40.0), [100.0, 101.0]])[:, None] * 10  # many equal merges, the gap is early
+    assert len(set(tree.ward_labels(even, most=5, refinements=0))) <= 5
+
+    def plain(x, most):  # by definition, with the cut of the docstring
+        groups, heights, kept = {k: [k] for k in range(len(x))}, [], []
+        while len(groups) > 1:
+            kept.append([sorted(g) for g in groups.values()])
+            cost = lambda a, b: len(a) * len(b) / (len(a) + len(b)) * 2 * ((x[a].mean(0) - x[b].mean(0)) ** 2).sum()
+            a, b = min(itertools.combinations(groups, 2), key=lambda p: cost(groups[p[0]], groups[p[1]]))
+            heights.append(cost(groups[a], groups[b]) ** 0.5)
+            groups[len(x) + len(heights)] = groups.pop(a) + groups.pop(b)
+        n = max(1, min(len(x) - int(np.argmax(np.diff(heights))) - 1, most))
+        return sorted(kept[len(x) - n]) if n > 1 else [list(range(len(x)))]
+
+    for n, most in ((3, 64), (12, 64), (25, 4), (30, 64)):
+        x = rng.normal(size=(n, 3))
+        got = tree.ward_labels(x, most=most, refinements=0)
+        assert sorted(np.flatnonzero(got == c).tolist() for c in set(got)) == plain(x, most)
+
+
+def test_mixtures_with_full_covariances():
+    rng = np.random.default_rng(8)
+    long = rng.normal(size=(150, 2)) * [6, 0.2] @ np.array([[0.8, 0.6], [-0.6, 0.8]])
+    z = np.concatenate([long, long @ np.array([[0, 1], [-1, 0]]) + [0, 14]])
+    bics = tree.mixture_bics(z, 4, 1)
+    assert int(np.argmin(bics)) == 1  # two long clouds, which round ones would need more for
+    assert len(set(tree.mixture_labels(z, most=4)[:150])) == 1
+    one = z[:150]
+    cov = np.cov(one.T, bias=True) + 1e-6 * np.eye(2)
+    likelihood = -0.5 * (len(one) * np.log(np.linalg.det(2 * np.pi * cov)) + np.einsum("ij,jk,ik->", one - one.mean(0), np.linalg.inv(cov), one - one.mean(0)))
+    assert abs(tree.mixture_bics(one, 1, 1)[0] - (5 * np.log(150) - 2 * likelihood)) < 1e-3
+
+
+def test_spanning_trees_in_blocks(spark):
+    rng = np.random.default_rng(5)
+    data = {"a": rng.normal(size=(130, 5)), "b": np.round(rng.normal(size=(60, 2))) + 0.0, "c": np.ones((40, 3)), "one": rng.normal(size=(1, 5))}
+    rows = [(g, 1000 - k if g == "a" else k, v.tolist()) for g, x in data.items() for k, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "g string, i long, v array<double>").repartition(3)
+    got = {}
+    for r in tree.spanning_trees(df, "g", "i", "v", block=32, keep=3).collect():
+        got.setdefault(r["g"], []).append((r["a_id"], r["b_id"], round(r["cosine"], 8)))
+    for g, x in data.items():
+        ids = sorted(i for h, i, _ in rows if h == g)
+        by = {i: np.array(v) for h, i, v in rows if h == g}
+        u = tree.unit(np.stack([by[i] for i in ids]))
+        cosine = np.round(u @ u.T, tree.DIGITS)
+        pairs = sorted(itertools.combinations(range(len(ids)), 2), key=lambda p: (-cosine[p], p))
+        root, want = list(range(len(ids))), []
+        for a, b in pairs:  # Kruskal
+            if root[a] != root[b]:
+                want.append((ids[a], ids[b], round(float(cosine[a, b]), 8)))
+                root = [root[a] if r == root[b] else r for r in root]
+        assert sorted(got.get(g, [])) == sorted(want)
+    order = lambda df: sorted((r["g"], r["node"], r["parent"], r["i"] is None, r["i"] or 0) for r in df.collect())
+    assert order(tree.psi(df, "g", "i", "v", small=50)) == order(tree.psi(df, "g", "i", "v"))
+
+
 def test_large_groups_are_clustered_in_buckets(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(6, 4)) * 9
