@@ -1077,7 +1077,7 @@ def hashed_embeddings(spark, d):
     return t(spark, d, "benchmark").select("item_id", F.transform(embed(F.col("text"), 16), lambda x: F.round(x, 5)).alias("vec"))
 
 
-from . import queries_more  # noqa: E402, F401  more queries, which register themselves
+from . import queries_more, queries_sources  # noqa: E402, F401  more queries, which register themselves
 
 
 def queries() -> dict[str, Query]:
