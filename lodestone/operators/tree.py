@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import neighbours
 from .graph import components
 from .scratch import stored
 
@@ -126,14 +127,17 @@ def mixture_bics(z: np.ndarray, most: int, seed: int) -> list[float]:
     return [(k * d * (d + 1) // 2 + k * d + k - 1) * np.log(n) - 2 * _fit(z, k, seed)[0] for k in range(1, most + 1)]
 
 
-def mixture_labels(x: np.ndarray, most: int = 10, seed: int = 224, components: int = 8, threshold: float = 0.1) -> np.ndarray:
-    """Gaussian mixtures of 1..most parts with full covariances on principal components; the number by least BIC, the label
-    the first part with a probability over the threshold."""
-    x = x - x.mean(0)
+def mixture_labels(x: np.ndarray, most: int = 10, seed: int = 224, components: int = 12, threshold: float = 0.1, layout: bool = True) -> np.ndarray:
+    """Gaussian mixtures of 1..most parts with full covariances, over a layout of the rows' neighbourhoods (or, without it,
+    their principal components); the number by least BIC, the label the first part with a probability over the threshold."""
+    x = x - x.mean(0) if not layout else x
     if len(x) < 3:
         return np.zeros(len(x), int)
-    _, _, axes = np.linalg.svd(x, full_matrices=False)
-    z = x @ axes[: min(components, len(x) - 1)].T
+    if layout:
+        z = neighbours.layout(x, max(2, int((len(x) - 1) ** 0.8)), min(components, len(x) - 2), seed)
+    else:
+        _, _, axes = np.linalg.svd(x, full_matrices=False)
+        z = x @ axes[: min(components, len(x) - 1)].T
     k = 1 + int(np.argmin(mixture_bics(z, min(most, len(z) - 1), seed)))
     return (_fit(z, k, seed)[1] > threshold).argmax(1)
 
