@@ -7,8 +7,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .functions import language
 from .functions import text as X
-from .operators import graph, relational
+from .operators import graph, neighbours, relational
 from .operators.scratch import place
 from .plans import chunking
 from .queries import query, t
@@ -153,3 +154,23 @@ def node_vectors(spark, d):
     """Nations and their regions, as vectors of walks."""
     edges = t(spark, d, "nation").select(F.concat(F.lit("n"), "n_nationkey").alias("src"), F.concat(F.lit("r"), "n_regionkey").alias("dst"), F.lit(1.0).alias("weight"))
     return graph.node_embeddings(edges, 16).select("word", "vector").withColumn("vector", F.transform(vector_to_array(F.col("vector")), lambda x: F.round(x, 6)))
+
+
+@query()
+def language_profiles(spark, d):
+    """Every document's language by profiles of all documents (the tests hold unseen ones against them)."""
+    docs = t(spark, d, "documents")
+    return docs.select("doc_id", "lang", language.detect(F.col("text"), language.train(docs, "text", "lang")).alias("found"))
+
+
+@query()
+def neighbour_weights(spark, d):
+    """The fuzzy weights of the vectors' neighbour graph."""
+    return neighbours.fuzzy_edges(neighbours.neighbour_graph(t(spark, d, "embeddings"), "vec_id", "embedding", 10)).withColumn("weight", F.round("weight", 6))
+
+
+@query()
+def table_mixture(spark, d):
+    """Parts of customers by balance and key, by a mixture over the whole table."""
+    c = t(spark, d, "customer").select("c_custkey", F.array(F.col("c_acctbal") / 1000, F.col("c_nationkey").cast("double")).alias("v"))
+    return neighbours.mixture(c, "c_custkey", "v", most=3, rounds=20)[0]
