@@ -12,8 +12,9 @@ from .functions import text as X
 from .operators import graph, neighbours, relational
 from .operators.scratch import place
 from .plans import chunking
-from .queries import query, t
+from .queries import _VEC, _q, query, t
 from .sources import connectors, writers
+from .sources.docstore import DocStore, Search, scattered
 from .streaming import pregel
 
 
@@ -174,3 +175,14 @@ def table_mixture(spark, d):
     """Parts of customers by balance and key, by a mixture over the whole table."""
     c = t(spark, d, "customer").select("c_custkey", F.array(F.col("c_acctbal") / 1000, F.col("c_nationkey").cast("double")).alias("v"))
     return neighbours.mixture(c, "c_custkey", "v", most=3, rounds=20)[0]
+
+
+@query(
+    f"""WITH x AS (SELECT vec_id, label, list_cosine_similarity(embedding::DOUBLE[], q::DOUBLE[]) AS v FROM embeddings, {_VEC}),
+    c AS (SELECT *, row_number() OVER (PARTITION BY label < 5 ORDER BY v DESC, vec_id) AS r FROM x WHERE v >= -1) SELECT vec_id, round(v + label * 0.05, 6) AS score, rank FROM (SELECT *, row_number() OVER (ORDER BY v + label * 0.05 DESC, vec_id)::INT AS rank FROM c WHERE r <= 50) WHERE rank <= 20"""
+)
+def scattered_search(spark, d):
+    """One request to two tables: each gives its fifty best, and the ranks are over both, with a page rank added."""
+    e = t(spark, d, "embeddings").select("vec_id", "embedding", "label", (F.col("label") * 0.05).alias("pagerank_fea"))
+    stores = [DocStore(spark, chunks=e.where(c), id_col="vec_id") for c in ("label < 5", "label >= 5")]
+    return scattered(stores, Search(dense=("embedding", _q(spark, d), 50, -1.0)), 20).select("vec_id", F.round("score", 6).alias("score"), "rank")

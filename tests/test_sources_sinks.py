@@ -248,3 +248,21 @@ def test_merged_sketches_are_near_the_exact_figures(spark):
     two = spark.createDataFrame([(both[0]["members"], both[1]["members"])], "a binary, b binary").select(relational.sketch_overlap(F.col("a"), F.col("b"))).first()[0]
     users = [{r["user_id"] for r in e.where(F.col("event_type") == b["event_type"]).select("user_id").distinct().collect()} for b in both[:2]]
     assert abs(two / len(users[0] & users[1]) - 1) < 0.1
+
+
+# --- databases -------------------------------------------------------------------------------------------------------
+
+
+def test_tables_of_a_database(spark):
+    url = "jdbc:derby:memory:lodestone;create=true"
+    rows = [(k, f"name {k}", datetime(2024, 1, 1) + timedelta(hours=k)) for k in range(40)]
+    spark.createDataFrame(rows, "ID int, NAME string, TS timestamp").write.format("jdbc").options(url=url, dbtable="items", driver="org.apache.derby.jdbc.EmbeddedDriver").mode("overwrite").save()
+    db = connectors.Rdbms(url, table="items", content=["NAME"], metadata=["TS"], id_column="ID", cursor="TS", options={"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
+    window = db.read(spark, "2024-01-01 10:00:00", "2024-01-01 13:00:00")
+    assert sorted(r["ID"] for r in window.collect()) == [11, 12, 13]
+    assert db.max_cursor(spark) == datetime(2024, 1, 2, 15)
+    assert {r["id"] for r in db.slim(spark).collect()} == {str(k) for k in range(40)}
+    doc = next(r for r in db.documents(spark).collect() if r["id"] == "7")
+    assert doc["content"] == "【NAME】:\nname 7" and doc["metadata"]["TS"].startswith("2024-01-01 07:00")
+    parts = connectors.Rdbms(url, table="items", options={"driver": "org.apache.derby.jdbc.EmbeddedDriver"}, partition=("ID", 0, 40, 4)).read(spark)
+    assert parts.rdd.getNumPartitions() == 4 and parts.count() == 40
