@@ -1,7 +1,8 @@
 """Summary trees over chunk vectors: Ward clusters, Gaussian mixtures by BIC, and rank-ordered pair merging.
 
-Trees are built in groups: a document's chunks are one group. A group of more than ``BUCKET`` rows is parted into buckets of
-near vectors first, so that no task holds more, and its clusters are those of its buckets. Models that summarise are plugged
+Trees are built in groups: a document's chunks are one group. For Ward clusters and mixtures a group of more than ``BUCKET``
+rows is parted into buckets of near vectors first, so that no task holds more, and its clusters are those of its buckets. The
+Psi tree of a larger group is exact: its spanning tree is found in blocks. Models that summarise are plugged
 in; the stand-in is the medoid's first sentence.
 """
 
