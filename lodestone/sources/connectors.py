@@ -220,15 +220,35 @@ _TICK = timedelta(microseconds=1)
 
 
 class _Reader(DataSourceReader):
-    """One task a split and window, so that repositories, channels or feeds, and long spans of time, load side by side.
-
-    Filters on ``updated_at`` become the window that the service is asked for, filters on ``id`` leave rows out before they
-    reach Spark; the others stay with Spark. Which filters are taken shows in EXPLAIN."""
+    """One task a split and window, so that repositories, channels or feeds, and long spans of time, load side by side."""
 
     def __init__(self, e: Endpoint, client: Callable, start: datetime | None, end: datetime | None, days: float | None = None) -> None:
         self.e, self.client, self.start, self.end, self.days = e, client, start, end, days
         self.timed, self.ids = False, None
 
+    def partitions(self) -> list[InputPartition]:
+        if self.ids is not None and not self.ids or (self.start and self.end and self.start >= self.end):
+            return []
+        windows = [(self.start, self.end)]
+        if self.days and self.start and self.end:
+            step = timedelta(days=self.days)
+            n = max(1, ceil((self.end - self.start) / step))
+            edges = [self.start + k * step for k in range(n)] + [self.end]
+            windows = list(zip(edges, edges[1:], strict=False))
+        return [_Split(s, a, b) for s in self.e.splits for a, b in windows]
+
+    def read(self, partition: _Split) -> Iterator[tuple]:
+        first = partition.start == self.start  # items without a time are in every window: the first one has them
+        for row in rows_of(self.e, partition.value, self.client, partition.start, partition.end):
+            if (row[4] is not None or (first and not self.timed)) and (self.ids is None or row[0] in self.ids):
+                yield row
+
+
+class _Pushed(_Reader):
+    """A reader that takes filters: those on ``updated_at`` become the window that the service is asked for, those on ``id``
+    leave rows out before they reach Spark; the others stay with Spark. Which filters are taken shows in EXPLAIN. Spark
+    refuses to run it in a session without spark.sql.python.filterPushdown.enabled."""
+
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
         for f in filters:
             if not self._take(f):
@@ -259,23 +279,6 @@ class _Reader(DataSourceReader):
         self.timed = self.timed or isinstance(f, (GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual, EqualTo))
         return isinstance(f, (GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual, EqualTo))
 
-    def partitions(self) -> list[InputPartition]:
-        if self.ids is not None and not self.ids or (self.start and self.end and self.start >= self.end):
-            return []
-        windows = [(self.start, self.end)]
-        if self.days and self.start and self.end:
-            step = timedelta(days=self.days)
-            n = max(1, ceil((self.end - self.start) / step))
-            edges = [self.start + k * step for k in range(n)] + [self.end]
-            windows = list(zip(edges, edges[1:], strict=False))
-        return [_Split(s, a, b) for s in self.e.splits for a, b in windows]
-
-    def read(self, partition: _Split) -> Iterator[tuple]:
-        first = partition.start == self.start  # items without a time are in every window: the first one has them
-        for row in rows_of(self.e, partition.value, self.client, partition.start, partition.end):
-            if (row[4] is not None or (first and not self.timed)) and (self.ids is None or row[0] in self.ids):
-                yield row
-
 
 class _Stream(SimpleDataSourceStreamReader):
     """The offset is the latest update time read: the checkpoint of the poll window."""
@@ -297,10 +300,14 @@ class _Stream(SimpleDataSourceStreamReader):
         return iter([r for s in self.e.splits for r in rows_of(self.e, s, self.client, a, b)])
 
 
-def data_source(name: str, endpoint: Endpoint, client: Callable[..., str] = http_client) -> type[DataSource]:
+def data_source(name: str, endpoint: Endpoint, client: Callable[..., str] = http_client, pushes: bool | None = None) -> type[DataSource]:
     """A Data Source class to register: ``spark.dataSource.register(data_source(...))``. Options: start, end (ISO), window (days
-    that one task reads, where both are known), splits (comma-separated), token. Filters are pushed where the session has
-    spark.sql.python.filterPushdown.enabled, as ``session`` sets it."""
+    that one task reads, where both are known), splits (comma-separated), token. Filters are pushed (``pushes``) where the
+    session has spark.sql.python.filterPushdown.enabled by now, as ``session`` sets it; elsewhere Spark filters."""
+    if pushes is None:
+        now = SparkSession.getActiveSession()
+        pushes = now is not None and now.conf.get("spark.sql.python.filterPushdown.enabled", "false").lower() == "true"
+    made = _Pushed if pushes else _Reader
 
     class Source(DataSource):
         @classmethod
@@ -322,7 +329,7 @@ def data_source(name: str, endpoint: Endpoint, client: Callable[..., str] = http
 
         def reader(self, schema: Any) -> DataSourceReader:
             days = self.options.get("window")
-            return _Reader(self._endpoint(), client, to_time(self.options.get("start")), to_time(self.options.get("end")), float(days) if days else None)
+            return made(self._endpoint(), client, to_time(self.options.get("start")), to_time(self.options.get("end")), float(days) if days else None)
 
         def simpleStreamReader(self, schema: Any) -> SimpleDataSourceStreamReader:  # noqa: N802
             return _Stream(self._endpoint(), client)

@@ -266,3 +266,17 @@ def test_tables_of_a_database(spark):
     assert doc["content"] == "【NAME】:\nname 7" and doc["metadata"]["TS"].startswith("2024-01-01 07:00")
     parts = connectors.Rdbms(url, table="items", options={"driver": "org.apache.derby.jdbc.EmbeddedDriver"}, partition=("ID", 0, 40, 4)).read(spark)
     assert parts.rdd.getNumPartitions() == 4 and parts.count() == 40
+
+
+@pytest.mark.parametrize("name", ["rest_window"])
+def test_without_push_down(spark, name):
+    """Sessions that leave Spark's default on, no push-down for Python sources, get the same rows."""
+    from lodestone import queries as Q
+
+    rows = lambda: sorted(map(str, Q.queries()[name](spark, "/root/testdata/sf0.001").collect()))
+    want = rows()
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+    try:
+        assert rows() == want and want
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
