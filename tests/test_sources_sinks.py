@@ -268,7 +268,7 @@ def test_tables_of_a_database(spark):
     assert parts.rdd.getNumPartitions() == 4 and parts.count() == 40
 
 
-@pytest.mark.parametrize("name", ["rest_window"])
+@pytest.mark.parametrize("name", ["rest_window", "rss_items"])
 def test_without_push_down(spark, name):
     """Sessions that leave Spark's default on, no push-down for Python sources, get the same rows."""
     from lodestone import queries as Q
