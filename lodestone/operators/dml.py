@@ -152,8 +152,8 @@ class Table:
         self._rewrite(now.where(condition(now, where)), lambda rows: deleted(rows, condition(rows, where)))
 
 
-def upserted(stored: DataFrame, rows: DataFrame, key: str = "id") -> DataFrame:
-    """Stored rows with those of ``rows`` in place of equal keys; new columns are added."""
+def upserted(stored: DataFrame, rows: DataFrame, key: str | list[str] = "id") -> DataFrame:
+    """Stored rows with those of ``rows`` in place of equal keys (of one column or several); new columns are added."""
     return stored.join(rows.select(key), key, "left_anti").unionByName(rows, allowMissingColumns=True)
 
 
