@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,12 +96,12 @@ def heading_level(c: Column, family: str) -> Column:
     return out
 
 
-def family_vote(lines: DataFrame, id_col: str, line: str) -> DataFrame:
-    """The family with the most headings in each document."""
-    hits = lines.groupBy(id_col).agg(*(F.count_if(heading_level(F.col(line), f) > 0).alias(f) for f in HEADING_FAMILIES))
-    best = F.greatest(*HEADING_FAMILIES)
+def family_vote(lines: DataFrame, id_col: str, line: str, families: Sequence[str] = tuple(HEADING_FAMILIES)) -> DataFrame:
+    """The family, of those that stand for election, with the most headings in each document; the first of equals."""
+    hits = lines.groupBy(id_col).agg(*(F.count_if(heading_level(F.col(line), f) > 0).alias(f) for f in families))
+    best = F.greatest(*families) if len(families) > 1 else F.col(families[0])
     pick = F.lit(None).cast("string")
-    for f in reversed(HEADING_FAMILIES):
+    for f in reversed(families):
         pick = F.when((F.col(f) == best) & (best > 0), f).otherwise(pick)
     return hits.select(id_col, pick.alias("family"), best.alias("hits"))
 
