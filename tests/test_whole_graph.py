@@ -3,7 +3,11 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from lodestone import queries as Q
+from lodestone.operators import graph
 
 
 def test_communities_of_the_whole_graph(spark, tmp_path):
@@ -50,3 +54,20 @@ def test_hierarchical_communities(spark):
     quality = lambda labels, c: graph.modularity(edges, labels, c).first()[0]
     top = spark.createDataFrame([(r["id"], r["community"]) for r in found if r["level"] == 0], "id string, community string")
     assert quality(top, "community") >= quality(graph.label_propagation(edges, 4), "label") - 1e-9
+
+
+def test_path_sums_of_a_multigraph(spark):
+    """Sums over paths that aren't made equal those of the paths, with parallel edges and loops."""
+    rng = np.random.default_rng(3)
+    rows = [(f"v{a}", f"v{b}", float(w)) for a, b, w in rng.integers(0, 9, (40, 3))] + [("v0", "v0", 2.0), ("v1", "v2", 1.0), ("v1", "v2", 4.0), ("x", "x", 1.0), ("y", "z", 3.0)]
+    edges = spark.createDataFrame(rows, "src string, dst string, weight double")
+    paths = graph.nhop_paths(edges, 2)
+    total = F.aggregate("weights", F.lit(0.0), lambda a, x: a + x)
+    want = paths.groupBy("src").agg(F.count("*").alias("paths"), F.sum(F.size("path")).alias("nodes"), F.round(F.sum(total), 6).alias("weight"))
+    got = graph.two_hop_sums(edges).withColumn("weight", F.round("weight", 6))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+    sims = spark.createDataFrame([("v0", 0.5), ("v1", 1.0), ("v5", 0.25), ("y", 1.0), ("x", 3.0)], "id string, similarity double")
+    stored = paths.join(sims, F.col("src") == F.col("id")).select("similarity", F.array(F.struct("path", "weights")).alias("paths"))
+    rounded = lambda df: sorted(map(tuple, df.select("src", "dst", F.round("sim", 6), "weight").collect()))
+    assert rounded(graph.two_hop_path_scores(edges, sims)) == rounded(graph.nhop_scores(stored))
