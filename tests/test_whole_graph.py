@@ -31,6 +31,22 @@ def test_communities_of_the_whole_graph(spark, tmp_path):
     assert got == labels
 
 
+def test_communities_leave_no_work_tables(spark):
+    """Of the rounds nothing is left but the labels; ids of any kind, a hub, a loop, a null end; ties go to the least id."""
+    import os
+
+    from lodestone.operators.scratch import folder
+
+    rows = [(f"n{k}", "hub", 1.0) for k in range(20)] + [("n1", "n2", 5.0), ("n10", "n9", 5.0), ("x", "x", 1.0), (None, "n3", 1.0), (None, None, 1.0)]
+    at = folder(spark).removeprefix("file:")
+    before = set(os.listdir(at))
+    got = {r["id"]: r["label"] for r in graph.label_propagation(spark.createDataFrame(rows, "src string, dst string, weight double"), 6).collect()}
+    assert [x.rpartition("-")[0] for x in set(os.listdir(at)) - before] == ["labels"]
+    assert set(got) == {f"n{k}" for k in range(20)} | {"hub", "x"} and got["x"] == "x" and got["n1"] == got["n2"]
+    one = graph.label_propagation(spark.createDataFrame([(10, 2, 1.0), (2, 9, 1.0)], "src long, dst long, weight double"), 1)
+    assert {tuple(r) for r in one.collect()} == {(10, 2), (9, 2), (2, 2)}
+
+
 def test_hierarchical_communities(spark):
     """Planted groups of groups are found, connected, named by their least node, and no worse than label propagation."""
     from lodestone.operators import graph
