@@ -364,22 +364,50 @@ def blobs(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     )
 
 
-def mail(spark: SparkSession, path: str) -> DataFrame:
-    """Messages of .eml files or IMAP exports: subject, sender, time, body."""
+def _message(data: bytes) -> tuple:
+    """(Message-ID, subject, sender, time, body) of a message."""
     from email import message_from_bytes, policy
 
+    m = message_from_bytes(data, policy=policy.default)
+    body = m.get_body(preferencelist=("plain", "html"))
+    return str(m["message-id"] or ""), str(m["subject"] or ""), str(m["from"] or ""), to_time(m["date"]), plain(body.get_content()) if body else ""
+
+
+_MAIL = "id string, title string, sender string, updated_at timestamp, content string"
+
+
+def mail(spark: SparkSession, path: str) -> DataFrame:
+    """Messages of .eml files: subject, sender, time, body. The driver lists the files: of many messages, have mailboxes."""
+
     def run(batches):
         import pandas as pd
 
+        for pdf in batches:
+            rows = [(p, *_message(bytes(data))[1:]) for p, data in zip(pdf["path"], pdf["content"], strict=True)]
+            yield pd.DataFrame(rows, columns=["id", "title", "sender", "updated_at", "content"])
+
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.eml").option("recursiveFileLookup", "true").load(path).select("path", "content").mapInPandas(run, _MAIL)
+
+
+def mailboxes(spark: SparkSession, path: str) -> DataFrame:
+    """Messages of mailboxes (mbox, what mail services and IMAP clients export), as of ``mail``; the id is the Message-ID, or the
+    message's md5. A mailbox is read by as many tasks as its length needs. Line ends after a message aren't kept by the format."""
+
+    def run(batches):
+        import hashlib
+
+        import pandas as pd
+
         for pdf in batches:
             rows = []
-            for p, data in zip(pdf["path"], pdf["content"], strict=True):
-                m = message_from_bytes(bytes(data), policy=policy.default)
-                body = m.get_body(preferencelist=("plain", "html"))
-                rows.append((p, str(m["subject"] or ""), str(m["from"] or ""), to_time(m["date"]), plain(body.get_content()) if body else ""))
+            for data in pdf["value"]:
+                data = bytes(data).rstrip(b"\r\n").partition(b"\n")[2]  # the first line is the envelope
+                if data:
+                    ident, *rest = _message(re.sub(rb"(?m)^>(>*From )", rb"\1", data))
+                    rows.append((ident or hashlib.md5(data).hexdigest(), *rest))
             yield pd.DataFrame(rows, columns=["id", "title", "sender", "updated_at", "content"])
 
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.eml").option("recursiveFileLookup", "true").load(path).select("path", "content").mapInPandas(run, "id string, title string, sender string, updated_at timestamp, content string")
+    return spark.read.option("lineSep", "\nFrom ").option("recursiveFileLookup", "true").text(path).select(F.col("value").cast("binary").alias("value")).mapInPandas(run, _MAIL)
 
 
 # --- databases --------------------------------------------------------------------------------------------------------

@@ -18,7 +18,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
@@ -180,6 +181,12 @@ class _Writer(DataSourceWriter):
             fs.delete_dir(f"{root}/{self.aside}")
 
 
+def in_mailbox(message: Column) -> Column:
+    """A message as an entry of a mailbox (mbox): ``df.select(in_mailbox(...)).write.text(path)`` makes a mailbox a task."""
+    quoted = F.regexp_replace(message, "(?md)^(>*From )", ">$1")
+    return F.concat(F.lit("From - Mon Jan  1 00:00:00 2024\n"), quoted, F.lit("\n")).alias("value")
+
+
 class Files(DataSource):
     @classmethod
     def name(cls) -> str:

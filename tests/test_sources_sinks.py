@@ -4,6 +4,7 @@ import json
 import os
 import re
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pandas as pd
 import pytest
@@ -280,3 +281,33 @@ def test_without_push_down(spark, name):
         assert rows() == want and want
     finally:
         spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+
+
+def test_messages_in_mailboxes(spark, tmp_path):
+    """Messages of a mailbox are those of files of a message each: lines that begin with From, at the edges of splits, and bytes
+    that aren't UTF-8. Turns are written to a file a task, not a message."""
+    from lodestone import queries as Q
+    from lodestone.operators.scratch import folder
+
+    bodies = ["plain", "From here\n>From there\n>>From\nTo: x", "", "\n\nFrom\n\nFrom  a", "é\u2028From b\r\nFrom c", "x" * 3000] + [f"From {k}\n" * (k % 7) + "." for k in range(200)]
+    rows = spark.createDataFrame([(k, f"Subject: s{k}\nFrom: a@b\nContent-Type: text/plain; charset=utf-8\nContent-Transfer-Encoding: 8bit\n\n{x}") for k, x in enumerate(bodies)], "k int, m string").repartition(3)
+    rows.select(writers.in_mailbox(F.col("m"))).write.text(f"{tmp_path}/box")
+    writers.register(spark)
+    rows.selectExpr("k || '.eml' AS name", "m AS body").write.format("files").mode("append").option("path", f"{tmp_path}/eml").option("kind", "text").save()
+    ends = lambda df: sorted((r["title"], r["sender"], r["content"].rstrip()) for r in df.collect())
+    want = ends(connectors.mail(spark, f"{tmp_path}/eml"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("64", "1000", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            assert ends(connectors.mailboxes(spark, f"{tmp_path}/box")) == want and len(want) == len(bodies)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    (tmp_path / "old").mkdir()
+    (tmp_path / "old" / "a.mbox").write_bytes(b"From a\nSubject: one\nMessage-ID: <1@x>\nContent-Type: text/plain; charset=latin-1\nContent-Transfer-Encoding: 8bit\n\n\xe9t\xe9\n\nFrom b\nSubject: two\n\nbody\n")
+    assert [(r["id"] == "<1@x>", r["title"], r["content"].strip()) for r in connectors.mailboxes(spark, f"{tmp_path}/old").collect()] == [(True, "one", "été"), (False, "two", "body")]
+    at = Path(folder(spark).removeprefix("file:"))
+    there = set(at.iterdir())
+    turns = Q.queries()["mail_messages"](spark, "/root/testdata/sf0.001").count()
+    files = [f for p in set(at.iterdir()) - there for f in p.rglob("*") if f.is_file() and f.name[0] not in "._"]
+    assert turns > 50 and len(files) < 10
