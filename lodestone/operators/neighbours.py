@@ -36,8 +36,8 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def _pairs(lists: DataFrame, kind: str, k: int) -> DataFrame:
-    """(id, other, cosine): for each list of rows (``members``: id, v, and new) the k best others of each row in it, of the
-    pairs of which one at least is new."""
+    """(id, other, cosine): for each list of rows (``members``: id, v, new, and floor) the k best others of each row in it, of the
+    pairs of which one at least is new. What lies below a row's floor, the least of the k that it has, can't be one of its k best."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -54,7 +54,8 @@ def _pairs(lists: DataFrame, kind: str, k: int) -> DataFrame:
                 n = min(k, len(m) - 1)
                 best = np.argpartition(-score, n - 1, axis=1)[:, :n]
                 which = np.repeat(np.arange(len(m)), n)
-                got, there = score[which, best.ravel()], score[which, best.ravel()] > -np.inf
+                got, floor = score[which, best.ravel()], m.field("floor").to_numpy(zero_copy_only=False)
+                there = (got > -np.inf) & (got >= floor[which] - 1e-9)  # cosines are rounded where they are compared
                 for column, values in zip(out, (m.field("id").take(pa.array(which[there])), m.field("id").take(pa.array(best.ravel()[there])), pa.array(got[there])), strict=True):
                     column.append(values)
             if out[0]:
@@ -75,7 +76,8 @@ def neighbour_graph(df: DataFrame, id_col: str, vec: str, k: int = 15, breadth:
     ``breadth`` times as long, which is what its recall comes from."""
     wanted, k = k, k * breadth
     kind = dict(df.dtypes)[id_col]
-    rows = stored(df.select(F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("v")).where("id is not null and size(v) > 0"), "near-rows")
+    form = "array<float>" if dict(df.dtypes)[vec] == "array<float>" else "array<double>"
+    rows = stored(df.select(F.col(id_col).alias("id"), F.col(vec).cast(form).alias("v")).where("id is not null and size(v) > 0"), "near-rows")
     first = rows.agg(F.count("*"), F.max(F.size("v"))).first()
     n, dims = first[0], first[1] or 1
     planes = int(np.ceil(np.log2(max(1.0, n / (BUCKET / 2)))))
@@ -88,12 +90,12 @@ def neighbour_graph(df: DataFrame, id_col: str, vec: str, k: int = 15, breadth:
                 bits = (x @ normal[t].T > 0) @ (1 << np.arange(max(planes, 1))) if planes else np.zeros(len(x))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.full(len(x), t, np.int32)), pa.array(bits.astype(np.int64))], names=["id", "v", "tree", "bits"])
 
-    dealt = stored(rows.mapInArrow(signs, f"id {kind}, v array<double>, tree int, bits long"), "near-dealt")
+    dealt = stored(rows.mapInArrow(signs, f"id {kind}, v {form}, tree int, bits long"), "near-dealt")
     sizes = dealt.groupBy("tree", "bits").agg(F.count("*").alias("_n"))
     # A bucket that many rows fall into is dealt on by hash.
     parted = dealt.join(sizes, ["tree", "bits"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.ceil(F.col("_n") / BUCKET)))
-    member = lambda new: F.struct("id", "v", new.alias("new"))
-    buckets = parted.groupBy("tree", "bits", "part").agg(F.collect_list(member(F.lit(True))).alias("members"))
+    member = F.struct("id", "v", F.lit(True).alias("new"), F.lit(-2.0).alias("floor"))
+    buckets = parted.groupBy("tree", "bits", "part").agg(F.collect_list(member).alias("members"))
     now = stored(_best(_pairs(buckets, kind, k).withColumn("old", F.lit(0)), k), "near")
     for step in range(rounds):
         both = now.select("id", "other", "cosine", (F.col("old") == 0).alias("new"))
@@ -103,7 +105,9 @@ def neighbour_graph(df: DataFrame, id_col: str, vec: str, k: int = 15, breadth:
         closest = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("cosine"), "other"))
         back = back.withColumn("_d", drawn).withColumn("_c", closest).where((F.col("_d") <= k) | (F.col("_c") <= k)).select("id", "other", "new")
         around = both.select("id", "other", "new").unionByName(back).groupBy("id", "other").agg(F.max("new").alias("new"))
-        lists = around.join(rows.select(F.col("id").alias("other"), "v"), "other").groupBy("id").agg(F.collect_list(F.struct(F.col("other").alias("id"), "v", "new")).alias("members"))
+        floors = now.groupBy("id").agg(F.when(F.count("*") >= k, F.min("cosine")).alias("_f"))
+        known = rows.join(floors, "id", "left").select(F.col("id").alias("other"), "v", F.coalesce("_f", F.lit(-2.0)).alias("floor"))
+        lists = around.join(known, "other").groupBy("id").agg(F.collect_list(F.struct(F.col("other").alias("id"), "v", "new", "floor")).alias("members"))
         found = _pairs(lists, kind, k).withColumn("old", F.lit(0))
         fresh = stored(_best(now.withColumn("old", F.lit(1)).unionByName(found).groupBy("id", "other").agg(F.max("cosine").alias("cosine"), F.max("old").alias("old")), k), "near")
         changed = fresh.where("old = 0").count()

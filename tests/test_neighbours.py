@@ -88,3 +88,13 @@ def test_mixture_in_aggregates_is_the_plain_one(spark):
     assert np.allclose(bics, plain, rtol=1e-6) and int(np.argmin(bics)) == int(np.argmin(plain)) == 1
     got = np.array([r["cluster"] for r in found.orderBy("id").collect()])
     assert (got == labels[1]).all()
+
+
+def test_pairs_below_a_floor_are_not_sent(spark):
+    """A row that has its k best sends no pair that is worse than all of them; floats stay floats on the way."""
+    members = [(k, [float(k == 0), float(k == 1), 1.0 + k], True, 0.99 if k == 2 else -2.0) for k in range(5)]
+    lists = spark.createDataFrame([(members,)], "members array<struct<id: long, v: array<float>, new: boolean, floor: double>>")
+    got = [tuple(r) for r in N._pairs(lists, "long", 4).collect()]
+    unit = lambda v: np.array(v) / np.linalg.norm(v)
+    cosine = {(a[0], b[0]): float(unit(a[1]) @ unit(b[1])) for a in members for b in members if a is not b}
+    assert {(a, b) for a, b, _ in got} == {p for p, c in cosine.items() if p[0] != 2 or c >= 0.99} and len(got) < len(cosine)
