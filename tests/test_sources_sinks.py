@@ -283,6 +283,23 @@ def test_without_push_down(spark, name):
         spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
+def test_passages_in_feeds_to_the_letter(spark, tmp_path):
+    """Null passages and ids, white space at the edges, markup, CR and characters that XML has no way to write."""
+    from hashlib import md5
+
+    from lodestone import queries as Q
+
+    texts = ["a b", None, "", "  a \n", "   ", "a\r\nb\rc", "a <b>bold</b> & c &amp; d", "]]> <![CDATA[x", "a\x01b\x0bc", "a\ufffe\U0001f600"]
+    rows = [(k * 20, x) for k, x in enumerate(texts)] + [(20, "twice"), (None, "q")]
+    spark.createDataFrame(rows, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = [(r["id"], r["title"], r["content_md5"], r["updated_at"] is None) for r in Q.queries()["rss_items"](spark, str(tmp_path)).collect()]
+    name = lambda head, k: None if k is None else f"{head}{k}"
+    want = [(name("item-", k), name("Passage ", k), None if x is None else md5(x.encode()).hexdigest(), k is None) for k, x in rows]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/none/benchmark.parquet")
+    assert Q.queries()["rss_items"](spark, f"{tmp_path}/none").collect() == []
+
+
 def test_messages_in_mailboxes(spark, tmp_path):
     """Messages of a mailbox are those of files of a message each: lines that begin with From, at the edges of splits, and bytes
     that aren't UTF-8. Turns are written to a file a task, not a message."""
