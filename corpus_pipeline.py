@@ -25,7 +25,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word similarity of 0.8 or more, by exact sets."""
+    """One document of each group of near copies stays: five-word similarity of 0.8 or more, by SimHash over positional bytes
+    and set minima beyond its bits, verified on exact sets."""
     return near_copies.keep_one(docs)
 
 

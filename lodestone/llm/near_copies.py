@@ -1,14 +1,17 @@
-"""Near copies by exact similarity of word shingles: a positional index of set minima, tallies, and verification.
-
-Two texts are near copies when the Jaccard similarity of their sets of five-word shingles is at least 0.8. A 64-bit
-SimHash can't tell: at 0.8 about ten of its bits differ, which leaves no byte in common. So the fingerprint here has 160
-positions, each the least of one hash over the set, and the index posts every text under 32 bands of five positions.
-A pair of similarity 0.8 meets in no band with probability 3e-6, a closer pair more rarely; every link is verified on the
-whole sets, and pairs below 0.8 are never linked.
-
-All pairs that meet are settled, but none are formed. A band's texts gather round a hub, the one that meets most others
-over all bands, and a text is stored as its difference from the hub's set. The size of the difference settles hub and
-text. Texts that this leaves in other components than the hub's are then held against all of the hub's texts by tallying
+"""Near copies by exact similarity of word shingles: SimHash over an index of positional bytes with count filtering, an
+index of set minima for what its bits can't show, and verification.
+
+Two texts are near copies when the Jaccard similarity of their sets of five-word shingles is at least 0.8. The set's 64-bit
+SimHash is posted by ``simhash.postings`` under each choice of four of its eight positional bytes (70): texts whose
+fingerprints differ in at most four bits share four bytes or more and always meet, and pairs with a lower tally never do. No
+bound on 64 bits reaches 0.8, where about ten bits differ and a tally of four is met by 14 % of the pairs. So the rest is met
+in a second index: of 160 positions, each the least of one hash over the set, in 32 bands of five. A pair of similarity 0.8
+meets in no band with probability 3e-6, a closer pair more rarely. Every link of either index is verified on the whole
+sets, and pairs below 0.8 are never linked.
+
+All pairs that meet are settled, but none are formed. The texts of a posting or band gather round a hub, the one that meets
+most others over all of them, and a text is stored as its difference from the hub's set. The size of the difference settles
+hub and text. Texts that this leaves in other components than the hub's are then held against all of the hub's texts by tallying
 shared elements of their differences, in blocks of bounded size: the sizes of the two sets, of the hub's and the tally give
 the exact similarity. Only links between components leave a block.
 
@@ -32,6 +35,8 @@ from .common import broadcast_if, byte_texts, in_arrow, join_hot, map_arrow, sto
 from .components import components
 
 SEED, SHINGLE, SIMILARITY = 42, 5, 0.8
+#: Fingerprints with as many differing bits meet for certain.
+MAX_BITS = 4
 BANDS, ROWS = 32, 5
 #: Elements of a block, and members of a hub that one task holds against it.
 BLOCK, MEMBERS = 1 << 19, 512
@@ -70,19 +75,21 @@ def _text(text_col: str) -> Column:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """A row a document: doc_id, the hash of its text, the node of its set, and the node's bands."""
+    """A row a document: doc_id, the hash of its text, the node of its set, and the node's fingerprint and bands."""
 
     def each(batch: pa.RecordBatch) -> dict:
         sets = [shingles(t) for t in byte_texts(batch.column(2))]
-        return {"doc_id": batch.column(0), "text_hash": batch.column(1), "node": [node(s) for s in sets], "bands": [bands(s) for s in sets]}
+        return {"doc_id": batch.column(0), "text_hash": batch.column(1), "node": [node(s) for s in sets], "fp": [simhash.majority(s) for s in sets], "bands": [bands(s) for s in sets]}
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(_text(text_col)).alias("text_hash"), F.col(text_col).alias("_text"))
-    return map_arrow(rows, f"doc_id {dict(docs.dtypes)[id_col]}, text_hash long, node long, bands array<long>", each)
+    return map_arrow(rows, f"doc_id {dict(docs.dtypes)[id_col]}, text_hash long, node long, fp long, bands array<long>", each)
 
 
 def meetings(nodes: DataFrame) -> DataFrame:
-    """Rows (hub, node), different: every two nodes with a band in common have a hub in common, or one is the other's."""
-    posted = nodes.select("node", F.explode("bands").alias("key"))
+    """Rows (hub, node), different: every two nodes with a posting or band in common have a hub in common, or one is the
+    other's."""
+    printed = simhash.postings(nodes, "node", MAX_BITS).select("node", F.xxhash64("free", "shared").alias("key"))
+    posted = printed.unionByName(nodes.select("node", F.explode("bands").alias("key")))
     sizes = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     met = stored(posted.join(sizes, "key"), "met")
     weight = met.groupBy("node").agg(F.sum(F.col("n") - 1).alias("weight"))
@@ -219,8 +226,8 @@ def apart(parts: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """Rows doc_id, component_id: the smallest doc_id reachable over links of at least ``similarity``."""
     signed = stored(signatures(docs, id_col, text_col), "signatures")
-    nodes = signed.groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_hash")).alias("_one"), F.first("bands").alias("bands"))
-    nodes = stored(nodes.select("node", "least", "_one.doc_id", "_one.text_hash", "bands"), "nodes")
+    nodes = signed.groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_hash")).alias("_one"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
+    nodes = stored(nodes.select("node", "least", "_one.doc_id", "_one.text_hash", "fp", "bands"), "nodes")
     pairs = stored(meetings(nodes), "meetings")
     named = pairs.select("node").union(pairs.select("hub")).distinct()
     wanted = nodes.select("node", "doc_id", "text_hash").join(named, "node", "left_semi").select("doc_id", "text_hash")

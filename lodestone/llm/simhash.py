@@ -44,7 +44,11 @@ def fingerprint(text: bytes) -> int:
         return 0
     shingles = map(b" ".join, zip(w, w[1:], w[2:], strict=False)) if len(w) >= SHINGLE else [b" ".join(w)]
     digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(s, SEED) for s in shingles), np.uint64, max(1, len(w) - SHINGLE + 1))
+    return majority(np.fromiter((digest(s, SEED) for s in shingles), np.uint64, max(1, len(w) - SHINGLE + 1)))
+
+
+def majority(h: np.ndarray) -> int:
+    """The fingerprint of shingles' hashes: bits set in over half of them. Of none it is zero."""
     ones = np.zeros(64, np.int64)
     for k in range(0, len(h), _PIECE):
         ones += np.unpackbits(h[k : k + _PIECE].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
@@ -86,16 +90,19 @@ def _forest(values: np.ndarray, p: int, q: int) -> np.ndarray:
         label = best
 
 
+def postings(prints: DataFrame, named: str = "fp", max_bits: int = MAX_BITS) -> DataFrame:
+    """Rows (named, free, shared): each fingerprint ``fp`` under every choice of 8 - ``max_bits`` positions with their bytes.
+    Those of two fingerprints meet exactly if their tally of shared positional bytes is 8 - ``max_bits`` or more, as it is
+    for all that differ in at most ``max_bits`` bits. ``free`` counts the choices of the other positions in order."""
+    masks = [((1 << 64) - 1) ^ sum(255 << 8 * p for p in free) for free in combinations(range(8), max_bits)]
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    return prints.select(named, F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed))).alias("free", "shared"))
+
+
 def links(prints: DataFrame) -> DataFrame:
     """Edges (u, v) that connect exactly the fingerprints which links of at most two bits connect."""
-    full = (1 << 64) - 1
-    masks = [full ^ (255 << 8 * p) ^ (255 << 8 * q) for p, q in _FREE]
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     parts = max(8, int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    postings = prints.select("fp").repartition(parts, "fp").select(
-        "fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed))).alias("free", "shared")
-    )
-    met = postings.groupBy("free", "shared").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1).select("free", "fps")
+    met = postings(prints.select("fp").repartition(parts, "fp")).groupBy("free", "shared").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1).select("free", "fps")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

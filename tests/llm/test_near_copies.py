@@ -8,7 +8,7 @@ import corpus_pipeline
 import numpy as np
 from test_text_ops import DOC
 
-from lodestone.llm import near_copies
+from lodestone.llm import near_copies, simhash
 
 
 def brute_set(text):
@@ -73,6 +73,40 @@ def test_bands_meet_at_the_bound():
     assert missed == 0
 
 
+def test_fingerprints_meet_by_their_tally(spark):
+    """Fingerprints of at most four differing bits meet without a band in common; a tally under four never does."""
+    rnd = np.random.default_rng(2)
+    base = rnd.integers(0, 256, 8, np.uint8)
+    near = []
+    for _ in range(60):
+        bits = np.unpackbits(base)
+        bits[rnd.choice(64, 4, replace=False)] ^= 1
+        near.append(np.packbits(bits))
+    far = [np.concatenate([base[:3], base[3:] ^ 255]), np.concatenate([base[:5] ^ 255, base[5:]])]
+    lucky = np.concatenate([base[:4], base[4:] ^ 255])  # 32 differing bits, and a tally of four
+    prints = [int(x.view(np.int64)[0]) for x in [base, *near, *far, lucky]]
+    rows = [(k, fp, [1000 + 32 * k + j for j in range(32)]) for k, fp in enumerate(prints)]
+    met = {(r["hub"], r["node"]) for r in near_copies.meetings(spark.createDataFrame(rows, "node long, fp long, bands array<long>")).collect()}
+    posted = {}
+    for r in simhash.postings(spark.createDataFrame(rows, "node long, fp long, bands array<long>"), "node", 4).collect():
+        posted.setdefault((r["free"], r["shared"]), set()).add(r["node"])
+    shared = {p for group in posted.values() for p in itertools.combinations(sorted(group), 2)}
+    byte = [np.frombuffer(np.int64(fp).tobytes(), np.uint8) for fp in prints]
+    assert shared == {(a, b) for a, b in itertools.combinations(range(len(prints)), 2) if (byte[a] == byte[b]).sum() >= 4}
+    around = {}
+    for hub, n in met:
+        around.setdefault(hub, {hub}).add(n)
+    assert all(any({a, b} <= group for group in around.values()) for a, b in shared)
+    assert all((0, k) in shared for k in range(1, 61)) and (0, 63) in shared and not {(0, 61), (0, 62)} & shared
+
+
+def test_fingerprint_of_a_set():
+    """Every set's bits are those of over half of its shingles, each once; no shingles, no bits."""
+    h = near_copies.shingles(b"a b c d e f a b c d e f g")
+    want = sum(1 << b for b in range(64) if 2 * sum(int(x) >> b & 1 for x in h) > len(h))
+    assert simhash.majority(h) % (1 << 64) == want and simhash.majority(h[:0]) == 0
+
+
 def test_no_documents(spark):
     empty = spark.createDataFrame([], DOC)
     assert near_copies.near_duplicates(empty).count() == 0 and near_copies.keep_one(empty).columns == empty.columns
