@@ -35,7 +35,7 @@ def samples(media: bytes) -> bytes:
     out = []
     for image in webp.decode_file(media):
         green = image >> 8 & 255
-        if not np.array_equal(image & 0xFFFFFF, green * 0x010101):
+        if (image & 0xFFFFFF != green * 0x010101).any():
             raise ValueError("not a grey image")
         out.append(green.astype(np.uint8).tobytes())
     return b"".join(out)

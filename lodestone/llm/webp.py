@@ -2,7 +2,7 @@
 
 The decoder reads prefix codes, meta prefix images, back-references and the colour cache, and inverts the predictor,
 cross-colour, subtract-green and palette transforms. Runs of literal grey pixels, which is what the encoder writes, are
-decoded a run at a time: numpy looks up the code at every bit position, and one pass follows the code lengths.
+decoded a run at a time: numpy looks up the code at every bit position, and one pass follows every fourth code length.
 
 The encoder writes grey images: samples in green with the subtract-green transform, prefix codes of limited length, and
 back-references for what is there again from ``MATCH`` samples on. It takes the palette for at most 16 different samples,
@@ -15,6 +15,7 @@ from __future__ import annotations
 import heapq
 import re
 import struct
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -46,14 +47,26 @@ def code_lengths(counts: dict[int, int], limit: int) -> dict[int, int]:
     if len(counts) == 1:
         return dict.fromkeys(counts, 1)
     while True:
-        heap = [(c, s, (s,)) for s, c in counts.items()]
-        heapq.heapify(heap)
-        lengths = dict.fromkeys(counts, 0)
+        heap = sorted([c << 16 | s for s, c in counts.items()])  # of equal counts the tree with the smallest symbol
+        joined: list[tuple[int, int]] = []
+        tree: dict[int, int] = {}  # place in joined of the tree with this smallest symbol; a leaf has none and stands as ~symbol
         while len(heap) > 1:
-            a, b = heapq.heappop(heap), heapq.heappop(heap)
-            for s in a[2] + b[2]:
-                lengths[s] += 1
-            heapq.heappush(heap, (a[0] + b[0], min(a[1], b[1]), a[2] + b[2]))
+            a = heapq.heappop(heap)
+            b = heap[0]
+            x, y = a & 0xFFFF, b & 0xFFFF
+            joined.append((tree.get(x, ~x), tree.get(y, ~y)))
+            if x > y:
+                x, y = y, x
+            tree[x] = len(joined) - 1
+            heapq.heapreplace(heap, a + b - y)
+        lengths, depths = {}, [0] * len(joined)
+        for k in range(len(joined) - 1, -1, -1):
+            n = depths[k] + 1
+            for part in joined[k]:
+                if part < 0:
+                    lengths[~part] = n
+                else:
+                    depths[part] = n
         if max(lengths.values()) <= limit:
             return lengths
         counts = {s: (c >> 1) + 1 for s, c in counts.items()}
@@ -73,21 +86,30 @@ def bit_strings(lengths: dict[int, int]) -> dict[int, str]:
     return {s: format(c, f"0{lengths[s]}b") for s, c in canonical(lengths).items()}
 
 
+@lru_cache(maxsize=16)
+def _reversed(bits: int) -> np.ndarray:
+    """Each number of so many bits with its bits in reverse."""
+    out = np.zeros(1, np.intp)
+    for _ in range(bits):
+        out = np.concatenate([2 * out, 2 * out + 1])
+    return out
+
+
 class Code:
-    """A prefix code as a table: at each value of the next ``bits`` bits, the symbol and its length."""
+    """A prefix code as a table: at each value of the next ``bits`` bits, the symbol times 16 and its length."""
 
     def __init__(self, lengths: dict[int, int]) -> None:
         self.only = next(iter(lengths), 0) if len(lengths) <= 1 else None
         self.bits = 0 if self.only is not None else max(lengths.values())
-        self.symbol, self.length = np.zeros(1 << self.bits, np.uint16), np.zeros(1 << self.bits, np.uint8)
         if self.only is not None:
-            self.symbol[0] = self.only
+            self.table = np.array([self.only << 4], np.uint16)
             return
-        for s, c in canonical(lengths).items():
-            n = lengths[s]
-            back = int(format(c, f"0{n}b")[::-1], 2)
-            self.symbol[back :: 1 << n] = s
-            self.length[back :: 1 << n] = n
+        ordered = np.array(sorted([n << 16 | s for s, n in lengths.items()]))
+        n = ordered >> 16
+        table = np.repeat(((ordered & 0xFFFF) << 4 | n).astype(np.uint16), 1 << (self.bits - n))  # in the order of the codes
+        if len(table) != 1 << self.bits:
+            raise ValueError("not a whole prefix code")
+        self.table = table.take(_reversed(self.bits))
 
 
 class Bits:
@@ -105,8 +127,9 @@ class Bits:
             return code.only
         at = self.at
         k = int.from_bytes(self.data[at >> 3 : (at >> 3) + 3], "little") >> (at & 7) & ((1 << code.bits) - 1)
-        self.at += int(code.length[k])
-        return int(code.symbol[k])
+        entry = int(code.table[k])
+        self.at += entry & 15
+        return entry >> 4
 
 
 @lru_cache(maxsize=512)
@@ -122,18 +145,34 @@ def read_code(bits: Bits, alphabet: int) -> Code:
     given = [bits.read(3) for _ in range(4 + bits.read(4))]
     code = Code({s: n for s, n in zip(CODE_LENGTH_ORDER, given, strict=False) if n})
     left = 2 + bits.read(2 + 2 * bits.read(3)) if bits.read(1) else alphabet
-    lengths, last = [], 8
-    while len(lengths) < alphabet and left:
+    table, mask = code.table.tolist(), (1 << code.bits) - 1
+    lengths, last, k = {}, 8, 0
+    ahead = room = 0
+    while k < alphabet and left:
         left -= 1
-        s = bits.symbol(code)
+        if room < 14:  # a code of 7 bits and its 7 more
+            bits.at -= room
+            ahead, room = int.from_bytes(bits.data[bits.at >> 3 : (bits.at >> 3) + 64], "little") >> (bits.at & 7), 512 - (bits.at & 7)
+            bits.at += room
+        entry = table[ahead & mask]
+        s, n = entry >> 4, entry & 15
+        ahead >>= n
+        room -= n
         if s < 16:
-            lengths.append(s)
-            last = s or last
-        elif s == 16:
-            lengths += [last] * (3 + bits.read(2))
-        else:
-            lengths += [0] * (3 + bits.read(3) if s == 17 else 11 + bits.read(7))
-    return Code({s: n for s, n in enumerate(lengths) if n})
+            if s:
+                lengths[k] = last = s
+            k += 1
+            continue
+        n, least = ((2, 3), (3, 3), (7, 11))[s - 16]
+        times = least + (ahead & ((1 << n) - 1))
+        ahead >>= n
+        room -= n
+        if s == 16:
+            lengths |= dict.fromkeys(range(k, k + times), last)
+        k += times
+    bits.at -= room
+    bits.read(0)  # raises behind the end
+    return Code(lengths)
 
 
 # --- decoding --------------------------------------------------------------------------------------------------------
@@ -146,30 +185,42 @@ def _amount(bits: Bits, prefix: int) -> int:
     return ((2 + (prefix & 1)) << extra) + bits.read(extra) + 1
 
 
-_RUN = 4096
+_RUN, _LONGEST_RUN = 4096, 1 << 18  # symbols looked for at once, at first and at most
+_EIGHT = np.tile(np.arange(8, dtype=np.uint32), 1 << 13)
 
 
 def _literal_run(bits: Bits, code: Code, most: int) -> np.ndarray:
     """The literals ahead, up to ``most`` and to the first symbol that isn't one; for codes of one symbol in red, blue, alpha."""
     room = (len(bits.data) << 3) - bits.at
     begin, most = bits.at >> 3, min(most, room)
-    raw = np.frombuffer(bits.data, np.uint8, min(len(bits.data) - begin, (most * code.bits + 7 >> 3) + 4), begin).astype(np.uint32)
-    wide = raw.copy()
-    wide[:-1] |= raw[1:] << 8
-    wide[:-2] |= raw[2:] << 16
-    ahead = ((wide[:, None] >> np.arange(8, dtype=np.uint32)) & np.uint32((1 << code.bits) - 1)).ravel()
-    steps = code.length[ahead].tobytes()
-    at, met = bits.at & 7, bytearray(len(steps))
+    span = min(len(bits.data) - begin - 3, (most * code.bits + 7 >> 3) + 4)
+    if span <= 0:
+        raise ValueError("the bit stream ends early")
+    ahead = np.repeat(np.ndarray((span,), "<u4", bits.data, begin, (1,)), 8)
+    ahead >>= _EIGHT[: 8 * span] if 8 * span <= len(_EIGHT) else np.tile(_EIGHT[:8], span)
+    ahead &= np.uint32((1 << code.bits) - 1)
+    entry = code.table.take(ahead)
+    # The bits from each place to the next symbol, to the second next and to the fourth next: one pass follows every fourth
+    # symbol, and the places between are filled in. What lies behind the last place is never looked at.
+    one = (entry & 15).astype(np.uint8)
+    here = np.arange(len(one))
+    two = one + one.take(here + one, mode="clip")
+    four = (two + two.take(here + two, mode="clip")).tobytes()
+    at, met = bits.at & 7, bytearray(len(four))
     try:
         while True:
             met[at] = 1
-            at += steps[at]
+            at += four[at]
     except IndexError:  # behind the bits that were looked at
         pass
-    places = np.flatnonzero(np.frombuffer(met, np.uint8))
-    if len(places) > most:
-        places, at = places[:most], int(places[most])
-    found = code.symbol[ahead[places]]
+    places = np.append(np.frombuffer(met, bool).nonzero()[0], at)
+    for step in (two, one):
+        both = np.repeat(places, 2)
+        both[1::2] += step.take(places, mode="clip")
+        places = both
+    inside = min(most, int(places.searchsorted(len(one))))
+    places, at = places[:inside], int(places[inside])
+    found = entry.take(places) >> 4
     stop = np.flatnonzero(found >= 256)
     if len(stop):
         found, at = found[: stop[0]], int(places[stop[0]])
@@ -209,8 +260,8 @@ def _entropy_image(bits: Bits, width: int, height: int, top: bool) -> np.ndarray
                 n += len(run)
                 if len(run) < most:
                     break
-                most *= 4
-            most = 64 + 2 * (n - start)  # the next run is looked for as far as this one went
+                most = min(4 * most, _LONGEST_RUN)
+            most = min(64 + 2 * (n - start), _LONGEST_RUN)  # the next run is looked for as far as this one went
             if n == total:
                 break
         s = bits.symbol(green)
@@ -229,11 +280,11 @@ def _entropy_image(bits: Bits, width: int, height: int, top: bool) -> np.ndarray
                 raise ValueError("a back-reference leaves the image")
             if not cache:
                 at = n - back
-                if back >= length:
-                    out[n : n + length] = out[at : at + length]
-                else:  # what it writes is read again
-                    out[n : n + length] = np.resize(out[at:n], length)
-                n += length
+                while length:  # what it writes is read again
+                    step = min(length, n - at)
+                    out[n : n + step] = out[at : at + step]
+                    n += step
+                    length -= step
             else:
                 for _ in range(length):
                     put(int(out[n - back]))
@@ -379,32 +430,40 @@ def decode_file(data: bytes) -> list[np.ndarray]:
 # --- encoding --------------------------------------------------------------------------------------------------------
 
 
+@lru_cache(maxsize=4096)
 def low_first(value: int, n: int) -> str:
     """A number of n bits as the stream has it, lowest bit first."""
     return format(value, f"0{n}b")[::-1] if n else ""
 
 
-_ZEROS = re.compile(rb"\0{1,138}|[^\0]+")
+@lru_cache(maxsize=512)
+def _write_lone(symbol: int) -> str:
+    return "1" + "0" + "1" + low_first(symbol, 8)
+
+
+_ZEROS = re.compile(rb"\0{3,138}")
 
 
 def write_code(lengths: dict[int, int], alphabet: int) -> str:
     """The bits of a prefix code's description."""
     if len(lengths) == 1 and max(lengths) < 256:
-        return "1" + "0" + "1" + low_first(next(iter(lengths)), 8)
+        return _write_lone(next(iter(lengths)))
     end = max(lengths) + 1
     row = bytearray(end)
     for symbol, n in lengths.items():
         row[symbol] = n
-    items = []
+    items: list[int] = []  # a symbol, and from the sixth bit on what follows it
+    at = 0
     for m in _ZEROS.finditer(row):
-        run = m[0]
-        if len(run) < 3 or run[0]:
-            items += [(n, "") for n in run]
-        else:
-            items.append((17, low_first(len(run) - 3, 3)) if len(run) < 11 else (18, low_first(len(run) - 11, 7)))
+        n = m.end() - m.start()
+        items += row[at : m.start()]
+        items.append(17 | n - 3 << 5 if n < 11 else 18 | n - 11 << 5)
+        at = m.end()
+    items += row[at:]
+    met = Counter(items)
     counts: dict[int, int] = {}
-    for s, _ in items:
-        counts[s] = counts.get(s, 0) + 1
+    for item, n in met.items():
+        counts[item & 31] = counts.get(item & 31, 0) + n
     own = code_lengths(counts, 7)
     if len(own) == 1:  # a code of one symbol takes no bits to write, so give it a companion
         own = {s: 1 for s in {*own, (next(iter(own)) + 1) % 16}}
@@ -419,21 +478,58 @@ def write_code(lengths: dict[int, int], alphabet: int) -> str:
         width = 2 + 2 * half
         head += "1" + low_first(half, 3) + low_first(size, width)
         if len(items) < 2:
-            items.append((0, ""))
             raise ValueError("too few symbols")
     else:
         head += "0"
-    return head + "".join(strings[s] + extra for s, extra in items)
+    written = {item: strings[item & 31] + low_first(item >> 5, {17: 3, 18: 7}.get(item & 31, 0)) for item in met}
+    return head + "".join([written[item] for item in items])
 
 
 @lru_cache(maxsize=1024)
-def _length_prefix(length: int) -> tuple[int, str]:
-    """Prefix code and extra bits of a back-reference's length."""
+def _length_prefix(length: int) -> tuple[int, int, int]:
+    """Prefix code of a back-reference's length, and the number that follows it with its bits."""
     if length <= 4:
-        return length - 1, ""
+        return length - 1, 0, 0
     n = (length - 1).bit_length() - 1
     high = (length - 1) >> (n - 1) & 1
-    return 2 * n + high, low_first((length - 1) & ((1 << (n - 1)) - 1), n - 1)
+    return 2 * n + high, (length - 1) & ((1 << (n - 1)) - 1), n - 1
+
+
+def _numbers(lengths: dict[int, int], alphabet: int) -> tuple[np.ndarray, np.ndarray]:
+    """The code of each symbol of an alphabet as a number, first bit lowest, and its bits; for codes of two symbols or more."""
+    codes, widths = np.zeros(alphabet, np.uint64), np.zeros(alphabet, np.uint64)
+    ordered = np.array(sorted([n << 16 | s for s, n in lengths.items()]))
+    n, s = ordered >> 16, ordered & 0xFFFF
+    spans = 1 << (LONGEST - n)
+    codes[s], widths[s] = _reversed(LONGEST).take(spans.cumsum() - spans), n
+    return codes, widths
+
+
+def _folded(values: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and their bits, neighbours put together as long as each has 56 bits at most."""
+    while len(values) > 1 and bits.max() <= 28:
+        if len(values) & 1:
+            values, bits = np.append(values, values[:1] * 0), np.append(bits, bits[:1] * 0)
+        values, bits = values[0::2] | values[1::2] << bits[0::2], bits[0::2] + bits[1::2]
+    return values, bits
+
+
+def _written(head: str, values: np.ndarray, bits: np.ndarray) -> bytes:
+    """The stream of the head and of numbers of at most 56 bits behind it."""
+    ends = bits.cumsum() + np.uint64(len(head))
+    starts = ends - bits
+    word, shift, total = (starts >> np.uint64(6)).astype(np.intp), starts & np.uint64(63), int(ends[-1])
+    edge = np.ones(len(word) + 1, bool)
+    np.not_equal(word[1:], word[:-1], out=edge[1:-1])
+    edges = edge.nonzero()[0]
+    first, last = edges[:-1], edges[1:] - 1  # of the numbers that begin in a word of 64 bits
+    out = np.zeros((total >> 6) + 2, "<u8")
+    out[word[first]] = np.bitwise_or.reduceat(values << shift, first)
+    out[word[last] + 1] |= values[last] >> np.uint64(1) >> (np.uint64(63) - shift[last])  # what reaches into the next word
+    front = np.frombuffer(int(head[::-1], 2).to_bytes((len(head) + 7) >> 3, "little"), np.uint8)
+    stream = out.view(np.uint8)
+    stream[: len(front)] |= front
+    return stream[: (total + 7) >> 3].tobytes()
 
 
 @lru_cache(maxsize=8)
@@ -450,12 +546,11 @@ def matches(samples: np.ndarray) -> list[tuple[int, int, int]]:
     n = len(samples) - MATCH + 1
     if n < 2:
         return []
-    # Polynomial hashes of all runs of MATCH samples, by doubling: 8, 16 and 24 samples.
-    h = samples.astype(np.uint64)
-    for k, odd in ((1, 0x9E3779B97F4A7C15), (2, 0xC2B2AE3D27D4EB4F), (4, 0x165667B19E3779F9)):
-        h = h[:-k] * np.uint64(odd) + (h[k:] ^ (h[k:] >> np.uint64(29)))
-    h = h[: n + 16] * np.uint64(0xD6E8FEB86659FD93)
-    h = h[:n] + (h[8 : n + 8] >> np.uint64(7)) * np.uint64(0x9E3779B97F4A7C15) + (h[16 : n + 16] >> np.uint64(13)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    # Hashes of all runs of MATCH samples, from their three words of eight.
+    data = samples.tobytes()
+    words = np.ndarray((n + 16,), "<u8", data, 0, (1,)).copy()
+    words ^= words >> np.uint64(29)
+    h = words[:n] * np.uint64(0xD6E8FEB86659FD93) + words[8 : n + 8] * np.uint64(0x9E3779B97F4A7C15) + words[16:] * np.uint64(0xC2B2AE3D27D4EB4F)
     h = np.sort((h & np.uint64(0xFFFFFFFFFF000000)) | np.arange(n, dtype=np.uint64))  # the hash's high bits above the place
     same = np.flatnonzero((h[1:] ^ h[:-1]) < np.uint64(1 << 24))
     if not len(same):
@@ -463,7 +558,7 @@ def matches(samples: np.ndarray) -> list[tuple[int, int, int]]:
     places = (h & np.uint64(0xFFFFFF)).astype(np.int64)
     later, sooner = places[same + 1], places[same]
     order = np.argsort(later)
-    data, out, free, total = samples.tobytes(), [], 0, len(samples)
+    out, free, total = [], 0, len(samples)
     for p, q in zip(later[order].tolist(), sooner[order].tolist(), strict=True):
         if p < free:
             continue
@@ -560,36 +655,38 @@ def encode_grey(samples: bytes, width: int) -> bytes:
     ahead = [(*_length_prefix(length), *_length_prefix(near.get(d, d + 120))) for _, length, d in found]
     counts = np.bincount(plain[literal], minlength=_GREEN_CODES)
     far: dict[int, int] = {}
-    for a, _, b, _ in ahead:
+    for a, _, _, b, _, _ in ahead:
         counts[256 + a] += 1
         far[b] = far.get(b, 0) + 1
-    green = {int(s): int(counts[s]) for s in np.flatnonzero(counts)}
+    there = counts.nonzero()[0]
+    green = dict(zip(there.tolist(), counts[there].tolist(), strict=True))
     if len(green) == 1:
         green[(min(green) + 1) & 255] = 1  # keep the code's bits: a code of one symbol has none
     lengths, distances = code_lengths(green, LONGEST), code_lengths(far or {0: 1}, LONGEST)
     if len(distances) == 1:
-        written = "1" + "0" + "1" + low_first(next(iter(distances)), 8)
-        back = dict.fromkeys(distances, "")
+        written, back = _write_lone(next(iter(distances))), (np.zeros(40, np.uint64),) * 2  # takes no bits
     else:
-        written, back = write_code(distances, 40), bit_strings(distances)
+        written, back = write_code(distances, 40), _numbers(distances, 40)
     head += "0" + "0" + "0"  # no more transforms; no colour cache, no meta codes
-    head += write_code(lengths, _GREEN_CODES) + "".join(write_code({s: 1}, 256) for s in (0, 0, alpha)) + written
-    strings = bit_strings(lengths)
-    deep = max(lengths.values())
-    digits, there = np.zeros((256, deep), np.uint8), np.zeros((256, deep), bool)
-    for s, bits in strings.items():
-        if s < 256:
-            digits[s, : len(bits)] = np.frombuffer(bits.encode(), np.uint8) - 48
-            there[s, : len(bits)] = True
-    parts = [np.frombuffer(head.encode(), np.uint8) - 48]
-    free = 0
-    for p, (_, length, _), (a, x, b, y) in zip(places.tolist(), found, ahead, strict=True):
-        parts += [digits[plain[free:p]][there[plain[free:p]]], np.frombuffer((strings[256 + a] + x + back[b] + y).encode(), np.uint8) - 48]
-        free = p + length
-    for k in range(free, len(plain), 1 << 16):
-        part = plain[k : min(len(plain), k + (1 << 16))]
-        parts.append(digits[part][there[part]])
-    stream = np.packbits(np.concatenate(parts), bitorder="little").tobytes()
+    head += write_code(lengths, _GREEN_CODES) + "".join(_write_lone(s) for s in (0, 0, alpha)) + written
+    codes, widths = _numbers(lengths, _GREEN_CODES)
+    # A back-reference, of MATCH samples at least, puts its two codes and what follows each in the place of its first two samples.
+    slots = (places[:, None] + np.arange(2)).ravel()
+    a, x, n, b, y, m = np.array(ahead, np.uint64).reshape(-1, 6).T
+    a, b, far_codes, far_widths = a.astype(np.intp) + 256, b.astype(np.intp), *back
+    given = np.stack([codes[a] | x << widths[a], far_codes[b] | y << far_widths[b]], axis=1).ravel()
+    sizes = np.stack([widths[a] + n, far_widths[b] + m], axis=1).ravel()
+    parts = []
+    for k in range(0, len(plain), 1 << 16):
+        part = plain[k : k + (1 << 16)]
+        values, bits = codes.take(part), widths.take(part)
+        if found:
+            values *= literal[k : k + len(part)]
+            bits *= literal[k : k + len(part)]
+            here = slice(*slots.searchsorted((k, k + len(part))))
+            values[slots[here] - k], bits[slots[here] - k] = given[here], sizes[here]
+        parts.append(_folded(values, bits))
+    stream = _written(head, *(np.concatenate(x) for x in zip(*parts, strict=True)))
     size = len(stream)
     chunk = b"VP8L" + struct.pack("<I", size) + stream + b"\0" * (size & 1)
     return b"RIFF" + struct.pack("<I", 4 + len(chunk)) + b"WEBP" + chunk

@@ -5,6 +5,7 @@ import itertools
 import os
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -443,6 +444,42 @@ def test_media_digests_and_features(spark):
     assert got[1][1:] == got[2][1:] and got[3][1:] == got[4][1:]
 
 
+def test_media_takes_little_work_in_python():
+    """What op4 costs is the interpreter's work on a document: 3.9 lines run for a byte of text, where it was 6.6."""
+    rnd = random.Random(17)
+    words = ["".join(rnd.choices("etaoinshrdlu", k=rnd.randrange(2, 9))) for _ in range(300)]
+    payloads = [media.padded(" ".join(rnd.choices(words, k=400)).encode()) for _ in range(20)]
+    lines = 0
+
+    def trace(frame, event, _):
+        nonlocal lines
+        lines += event == "line"
+        return trace if frame.f_code.co_filename == webp.__file__ else None
+
+    forms = [media.stored_form(p) for p in payloads]
+    before = sys.gettrace()
+    sys.settrace(trace)
+    try:
+        again = [media.stored_form(p) for p in payloads]
+        read = [media.samples(f) for f in forms]
+    finally:
+        sys.settrace(before)
+    assert again == forms and read == payloads
+    assert lines < 5 * sum(map(len, payloads))
+
+
+def test_media_stays_the_same_bytes():
+    text = b"".join(b"%d: line %d of %d\n" % (k, k * k % 97, k // 3) for k in range(4000))  # over 65,536 samples, so written in parts
+    form = media.stored_form(media.padded(text))
+    assert media.samples(form) == media.padded(text)
+    assert (len(form), hashlib.sha256(form).hexdigest()) == (42916, "20246a021d1aa317b3d63a039a6d94a8a6521d7b860db2f42572a8e82cc490ad")
+
+
+def test_webp_refuses_codes_with_gaps():
+    with pytest.raises(ValueError):  # its bits may mean nothing, and a run of literals would never end
+        webp.Code({65: 2, 66: 2, 67: 2})
+
+
 def _stream(width, height, body):
     bits = webp.low_first(0x2F, 8) + webp.low_first(width - 1, 14) + webp.low_first(height - 1, 14) + "0000" + body
     return int(bits[::-1], 2).to_bytes((len(bits) + 7) // 8, "little")
